@@ -36,11 +36,12 @@ def let(value: Column, body) -> Column:
 
 def rle_tokens(encoded) -> Column:
     """Whitespace tokens, like Python's ``str.split()``; null -> null, blank -> empty array."""
-    e = _c(encoded)
-    t = F.regexp_replace(e, r"^\s+|\s+$", "")
-    return F.when(e.isNull(), F.lit(None).cast("array<string>")).when(
-        t == "", F.array().cast("array<string>")
-    ).otherwise(F.split(t, r"\s+"))
+    def body(t):
+        return F.when(t.isNull(), F.lit(None).cast("array<string>")).when(
+            t == "", F.array().cast("array<string>")
+        ).otherwise(F.split(t, r"\s+"))
+
+    return let(F.regexp_replace(_c(encoded), r"^\s+|\s+$", ""), body)
 
 
 def rle_pair_count(encoded) -> Column:
@@ -53,8 +54,6 @@ def rle_valid(encoded) -> Column:
 
     Fast path: text made only of digits and whitespace with no token over 18 digits. Otherwise the used tokens
     (an odd last start is not used) are checked one by one."""
-    e = _c(encoded)
-
     def precise(toks):
         n = F.floor(F.size(toks) / 2).cast("int")
         used = F.slice(toks, 1, F.greatest(n * 2, F.lit(1)))
@@ -62,8 +61,11 @@ def rle_valid(encoded) -> Column:
             F.forall(used, lambda x: x.rlike(DIGITS) & x.try_cast("bigint").isNotNull())
         )
 
-    fast = (F.translate(e, "0123456789 \t\n\r", "") == "") & ~e.rlike("[0-9]{19}")
-    return F.when(e.isNull(), F.lit(True)).when(fast, F.lit(True)).otherwise(let(rle_tokens(e), precise))
+    def body(e):
+        fast = (F.translate(e, "0123456789 \t\n\r", "") == "") & ~e.rlike("[0-9]{19}")
+        return F.when(e.isNull(), F.lit(True)).when(fast, F.lit(True)).otherwise(let(rle_tokens(e), precise))
+
+    return let(_c(encoded), body)
 
 
 def rle_area(encoded) -> Column:
@@ -154,6 +156,17 @@ def mask_runs(encoded, height=768, width=768) -> Column:
     return union_intervals(painted_intervals(encoded, height, width))
 
 
+def checked_mask_runs(encoded, height=768, width=768) -> Column:
+    """:func:`mask_runs` for valid rows, an empty array for null or invalid ones -- validity is folded into the
+    same projection so a derived text column is evaluated once (a separate filter would be pushed below the
+    projection and re-evaluate the text for every reference)."""
+    empty = F.array().cast(_RUN_TYPE)
+    return let(
+        _c(encoded),
+        lambda e: F.when(e.isNull(), empty).when(rle_valid(e), mask_runs(e, height, width)).otherwise(empty),
+    )
+
+
 def encode_runs(runs) -> Column:
     """SURVEY M6 text side: ``array<struct<a,b>>`` (0-based half-open, any order, maximal or not) -> RLE text.
 

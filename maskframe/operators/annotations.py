@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskframe.functions import classes as C
-from maskframe.functions.rle import rle_area, rle_valid
+from maskframe.functions.rle import let, rle_area, rle_valid
 
 ID = "ImageId"
 ENC = "EncodedPixels"
@@ -45,7 +45,8 @@ def no_ships(df: DataFrame, enc_col: str = ENC) -> DataFrame:
 
 def with_area(df: DataFrame, enc_col: str = ENC) -> DataFrame:
     """``area`` = sum of the length tokens (text area, bigint) and ``valid`` (all used tokens are digits)."""
-    return df.withColumn("area", rle_area(F.col(enc_col))).withColumn("valid", rle_valid(F.col(enc_col)))
+    both = let(F.col(enc_col), lambda e: F.struct(rle_area(e).alias("area"), rle_valid(e).alias("valid")))
+    return df.withColumn("_av", both).withColumn("area", F.col("_av.area")).withColumn("valid", F.col("_av.valid")).drop("_av")
 
 
 def quarantine(df: DataFrame) -> DataFrame:

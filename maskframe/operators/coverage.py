@@ -44,11 +44,7 @@ def coverage_segments(
     for i, src in enumerate(sources):
         p = run_pieces(rle_runs(src, height, width, id_col, enc_col), height, id_col).withColumn("src", F.lit(i))
         pieces = p if pieces is None else pieces.unionByName(p)
-    one = [F.struct(F.col("r0").alias("pos"), F.lit(1).alias("d"), F.col("src")),
-           F.struct(F.col("r1").alias("pos"), F.lit(-1).alias("d"), F.col("src"))]
-    ev = pieces.select(id_col, "col", F.explode(F.array(*one)).alias("e")).select(
-        id_col, "col", F.col("e.pos").alias("pos"), F.col("e.d").alias("d"), F.col("e.src").alias("src")
-    )
+    ev = pieces.selectExpr(f"`{id_col}`", "col", "src", "stack(2, r0, 1, r1, -1) AS (pos, d)")
     aggs = [F.sum("d").alias("d")]
     if ns > 1:
         aggs += [F.sum(F.when(F.col("src") == i, F.col("d")).otherwise(0)).alias(f"d{i}") for i in range(ns)]
@@ -168,7 +164,8 @@ def mask_iou(truth: DataFrame, pred: DataFrame, height: int = CANVAS_H, width: i
         F.when(F.col("c0") > 0, n).otherwise(0).alias("t"),
         F.when(F.col("c1") > 0, n).otherwise(0).alias("p"),
     )
-    marks = _ids_of([truth, pred], id_col).select(id_col, *[F.lit(0).cast("bigint").alias(c) for c in ("inter", "uni", "t", "p")])
+    marks = truth.select(id_col).unionByName(pred.select(id_col))
+    marks = marks.select(id_col, *[F.lit(0).cast("bigint").alias(c) for c in ("inter", "uni", "t", "p")])
     g = rows.unionByName(marks).groupBy(id_col).agg(
         F.sum("inter").cast("bigint").alias("intersection"),
         F.sum("uni").cast("bigint").alias("union_px"),
