@@ -237,3 +237,376 @@ FROM orders o LEFT JOIN per ON o.o_orderkey = per.k""",
 def mask_iou_per_image(spark, sf_dir):
     """M15 + J8: IoU of predicted against true masks per image, on runs."""
     return V.mask_iou(X.truth(spark, sf_dir), X.prediction(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------------------- step 3
+# No oracle SQL: labelling whole tables with a recursive CTE is too slow; tests/test_components.py checks these
+# operators against a brute-force pixel flood fill on small fixtures instead.
+def _union_pieces(spark, sf_dir):
+    ann = X.annotations(spark, sf_dir)
+    return ann, V.select_mask(V.coverage_segments(ann), F.col("c") >= 1)
+
+
+@register("connected_components")
+def connected_components(spark, sf_dir):
+    """M5 + W8: components of each image's union mask with size and first raster pixel."""
+    from maskframe.operators.components import component_stats
+
+    _, pieces = _union_pieces(spark, sf_dir)
+    return component_stats(pieces)
+
+
+@register("instances_per_image")
+def instances_per_image(spark, sf_dir):
+    """Connected ships per image (0 for images without any)."""
+    from maskframe.operators.components import instances_per_image as ipi
+
+    ann, pieces = _union_pieces(spark, sf_dir)
+    return ipi(pieces, V.image_ids(ann))
+
+
+@register("multi_rle")
+def multi_rle(spark, sf_dir):
+    """M7: one RLE row per connected instance, null row for an empty image."""
+    from maskframe.operators.components import multi_rle as mr
+
+    ann, pieces = _union_pieces(spark, sf_dir)
+    return mr(pieces, V.image_ids(ann)).select("ImageId", "EncodedPixels")
+
+
+@register("ensemble_submissions")
+def ensemble_submissions(spark, sf_dir):
+    """M8 (E2): two submissions -> vote of two -> components -> one row per instance (J9: every id of either)."""
+    from maskframe.plans.ensemble import ensemble
+
+    return ensemble([X.submission(spark, sf_dir, "a"), X.submission(spark, sf_dir, "b")])
+
+
+# ---------------------------------------------------------------------------------------------------------- step 4
+from maskframe.operators import sampling as S  # noqa: E402
+from maskframe.functions.names import sample_name, shard_name  # noqa: E402
+
+SEED = 42
+SPLIT_BINS = C.MAIN_BINS[:4]  # classes >= 5 merged: the ordinary split needs >= 2 members per class
+DROP_NEGATIVES = 100
+MD5 = "md5('42:' || ImageId)"
+IMGC = f"""imgc AS (SELECT ImageId, area, isnan, instances, {C.area_class_sql('area', C.MAIN_BINS)} AS class,
+  {C.area_class_sql('area', SPLIT_BINS)} AS sclass FROM img)"""
+SPLIT_SQL = f"""cnt AS (SELECT sclass, COUNT(*) AS n_c FROM imgc GROUP BY sclass),
+q0 AS (SELECT sclass, n_c, SUM(n_c) OVER () AS N FROM cnt),
+q1 AS (SELECT *, CAST(ceil(CAST(0.05 AS DOUBLE) * N) AS BIGINT) AS n_val FROM q0),
+q2 AS (SELECT *, (n_val * n_c) // N AS fl, n_val * n_c - ((n_val * n_c) // N) * N AS rem FROM q1),
+q3 AS (SELECT *, n_val - SUM(fl) OVER () AS extra, row_number() OVER (ORDER BY rem DESC, sclass) AS rr FROM q2),
+quota AS (SELECT sclass, fl + CASE WHEN rr <= extra THEN 1 ELSE 0 END AS quota FROM q3),
+rk AS (SELECT ImageId, sclass, class, area, row_number() OVER (PARTITION BY sclass ORDER BY {MD5}, ImageId) AS rn FROM imgc),
+split AS (SELECT rk.ImageId, rk.class, rk.area, rk.sclass, CASE WHEN rn <= quota THEN 'val' ELSE 'train' END AS split
+          FROM rk JOIN quota USING (sclass))"""
+BASE = f"WITH {O.INSTANCES}, {O.IMAGE_AREA}, {IMGC}"
+
+
+def images_with_class(spark, sf_dir):
+    r = A.image_rollup(A.drop_blocked(X.annotations(spark, sf_dir)))
+    return r.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn(
+        "sclass", C.area_class(F.col("area"), SPLIT_BINS)
+    )
+
+
+def split_images(spark, sf_dir):
+    return S.stratified_split(images_with_class(spark, sf_dir), 0.05, SEED, class_col="sclass")
+
+
+@register("stratified_split", f"{BASE}, {SPLIT_SQL} SELECT ImageId, sclass, split FROM split")
+def stratified_split(spark, sf_dir):
+    """5 % validation split stratified by area class (largest-remainder quota, md5 order inside a class)."""
+    return split_images(spark, sf_dir).select("ImageId", "sclass", "split")
+
+
+@register(
+    "split_quota",
+    f"""{BASE}, {SPLIT_SQL} SELECT sclass, CAST(COUNT(*) AS BIGINT) AS n_c,
+CAST(SUM(CASE WHEN split = 'val' THEN 1 ELSE 0 END) AS BIGINT) AS quota FROM split GROUP BY sclass""",
+)
+def split_quota(spark, sf_dir):
+    s = split_images(spark, sf_dir)
+    return s.groupBy("sclass").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_c"),
+        F.sum((F.col("split") == "val").cast("bigint")).cast("bigint").alias("quota"),
+    )
+
+
+@register(
+    "split_leakage",
+    f"""{BASE}, {SPLIT_SQL}, {O.ANNOTATIONS},
+val AS (SELECT a.ImageId FROM ann a WHERE a.ImageId IN (SELECT ImageId FROM split WHERE split = 'val')),
+tr AS (SELECT a.ImageId FROM ann a WHERE a.ImageId NOT IN (SELECT ImageId FROM val))
+SELECT DISTINCT tr.ImageId FROM tr JOIN val ON tr.ImageId = val.ImageId""",
+)
+def split_leakage(spark, sf_dir):
+    """Image ids in both the training and validation annotation rows after J2/J3 (expected: none)."""
+    ann = X.annotations(spark, sf_dir)
+    val_ids = split_images(spark, sf_dir).filter(F.col("split") == "val").select("ImageId")
+    val_rows = S.semi(ann, val_ids)
+    train_rows = S.anti(ann, val_rows)
+    return S.split_leakage(train_rows, val_rows)
+
+
+@register(
+    "val_rows",
+    f"""{BASE}, {SPLIT_SQL}
+SELECT CAST(i.k AS VARCHAR) || '.jpg' AS ImageId, CAST(i.w * i.h AS BIGINT) AS area
+FROM instances i WHERE CAST(i.k AS VARCHAR) || '.jpg' IN (SELECT ImageId FROM split WHERE split = 'val')""",
+)
+def val_rows(spark, sf_dir):
+    """Annotation rows (with ships) of validation images."""
+    ann = A.ships(X.annotations(spark, sf_dir))
+    val_ids = split_images(spark, sf_dir).filter(F.col("split") == "val").select("ImageId")
+    return A.with_area(S.semi(ann, val_ids)).select("ImageId", "area")
+
+
+@register(
+    "train_rows",
+    f"""{BASE}, {SPLIT_SQL}
+SELECT CAST(i.k AS VARCHAR) || '.jpg' AS ImageId, CAST(i.w * i.h AS BIGINT) AS area
+FROM instances i WHERE CAST(i.k AS VARCHAR) || '.jpg' NOT IN (SELECT ImageId FROM split WHERE split = 'val')""",
+)
+def train_rows(spark, sf_dir):
+    """Annotation rows (with ships) minus the validation images."""
+    ann = A.ships(X.annotations(spark, sf_dir))
+    val_ids = split_images(spark, sf_dir).filter(F.col("split") == "val").select("ImageId")
+    return A.with_area(S.anti(ann, val_ids)).select("ImageId", "area")
+
+
+@register(
+    "annotations_per_image",
+    f"""{BASE}, {SPLIT_SQL}, {O.ANNOTATIONS}
+SELECT a.ImageId, a.EncodedPixels FROM ann a JOIN (SELECT ImageId FROM split WHERE split = 'val') v ON a.ImageId = v.ImageId""",
+)
+def annotations_per_image(spark, sf_dir):
+    """All annotation rows of each selected (validation) image, by equi join instead of a scan per image."""
+    ann = X.annotations(spark, sf_dir)
+    val_ids = split_images(spark, sf_dir).filter(F.col("split") == "val").select("ImageId")
+    return val_ids.join(ann, "ImageId").select("ImageId", "EncodedPixels")
+
+
+@register(
+    "drop_blocked",
+    f"""WITH {O.INSTANCES}
+SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, CAST(CASE WHEN i.k IS NULL THEN 1 ELSE 0 END AS INTEGER) AS isnan
+FROM orders o LEFT JOIN instances i ON o.o_orderkey = i.k
+WHERE CAST(o.o_orderkey AS VARCHAR) || '.jpg' NOT IN ('6384c3e78.jpg')""",
+)
+def drop_blocked(spark, sf_dir):
+    """P1 + P2: annotation rows without the blocked ids, with the null flag."""
+    return A.null_flag(A.drop_blocked(X.annotations(spark, sf_dir))).select("ImageId", "isnan")
+
+
+@register(
+    "drop_first_negatives",
+    f"""WITH {O.INSTANCES}, {O.ANNOTATIONS},
+r AS (SELECT ImageId, EncodedPixels, CASE WHEN EncodedPixels IS NULL THEN 1 ELSE 0 END AS isnan,
+        row_number() OVER (ORDER BY CASE WHEN EncodedPixels IS NULL THEN 1 ELSE 0 END DESC,
+          md5('42:' || ImageId || ':' || COALESCE(EncodedPixels, '')), ImageId, EncodedPixels) AS rn FROM ann)
+SELECT ImageId, CAST(isnan AS INTEGER) AS isnan, CAST(rn AS BIGINT) AS rn FROM r WHERE rn > {DROP_NEGATIVES}""",
+)
+def drop_first_negatives(spark, sf_dir):
+    """R4 + O1 + W1: sort annotation rows by the null flag (descending) and drop the first rows."""
+    from maskframe.functions.keys import md5_key
+
+    a = A.null_flag(X.annotations(spark, sf_dir))
+    key = F.concat((F.lit(1) - F.col("isnan")).cast("string"),
+                   md5_key(SEED, "ImageId", F.coalesce(F.col("EncodedPixels"), F.lit(""))))
+    from maskframe.operators.ranking import bucket_rank
+
+    r = bucket_rank(a, key, ["ImageId", "EncodedPixels"], prefix_len=4)
+    return S.drop_first(r, DROP_NEGATIVES).select("ImageId", F.col("isnan").cast("int").alias("isnan"), "rn")
+
+
+@register(
+    "ship_class_lists",
+    f"""{BASE},
+lot AS (SELECT ImageId, 'lot' AS list FROM imgc WHERE class > 2),
+pool AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM imgc WHERE class IN (1, 2)),
+few AS (SELECT ImageId, 'few' AS list FROM pool WHERE rn <= (SELECT COUNT(*) FROM lot))
+SELECT * FROM lot UNION ALL SELECT * FROM few""",
+)
+def ship_class_lists(spark, sf_dir):
+    """Many-ship images against an equal-size sample of the few-ship classes."""
+    return S.ship_class_lists(images_with_class(spark, sf_dir), SEED).select("ImageId", "list")
+
+
+@register(
+    "split_term",
+    f"""{BASE},
+c2 AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM imgc WHERE class = 2),
+h AS (SELECT COUNT(*) // 2 AS half FROM c2),
+c1 AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM imgc WHERE class = 1)
+SELECT ImageId, 'lot' AS list FROM imgc WHERE class > 2
+UNION ALL SELECT ImageId, CASE WHEN rn <= (SELECT half FROM h) THEN 'lot' ELSE 'few' END FROM c2
+UNION ALL SELECT ImageId, 'few' FROM c1 WHERE rn <= (SELECT COUNT(*) FROM imgc WHERE class > 2)""",
+)
+def split_term(spark, sf_dir):
+    """Class 2 cut in half between the many-ship and few-ship lists."""
+    return S.split_term(images_with_class(spark, sf_dir), SEED).select("ImageId", "list")
+
+
+BALANCE_SQL = f"""u AS (SELECT ImageId, 'a' AS list FROM imgc WHERE class >= 2 UNION ALL SELECT ImageId, 'b' FROM imgc WHERE class = 0),
+r AS (SELECT ImageId, list, row_number() OVER (PARTITION BY list ORDER BY {MD5}, ImageId) AS rn FROM u),
+m AS (SELECT MIN(n) AS m FROM (SELECT list, COUNT(*) AS n FROM u GROUP BY list)),
+bal AS (SELECT ImageId, list, CAST(rn AS BIGINT) AS rn FROM r WHERE rn <= (SELECT m FROM m))"""
+
+
+def balanced(spark, sf_dir):
+    img = images_with_class(spark, sf_dir)
+    a = img.filter(F.col("class") >= 2).select("ImageId")
+    b = img.filter(F.col("class") == 0).select("ImageId")
+    return S.balance_pair(a, b, SEED)
+
+
+@register("balance_pair", f"{BASE}, {BALANCE_SQL} SELECT * FROM bal")
+def balance_pair(spark, sf_dir):
+    """R2: ship images against empty images, both cut to the smaller list."""
+    return balanced(spark, sf_dir).select("ImageId", "list", "rn")
+
+
+@register(
+    "interleave_pairs",
+    f"""{BASE}, {BALANCE_SQL},
+v AS (SELECT * FROM (VALUES (0, ''), (1, '_a'), (2, '_b'), (3, '_f')) t(k, suffix))
+SELECT CAST((rn - 1) * 5 + k AS BIGINT) AS seq, substr(ImageId, 1, length(ImageId) - 4) || suffix AS sample
+FROM bal, v WHERE list = 'a'
+UNION ALL SELECT CAST((rn - 1) * 5 + 4 AS BIGINT), substr(ImageId, 1, length(ImageId) - 4) FROM bal WHERE list = 'b'""",
+)
+def interleave_pairs(spark, sf_dir):
+    """W3 + P6: training order -- the four variants of positive i, then negative i (``seq = 5 i + k``)."""
+    bal = balanced(spark, sf_dir)
+    variants = spark.createDataFrame([(0, ""), (1, "_a"), (2, "_b"), (3, "_f")], "k int, suffix string")
+    pos = bal.filter(F.col("list") == "a").crossJoin(F.broadcast(variants)).select(
+        ((F.col("rn") - 1) * 5 + F.col("k")).cast("bigint").alias("seq"), sample_name("ImageId", F.col("suffix")).alias("sample")
+    )
+    neg = bal.filter(F.col("list") == "b").select(
+        ((F.col("rn") - 1) * 5 + 4).cast("bigint").alias("seq"), sample_name("ImageId", "").alias("sample")
+    )
+    return pos.unionByName(neg)
+
+
+@register(
+    "sample_n",
+    f"""{BASE} SELECT ImageId FROM (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM imgc WHERE class = 1)
+WHERE rn <= 500""",
+)
+def sample_n(spark, sf_dir):
+    """500 class-1 images without replacement."""
+    img = images_with_class(spark, sf_dir).filter(F.col("class") == 1).select("ImageId")
+    return S.sample_n(img, 500, SEED)
+
+
+@register(
+    "val_negative_quota",
+    f"""{BASE}, {SPLIT_SQL},
+neg AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM imgc WHERE area = 0)
+SELECT ImageId, CASE WHEN rn <= (SELECT COUNT(*) FROM split WHERE split = 'val' AND area > 0) THEN 'val' ELSE 'train' END AS split
+FROM neg""",
+)
+def val_negative_quota(spark, sf_dir):
+    """As many empty images for validation as validation images with ships."""
+    sp = split_images(spark, sf_dir)
+    pos = sp.filter((F.col("split") == "val") & (F.col("area") > 0)).select("ImageId")
+    return S.val_negative_quota(images_with_class(spark, sf_dir), pos, SEED)
+
+
+@register(
+    "shard_assign",
+    f"""{BASE}, {SPLIT_SQL},
+r AS (SELECT ImageId, split, row_number() OVER (PARTITION BY split ORDER BY {MD5}, ImageId) AS rn,
+             COUNT(*) OVER (PARTITION BY split) AS n FROM split)
+SELECT split, ImageId, CAST(floor((rn - 1) / ceil(n / 4.0)) AS INTEGER) AS shard_id,
+       printf('%s-%05d-of-%05d', split, CAST(floor((rn - 1) / ceil(n / 4.0)) AS INTEGER), 4) AS shard FROM r""",
+)
+def shard_assign(spark, sf_dir):
+    """W2 + S5 naming: contiguous blocks of ceil(N/4) images per split in seeded order."""
+    from maskframe.operators.ranking import bucket_rank
+
+    sp = split_images(spark, sf_dir).select("ImageId", "split")
+    r = bucket_rank(sp, S.shuffle_key(SEED), ["ImageId"], groups=["split"])
+    s = S.shard_assign(r, 4, groups=["split"])
+    return s.select("split", "ImageId", "shard_id", shard_name("split", "shard_id", 4).alias("shard"))
+
+
+@register(
+    "batch_assign",
+    f"""{BASE}, r AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn, COUNT(*) OVER () AS n FROM imgc)
+SELECT ImageId, CAST((rn - 1) // 4 AS BIGINT) AS batch_id, CAST((rn - 1) % 4 AS INTEGER) AS pos_in_batch
+FROM r WHERE (rn - 1) // 4 < n // 4""",
+)
+def batch_assign(spark, sf_dir):
+    """Training batches of 4 in seeded order; the short last batch is dropped."""
+    r = S.shuffled(images_with_class(spark, sf_dir).select("ImageId"), SEED)
+    return S.batch_assign(r, 4, training=True).select("ImageId", "batch_id", "pos_in_batch")
+
+
+@register(
+    "shuffle_epochs",
+    f"""{BASE}, e AS (SELECT * FROM range(2) t(epoch))
+SELECT CAST(epoch AS INTEGER) AS epoch, ImageId,
+  CAST(row_number() OVER (PARTITION BY epoch ORDER BY md5('42:' || CAST(epoch AS VARCHAR) || ':' || ImageId), ImageId) AS BIGINT) AS pos
+FROM imgc, e""",
+)
+def shuffle_epochs(spark, sf_dir):
+    """O2 + O5: a seeded reading order per epoch."""
+    return S.reader_shuffle(images_with_class(spark, sf_dir).select("ImageId"), SEED, 2).select("epoch", "ImageId", "pos")
+
+
+@register(
+    "rank_slice",
+    f"""{BASE}, r AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn, COUNT(*) OVER () AS n FROM imgc)
+SELECT ImageId, CAST(rn AS BIGINT) AS rn FROM r WHERE rn > n - 10000""",
+)
+def rank_slice(spark, sf_dir):
+    """The last 10,000 images in seeded order (first-n and drop-first-n are the other slices)."""
+    r = S.shuffled(images_with_class(spark, sf_dir).select("ImageId"), SEED)
+    return S.last_n(r, 10000).select("ImageId", "rn")
+
+
+@register("distinct_ids", "SELECT DISTINCT CAST(o_orderkey AS VARCHAR) || '.jpg' AS ImageId FROM orders")
+def distinct_ids(spark, sf_dir):
+    """A3: distinct image ids of the annotation table."""
+    return A.distinct_ids(X.annotations(spark, sf_dir))
+
+
+@register(
+    "union_all",
+    f"""WITH {O.INSTANCES}
+SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, 'a' AS src, CAST(COALESCE(i.w * i.h, 0) AS BIGINT) AS area
+FROM orders o LEFT JOIN (SELECT * FROM instances WHERE ln <= 4) i ON o.o_orderkey = i.k
+UNION ALL
+SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg', 'b', CAST(COALESCE(i.w * i.h, 0) AS BIGINT)
+FROM orders o LEFT JOIN (SELECT * FROM instances WHERE ln >= 3) i ON o.o_orderkey = i.k""",
+)
+def union_all(spark, sf_dir):
+    """U1 + S2: the two submissions concatenated with a source tag."""
+    a = A.with_area(X.submission(spark, sf_dir, "a")).select("ImageId", F.lit("a").alias("src"), "area")
+    b = A.with_area(X.submission(spark, sf_dir, "b")).select("ImageId", F.lit("b").alias("src"), "area")
+    return a.unionByName(b)
+
+
+@register(
+    "head",
+    f"""{BASE} SELECT ImageId, area FROM imgc ORDER BY ImageId LIMIT 5""",
+)
+def head(spark, sf_dir):
+    """O3: preview -- the first five images by id (the limit is the feature)."""
+    return images_with_class(spark, sf_dir).select("ImageId", "area").orderBy("ImageId").limit(5)
+
+
+@register(
+    "cohort_rollups",
+    f"""WITH {O.INSTANCES},
+ic AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(w * h AS BIGINT) AS area, {C.area_class_sql('w * h', C.MAIN_BINS)} AS class FROM instances),
+co AS (SELECT * FROM (VALUES ('gp5', 3, 99), ('gp4', 2, 99), ('gp3', 2, 3), ('gp2', 1, 2), ('gp1', 1, 1)) t(cohort, lo, hi))
+SELECT cohort, ImageId, CAST(SUM(area) AS BIGINT) AS area, CAST(COUNT(*) AS BIGINT) AS instances
+FROM ic JOIN co ON ic.class BETWEEN co.lo AND co.hi GROUP BY cohort, ImageId""",
+)
+def cohort_rollups(spark, sf_dir):
+    """A4 + P7: five overlapping instance-class cohorts rolled up per image in one pass."""
+    inst = A.with_class(A.with_area(A.ships(X.annotations(spark, sf_dir))))
+    return A.cohort_rollups(inst).select("cohort", "ImageId", "area", "instances")

@@ -25,7 +25,7 @@ IMAGE_AREA = """img AS (
 ANNOTATIONS = """ann AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId,
          CASE WHEN i.k IS NULL THEN NULL ELSE
-           array_to_string(flatten(list_transform(range(i.w), j -> [CAST((i.x0 + j) * 768 + i.y0 + 1 AS VARCHAR), CAST(i.h AS VARCHAR)])), ' ')
+           array_to_string(flatten(list_transform(range(i.w), lambda j: [CAST((i.x0 + j) * 768 + i.y0 + 1 AS VARCHAR), CAST(i.h AS VARCHAR)])), ' ')
          END AS EncodedPixels
   FROM orders o LEFT JOIN instances i ON o.o_orderkey = i.k)"""
 
