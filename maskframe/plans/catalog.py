@@ -610,3 +610,135 @@ def cohort_rollups(spark, sf_dir):
     """A4 + P7: five overlapping instance-class cohorts rolled up per image in one pass."""
     inst = A.with_class(A.with_area(A.ships(X.annotations(spark, sf_dir))))
     return A.cohort_rollups(inst).select("cohort", "ImageId", "area", "instances")
+
+
+# ---------------------------------------------------------------------------------------------------------- step 5/6
+from maskframe.operators import tiles as T  # noqa: E402
+
+UNION_PX = _pixels_of("TRUE")
+
+
+def _xform_sql(newp: str, cond: str) -> str:
+    return f"""WITH {O.INSTANCES}, {UNION_PX},
+xp AS (SELECT k, {newp} AS p FROM (SELECT k, p // 768 AS col, p % 768 AS r FROM pxs) WHERE {cond}),
+{_encode_sql('xp')}"""
+
+
+def _union_segments(spark, sf_dir):
+    ann = X.annotations(spark, sf_dir)
+    seg = V.coverage_segments(ann)
+    return ann, seg
+
+
+def _xform_query(fn):
+    def q(spark, sf_dir):
+        ann, seg = _union_segments(spark, sf_dir)
+        pieces = fn(V.select_mask(seg, F.col("c") >= 1))
+        return V.image_ids(ann).join(V.encode_pieces(pieces), "ImageId", "left")
+
+    return q
+
+
+register("flip_mask", _xform_sql("col * 768 + 767 - r", "TRUE"))(_xform_query(R.flip_updown))
+register("rotate_180", _xform_sql("(768 - col) * 768 + 768 - r", "col >= 1 AND r >= 1"))(_xform_query(R.rotate_180))
+register("rotate_90", _xform_sql("r * 768 + 768 - col", "col >= 1"))(_xform_query(R.rotate_90))
+
+
+@register(
+    "augment_set",
+    f"""WITH {O.INSTANCES}, {O.PIXELS},
+per AS (SELECT k, COUNT(*) AS o, SUM(CASE WHEN p // 768 >= 1 AND p % 768 >= 1 THEN 1 ELSE 0 END) AS a,
+               SUM(CASE WHEN p // 768 >= 1 THEN 1 ELSE 0 END) AS b FROM px GROUP BY k),
+v AS (SELECT k, '' AS suffix, o AS n FROM per UNION ALL SELECT k, '_a', a FROM per
+      UNION ALL SELECT k, '_b', b FROM per UNION ALL SELECT k, '_f', o FROM per)
+SELECT CAST(k AS VARCHAR) || suffix AS sample, CAST(n AS BIGINT) AS pixels FROM v""",
+)
+def augment_set(spark, sf_dir):
+    """I17 + M10 + M11 + P6: each image with ships -> original, 180-degree (_a), 90-degree (_b) and flipped (_f)
+    label rasters; reports the summed label values of every variant."""
+    _, seg = _union_segments(spark, sf_dir)
+    pieces = seg.select("ImageId", "col", "r0", "r1", "c")
+    variants = {
+        "": pieces,
+        "_a": R.rotate_180(pieces, keep=("c",)),
+        "_b": R.rotate_90(pieces, keep=("c",)),
+        "_f": R.flip_updown(pieces, keep=("c",)),
+    }
+    out = None
+    for suffix, p in variants.items():
+        vals = p.select("ImageId", ((F.col("r1") - F.col("r0")) * F.col("c")).alias("v"))
+        vals = vals.unionByName(pieces.select("ImageId", F.lit(0).cast("bigint").alias("v")))  # empty variants give 0
+        x = vals.groupBy("ImageId").agg(F.sum("v").cast("bigint").alias("pixels"))
+        x = x.select(sample_name("ImageId", suffix).alias("sample"), "pixels")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+TILE_SQL = f"""WITH {O.INSTANCES}, {O.PIXELS},
+cells AS (SELECT k, (p // 768) // 128 AS cx, (p % 768) // 128 AS cy, COUNT(*) AS n FROM px GROUP BY ALL),
+t AS (SELECT a.ix, b.iy FROM range(5) a(ix), range(5) b(iy)),
+ta AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(iy * 5 + ix AS INTEGER) AS tile, CAST(SUM(n) AS BIGINT) AS mask_area
+       FROM cells JOIN t ON cells.cx BETWEEN t.ix AND t.ix + 1 AND cells.cy BETWEEN t.iy AND t.iy + 1 GROUP BY ALL)"""
+
+
+def _tile_areas(spark, sf_dir):
+    _, seg = _union_segments(spark, sf_dir)
+    return T.tile_overlap(seg, 768, 5)
+
+
+@register("tile_overlap", f"{TILE_SQL} SELECT * FROM ta")
+def tile_overlap(spark, sf_dir):
+    """Label raster mass in each of the 5x5 tiles (256 px, stride 128) of every image."""
+    return _tile_areas(spark, sf_dir)
+
+
+@register(
+    "topk_tiles",
+    f"""{TILE_SQL} SELECT ImageId, tile, mask_area, CAST(tile_rank AS INTEGER) AS tile_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY ImageId ORDER BY mask_area DESC, tile DESC) AS tile_rank FROM ta)
+WHERE tile_rank <= 2 AND mask_area >= 64""",
+)
+def topk_tiles(spark, sf_dir):
+    """W4 + P8: the two fullest tiles per image with at least 64 mask pixels."""
+    return T.topk_tiles(_tile_areas(spark, sf_dir), 2, 64).select(
+        "ImageId", "tile", "mask_area", F.col("tile_rank").cast("int").alias("tile_rank")
+    )
+
+
+def _cdiv(a: str, b: int) -> str:
+    return f"(({a}) + {b - 1}) // {b}"
+
+
+RESIZED_PX = f"""rp AS (
+  SELECT px.k, tc.c AS tcol, tr.r AS trow FROM (SELECT k, p // 768 AS col, p % 768 AS row FROM px) px,
+  LATERAL (SELECT unnest(range({_cdiv('px.col * 512', 768)}, {_cdiv('(px.col + 1) * 512', 768)})) AS c) tc,
+  LATERAL (SELECT unnest(range({_cdiv('px.row * 512', 768)}, {_cdiv('(px.row + 1) * 512', 768)})) AS r) tr)"""
+
+
+@register(
+    "tile_select",
+    f"""WITH {O.INSTANCES}, {O.PIXELS}, {RESIZED_PX},
+cells AS (SELECT k, tcol // 128 AS cx, trow // 128 AS cy, COUNT(*) AS n FROM rp GROUP BY ALL),
+t AS (SELECT a.ix, b.iy FROM range(3) a(ix), range(3) b(iy)),
+ta AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(iy * 3 + ix AS INTEGER) AS tile, CAST(SUM(n) AS BIGINT) AS mask_area
+       FROM cells JOIN t ON cells.cx BETWEEN t.ix AND t.ix + 1 AND cells.cy BETWEEN t.iy AND t.iy + 1 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY ImageId ORDER BY mask_area DESC, tile DESC) AS rk FROM ta)
+SELECT ImageId, substr(ImageId, 1, length(ImageId) - 4) || '_4_' || CAST(tile AS VARCHAR) AS sample, tile, mask_area
+FROM r WHERE rk <= 1 AND mask_area >= 64""",
+)
+def tile_select(spark, sf_dir):
+    """Label raster resized to 512 (nearest), 3x3 tiles, the fullest tile with >= 64 pixels, named _4_<tile>."""
+    _, seg = _union_segments(spark, sf_dir)
+    return T.tile_select(seg, 512, 3, 1, "_4_").select("ImageId", "sample", "tile", "mask_area")
+
+
+@register(
+    "resize_mask",
+    f"""WITH {O.INSTANCES}, {UNION_PX}, px AS (SELECT k, p FROM pxs), {RESIZED_PX},
+xp AS (SELECT DISTINCT k, tcol * 512 + trow AS p FROM rp), {_encode_sql('xp')}""",
+)
+def resize_mask(spark, sf_dir):
+    """Each image's union mask resized to 512 x 512 (nearest), re-encoded on the 512-row canvas."""
+    ann, seg = _union_segments(spark, sf_dir)
+    pieces = T.resize_nearest_pieces(V.select_mask(seg, F.col("c") >= 1), 512)
+    return V.image_ids(ann).join(V.encode_pieces(pieces, height=512), "ImageId", "left")
