@@ -742,3 +742,219 @@ def resize_mask(spark, sf_dir):
     ann, seg = _union_segments(spark, sf_dir)
     pieces = T.resize_nearest_pieces(V.select_mask(seg, F.col("c") >= 1), 512)
     return V.image_ids(ann).join(V.encode_pieces(pieces, height=512), "ImageId", "left")
+
+
+# ---------------------------------------------------------------------------------------------------------- step 7
+from maskframe.operators import scores as SC  # noqa: E402
+
+IGNORE = 9
+NUM_CLASSES = 10
+CS = """cs AS (SELECT vec_id AS image_id, CAST(pos // 10 AS INTEGER) AS view, CAST(pos % 10 AS INTEGER) AS class,
+  CAST(embedding[pos + 1] AS DOUBLE) AS logit, label FROM embeddings, range(60) t(pos))"""
+SOFTMAX = """sm AS (SELECT image_id, view, class, label,
+  exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)) / SUM(exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)))
+    OVER (PARTITION BY image_id, view) AS prob FROM cs)"""
+# softmax in two steps (DuckDB does not nest window functions)
+SOFTMAX = """sm0 AS (SELECT *, exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)) AS e FROM cs),
+sm AS (SELECT image_id, view, class, label, e / SUM(e) OVER (PARTITION BY image_id, view) AS prob FROM sm0)"""
+PRED_V0 = """p0 AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY image_id),
+pw AS (SELECT image_id, pred, CASE WHEN label = 9 THEN 0 ELSE label END AS label,
+       CASE WHEN label = 9 THEN 0.0 ELSE 1.0 END AS weight FROM p0)"""
+CM_SQL = "cm AS (SELECT label, pred, SUM(weight) AS n FROM pw WHERE weight <> 0 GROUP BY label, pred)"
+IOU_SQL = """rs AS (SELECT label AS class, SUM(n) AS row_n FROM cm GROUP BY 1),
+cl AS (SELECT pred AS class, SUM(n) AS col_n FROM cm GROUP BY 1),
+dg AS (SELECT label AS class, n AS tp FROM cm WHERE label = pred),
+iou AS (SELECT COALESCE(rs.class, cl.class) AS class, COALESCE(tp, 0) AS tp,
+        COALESCE(row_n, 0) + COALESCE(col_n, 0) - COALESCE(tp, 0) AS den
+        FROM rs FULL JOIN cl ON rs.class = cl.class LEFT JOIN dg ON dg.class = COALESCE(rs.class, cl.class))"""
+
+
+def _scores(spark, sf_dir):
+    return X.class_scores(spark, sf_dir).repartition(X.parallelism(spark), "image_id")
+
+
+def _pred_v0(spark, sf_dir):
+    cs = _scores(spark, sf_dir)
+    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    lab = cs.select("image_id", "label").distinct()
+    return SC.ignore_weights(pred.join(lab, "image_id"), IGNORE)
+
+
+@register("softmax", f"WITH {CS}, {SOFTMAX} SELECT image_id, view, class, round(prob, 6) AS prob FROM sm")
+def softmax_q(spark, sf_dir):
+    """Per-view class probabilities."""
+    p = SC.softmax(_scores(spark, sf_dir), ["image_id", "view"])
+    return p.select("image_id", "view", "class", F.round("prob", 6).alias("prob"))
+
+
+@register("ensemble_mean", f"WITH {CS}, {SOFTMAX} SELECT image_id, class, round(AVG(prob), 6) AS prob FROM sm GROUP BY 1, 2")
+def ensemble_mean_q(spark, sf_dir):
+    """Probability averaged over the six views."""
+    p = SC.ensemble_mean(SC.softmax(_scores(spark, sf_dir), ["image_id", "view"]), ["image_id"])
+    return p.select("image_id", "class", F.round("prob", 6).alias("prob"))
+
+
+@register("merge_scales_max", f"WITH {CS} SELECT image_id, class, MAX(logit) AS logit FROM cs GROUP BY 1, 2")
+def merge_scales_max(spark, sf_dir):
+    """A10: element-wise maximum of the logits over views (scales)."""
+    return SC.merge_scales(_scores(spark, sf_dir), ["image_id"], "max")
+
+
+@register("merge_scales_avg", f"WITH {CS} SELECT image_id, class, round(AVG(logit), 6) AS logit FROM cs GROUP BY 1, 2")
+def merge_scales_avg(spark, sf_dir):
+    """A10 (mean variant)."""
+    m = SC.merge_scales(_scores(spark, sf_dir), ["image_id"], "avg")
+    return m.select("image_id", "class", F.round("logit", 6).alias("logit"))
+
+
+@register("argmax_class", f"WITH {CS} SELECT image_id, arg_max(class, (logit, -class)) AS pred FROM cs WHERE view = 0 GROUP BY image_id")
+def argmax_class(spark, sf_dir):
+    """A11 + ML3: single-scale prediction (view 0), lowest class on ties."""
+    return SC.argmax_class(_scores(spark, sf_dir).filter(F.col("view") == 0), ["image_id"], score_col="logit")
+
+
+@register(
+    "tta_score",
+    f"""WITH {CS}, {SOFTMAX}, m AS (SELECT image_id, class, AVG(prob) AS prob FROM sm GROUP BY 1, 2)
+SELECT image_id, arg_max(class, (prob, -class)) AS pred FROM m GROUP BY image_id""",
+)
+def tta_score(spark, sf_dir):
+    """ML2: mean of per-view softmax over all views, then argmax."""
+    return SC.score_views(_scores(spark, sf_dir), ["image_id"])
+
+
+@register("confusion_matrix", f"WITH {CS}, {PRED_V0}, {CM_SQL} SELECT label, pred, n FROM cm")
+def confusion_matrix(spark, sf_dir):
+    """A5 + P9: weighted (label, prediction) counts; label 9 is ignored (weight 0)."""
+    return SC.confusion_matrix(_pred_v0(spark, sf_dir))
+
+
+@register(
+    "mean_iou",
+    f"WITH {CS}, {PRED_V0}, {CM_SQL}, {IOU_SQL} SELECT round(AVG(CASE WHEN den > 0 THEN tp / den END), 6) AS miou FROM iou",
+)
+def mean_iou(spark, sf_dir):
+    """Mean IoU over classes with a non-zero denominator."""
+    return SC.mean_iou(SC.confusion_matrix(_pred_v0(spark, sf_dir))).select(F.round("miou", 6).alias("miou"))
+
+
+@register(
+    "per_class_iou",
+    f"WITH {CS}, {PRED_V0}, {CM_SQL}, {IOU_SQL} SELECT class, round(CASE WHEN den > 0 THEN tp / den END, 6) AS iou FROM iou",
+)
+def per_class_iou(spark, sf_dir):
+    """A6 by class."""
+    i = SC.per_class_iou(SC.confusion_matrix(_pred_v0(spark, sf_dir)))
+    return i.select("class", F.round("iou", 6).alias("iou"))
+
+
+@register(
+    "accuracy",
+    f"""WITH {CS}, p AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY 1)
+SELECT round(AVG(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p""",
+)
+def accuracy(spark, sf_dir):
+    """Share of single-scale predictions equal to the label."""
+    cs = _scores(spark, sf_dir)
+    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    pairs = pred.join(cs.select("image_id", "label").distinct(), "image_id")
+    return SC.accuracy(pairs).select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@register(
+    "masked_cross_entropy",
+    f"""WITH {CS}, v AS (SELECT * FROM cs WHERE view = 0),
+l AS (SELECT image_id, MAX(logit) + ln(SUM(exp(logit - (SELECT MAX(logit) FROM v v2 WHERE v2.image_id = v.image_id)))) AS lse,
+      ANY_VALUE(label) AS label FROM v GROUP BY image_id),
+t AS (SELECT l.image_id, lse, CASE WHEN l.label = 9 THEN 0.0 ELSE 1.0 END AS w,
+             (SELECT logit FROM v WHERE v.image_id = l.image_id AND v.class = CASE WHEN l.label = 9 THEN 0 ELSE l.label END) AS tl
+      FROM l)
+SELECT round(SUM((lse - tl) * w) / SUM(CASE WHEN w <> 0 THEN 1.0 ELSE 0.0 END), 6) AS loss FROM t""",
+)
+def masked_cross_entropy(spark, sf_dir):
+    """Single-scale cross-entropy, label 9 ignored, averaged over non-zero weights."""
+    cs = _scores(spark, sf_dir).filter(F.col("view") == 0)
+    labels = cs.select("image_id", "label").distinct()
+    return SC.masked_cross_entropy(cs.select("image_id", "class", "logit"), labels, ["image_id"], IGNORE).select(
+        F.round("loss", 6).alias("loss")
+    )
+
+
+TAGS = (("miou_0.75_1.25_1.75", (0, 1, 2)), ("miou_0.75_1.25_1.75_flipped", (0, 1, 2, 3, 4, 5)))
+
+
+@register(
+    "metric_by_tag",
+    f"""WITH {CS}, {SOFTMAX},
+tags AS (SELECT * FROM (VALUES ('miou_0.75_1.25_1.75', 2), ('miou_0.75_1.25_1.75_flipped', 5)) t(tag, maxv)),
+m AS (SELECT tag, image_id, class, AVG(prob) AS prob, ANY_VALUE(label) AS label FROM sm JOIN tags ON sm.view <= tags.maxv GROUP BY 1, 2, 3),
+p AS (SELECT tag, image_id, arg_max(class, (prob, -class)) AS pred, ANY_VALUE(label) AS label0 FROM m GROUP BY 1, 2),
+pw AS (SELECT tag, pred, CASE WHEN label0 = 9 THEN 0 ELSE label0 END AS label, CASE WHEN label0 = 9 THEN 0.0 ELSE 1.0 END AS weight FROM p),
+cm AS (SELECT tag, label, pred, SUM(weight) AS n FROM pw WHERE weight <> 0 GROUP BY 1, 2, 3),
+rs AS (SELECT tag, label AS class, SUM(n) AS row_n FROM cm GROUP BY 1, 2),
+cl AS (SELECT tag, pred AS class, SUM(n) AS col_n FROM cm GROUP BY 1, 2),
+dg AS (SELECT tag, label AS class, n AS tp FROM cm WHERE label = pred),
+iou AS (SELECT COALESCE(rs.tag, cl.tag) AS tag, COALESCE(rs.class, cl.class) AS class, COALESCE(tp, 0) AS tp,
+        COALESCE(row_n, 0) + COALESCE(col_n, 0) - COALESCE(tp, 0) AS den
+        FROM rs FULL JOIN cl ON rs.tag = cl.tag AND rs.class = cl.class
+        LEFT JOIN dg ON dg.tag = COALESCE(rs.tag, cl.tag) AND dg.class = COALESCE(rs.class, cl.class))
+SELECT tag, round(AVG(CASE WHEN den > 0 THEN tp / den END), 6) AS miou FROM iou GROUP BY tag""",
+)
+def metric_by_tag(spark, sf_dir):
+    """mIoU keyed by a tag built from the scales and the flip flag (3 views vs all 6)."""
+    cs = _scores(spark, sf_dir)
+    lab = cs.select("image_id", "label").distinct()
+    out = None
+    for tag, views in TAGS:
+        pred = SC.score_views(cs, ["image_id"], views)
+        pw = SC.ignore_weights(pred.join(lab, "image_id"), IGNORE)
+        m = SC.mean_iou(SC.confusion_matrix(pw)).select(F.lit(tag).alias("tag"), F.round("miou", 6).alias("miou"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register(
+    "checkpoint_eval",
+    f"""WITH {CS}, {PRED_V0}, c AS (SELECT image_id % 3 AS checkpoint, pw.* FROM pw)
+SELECT CAST(checkpoint AS INTEGER) AS checkpoint, round(SUM(CASE WHEN pred = label THEN weight ELSE 0 END) / SUM(weight), 6) AS accuracy,
+       CAST(SUM(weight) AS BIGINT) AS n FROM c GROUP BY checkpoint""",
+)
+def checkpoint_eval(spark, sf_dir):
+    """ML6: metric per checkpoint (``checkpoint = image_id % 3`` stands for the evaluation round)."""
+    pw = _pred_v0(spark, sf_dir).withColumn("checkpoint", (F.col("image_id") % 3).cast("int"))
+    hit = (F.col("pred") == F.col("label")).cast("double") * F.col("weight")
+    return pw.groupBy("checkpoint").agg(
+        F.round(F.sum(hit) / F.sum("weight"), 6).alias("accuracy"), F.sum("weight").cast("bigint").alias("n")
+    )
+
+
+@register(
+    "one_hot",
+    "SELECT vec_id AS image_id, array_to_string(list_transform(range(10), lambda c: CAST(CASE WHEN c = label THEN 1 ELSE 0 END AS VARCHAR)), ',') AS one_hot FROM embeddings",
+)
+def one_hot_q(spark, sf_dir):
+    """Label as a 0/1 vector over ten classes (printed as text)."""
+    e = X.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), "label")
+    o = SC.one_hot(e, NUM_CLASSES)
+    return o.select("image_id", F.array_join(F.transform("one_hot", lambda x: x.cast("string")), ",").alias("one_hot"))
+
+
+@register("display_scale", "SELECT vec_id AS image_id, label * 25 AS display FROM embeddings")
+def display_scale_q(spark, sf_dir):
+    """Label x max(1, 255 div 10) for viewing."""
+    e = X.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), "label")
+    return SC.display_scale(e, NUM_CLASSES).select("image_id", "display")
+
+
+@register(
+    "assert_finite",
+    f"""WITH {CS} SELECT view, CAST(SUM(CASE WHEN isfinite(logit) THEN 1 ELSE 0 END) AS BIGINT) AS n_finite,
+CAST(SUM(CASE WHEN isfinite(logit) THEN 0 ELSE 1 END) AS BIGINT) AS n_bad FROM cs GROUP BY view""",
+)
+def assert_finite(spark, sf_dir):
+    """Finite and non-finite logits per view (the strict mode raises instead)."""
+    f = SC.finite_check(_scores(spark, sf_dir), "logit")
+    return f.groupBy("view").agg(
+        F.sum(F.col("finite").cast("bigint")).cast("bigint").alias("n_finite"),
+        F.sum((~F.col("finite")).cast("bigint")).cast("bigint").alias("n_bad"),
+    )
