@@ -958,3 +958,77 @@ def assert_finite(spark, sf_dir):
         F.sum(F.col("finite").cast("bigint")).cast("bigint").alias("n_finite"),
         F.sum((~F.col("finite")).cast("bigint")).cast("bigint").alias("n_bad"),
     )
+
+
+# ---------------------------------------------------------------------------------------------------------- step 9/10
+from maskframe.operators import model as ML  # noqa: E402
+from maskframe.streaming import streams as ST  # noqa: E402
+
+SCORE_SQL = """SELECT vec_id AS image_id,
+  CAST(SUM(floor((CAST(embedding[pos + 1] AS DOUBLE) + 1) * 127.5) * ((pos % 7) - 3)) AS DOUBLE) AS score
+FROM embeddings, range(64) t(pos) GROUP BY vec_id"""
+
+
+@register("batch_score", SCORE_SQL)
+def batch_score(spark, sf_dir):
+    """ML1: a frozen (stub) model applied to every 8x8 image, Arrow batches, model loaded once per worker."""
+    g = X.grid_arrays(spark, sf_dir).repartition(X.parallelism(spark))
+    return ML.batch_score(g)
+
+
+@register("train_head")
+def train_head(spark, sf_dir):
+    """ML4: multinomial logistic head fitted on the 64-value feature vectors (no oracle: a fitted model)."""
+    _, pred = ML.train_head(X.features(spark, sf_dir))
+    return pred.select("image_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("evaluate_classifier")
+def evaluate_classifier(spark, sf_dir):
+    """ML5: confusion table and accuracy of the fitted head."""
+    _, pred = ML.train_head(X.features(spark, sf_dir))
+    return ML.evaluate_classifier(pred).select("label", "pred", "n", F.round("accuracy", 6).alias("accuracy"))
+
+
+@register(
+    "stream_eval",
+    f"""WITH {CS}, p AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY 1)
+SELECT CAST(image_id % 3 AS INTEGER) AS checkpoint, label, pred, CAST(COUNT(*) AS BIGINT) AS n FROM p GROUP BY 1, 2, 3""",
+)
+def stream_eval(spark, sf_dir):
+    """Prediction chunks arrive as Parquet files; a streaming aggregation keeps the running confusion counts
+    per evaluated checkpoint (update mode, checkpointed)."""
+    cs = X.class_scores(spark, sf_dir)
+    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    chunks = pred.join(cs.select("image_id", "label").distinct(), "image_id").withColumn(
+        "checkpoint", (F.col("image_id") % 3).cast("int")
+    )
+    src = ST.scratch(spark, "pred-chunks")
+    chunks.repartition(3, "checkpoint").write.parquet(src)
+    res = ST.run_available_now(ST.running_confusion(ST.file_stream(spark, src, max_files=1)),
+                               ["checkpoint", "label", "pred"], "stream-eval")
+    return res.select("checkpoint", "label", "pred", "n")
+
+
+@register(
+    "stream_metric_windows",
+    """SELECT CAST(epoch(time_bucket(INTERVAL 600 SECOND, ts)) AS BIGINT) AS window_start, event_type AS tag,
+  CAST(COUNT(*) AS BIGINT) AS n, round(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value
+FROM events GROUP BY 1, 2""",
+)
+def stream_metric_windows(spark, sf_dir):
+    """600-second tumbling summaries of the metric stream per tag, with a watermark."""
+    ev = ST.file_stream(spark, sf_dir, glob="events.parquet").select("ts", F.col("event_type").alias("tag"), "value")
+    res = ST.run_available_now(ST.metric_windows(ev), ["window_start", "tag"], "metric-windows")
+    return res.select("window_start", "tag", "n", F.round("avg_value", 6).alias("avg_value"), "min_value", "max_value")
+
+
+@register("stream_score", SCORE_SQL)
+def stream_score(spark, sf_dir):
+    """The 8x8 images are written as PNG files, then scored by a file stream as they arrive."""
+    d = ST.scratch(spark, "png")
+    ML.write_png_grids(X.grid_arrays(spark, sf_dir).repartition(X.parallelism(spark)), d).write.format("noop").mode(
+        "overwrite"
+    ).save()
+    res = ST.stream_score(spark, d, ML.LinearGridModel)
+    return res.select("image_id", "score")
