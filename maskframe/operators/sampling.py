@@ -115,7 +115,7 @@ def balance_pair(a: DataFrame, b: DataFrame, seed, id_col: str = ID) -> DataFram
     ``rn`` the 1-based position inside the kept sample (pairs are formed by equal ``rn``)."""
     u = a.select(id_col, F.lit("a").alias("list")).unionByName(b.select(id_col, F.lit("b").alias("list")))
     r = bucket_rank(u, shuffle_key(seed, id_col), [id_col], groups=["list"], out="rn")
-    m = group_counts(u, ["list"], "_n").agg(F.min("_n").alias("_m"))
+    m = u.agg(F.least(F.sum((F.col("list") == "a").cast("bigint")), F.sum((F.col("list") == "b").cast("bigint"))).alias("_m"))
     return r.crossJoin(F.broadcast(m)).filter(F.col("rn") <= F.col("_m")).drop("_m")
 
 

@@ -1032,3 +1032,78 @@ def stream_score(spark, sf_dir):
     ).save()
     res = ST.stream_score(spark, d, ML.LinearGridModel)
     return res.select("image_id", "score")
+
+
+# ---------------------------------------------------------------------------------------------------------- step 5
+from maskframe.plans.training_set import make_training_set as _mts  # noqa: E402
+from maskframe.sources import io as IO  # noqa: E402
+
+E1_SQL = f"""WITH {O.INSTANCES},
+annx AS (SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId,
+         CASE WHEN i.k IS NULL THEN NULL ELSE
+           array_to_string(flatten(list_transform(range(i.w), lambda j: [CAST((i.x0 + j) * 768 + i.y0 + 1 AS VARCHAR), CAST(i.h AS VARCHAR)])), ' ')
+         END AS EncodedPixels, COALESCE(i.w * i.h, 0) AS area
+         FROM orders o LEFT JOIN instances i ON o.o_orderkey = i.k),
+rr AS (SELECT ImageId, area, row_number() OVER (ORDER BY CASE WHEN EncodedPixels IS NULL THEN 1 ELSE 0 END DESC,
+        md5('42:' || ImageId || ':' || COALESCE(EncodedPixels, '')), ImageId, EncodedPixels) AS rn FROM annx),
+img AS (SELECT ImageId, CAST(SUM(area) AS BIGINT) AS area FROM rr WHERE rn > 100 GROUP BY ImageId),
+imgc AS (SELECT ImageId, area, {C.area_class_sql('area', C.MAIN_BINS)} AS class, {C.area_class_sql('area', SPLIT_BINS)} AS sclass FROM img),
+{SPLIT_SQL.replace('0.05', '0.01')},
+val AS (SELECT ImageId, class FROM split WHERE split = 'val'), train AS (SELECT ImageId, class FROM split WHERE split = 'train'),
+vu AS (SELECT ImageId, 'a' AS list FROM val WHERE class > 0 UNION ALL SELECT ImageId, 'b' FROM val WHERE class = 0),
+vr AS (SELECT ImageId, list, row_number() OVER (PARTITION BY list ORDER BY {MD5}, ImageId) AS rn FROM vu),
+vm AS (SELECT LEAST(SUM(CASE WHEN list = 'a' THEN 1 ELSE 0 END), SUM(CASE WHEN list = 'b' THEN 1 ELSE 0 END)) AS m FROM vu),
+vb AS (SELECT vr.*, vm.m FROM vr, vm WHERE rn <= vm.m),
+lot AS (SELECT ImageId FROM train WHERE class > 2),
+pool AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM train WHERE class IN (1, 2)),
+few AS (SELECT ImageId FROM pool WHERE rn <= (SELECT COUNT(*) FROM lot)),
+tu AS (SELECT ImageId, 'a' AS list FROM lot UNION ALL SELECT ImageId, 'b' FROM few),
+tr AS (SELECT ImageId, list, row_number() OVER (PARTITION BY list ORDER BY {MD5}, ImageId) AS rn FROM tu),
+tm AS (SELECT LEAST(SUM(CASE WHEN list = 'a' THEN 1 ELSE 0 END), SUM(CASE WHEN list = 'b' THEN 1 ELSE 0 END)) AS m FROM tu),
+tb AS (SELECT tr.*, tm.m FROM tr, tm WHERE rn <= tm.m),
+v AS (SELECT * FROM (VALUES (0, ''), (1, '_a'), (2, '_b'), (3, '_f')) t(k, suffix)),
+recs AS (
+  SELECT 'val' AS split, rn, m, (rn - 1) * 2 + CASE WHEN list = 'a' THEN 0 ELSE 1 END AS seq,
+         substr(ImageId, 1, length(ImageId) - 4) AS sample FROM vb
+  UNION ALL SELECT 'train', rn, m, (rn - 1) * 5 + k, substr(ImageId, 1, length(ImageId) - 4) || suffix FROM tb, v WHERE list = 'a'
+  UNION ALL SELECT 'train', rn, m, (rn - 1) * 5 + 4, substr(ImageId, 1, length(ImageId) - 4) FROM tb WHERE list = 'b'),
+records AS (SELECT split, CAST((rn - 1) // CAST(ceil(m / 4.0) AS BIGINT) AS INTEGER) AS shard_id, CAST(seq AS BIGINT) AS seq, sample FROM recs)"""
+
+
+def training_records(spark, sf_dir):
+    return _mts(X.annotations(spark, sf_dir), SEED, DROP_NEGATIVES, 0.01, 4, SPLIT_BINS)
+
+
+@register("make_training_set", f"{E1_SQL} SELECT * FROM records")
+def make_training_set(spark, sf_dir):
+    """R8 (E1): balanced, augmented, sharded training and validation records."""
+    return training_records(spark, sf_dir)
+
+
+@register(
+    "record_counts",
+    f"""{E1_SQL}, sc AS (SELECT split, shard_id, CAST(COUNT(*) AS BIGINT) AS n FROM records GROUP BY 1, 2),
+bt AS (SELECT split, CAST(ceil(COUNT(*) / 4.0) AS BIGINT) AS split_batches FROM records GROUP BY 1)
+SELECT sc.split, sc.shard_id, sc.n, bt.split_batches FROM sc JOIN bt USING (split)""",
+)
+def record_counts(spark, sf_dir):
+    """Records per split and shard, and batches of 4 per split (``ceil(n / batch)``)."""
+    r = training_records(spark, sf_dir)
+    sc = r.groupBy("split", "shard_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    bt = r.groupBy("split").agg(F.ceil(F.count(F.lit(1)) / 4).cast("bigint").alias("split_batches"))
+    return sc.join(bt, "split")
+
+
+@register(
+    "registry_audit",
+    f"""{E1_SQL}, act AS (SELECT split, CAST(COUNT(*) AS BIGINT) AS actual FROM records GROUP BY 1),
+dec AS (SELECT * FROM (VALUES ('train', 19875), ('val', 852)) t(split, declared))
+SELECT 'ship' AS name, COALESCE(dec.split, act.split) AS split, CAST(declared AS BIGINT) AS declared, actual,
+       CAST(COALESCE(actual, 0) - COALESCE(declared, 0) AS BIGINT) AS diff
+FROM dec FULL JOIN act ON dec.split = act.split""",
+)
+def registry_audit(spark, sf_dir):
+    """S7 + S8: the records written per split against the sizes declared for the ship dataset."""
+    return IO.audit_split_sizes(training_records(spark, sf_dir), IO.dataset_registry(spark), "ship").select(
+        "name", "split", F.col("declared").cast("bigint").alias("declared"), "actual", F.col("diff").cast("bigint").alias("diff")
+    )
