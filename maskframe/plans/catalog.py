@@ -1107,3 +1107,154 @@ def registry_audit(spark, sf_dir):
     return IO.audit_split_sizes(training_records(spark, sf_dir), IO.dataset_registry(spark), "ship").select(
         "name", "split", F.col("declared").cast("bigint").alias("declared"), "actual", F.col("diff").cast("bigint").alias("diff")
     )
+
+
+# ---------------------------------------------------------------------------------------------------------- step 8
+from maskframe.operators import grids as G  # noqa: E402
+
+GRID = """g AS (SELECT vec_id AS image_id, 8 AS h, 8 AS w,
+  list_transform(embedding[1:64], lambda x: floor((CAST(x AS DOUBLE) + 1) * 127.5)) AS data FROM embeddings)"""
+
+
+def _u(tag: str) -> str:
+    return f"(('0x' || substr(md5('42:{tag}:' || CAST(image_id AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _checksum_sql(src: str, extra: str = "") -> str:
+    return f"""SELECT image_id, h, w{extra},
+  round(list_sum(list_transform(range(len(data)), lambda i: data[i + 1] * (i + 1))), 6) AS checksum FROM {src}"""
+
+
+def _grid_query(fn, extra_cols=()):
+    def q(spark, sf_dir):
+        out = fn(X.grid_arrays(spark, sf_dir))
+        cs = G.checksum(out)
+        if extra_cols:
+            cs = cs.join(out.select("image_id", *extra_cols), "image_id")
+        return cs
+
+    return q
+
+
+register(
+    "grid_flip",
+    f"""WITH {GRID}, f AS (SELECT image_id, h, w, {_u('flip')} <= 0.5 AS flipped,
+  CASE WHEN {_u('flip')} <= 0.5 THEN list_transform(range(64), lambda i: data[(i // 8) * 8 + (7 - i % 8) + 1]) ELSE data END AS data FROM g)
+{_checksum_sql('f', ', flipped')}""",
+)(_grid_query(lambda g: G.flip(g, SEED, 0.5), ("flipped",)))
+
+register(
+    "grid_pad",
+    f"""WITH {GRID}, f AS (SELECT image_id, 10 AS h, 12 AS w, list_transform(range(120), lambda i:
+  CASE WHEN i // 12 >= 1 AND i // 12 < 9 AND i % 12 >= 2 AND i % 12 < 10 THEN data[(i // 12 - 1) * 8 + (i % 12 - 2) + 1] ELSE 0.0 END) AS data FROM g)
+{_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.pad_to_box(g, 1, 2, 10, 12, 0.0)))
+
+register(
+    "grid_crop",
+    f"""WITH {GRID}, f AS (SELECT image_id, 5 AS h, 6 AS w, list_transform(range(30), lambda i: data[(i // 6 + 2) * 8 + (i % 6 + 1) + 1]) AS data FROM g)
+{_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.crop(g, 2, 1, 5, 6)))
+
+register(
+    "grid_random_crop",
+    f"""WITH {GRID}, o AS (SELECT *, CAST(floor({_u('h')} * 4) AS INTEGER) AS oh, CAST(floor({_u('w')} * 4) AS INTEGER) AS ow FROM g),
+f AS (SELECT image_id, 5 AS h, 5 AS w, list_transform(range(25), lambda i: data[(i // 5 + oh) * 8 + (i % 5 + ow) + 1]) AS data FROM o)
+{_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.random_crop(g, SEED, 5, 5)))
+
+BILINEAR = """list_transform(range(35), lambda i: (
+  (1 - ((i // 7) * 7 / 4 - floor((i // 7) * 7 / 4))) * (1 - ((i % 7) * 7 / 6 - floor((i % 7) * 7 / 6))) *
+     data[CAST(floor((i // 7) * 7 / 4) AS INTEGER) * 8 + CAST(floor((i % 7) * 7 / 6) AS INTEGER) + 1]
+  + (1 - ((i // 7) * 7 / 4 - floor((i // 7) * 7 / 4))) * ((i % 7) * 7 / 6 - floor((i % 7) * 7 / 6)) *
+     data[CAST(floor((i // 7) * 7 / 4) AS INTEGER) * 8 + LEAST(CAST(floor((i % 7) * 7 / 6) AS INTEGER) + 1, 7) + 1]
+  + ((i // 7) * 7 / 4 - floor((i // 7) * 7 / 4)) * (1 - ((i % 7) * 7 / 6 - floor((i % 7) * 7 / 6))) *
+     data[LEAST(CAST(floor((i // 7) * 7 / 4) AS INTEGER) + 1, 7) * 8 + CAST(floor((i % 7) * 7 / 6) AS INTEGER) + 1]
+  + ((i // 7) * 7 / 4 - floor((i // 7) * 7 / 4)) * ((i % 7) * 7 / 6 - floor((i % 7) * 7 / 6)) *
+     data[LEAST(CAST(floor((i // 7) * 7 / 4) AS INTEGER) + 1, 7) * 8 + LEAST(CAST(floor((i % 7) * 7 / 6) AS INTEGER) + 1, 7) + 1]))"""
+
+register(
+    "grid_resize_bilinear",
+    f"""WITH {GRID}, f AS (SELECT image_id, 5 AS h, 7 AS w, {BILINEAR} AS data FROM g) {_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.resize_bilinear(g, 5, 7)))
+
+NEAREST12 = "list_transform(range(144), lambda i: data[((i // 12) * 14 + 11) // 22 * 8 + ((i % 12) * 14 + 11) // 22 + 1])"
+register(
+    "grid_resize_nearest",
+    f"""WITH {GRID}, f AS (SELECT image_id, 12 AS h, 12 AS w, {NEAREST12} AS data FROM g) {_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.resize_nearest(g, 12, 12)))
+
+register(
+    "grid_normalise",
+    f"""WITH {GRID}, f AS (SELECT image_id, h, w, list_transform(data, lambda x: x * (2.0 / 255.0) - 1.0) AS data FROM g)
+{_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.normalise(g, "half_range")))
+
+register(
+    "valid_region",
+    f"""WITH {GRID}, c AS (SELECT image_id, list_transform(range(36), lambda i: data[(i // 6) * 8 + i % 6 + 1]) AS data FROM g),
+f AS (SELECT image_id, 8 AS h, 8 AS w, list_transform(range(64), lambda i: data[((i // 8) * 10 + 7) // 14 * 6 + ((i % 8) * 10 + 7) // 14 + 1]) AS data FROM c)
+{_checksum_sql('f')}""",
+)(_grid_query(lambda g: G.resize_nearest(G.crop(g, 0, 0, 6, 6), 8, 8)))
+
+
+@register(
+    "global_pool",
+    f"WITH {GRID} SELECT image_id, round(list_sum(data) / len(data), 6) AS pooled FROM g",
+)
+def global_pool(spark, sf_dir):
+    """Average of each image's cells."""
+    p = G.global_pool(X.grid_arrays(spark, sf_dir))
+    return p.select("image_id", F.round("pooled", 6).alias("pooled"))
+
+
+DIMS_SQL = "d AS (SELECT o_orderkey AS image_id, 256 + o_orderkey % 700 AS h, 256 + o_orderkey % 500 AS w FROM orders)"
+
+
+def _dims(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("image_id"), (F.lit(256) + F.col("o_orderkey") % 700).alias("h"),
+                    (F.lit(256) + F.col("o_orderkey") % 500).alias("w"))
+
+
+@register(
+    "resize_plan",
+    f"""WITH {DIMS_SQL},
+p AS (SELECT image_id, CAST(h AS FLOAT) AS fh, CAST(w AS FLOAT) AS fw,
+        CAST(513 AS FLOAT) / LEAST(CAST(h AS FLOAT), CAST(w AS FLOAT)) AS large,
+        CAST(1009 AS FLOAT) / GREATEST(CAST(h AS FLOAT), CAST(w AS FLOAT)) AS small FROM d),
+q AS (SELECT image_id, CAST(ceil(fh * large) AS INTEGER) AS lh, CAST(ceil(fw * large) AS INTEGER) AS lw,
+        CAST(ceil(fh * small) AS INTEGER) AS sh, CAST(ceil(fw * small) AS INTEGER) AS sw FROM p),
+r AS (SELECT image_id, CASE WHEN CAST(GREATEST(lh, lw) AS FLOAT) > CAST(1009 AS FLOAT) THEN sh ELSE lh END AS nh,
+        CASE WHEN CAST(GREATEST(lh, lw) AS FLOAT) > CAST(1009 AS FLOAT) THEN sw ELSE lw END AS nw FROM q)
+SELECT image_id, CAST(nh + (16 - (nh - 1) % 16) % 16 AS INTEGER) AS new_h, CAST(nw + (16 - (nw - 1) % 16) % 16 AS INTEGER) AS new_w FROM r""",
+)
+def resize_plan(spark, sf_dir):
+    """Output sizes of resize-to-range (min 513, max 1024, factor 16) for every image size."""
+    return G.resize_plan(_dims(spark, sf_dir), 513, 1024, 16).select("image_id", "new_h", "new_w")
+
+
+@register(
+    "scale_plan",
+    f"""WITH {DIMS_SQL}, s AS (SELECT * FROM (VALUES (0.75), (1.25), (1.75)) t(scale))
+SELECT image_id, CAST(scale AS DOUBLE) AS scale, CAST(floor((h - 1) * CAST(scale AS DOUBLE) + 1) AS INTEGER) AS sh,
+       CAST(floor((w - 1) * CAST(scale AS DOUBLE) + 1) AS INTEGER) AS sw FROM d, s""",
+)
+def scale_plan(spark, sf_dir):
+    """Logits / crop sizes per evaluation scale, ``int((d - 1) * s + 1)``."""
+    d = _dims(spark, sf_dir)
+    out = None
+    for s in (0.75, 1.25, 1.75):
+        x = d.select("image_id", F.lit(s).alias("scale"), G.scale_dimension(F.col("h"), s).alias("sh"),
+                     G.scale_dimension(F.col("w"), s).alias("sw"))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@register(
+    "random_scale",
+    f"""WITH {DIMS_SQL} SELECT image_id, 0.75 + floor({_u('scale')} * 6) * 0.25 AS scale FROM d""",
+)
+def random_scale(spark, sf_dir):
+    """One of the six scales 0.75, 1.0, ..., 2.0 per image, drawn from md5."""
+    return G.random_scale(_dims(spark, sf_dir), SEED, 0.75, 2.0, 0.25).select("image_id", "scale")
