@@ -115,8 +115,8 @@ def painted_intervals(encoded, height, width) -> Column:
 def union_intervals(intervals) -> Column:
     """Sorted, disjoint union of an array of half-open intervals ``struct<a,b>`` (all non-empty).
 
-    Clean rows (sorted and pairwise disjoint -- the normal encoder output) pass through after one sort. Rows with
-    overlap are merged in O(n log n) without a running state: starts and ends are sorted separately and interleaved
+    Clean rows (increasing and pairwise disjoint -- the normal encoder output) pass through unsorted; others are
+    sorted first, and rows with overlap are merged in O(n log n) without a running state: starts and ends are sorted separately and interleaved
     (ends first on ties); the coverage after the k-th event is ``2i+1-k`` for the i-th start and ``k-2j-1`` for the
     j-th end, so a segment begins where a start lifts coverage to 1 and ends where an end drops it to 0.
     """
@@ -142,13 +142,18 @@ def union_intervals(intervals) -> Column:
         finishes = F.transform(F.filter(cov, lambda x: (x["typ"] == 0) & (x["c"] == 0)), lambda x: x["pos"])
         return F.zip_with(begins, finishes, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
+    def adjacent_overlap(arr):
+        m = F.size(arr)
+        nxt = F.slice(arr, 2, F.greatest(m - 1, F.lit(1)))
+        return (m > 1) & F.exists(
+            F.zip_with(nxt, arr, lambda x, y: F.coalesce(x["a"] < y["b"], F.lit(False))), lambda t: t
+        )
+
     def on_sorted(srt):
-        m = F.size(srt)
-        nxt = F.slice(srt, 2, F.greatest(m - 1, F.lit(1)))
-        overlap = F.exists(F.zip_with(nxt, srt, lambda x, y: F.coalesce(x["a"] < y["b"], F.lit(False))), lambda t: t)
-        return F.when((m <= 1) | ~overlap, srt).otherwise(merged(srt))
+        return F.when(~adjacent_overlap(srt), srt).otherwise(merged(srt))
 
-    return let(F.array_sort(_c(intervals)), on_sorted)
+    # an array whose runs are increasing and disjoint is already canonical: no sort (the common case)
+    return let(_c(intervals), lambda iv: F.when(~adjacent_overlap(iv), iv).otherwise(let(F.array_sort(iv), on_sorted)))
 
 
 def mask_runs(encoded, height=768, width=768) -> Column:
