@@ -109,7 +109,7 @@ def connected_components(pieces: DataFrame, height: int = CANVAS_H, width: int =
 
 def component_stats(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID) -> DataFrame:
     """Per component: pixel count and the raster position of its first pixel."""
-    cc = connected_components(pieces, height, width, id_col)
+    cc = connected_components_batched(pieces, height, width, id_col)
     return cc.groupBy(id_col, "instance_id").agg(
         F.sum(F.col("r1") - F.col("r0")).cast("bigint").alias("pixels"),
         F.min(F.col("r0") * width + F.col("col")).cast("bigint").alias("first_pixel"),
@@ -117,10 +117,12 @@ def component_stats(pieces: DataFrame, height: int = CANVAS_H, width: int = CANV
 
 
 def multi_rle(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
-              id_col: str = ID) -> DataFrame:
+              id_col: str = ID, batched: bool = True) -> DataFrame:
     """M7: one RLE row per component; an image with no component gets one ``(id, null)`` row (J9 left join).
 
     Labelling and encoding happen in the same per-image group, so the components are never re-shuffled."""
+    if batched:
+        return multi_rle_batched(pieces, ids, height, width, id_col)
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         c, a, b, inst = label_pieces(pdf["col"].to_numpy(), pdf["r0"].to_numpy(), pdf["r1"].to_numpy(), height, width)
@@ -133,6 +135,12 @@ def multi_rle(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width:
     return ids.join(enc, id_col, "left")
 
 
+def multi_rle_grouped(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
+                      id_col: str = ID) -> DataFrame:
+    """M7 with one ``applyInPandas`` group per image (simple form; the batched form is the default)."""
+    return multi_rle(pieces, ids, height, width, id_col, batched=False)
+
+
 def instances_per_image(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
                         id_col: str = ID) -> DataFrame:
     """Number of connected instances per image (0 when none)."""
@@ -140,3 +148,116 @@ def instances_per_image(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_
         F.count(F.lit(1)).cast("bigint").alias("instances")
     )
     return ids.join(st, id_col, "left").select(id_col, F.coalesce("instances", F.lit(0)).cast("bigint").alias("instances"))
+
+
+# ---- batched form: many images per Python call ---------------------------------------------------------------------
+def label_pieces_batch(img: np.ndarray, col: np.ndarray, r0: np.ndarray, r1: np.ndarray, height: int, width: int):
+    """:func:`label_pieces` for the pieces of many images at once (``img`` = dense image index, rows sorted by
+    (img, col, r0)). Images are laid side by side with two empty columns between them, so no edge crosses images;
+    instance numbers restart at 1 in every image (raster order of the first pixel)."""
+    gcol = img.astype(np.int64) * (width + 2) + col.astype(np.int64)
+    c, a, b, _ = None, None, None, None
+    order = np.lexsort((r0, gcol))
+    gcol, r0, r1 = gcol[order], r0.astype(np.int64)[order], r1.astype(np.int64)[order]
+    new = np.ones(len(gcol), dtype=bool)
+    new[1:] = ~((gcol[1:] == gcol[:-1]) & (r0[1:] <= r1[:-1]))
+    starts = np.flatnonzero(new)
+    gcol, r0, r1 = gcol[starts], r0[starts], np.maximum.reduceat(r1, starts)
+    m = len(gcol)
+    stride = height + 2
+    key0, key1 = gcol * stride + r0, gcol * stride + r1
+    prev = (gcol - 1) * stride
+    lo = np.searchsorted(key1, prev + r0, side="left")
+    hi = np.searchsorted(key0, prev + r1, side="right")
+    cnt = np.maximum(hi - lo, 0)
+    u = np.repeat(np.arange(m), cnt)
+    v = np.repeat(lo, cnt) + (np.arange(len(u)) - np.repeat(np.cumsum(cnt) - cnt, cnt)) if len(u) else u
+    lab = np.arange(m)
+    while len(u):
+        lu, lv = lab[u], lab[v]
+        if np.array_equal(lu, lv):
+            break
+        mn = np.minimum(lu, lv)
+        np.minimum.at(lab, lu, mn)
+        np.minimum.at(lab, lv, mn)
+        while True:
+            nxt = lab[lab]
+            if np.array_equal(nxt, lab):
+                break
+            lab = nxt
+    im = gcol // (width + 2)
+    c = gcol - im * (width + 2)
+    first = r0 * width + c
+    root_first = np.full(m, np.iinfo(np.int64).max, dtype=np.int64)
+    np.minimum.at(root_first, lab, first)
+    comp = np.unique(lab)  # one entry per component, ordered by (image, first pixel) below
+    ck = np.lexsort((root_first[comp], im[comp]))
+    comp_sorted = comp[ck]
+    comp_img = im[comp_sorted]
+    start_of_img = np.ones(len(comp_sorted), dtype=bool)
+    start_of_img[1:] = comp_img[1:] != comp_img[:-1]
+    idx = np.arange(len(comp_sorted))
+    base = np.maximum.accumulate(np.where(start_of_img, idx, 0))
+    rank = np.empty(m, dtype=np.int64)
+    rank_of_comp = np.empty(len(comp_sorted), dtype=np.int64)
+    rank_of_comp[:] = idx - base + 1
+    lookup = np.full(m, -1, dtype=np.int64)
+    lookup[comp_sorted] = rank_of_comp
+    rank[:] = lookup[lab]
+    return im, c, r0, r1, rank
+
+
+def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, partitions: int | None) -> DataFrame:
+    """Stream images through ``mapInPandas``: pieces are hash-partitioned by image and sorted, each Arrow batch is
+    handled in one vectorised call, and the last image of a batch (possibly incomplete) is carried into the next
+    batch. Memory per task: one batch plus one image (bounded by the canvas)."""
+
+    def fn(it):
+        carry = None
+        for pdf in it:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            tail = pdf[id_col].to_numpy() == pdf[id_col].iloc[-1]
+            carry = pdf[tail]
+            if (~tail).any():
+                yield frame_fn(pdf[~tail])
+        if carry is not None and len(carry):
+            yield frame_fn(carry)
+
+    n = partitions or pieces.sparkSession.sparkContext.defaultParallelism
+    p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
+    p = p.repartition(n, id_col).sortWithinPartitions(id_col, "col", "r0")
+    return p.mapInPandas(fn, schema)
+
+
+def connected_components_batched(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
+                                 partitions: int | None = None) -> DataFrame:
+    """M5 + W8, many images per Python call: ``(id, col, r0, r1)`` -> ``(id, instance_id, col, r0, r1)``."""
+
+    def frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, uniq = pd.factorize(pdf[id_col], sort=False)
+        im, c, a, b, inst = label_pieces_batch(codes, pdf["col"].to_numpy(), pdf["r0"].to_numpy(),
+                                               pdf["r1"].to_numpy(), height, width)
+        return pd.DataFrame({id_col: np.asarray(uniq)[im], "instance_id": inst, "col": c, "r0": a, "r1": b})
+
+    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, col bigint, r0 bigint, r1 bigint", id_col,
+                    partitions)
+
+
+def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
+                      id_col: str = ID, partitions: int | None = None) -> DataFrame:
+    """M7, many images per Python call (see :func:`_batched`)."""
+
+    def encode_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, uniq = pd.factorize(pdf[id_col], sort=False)
+        im, c, a, b, inst = label_pieces_batch(codes, pdf["col"].to_numpy(), pdf["r0"].to_numpy(),
+                                               pdf["r1"].to_numpy(), height, width)
+        key = im * (1 << 32) + inst
+        ks, texts = _encode_all(key, c, a, b, height)
+        return pd.DataFrame({id_col: np.asarray(uniq)[ks // (1 << 32)], "instance_id": ks % (1 << 32), ENC: texts},
+                            columns=[id_col, "instance_id", ENC])
+
+    enc = _batched(pieces, encode_frame, f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, partitions)
+    return ids.join(enc, id_col, "left")

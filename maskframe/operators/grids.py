@@ -174,3 +174,74 @@ def batch_pad(df: DataFrame, batch_col: str, pad_value: float) -> DataFrame:
     g = _grid(F.col("_th"), F.col("_tw"), lambda r, c: F.when(inside(r, c), _cell(F.col("data"), r * F.col("w") + c))
               .otherwise(F.lit(float(pad_value))))
     return x.withColumn("data", g).withColumn("h", F.col("_th")).withColumn("w", F.col("_tw")).drop("_th", "_tw")
+
+
+def _c(x) -> Column:
+    return F.lit(x) if isinstance(x, (int, float)) else (F.col(x) if isinstance(x, str) else x)
+
+
+def resize_to(df: DataFrame, oh, ow, method: str = "bilinear", data_col: str = "data") -> DataFrame:
+    """I6 / I7 / I8 with per-row output sizes (``oh``/``ow`` columns or ints), corners aligned."""
+    x = df.withColumn("_oh", _c(oh).cast("int")).withColumn("_ow", _c(ow).cast("int"))
+    d, w, h = F.col(data_col), F.col("w"), F.col("h")
+    den_h, den_w = F.greatest(F.col("_oh") - 1, F.lit(1)), F.greatest(F.col("_ow") - 1, F.lit(1))
+    if method == "nearest":
+        def val(r, c):
+            yr = F.floor((r * (h - 1) * 2 + den_h) / (den_h * 2)).cast("int")
+            xc = F.floor((c * (w - 1) * 2 + den_w) / (den_w * 2)).cast("int")
+            return _cell(d, yr * w + xc)
+    else:
+        def val(r, c):
+            sy, sx = (r * (h - 1)) / den_h, (c * (w - 1)) / den_w
+            y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
+            y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
+            dy, dx = sy - y0, sx - x0
+            return ((1 - dy) * (1 - dx) * _cell(d, y0 * w + x0) + (1 - dy) * dx * _cell(d, y0 * w + x1)
+                    + dy * (1 - dx) * _cell(d, y1 * w + x0) + dy * dx * _cell(d, y1 * w + x1))
+    return x.withColumn(data_col, _grid(F.col("_oh"), F.col("_ow"), val))
+
+
+def preprocess(images: DataFrame, seed, crop_h: int, crop_w: int, is_training: bool, pad_value: float = HALF_RANGE_PAD,
+               ignore_label: float = 2.0, min_scale: float = 0.75, max_scale: float = 2.0, step: float = 0.25) -> DataFrame:
+    """I12 on ``(image_id, h, w, data, label_data)``: training = random scale (I5), image bilinear and label nearest
+    to ``trunc(dim * scale)`` (I6), pad both to at least the crop size (image with the mean pixel, label with the
+    ignore label, I2), one random crop window for both (I4) and one left-right flip for both (I1); evaluation = pad
+    only."""
+    x = images
+    if is_training:
+        x = random_scale(x, seed, min_scale, max_scale, step)
+        x = x.withColumn("_nh", (F.col("h") * F.col("scale")).cast("int")).withColumn("_nw", (F.col("w") * F.col("scale")).cast("int"))
+        x = resize_to(x, "_nh", "_nw", "bilinear", "data")
+        x = resize_to(x, "_nh", "_nw", "nearest", "label_data")
+        x = x.withColumn("h", F.col("_nh")).withColumn("w", F.col("_nw")).drop("_nh", "_nw", "_oh", "_ow", "scale")
+    th, tw = F.greatest(F.col("h"), F.lit(crop_h)), F.greatest(F.col("w"), F.lit(crop_w))
+    x = x.withColumn("_th", th).withColumn("_tw", tw)
+    inside = lambda r, c: (r < F.col("h")) & (c < F.col("w"))
+    for col, pv in (("data", pad_value), ("label_data", ignore_label)):
+        g = _grid(F.col("_th"), F.col("_tw"), lambda r, c, col=col, pv=pv: F.when(inside(r, c), _cell(F.col(col), r * F.col("w") + c))
+                  .otherwise(F.lit(float(pv))))
+        x = x.withColumn(col, g)
+    x = x.withColumn("h", F.col("_th")).withColumn("w", F.col("_tw")).drop("_th", "_tw")
+    if not is_training:
+        return x
+    oh = F.floor(md5_unit(seed, F.lit("h"), "image_id") * (F.col("h") - crop_h + 1)).cast("int")
+    ow = F.floor(md5_unit(seed, F.lit("w"), "image_id") * (F.col("w") - crop_w + 1)).cast("int")
+    x = x.withColumn("_oh", oh).withColumn("_ow", ow)
+    flag = md5_unit(seed, F.lit("flip"), "image_id") <= F.lit(0.5)
+    for col in ("data", "label_data"):
+        g = _grid(crop_h, crop_w, lambda r, c, col=col: _cell(
+            F.col(col), (r + F.col("_oh")) * F.col("w") + F.when(flag, F.lit(crop_w - 1) - c).otherwise(c) + F.col("_ow")))
+        x = x.withColumn(col, g)
+    return x.withColumn("h", F.lit(crop_h)).withColumn("w", F.lit(crop_w)).withColumn("flipped", flag).drop("_oh", "_ow")
+
+
+def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str = "label_w") -> DataFrame:
+    """Reason codes instead of exceptions: ``shape_mismatch`` (image and label sizes differ),
+    ``bad_channels`` (not 1 or 3), else ``ok``; ``strict_validate`` turns any failure into a job error."""
+    reason = (F.when((F.col("h") != F.col(label_h)) | (F.col("w") != F.col(label_w)), "shape_mismatch")
+              .when(~F.col("c").isin(1, 3), "bad_channels").otherwise("ok"))
+    return images.withColumn("reason", reason)
+
+
+def strict_validate(checked: DataFrame) -> DataFrame:
+    return checked.withColumn("reason", F.when(F.col("reason") != "ok", F.raise_error(F.concat(F.lit("invalid sample: "), F.col("reason")))).otherwise(F.col("reason")))

@@ -681,9 +681,14 @@ ta AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(iy * 5 + ix AS INTEG
        FROM cells JOIN t ON cells.cx BETWEEN t.ix AND t.ix + 1 AND cells.cy BETWEEN t.iy AND t.iy + 1 GROUP BY ALL)"""
 
 
+def _instance_pieces(spark, sf_dir):
+    """Column pieces of every instance. Tile masses of the summed label raster are linear in the instances, so they
+    need no coverage sweep (and no shuffle before the per-tile sum)."""
+    return R.run_pieces(R.rle_runs(X.annotations(spark, sf_dir)))
+
+
 def _tile_areas(spark, sf_dir):
-    _, seg = _union_segments(spark, sf_dir)
-    return T.tile_overlap(seg, 768, 5)
+    return T.tile_overlap(_instance_pieces(spark, sf_dir), 768, 5, value_col=None)
 
 
 @register("tile_overlap", f"{TILE_SQL} SELECT * FROM ta")
@@ -728,8 +733,8 @@ FROM r WHERE rk <= 1 AND mask_area >= 64""",
 )
 def tile_select(spark, sf_dir):
     """Label raster resized to 512 (nearest), 3x3 tiles, the fullest tile with >= 64 pixels, named _4_<tile>."""
-    _, seg = _union_segments(spark, sf_dir)
-    return T.tile_select(seg, 512, 3, 1, "_4_").select("ImageId", "sample", "tile", "mask_area")
+    pieces = _instance_pieces(spark, sf_dir).withColumn("c", F.lit(1))
+    return T.tile_select(pieces, 512, 3, 1, "_4_").select("ImageId", "sample", "tile", "mask_area")
 
 
 @register(
@@ -1258,3 +1263,112 @@ def scale_plan(spark, sf_dir):
 def random_scale(spark, sf_dir):
     """One of the six scales 0.75, 1.0, ..., 2.0 per image, drawn from md5."""
     return G.random_scale(_dims(spark, sf_dir), SEED, 0.75, 2.0, 0.25).select("image_id", "scale")
+
+
+# ---------------------------------------------------------------------------------------------------------- step 8
+def _with_labels(spark, sf_dir):
+    g = X.grid_arrays(spark, sf_dir)
+    return g.withColumn("label_data", F.transform("data", lambda x: F.when(x >= 128, 1.0).otherwise(0.0)))
+
+
+def _pre_checksums(df):
+    def cs(col):
+        return F.round(F.aggregate(F.zip_with(col, F.sequence(F.lit(1), F.size(col)), lambda v, i: v * i), F.lit(0.0),
+                                   lambda a, x: a + x), 6)
+
+    return df.select("image_id", "h", "w", cs("data").alias("checksum"), cs("label_data").alias("label_checksum"))
+
+
+GRIDL = f"""{GRID}, gl AS (SELECT *, list_transform(data, lambda x: CASE WHEN x >= 128 THEN 1.0 ELSE 0.0 END) AS label_data FROM g)"""
+
+
+def _cs_sql(col: str) -> str:
+    return f"round(list_sum(list_transform(range(len({col})), lambda i: {col}[i + 1] * (i + 1))), 6)"
+
+
+@register(
+    "preprocess_eval",
+    f"""WITH {GRIDL}, p AS (SELECT image_id, 12 AS h, 12 AS w,
+  list_transform(range(144), lambda i: CASE WHEN i // 12 < 8 AND i % 12 < 8 THEN data[(i // 12) * 8 + i % 12 + 1] ELSE 127.5 END) AS data,
+  list_transform(range(144), lambda i: CASE WHEN i // 12 < 8 AND i % 12 < 8 THEN label_data[(i // 12) * 8 + i % 12 + 1] ELSE 2.0 END) AS label_data FROM gl)
+SELECT image_id, h, w, {_cs_sql('data')} AS checksum, {_cs_sql('label_data')} AS label_checksum FROM p""",
+)
+def preprocess_eval(spark, sf_dir):
+    """I12 (evaluation): pad image (mean pixel) and label (ignore label) to the 12 x 12 crop size."""
+    return _pre_checksums(G.preprocess(_with_labels(spark, sf_dir), SEED, 12, 12, is_training=False))
+
+
+PRE_TRAIN_SQL = f"""WITH {GRIDL},
+s AS (SELECT *, 0.75 + floor({_u('scale')} * 6) * 0.25 AS scale FROM gl),
+n AS (SELECT *, CAST(floor(8 * scale) AS INTEGER) AS nh FROM s),
+r AS (SELECT image_id, nh,
+  list_transform(range(nh * nh), lambda i: (
+    (1 - ((i // nh) * 7 / GREATEST(nh - 1, 1) - floor((i // nh) * 7 / GREATEST(nh - 1, 1)))) * (1 - ((i % nh) * 7 / GREATEST(nh - 1, 1) - floor((i % nh) * 7 / GREATEST(nh - 1, 1)))) *
+      data[CAST(floor((i // nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) * 8 + CAST(floor((i % nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1]
+    + (1 - ((i // nh) * 7 / GREATEST(nh - 1, 1) - floor((i // nh) * 7 / GREATEST(nh - 1, 1)))) * ((i % nh) * 7 / GREATEST(nh - 1, 1) - floor((i % nh) * 7 / GREATEST(nh - 1, 1))) *
+      data[CAST(floor((i // nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) * 8 + LEAST(CAST(floor((i % nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1, 7) + 1]
+    + ((i // nh) * 7 / GREATEST(nh - 1, 1) - floor((i // nh) * 7 / GREATEST(nh - 1, 1))) * (1 - ((i % nh) * 7 / GREATEST(nh - 1, 1) - floor((i % nh) * 7 / GREATEST(nh - 1, 1)))) *
+      data[LEAST(CAST(floor((i // nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1, 7) * 8 + CAST(floor((i % nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1]
+    + ((i // nh) * 7 / GREATEST(nh - 1, 1) - floor((i // nh) * 7 / GREATEST(nh - 1, 1))) * ((i % nh) * 7 / GREATEST(nh - 1, 1) - floor((i % nh) * 7 / GREATEST(nh - 1, 1))) *
+      data[LEAST(CAST(floor((i // nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1, 7) * 8 + LEAST(CAST(floor((i % nh) * 7 / GREATEST(nh - 1, 1)) AS INTEGER) + 1, 7) + 1])) AS data,
+  list_transform(range(nh * nh), lambda i:
+    label_data[((i // nh) * 14 + GREATEST(nh - 1, 1)) // (2 * GREATEST(nh - 1, 1)) * 8 + ((i % nh) * 14 + GREATEST(nh - 1, 1)) // (2 * GREATEST(nh - 1, 1)) + 1]) AS label_data
+  FROM n),
+pd AS (SELECT image_id, GREATEST(nh, 12) AS t, nh,
+  list_transform(range(GREATEST(nh, 12) * GREATEST(nh, 12)), lambda i: CASE WHEN i // GREATEST(nh, 12) < nh AND i % GREATEST(nh, 12) < nh
+    THEN data[(i // GREATEST(nh, 12)) * nh + i % GREATEST(nh, 12) + 1] ELSE 127.5 END) AS data,
+  list_transform(range(GREATEST(nh, 12) * GREATEST(nh, 12)), lambda i: CASE WHEN i // GREATEST(nh, 12) < nh AND i % GREATEST(nh, 12) < nh
+    THEN label_data[(i // GREATEST(nh, 12)) * nh + i % GREATEST(nh, 12) + 1] ELSE 2.0 END) AS label_data FROM r),
+o AS (SELECT *, CAST(floor({_u('h')} * (t - 12 + 1)) AS INTEGER) AS oh, CAST(floor({_u('w')} * (t - 12 + 1)) AS INTEGER) AS ow,
+      {_u('flip')} <= 0.5 AS fl FROM pd),
+c AS (SELECT image_id, 12 AS h, 12 AS w,
+  list_transform(range(144), lambda i: data[(i // 12 + oh) * t + CASE WHEN fl THEN 11 - i % 12 ELSE i % 12 END + ow + 1]) AS data,
+  list_transform(range(144), lambda i: label_data[(i // 12 + oh) * t + CASE WHEN fl THEN 11 - i % 12 ELSE i % 12 END + ow + 1]) AS label_data FROM o)
+SELECT image_id, h, w, {_cs_sql('data')} AS checksum, {_cs_sql('label_data')} AS label_checksum FROM c"""
+
+
+@register("preprocess_train", PRE_TRAIN_SQL)
+def preprocess_train(spark, sf_dir):
+    """I12 (training): random scale, resize (bilinear / nearest), pad, one crop window and one flip for image and
+    label together."""
+    return _pre_checksums(G.preprocess(_with_labels(spark, sf_dir), SEED, 12, 12, is_training=True))
+
+
+@register(
+    "pad_batch",
+    f"""WITH {GRID},
+r AS (SELECT image_id, row_number() OVER (ORDER BY md5('42:' || CAST(image_id AS VARCHAR)), image_id) AS rn, data FROM g),
+c AS (SELECT image_id, (rn - 1) // 4 AS batch_id, 4 + CAST(image_id % 5 AS INTEGER) AS h, 4 + CAST(image_id % 3 AS INTEGER) AS w, data FROM r),
+cc AS (SELECT image_id, batch_id, h, w, list_transform(range(h * w), lambda i: data[(i // w) * 8 + i % w + 1]) AS data FROM c),
+m AS (SELECT *, MAX(h) OVER (PARTITION BY batch_id) AS th, MAX(w) OVER (PARTITION BY batch_id) AS tw FROM cc),
+p AS (SELECT image_id, th AS h, tw AS w, list_transform(range(th * tw), lambda i: CASE WHEN i // tw < h AND i % tw < w
+       THEN data[(i // tw) * w + i % tw + 1] ELSE 0.0 END) AS data FROM m)
+{_checksum_sql('p')}""",
+)
+def pad_batch(spark, sf_dir):
+    """I13 + W6: images cut to different sizes, batched by 4 in seeded order, each padded to its batch maximum."""
+    from maskframe.operators.ranking import bucket_rank
+
+    g = X.grid_arrays(spark, sf_dir)
+    g = g.withColumn("_ch", (F.lit(4) + F.col("image_id") % 5).cast("int")).withColumn("_cw", (F.lit(4) + F.col("image_id") % 3).cast("int"))
+    g = g.withColumn("data", G._grid(F.col("_ch"), F.col("_cw"), lambda r, c: G._cell(F.col("data"), r * F.col("w") + c)))
+    g = g.withColumn("h", F.col("_ch")).withColumn("w", F.col("_cw")).drop("_ch", "_cw")
+    r = bucket_rank(g, S.shuffle_key(SEED, "image_id"), ["image_id"], prefix_len=2)
+    b = r.withColumn("batch_id", F.floor((F.col("rn") - 1) / 4))
+    return G.checksum(G.batch_pad(b, "batch_id", 0.0))
+
+
+@register(
+    "validate_samples",
+    """SELECT o_orderkey AS image_id, CASE WHEN 256 + o_orderkey % 700 <> 768 OR 256 + o_orderkey % 500 <> 768 THEN 'shape_mismatch'
+  WHEN (CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 1 ELSE 4 END) NOT IN (1, 3) THEN 'bad_channels' ELSE 'ok' END AS reason
+FROM orders""",
+)
+def validate_samples(spark, sf_dir):
+    """P10 + P11: image size (from the order) against the 768 x 768 label canvas, and the channel count."""
+    o = X.table(spark, sf_dir, "orders")
+    imgs = o.select(F.col("o_orderkey").alias("image_id"), (F.lit(256) + F.col("o_orderkey") % 700).alias("h"),
+                    (F.lit(256) + F.col("o_orderkey") % 500).alias("w"),
+                    F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "O", 1).otherwise(4).alias("c"),
+                    F.lit(768).alias("label_h"), F.lit(768).alias("label_w"))
+    return G.validate_samples(imgs).select("image_id", "reason")

@@ -70,3 +70,16 @@ def test_diagonal_touch_and_empty(spark):
     seg = V.coverage_segments(df, 4, 4)
     out = {r["ImageId"]: r["EncodedPixels"] for r in multi_rle(V.select_mask(seg, F.col("c") >= 1), V.image_ids(df), 4, 4).collect()}
     assert out == {"a": "1 1 6 1", "b": None}
+
+
+def test_batched_equals_grouped_on_fixture(spark):
+    from maskframe.operators.components import multi_rle_grouped
+    from maskframe.plans import fixtures as X
+
+    ann = X.annotations(spark, "/root/testdata/sf0.001")
+    pieces = V.select_mask(V.coverage_segments(ann), F.col("c") >= 1)
+    ids = V.image_ids(ann)
+    a = multi_rle(pieces, ids).select("ImageId", "EncodedPixels")
+    b = multi_rle_grouped(pieces, ids).select("ImageId", "EncodedPixels")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.count() > 1500
