@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskframe.functions.keys import md5_unit
+from maskframe.functions.rle import let
 
 # fixed values: mean pixel of the RGB-normalised extractors, and the plain-resnet pad values
 MEAN_RGB = (123.15, 115.90, 103.06)
@@ -22,11 +23,16 @@ def _cell(data: Column, idx: Column) -> Column:
     return F.get(data, idx.cast("int"))
 
 
-def _grid(h, w, fn) -> Column:
-    """``transform(sequence(0, h*w-1), i -> fn(i div w, i mod w))``."""
+def _grid(h, w, fn, cols=("data", "h", "w")) -> Column:
+    """``transform(sequence(0, oh*ow-1), i -> fn(i div ow, i mod ow, s))`` where ``s`` is a struct of the input columns
+    ``cols`` bound once per row: the lambda never reads a column directly, because a column produced by an earlier
+    grid step would be inlined into the lambda and recomputed for every output cell."""
     hh = F.lit(h) if isinstance(h, int) else h
     ww = F.lit(w) if isinstance(w, int) else w
-    return F.transform(F.sequence(F.lit(0), hh * ww - 1), lambda i: fn(F.floor(i / ww).cast("int"), (i % ww).cast("int")))
+    bound = F.struct(*[F.col(c).alias(c) for c in cols], hh.alias("_gh"), ww.alias("_gw"))
+    return let(bound, lambda s: F.transform(
+        F.sequence(F.lit(0), s["_gh"] * s["_gw"] - 1),
+        lambda i: fn(F.floor(i / s["_gw"]).cast("int"), (i % s["_gw"]).cast("int"), s)))
 
 
 def flip(df: DataFrame, seed, prob: float = 0.5, dim: str = "w") -> DataFrame:
@@ -34,17 +40,17 @@ def flip(df: DataFrame, seed, prob: float = 0.5, dim: str = "w") -> DataFrame:
     u = md5_unit(seed, F.lit("flip"), "image_id")
     flag = u <= F.lit(prob)
     if dim == "w":
-        f = _grid(F.col("h"), F.col("w"), lambda r, c: _cell(F.col("data"), r * F.col("w") + (F.col("w") - 1 - c)))
+        f = _grid(F.col("h"), F.col("w"), lambda r, c, s: _cell(s["data"], r * s["w"] + (s["w"] - 1 - c)))
     else:
-        f = _grid(F.col("h"), F.col("w"), lambda r, c: _cell(F.col("data"), (F.col("h") - 1 - r) * F.col("w") + c))
+        f = _grid(F.col("h"), F.col("w"), lambda r, c, s: _cell(s["data"], (s["h"] - 1 - r) * s["w"] + c))
     return df.withColumn("flipped", flag).withColumn("data", F.when(flag, f).otherwise(F.col("data")))
 
 
 def pad_to_box(df: DataFrame, off_h: int, off_w: int, th: int, tw: int, pad_value: float) -> DataFrame:
     """Place the image at (off_h, off_w) inside a th x tw canvas filled with ``pad_value``; a target smaller
     than the placed image fails the job."""
-    inside = lambda r, c: (r >= off_h) & (r < F.col("h") + off_h) & (c >= off_w) & (c < F.col("w") + off_w)
-    g = _grid(th, tw, lambda r, c: F.when(inside(r, c), _cell(F.col("data"), (r - off_h) * F.col("w") + (c - off_w)))
+    inside = lambda r, c, s: (r >= off_h) & (r < s["h"] + off_h) & (c >= off_w) & (c < s["w"] + off_w)
+    g = _grid(th, tw, lambda r, c, s: F.when(inside(r, c, s), _cell(s["data"], (r - off_h) * s["w"] + (c - off_w)))
               .otherwise(F.lit(float(pad_value))))
     ok = (F.col("h") + off_h <= th) & (F.col("w") + off_w <= tw)
     g = F.when(ok, g).otherwise(F.raise_error(F.lit("target size smaller than image")).cast("array<double>"))
@@ -56,7 +62,8 @@ def crop(df: DataFrame, off_h, off_w, ch: int, cw: int) -> DataFrame:
     oh = F.lit(off_h) if isinstance(off_h, int) else off_h
     ow = F.lit(off_w) if isinstance(off_w, int) else off_w
     x = df.withColumn("_oh", oh).withColumn("_ow", ow)
-    g = _grid(ch, cw, lambda r, c: _cell(F.col("data"), (r + F.col("_oh")) * F.col("w") + (c + F.col("_ow"))))
+    g = _grid(ch, cw, lambda r, c, s: _cell(s["data"], (r + s["_oh"]) * s["w"] + (c + s["_ow"])),
+              cols=("data", "h", "w", "_oh", "_ow"))
     ok = (F.col("_oh") >= 0) & (F.col("_ow") >= 0) & (F.col("_oh") + ch <= F.col("h")) & (F.col("_ow") + cw <= F.col("w"))
     g = F.when(ok, g).otherwise(F.raise_error(F.lit("crop window larger than image")).cast("array<double>"))
     return x.withColumn("data", g).withColumn("h", F.lit(ch)).withColumn("w", F.lit(cw)).drop("_oh", "_ow")
@@ -74,12 +81,12 @@ def resize_bilinear(df: DataFrame, oh: int, ow: int) -> DataFrame:
     def src(i, n_in, n_out):
         return (i * (n_in - 1)) / F.lit(max(n_out - 1, 1))
 
-    def val(r, c):
-        sy, sx = src(r, F.col("h"), oh), src(c, F.col("w"), ow)
+    def val(r, c, s):
+        sy, sx = src(r, s["h"], oh), src(c, s["w"], ow)
         y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
-        y1, x1 = F.least(y0 + 1, F.col("h") - 1), F.least(x0 + 1, F.col("w") - 1)
+        y1, x1 = F.least(y0 + 1, s["h"] - 1), F.least(x0 + 1, s["w"] - 1)
         dy, dx = sy - y0, sx - x0
-        d, w = F.col("data"), F.col("w")
+        d, w = s["data"], s["w"]
         return ((1 - dy) * (1 - dx) * _cell(d, y0 * w + x0) + (1 - dy) * dx * _cell(d, y0 * w + x1)
                 + dy * (1 - dx) * _cell(d, y1 * w + x0) + dy * dx * _cell(d, y1 * w + x1))
 
@@ -92,7 +99,7 @@ def resize_nearest(df: DataFrame, oh: int, ow: int) -> DataFrame:
         den = max(n_out - 1, 1)
         return F.floor((i * (n_in - 1) * 2 + den) / F.lit(2 * den)).cast("int")
 
-    g = _grid(oh, ow, lambda r, c: _cell(F.col("data"), near(r, F.col("h"), oh) * F.col("w") + near(c, F.col("w"), ow)))
+    g = _grid(oh, ow, lambda r, c, s: _cell(s["data"], near(r, s["h"], oh) * s["w"] + near(c, s["w"], ow)))
     return df.withColumn("data", g).withColumn("h", F.lit(oh)).withColumn("w", F.lit(ow))
 
 
@@ -170,8 +177,7 @@ def batch_pad(df: DataFrame, batch_col: str, pad_value: float) -> DataFrame:
 
     w = Window.partitionBy(batch_col)
     x = df.withColumn("_th", F.max("h").over(w)).withColumn("_tw", F.max("w").over(w))
-    inside = lambda r, c: (r < F.col("h")) & (c < F.col("w"))
-    g = _grid(F.col("_th"), F.col("_tw"), lambda r, c: F.when(inside(r, c), _cell(F.col("data"), r * F.col("w") + c))
+    g = _grid(F.col("_th"), F.col("_tw"), lambda r, c, s: F.when((r < s["h"]) & (c < s["w"]), _cell(s["data"], r * s["w"] + c))
               .otherwise(F.lit(float(pad_value))))
     return x.withColumn("data", g).withColumn("h", F.col("_th")).withColumn("w", F.col("_tw")).drop("_th", "_tw")
 
@@ -183,22 +189,24 @@ def _c(x) -> Column:
 def resize_to(df: DataFrame, oh, ow, method: str = "bilinear", data_col: str = "data") -> DataFrame:
     """I6 / I7 / I8 with per-row output sizes (``oh``/``ow`` columns or ints), corners aligned."""
     x = df.withColumn("_oh", _c(oh).cast("int")).withColumn("_ow", _c(ow).cast("int"))
-    d, w, h = F.col(data_col), F.col("w"), F.col("h")
-    den_h, den_w = F.greatest(F.col("_oh") - 1, F.lit(1)), F.greatest(F.col("_ow") - 1, F.lit(1))
     if method == "nearest":
-        def val(r, c):
+        def val(r, c, s):
+            d, w, h = s[data_col], s["w"], s["h"]
+            den_h, den_w = F.greatest(s["_oh"] - 1, F.lit(1)), F.greatest(s["_ow"] - 1, F.lit(1))
             yr = F.floor((r * (h - 1) * 2 + den_h) / (den_h * 2)).cast("int")
             xc = F.floor((c * (w - 1) * 2 + den_w) / (den_w * 2)).cast("int")
             return _cell(d, yr * w + xc)
     else:
-        def val(r, c):
+        def val(r, c, s):
+            d, w, h = s[data_col], s["w"], s["h"]
+            den_h, den_w = F.greatest(s["_oh"] - 1, F.lit(1)), F.greatest(s["_ow"] - 1, F.lit(1))
             sy, sx = (r * (h - 1)) / den_h, (c * (w - 1)) / den_w
             y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
             y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
             dy, dx = sy - y0, sx - x0
             return ((1 - dy) * (1 - dx) * _cell(d, y0 * w + x0) + (1 - dy) * dx * _cell(d, y0 * w + x1)
                     + dy * (1 - dx) * _cell(d, y1 * w + x0) + dy * dx * _cell(d, y1 * w + x1))
-    return x.withColumn(data_col, _grid(F.col("_oh"), F.col("_ow"), val))
+    return x.withColumn(data_col, _grid(F.col("_oh"), F.col("_ow"), val, cols=(data_col, "h", "w", "_oh", "_ow")))
 
 
 def preprocess(images: DataFrame, seed, crop_h: int, crop_w: int, is_training: bool, pad_value: float = HALF_RANGE_PAD,
@@ -216,23 +224,23 @@ def preprocess(images: DataFrame, seed, crop_h: int, crop_w: int, is_training: b
         x = x.withColumn("h", F.col("_nh")).withColumn("w", F.col("_nw")).drop("_nh", "_nw", "_oh", "_ow", "scale")
     th, tw = F.greatest(F.col("h"), F.lit(crop_h)), F.greatest(F.col("w"), F.lit(crop_w))
     x = x.withColumn("_th", th).withColumn("_tw", tw)
-    inside = lambda r, c: (r < F.col("h")) & (c < F.col("w"))
     for col, pv in (("data", pad_value), ("label_data", ignore_label)):
-        g = _grid(F.col("_th"), F.col("_tw"), lambda r, c, col=col, pv=pv: F.when(inside(r, c), _cell(F.col(col), r * F.col("w") + c))
-                  .otherwise(F.lit(float(pv))))
+        g = _grid(F.col("_th"), F.col("_tw"), lambda r, c, s, col=col, pv=pv: F.when(
+            (r < s["h"]) & (c < s["w"]), _cell(s[col], r * s["w"] + c)).otherwise(F.lit(float(pv))), cols=(col, "h", "w"))
         x = x.withColumn(col, g)
     x = x.withColumn("h", F.col("_th")).withColumn("w", F.col("_tw")).drop("_th", "_tw")
     if not is_training:
         return x
     oh = F.floor(md5_unit(seed, F.lit("h"), "image_id") * (F.col("h") - crop_h + 1)).cast("int")
     ow = F.floor(md5_unit(seed, F.lit("w"), "image_id") * (F.col("w") - crop_w + 1)).cast("int")
-    x = x.withColumn("_oh", oh).withColumn("_ow", ow)
     flag = md5_unit(seed, F.lit("flip"), "image_id") <= F.lit(0.5)
+    x = x.withColumn("_oh", oh).withColumn("_ow", ow).withColumn("_fl", flag)
     for col in ("data", "label_data"):
-        g = _grid(crop_h, crop_w, lambda r, c, col=col: _cell(
-            F.col(col), (r + F.col("_oh")) * F.col("w") + F.when(flag, F.lit(crop_w - 1) - c).otherwise(c) + F.col("_ow")))
+        g = _grid(crop_h, crop_w, lambda r, c, s, col=col: _cell(
+            s[col], (r + s["_oh"]) * s["w"] + F.when(s["_fl"], F.lit(crop_w - 1) - c).otherwise(c) + s["_ow"]),
+            cols=(col, "h", "w", "_oh", "_ow", "_fl"))
         x = x.withColumn(col, g)
-    return x.withColumn("h", F.lit(crop_h)).withColumn("w", F.lit(crop_w)).withColumn("flipped", flag).drop("_oh", "_ow")
+    return x.withColumn("h", F.lit(crop_h)).withColumn("w", F.lit(crop_w)).withColumnRenamed("_fl", "flipped").drop("_oh", "_ow")
 
 
 def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str = "label_w") -> DataFrame:

@@ -1351,7 +1351,7 @@ def pad_batch(spark, sf_dir):
 
     g = X.grid_arrays(spark, sf_dir)
     g = g.withColumn("_ch", (F.lit(4) + F.col("image_id") % 5).cast("int")).withColumn("_cw", (F.lit(4) + F.col("image_id") % 3).cast("int"))
-    g = g.withColumn("data", G._grid(F.col("_ch"), F.col("_cw"), lambda r, c: G._cell(F.col("data"), r * F.col("w") + c)))
+    g = g.withColumn("data", G._grid(F.col("_ch"), F.col("_cw"), lambda r, c, s: G._cell(s["data"], r * s["w"] + c)))
     g = g.withColumn("h", F.col("_ch")).withColumn("w", F.col("_cw")).drop("_ch", "_cw")
     r = bucket_rank(g, S.shuffle_key(SEED, "image_id"), ["image_id"], prefix_len=2)
     b = r.withColumn("batch_id", F.floor((F.col("rn") - 1) / 4))
@@ -1372,3 +1372,34 @@ def validate_samples(spark, sf_dir):
                     F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "O", 1).otherwise(4).alias("c"),
                     F.lit(768).alias("label_h"), F.lit(768).alias("label_w"))
     return G.validate_samples(imgs).select("image_id", "reason")
+
+
+@register(
+    "assemble_record",
+    f"""WITH {O.INSTANCES}, {_pixels_of('TRUE')}, {_encode_sql('pxs')}""".replace(
+        "SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, txt.e AS EncodedPixels\nFROM orders o LEFT JOIN txt ON o.o_orderkey = txt.k",
+        """SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS image_id, CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS filename, 'jpeg' AS format,
+       CAST(256 + o.o_orderkey % 700 AS BIGINT) AS height, CAST(256 + o.o_orderkey % 500 AS BIGINT) AS width, CAST(3 AS BIGINT) AS channels,
+       'png' AS mask_format, txt.e IS NULL AS mask_missing, CAST(COALESCE(length(txt.e), 0) AS BIGINT) AS mask_bytes
+FROM orders o LEFT JOIN txt ON o.o_orderkey = txt.k"""),
+)
+def assemble_record(spark, sf_dir):
+    """S9 + J7: image (name, size from the order) joined to its encoded label mask into one training record with
+    the normalised format name; a left join keeps images without a mask and flags them."""
+    ann, seg = _union_segments(spark, sf_dir)
+    masks = V.mask_per_image(seg, F.col("c") >= 1, V.image_ids(ann)).filter(F.col("EncodedPixels").isNotNull())
+    masks = masks.select(F.col("ImageId").alias("image_id"), F.encode("EncodedPixels", "UTF-8").alias("mask_bytes"))
+    o = X.table(spark, sf_dir, "orders")
+    imgs = o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".jpg")).alias("image_id"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".jpg")).alias("filename"),
+        (F.lit(256) + F.col("o_orderkey") % 700).alias("height"), (F.lit(256) + F.col("o_orderkey") % 500).alias("width"),
+        F.lit(None).cast("binary").alias("image_bytes"),
+    )
+    rec = IO.assemble_record(imgs, masks)
+    return rec.select(
+        "image_id", F.col("`image/filename`").alias("filename"), F.col("`image/format`").alias("format"),
+        F.col("`image/height`").alias("height"), F.col("`image/width`").alias("width"),
+        F.col("`image/channels`").alias("channels"), F.col("`image/segmentation/class/format`").alias("mask_format"),
+        "mask_missing", F.coalesce(F.length("`image/segmentation/class/encoded`"), F.lit(0)).cast("bigint").alias("mask_bytes"),
+    )
