@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskframe.functions.classes import CANVAS_H, CANVAS_W
+from maskframe.session import ship_package
 
 ID = "ImageId"
 ENC = "EncodedPixels"
@@ -102,6 +103,7 @@ def connected_components(pieces: DataFrame, height: int = CANVAS_H, width: int =
         c, a, b, inst = label_pieces(pdf["col"].to_numpy(), pdf["r0"].to_numpy(), pdf["r1"].to_numpy(), height, width)
         return pd.DataFrame({id_col: pdf[id_col].iloc[0], "instance_id": inst, "col": c, "r0": a, "r1": b})
 
+    ship_package(pieces.sparkSession)
     schema = f"`{id_col}` string, instance_id bigint, col bigint, r0 bigint, r1 bigint"
     p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
     return p.groupBy(id_col).applyInPandas(fn, schema)
@@ -129,6 +131,7 @@ def multi_rle(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width:
         ks, texts = _encode_all(inst, c, a, b, height)
         return pd.DataFrame({id_col: pdf[id_col].iloc[0], "instance_id": ks, ENC: texts}, columns=[id_col, "instance_id", ENC])
 
+    ship_package(pieces.sparkSession)
     schema = f"`{id_col}` string, instance_id bigint, `{ENC}` string"
     p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
     enc = p.groupBy(id_col).applyInPandas(fn, schema)
@@ -226,6 +229,7 @@ def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, partitions:
         if carry is not None and len(carry):
             yield frame_fn(carry)
 
+    ship_package(pieces.sparkSession)
     n = partitions or pieces.sparkSession.sparkContext.defaultParallelism
     p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
     p = p.repartition(n, id_col).sortWithinPartitions(id_col, "col", "r0")

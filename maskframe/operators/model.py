@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.session import ship_package
+
 _MODELS: dict[str, object] = {}
 
 
@@ -48,6 +50,7 @@ def batch_score(grids: DataFrame, model_fn=LinearGridModel, id_col: str = "image
             x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[data_col]])
             yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "score": model(x)})
 
+    ship_package(grids.sparkSession)
     id_type = dict(grids.dtypes)[id_col]
     return grids.select(id_col, data_col).mapInPandas(fn, f"{id_col} {id_type}, score double")
 
@@ -122,6 +125,7 @@ def decode_png_files(files: DataFrame) -> DataFrame:
                 rows.append((p, h, w, c, img.reshape(-1).astype(np.float64)))
             yield pd.DataFrame(rows, columns=["path", "h", "w", "c", "data"])
 
+    ship_package(files.sparkSession)
     return files.select("path", "content").mapInPandas(fn, "path string, h int, w int, c int, data array<double>")
 
 
@@ -149,6 +153,7 @@ def write_png_grids(grids: DataFrame, out_dir: str, id_col: str = "image_id") ->
                 paths.append(p)
             yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "path": paths})
 
+    ship_package(grids.sparkSession)
     return grids.select(id_col, "h", "w", "data").mapInPandas(fn, f"{id_col} bigint, path string")
 
 

@@ -53,3 +53,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``maskframe`` importable in Python workers (``mapInPandas`` / ``applyInPandas`` bodies refer to its
+    functions): zip the package once per SparkContext and distribute it with ``addPyFile`` (the ``--py-files``
+    mechanism; Spark serves the file to every executor). A no-op when already done for this context."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="maskframe-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "maskframe"), "zip", root_dir=os.path.dirname(pkg), base_dir="maskframe")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
