@@ -243,11 +243,16 @@ def preprocess(images: DataFrame, seed, crop_h: int, crop_w: int, is_training: b
     return x.withColumn("h", F.lit(crop_h)).withColumn("w", F.lit(crop_w)).withColumnRenamed("_fl", "flipped").drop("_oh", "_ow")
 
 
-def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str = "label_w") -> DataFrame:
+def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str = "label_w",
+                     label_c: str | None = None) -> DataFrame:
     """Reason codes instead of exceptions: ``shape_mismatch`` (image and label sizes differ),
-    ``bad_channels`` (not 1 or 3), else ``ok``; ``strict_validate`` turns any failure into a job error."""
+    ``bad_channels`` (not 1 or 3), ``bad_label_rank`` (a label with more than one channel, i.e. not [h, w] or
+    [h, w, 1]), else ``ok``; ``strict_validate`` turns any failure into a job error."""
     reason = (F.when((F.col("h") != F.col(label_h)) | (F.col("w") != F.col(label_w)), "shape_mismatch")
-              .when(~F.col("c").isin(1, 3), "bad_channels").otherwise("ok"))
+              .when(~F.col("c").isin(1, 3), "bad_channels"))
+    if label_c is not None:
+        reason = reason.when(F.coalesce(F.col(label_c), F.lit(1)) != 1, "bad_label_rank")
+    reason = reason.otherwise("ok")
     return images.withColumn("reason", reason)
 
 

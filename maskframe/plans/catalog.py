@@ -1403,3 +1403,29 @@ def assemble_record(spark, sf_dir):
         F.col("`image/channels`").alias("channels"), F.col("`image/segmentation/class/format`").alias("mask_format"),
         "mask_missing", F.coalesce(F.length("`image/segmentation/class/encoded`"), F.lit(0)).cast("bigint").alias("mask_bytes"),
     )
+
+
+@register(
+    "split_projection",
+    f"""{E1_SQL},
+sel AS (SELECT DISTINCT sample FROM records),
+im AS (SELECT imgc.ImageId, imgc.class, split.split FROM imgc JOIN split USING (ImageId))
+SELECT ImageId, CASE WHEN substr(ImageId, 1, length(ImageId) - 4) IN (SELECT sample FROM sel) THEN split ELSE 'test' END AS split,
+       CASE WHEN substr(ImageId, 1, length(ImageId) - 4) IN (SELECT sample FROM sel) THEN class END AS class
+FROM im""",
+)
+def split_projection(spark, sf_dir):
+    """Images that no record of the training build uses form the unlabeled ``test`` split; their labels are
+    projected away, the others keep their split and class."""
+    from maskframe.plans.training_set import make_training_set as build
+
+    ann = X.annotations(spark, sf_dir)
+    recs = build(ann, SEED, DROP_NEGATIVES, 0.01, 4, SPLIT_BINS).select("sample").distinct()
+    kept = S.drop_first(__import__("maskframe.plans.training_set", fromlist=["ranked_rows"]).ranked_rows(ann, SEED), DROP_NEGATIVES)
+    img = A.image_rollup(kept.select("ImageId", "EncodedPixels"))
+    img = img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn("sclass", C.area_class(F.col("area"), SPLIT_BINS))
+    sp = S.stratified_split(img.select("ImageId", "class", "sclass"), 0.01, SEED, class_col="sclass")
+    used = recs.select(F.col("sample"), F.lit(True).alias("_used"))
+    j = sp.join(used, sample_name("ImageId", "") == F.col("sample"), "left")
+    j = j.withColumn("split", F.when(F.col("_used").isNull(), "test").otherwise(F.col("split")))
+    return IO.split_projection(j, ["class"]).select("ImageId", "split", F.col("class").cast("int").alias("class"))

@@ -132,3 +132,13 @@ def assemble_record(images: DataFrame, masks: DataFrame | None, id_col: str = "i
         cols += [F.col("mask_bytes").alias("image/segmentation/class/encoded"),
                  F.lit("png").alias("image/segmentation/class/format"), F.col("mask_bytes").isNull().alias("mask_missing")]
     return j.select(id_col, *cols)
+
+
+def split_projection(samples: DataFrame, label_cols, split_col: str = "split", name_col: str | None = None) -> DataFrame:
+    """The ``test`` split carries no labels (set to null), and a missing sample name becomes ``''``."""
+    out = samples
+    for c in label_cols:
+        out = out.withColumn(c, F.when(F.col(split_col) == "test", F.lit(None)).otherwise(F.col(c)))
+    if name_col:
+        out = out.withColumn(name_col, F.coalesce(F.col(name_col), F.lit("")))
+    return out

@@ -63,10 +63,12 @@ def running_confusion(stream: DataFrame, ckpt_col: str = "checkpoint", label_col
     return stream.groupBy(ckpt_col, label_col, pred_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def run_available_now(df: DataFrame, keys: list[str], name: str, mode: str = "update") -> DataFrame:
-    """Run a streaming aggregation to completion of the current input with a checkpoint, then return its result."""
+def run_available_now(df: DataFrame, keys: list[str], name: str, mode: str = "update", base: str | None = None) -> DataFrame:
+    """Run a streaming aggregation to completion of the current input with a checkpoint, then return its result.
+    Passing the same ``base`` again resumes from the committed offsets and state (a restart processes only new
+    files)."""
     spark = df.sparkSession
-    base = scratch(spark, name)
+    base = base or scratch(spark, name)
     q = (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{base}/_checkpoint")
