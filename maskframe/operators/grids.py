@@ -258,3 +258,26 @@ def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str =
 
 def strict_validate(checked: DataFrame) -> DataFrame:
     return checked.withColumn("reason", F.when(F.col("reason") != "ok", F.raise_error(F.concat(F.lit("invalid sample: "), F.col("reason")))).otherwise(F.col("reason")))
+
+
+# fixed values: evaluation scales and orientations of the multi-view inference
+EVAL_SCALES = (0.75, 1.25, 1.75)
+ORIENTATIONS = ("none", "lr", "ud")
+
+
+def cross_views(images: DataFrame, scales=EVAL_SCALES, orientations=ORIENTATIONS) -> DataFrame:
+    """Every image x every (scale, orientation) view -- a cross join with a broadcast view table of
+    ``len(scales) * len(orientations)`` rows -- then each view resized to ``trunc(dim * scale)`` (bilinear, corners
+    aligned) and flipped left-right / up-down."""
+    spark = images.sparkSession
+    views = spark.createDataFrame(
+        [(i * len(orientations) + j, float(s), o) for i, s in enumerate(scales) for j, o in enumerate(orientations)],
+        "view int, scale double, orientation string")
+    x = images.crossJoin(F.broadcast(views))
+    x = x.withColumn("_nh", (F.col("h") * F.col("scale")).cast("int")).withColumn("_nw", (F.col("w") * F.col("scale")).cast("int"))
+    x = resize_to(x, "_nh", "_nw", "bilinear", "data")
+    x = x.withColumn("h", F.col("_nh")).withColumn("w", F.col("_nw")).drop("_nh", "_nw", "_oh", "_ow")
+    g = _grid(F.col("h"), F.col("w"), lambda r, c, s: _cell(s["data"], F.when(s["o"] == "ud", s["h"] - 1 - r).otherwise(r) * s["w"]
+                                                             + F.when(s["o"] == "lr", s["w"] - 1 - c).otherwise(c)),
+              cols=("data", "h", "w", "o"))
+    return x.withColumn("o", F.col("orientation")).withColumn("data", g).drop("o")

@@ -1429,3 +1429,34 @@ def split_projection(spark, sf_dir):
     j = sp.join(used, sample_name("ImageId", "") == F.col("sample"), "left")
     j = j.withColumn("split", F.when(F.col("_used").isNull(), "test").otherwise(F.col("split")))
     return IO.split_projection(j, ["class"]).select("ImageId", "split", F.col("class").cast("int").alias("class"))
+
+
+def _bilinear_sql(n: str) -> str:
+    """Bilinear (aligned corners) of the 8 x 8 ``data`` to ``n`` x ``n`` (``n`` a column), DuckDB list lambdas."""
+    sy = f"((i // {n}) * 7 / GREATEST({n} - 1, 1))"
+    sx = f"((i % {n}) * 7 / GREATEST({n} - 1, 1))"
+    y0, x0 = f"CAST(floor({sy}) AS INTEGER)", f"CAST(floor({sx}) AS INTEGER)"
+    y1, x1 = f"LEAST({y0} + 1, 7)", f"LEAST({x0} + 1, 7)"
+    dy, dx = f"({sy} - floor({sy}))", f"({sx} - floor({sx}))"
+    return (f"list_transform(range({n} * {n}), lambda i: (1 - {dy}) * (1 - {dx}) * data[{y0} * 8 + {x0} + 1]"
+            f" + (1 - {dy}) * {dx} * data[{y0} * 8 + {x1} + 1] + {dy} * (1 - {dx}) * data[{y1} * 8 + {x0} + 1]"
+            f" + {dy} * {dx} * data[{y1} * 8 + {x1} + 1])")
+
+
+@register(
+    "cross_views",
+    f"""WITH {GRID},
+v AS (SELECT * FROM (VALUES (0, 0.75, 'none'), (1, 0.75, 'lr'), (2, 0.75, 'ud'), (3, 1.25, 'none'), (4, 1.25, 'lr'),
+      (5, 1.25, 'ud'), (6, 1.75, 'none'), (7, 1.75, 'lr'), (8, 1.75, 'ud')) t(view, scale, orientation)),
+x AS (SELECT g.image_id, v.view, v.orientation, CAST(floor(8 * CAST(v.scale AS DOUBLE)) AS INTEGER) AS n, g.data FROM g, v),
+r AS (SELECT image_id, view, orientation, n, {_bilinear_sql('n')} AS data FROM x),
+f AS (SELECT image_id, view, n AS h, n AS w, list_transform(range(n * n), lambda i:
+        data[CASE WHEN orientation = 'ud' THEN n - 1 - i // n ELSE i // n END * n + CASE WHEN orientation = 'lr' THEN n - 1 - i % n ELSE i % n END + 1]) AS data FROM r)
+SELECT image_id, view, h, w, {_cs_sql('data')} AS checksum FROM f""",
+)
+def cross_views_q(spark, sf_dir):
+    """J6 (+ I6, I1): each 8x8 image in the nine inference views (three scales x as-is / left-right / up-down)."""
+    v = G.cross_views(X.grid_arrays(spark, sf_dir))
+    cs = F.round(F.aggregate(F.zip_with("data", F.sequence(F.lit(1), F.size("data")), lambda a, i: a * i), F.lit(0.0),
+                             lambda a, x: a + x), 6)
+    return v.select("image_id", "view", "h", "w", cs.alias("checksum"))
