@@ -756,9 +756,6 @@ IGNORE = 9
 NUM_CLASSES = 10
 CS = """cs AS (SELECT vec_id AS image_id, CAST(pos // 10 AS INTEGER) AS view, CAST(pos % 10 AS INTEGER) AS class,
   CAST(embedding[pos + 1] AS DOUBLE) AS logit, label FROM embeddings, range(60) t(pos))"""
-SOFTMAX = """sm AS (SELECT image_id, view, class, label,
-  exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)) / SUM(exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)))
-    OVER (PARTITION BY image_id, view) AS prob FROM cs)"""
 # softmax in two steps (DuckDB does not nest window functions)
 SOFTMAX = """sm0 AS (SELECT *, exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)) AS e FROM cs),
 sm AS (SELECT image_id, view, class, label, e / SUM(e) OVER (PARTITION BY image_id, view) AS prob FROM sm0)"""
@@ -1418,10 +1415,11 @@ def split_projection(spark, sf_dir):
     """Images that no record of the training build uses form the unlabeled ``test`` split; their labels are
     projected away, the others keep their split and class."""
     from maskframe.plans.training_set import make_training_set as build
+    from maskframe.plans.training_set import ranked_rows
 
     ann = X.annotations(spark, sf_dir)
     recs = build(ann, SEED, DROP_NEGATIVES, 0.01, 4, SPLIT_BINS).select("sample").distinct()
-    kept = S.drop_first(__import__("maskframe.plans.training_set", fromlist=["ranked_rows"]).ranked_rows(ann, SEED), DROP_NEGATIVES)
+    kept = S.drop_first(ranked_rows(ann, SEED), DROP_NEGATIVES)
     img = A.image_rollup(kept.select("ImageId", "EncodedPixels"))
     img = img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn("sclass", C.area_class(F.col("area"), SPLIT_BINS))
     sp = S.stratified_split(img.select("ImageId", "class", "sclass"), 0.01, SEED, class_col="sclass")
