@@ -46,11 +46,15 @@ def _ranges_literal(resize: int, n: int, size: int):
 
 
 def tile_overlap(segments: DataFrame, resize: int, n: int, size: int = 256, id_col: str = ID,
-                 value_col: str | None = "c") -> DataFrame:
+                 value_col: str | None = "c", force_literal: bool = False) -> DataFrame:
     """Per (image, tile), the sum of mask values inside the box (``mask_area``), for tiles that overlap the
     mask. ``segments`` are column pieces ``(id, col, r0, r1[, value])`` on a ``resize`` x ``resize`` canvas."""
-    rng = _ranges_literal(resize, n, size)
     v = F.col(value_col) if value_col else F.lit(1)
+    r = tile_ranges(resize, n, size)
+    steps = {r[i + 1][1] - r[i][1] for i in range(len(r) - 1)}
+    if len(steps) == 1 and r[0][1] == 0 and not force_literal:
+        return _tile_overlap_uniform(segments, n, size, steps.pop(), id_col, v)
+    rng = _ranges_literal(resize, n, size)
     x = segments.select(
         id_col, "r0", "r1", v.alias("v"),
         F.explode(F.filter(rng, lambda b: (b["lo"] <= F.col("col")) & (F.col("col") < b["hi"]))).alias("bx"),
@@ -64,6 +68,28 @@ def tile_overlap(segments: DataFrame, resize: int, n: int, size: int = 256, id_c
     return z.groupBy(id_col, "tile").agg(F.sum("a").cast("bigint").alias("mask_area"))
 
 
+def _tile_overlap_uniform(segments: DataFrame, n: int, size: int, step: int, id_col: str, v) -> DataFrame:
+    """Evenly spaced boxes ``[step*i, step*i + size)``: the boxes holding column ``col`` are
+    ``i in [floor((col - size) / step) + 1, floor(col / step)]`` and the boxes meeting rows ``[r0, r1)`` are
+    ``i in [floor((r0 - size) / step) + 1, ceil(r1 / step) - 1]`` (clipped to ``[0, n-1]``): native ``sequence``,
+    no lambda per piece."""
+
+    def rng(lo, hi):
+        lo = F.greatest(lo, F.lit(0))
+        hi = F.least(hi, F.lit(n - 1))
+        return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    fl = lambda x: F.floor(x / F.lit(step)).cast("int")
+    col = F.col("col")
+    x = segments.select(id_col, "r0", "r1", v.alias("v"), F.explode(rng(fl(col - size) + 1, fl(col))).alias("ix"))
+    y = x.select(id_col, "v", "ix", "r0", "r1",
+                 F.explode(rng(fl(F.col("r0") - size) + 1, F.ceil(F.col("r1") / F.lit(step)).cast("int") - 1)).alias("iy"))
+    lo = F.col("iy") * step
+    ov = F.least(F.col("r1"), lo + size) - F.greatest(F.col("r0"), lo)
+    z = y.select(id_col, (F.col("iy") * n + F.col("ix")).cast("int").alias("tile"), (F.col("v") * ov).alias("a"))
+    return z.groupBy(id_col, "tile").agg(F.sum("a").cast("bigint").alias("mask_area"))
+
+
 def topk_tiles(tile_areas: DataFrame, k: int, min_area: int = 64, id_col: str = ID) -> DataFrame:
     """W4 + P8: the ``k`` tiles with the largest mask area per image (ties: higher tile index first, the tail of an
     ascending stable sort), kept when the area reaches ``min_area``. The window partition is one image's tiles (at
