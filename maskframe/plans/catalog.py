@@ -1458,3 +1458,19 @@ def cross_views_q(spark, sf_dir):
     cs = F.round(F.aggregate(F.zip_with("data", F.sequence(F.lit(1), F.size("data")), lambda a, i: a * i), F.lit(0.0),
                              lambda a, x: a + x), 6)
     return v.select("image_id", "view", "h", "w", cs.alias("checksum"))
+
+
+@register(
+    "split_audit",
+    f"""{BASE}, {SPLIT_SQL}, act AS (SELECT split, CAST(COUNT(*) AS BIGINT) AS actual FROM split GROUP BY 1),
+dec AS (SELECT * FROM (VALUES ('train', 19875), ('val', 852)) t(split, declared))
+SELECT 'ship' AS name, COALESCE(dec.split, act.split) AS split, CAST(declared AS BIGINT) AS declared, actual,
+       CAST(COALESCE(actual, 0) - COALESCE(declared, 0) AS BIGINT) AS diff
+FROM dec FULL JOIN act ON dec.split = act.split""",
+)
+def split_audit(spark, sf_dir):
+    """Images per split of the stratified split against the hand-kept sizes of the ship dataset."""
+    sp = split_images(spark, sf_dir).select("ImageId", "split")
+    return IO.audit_split_sizes(sp, IO.dataset_registry(spark), "ship").select(
+        "name", "split", F.col("declared").cast("bigint").alias("declared"), "actual", F.col("diff").cast("bigint").alias("diff")
+    )
