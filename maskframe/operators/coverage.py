@@ -39,23 +39,30 @@ def coverage_segments(
     Masks are added, not or-ed: a pixel in two instances counts 2 (SURVEY 1.1-5)."""
     if isinstance(sources, DataFrame):
         sources = [sources]
+    return sweep_pieces([run_pieces(rle_runs(src, height, width, id_col, enc_col), height, id_col) for src in sources],
+                        id_col)
+
+
+def sweep_pieces(sources: Sequence[DataFrame], id_col: str = ID, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The sweep of :func:`coverage_segments` on column pieces ``(id, *keep, col, r0, r1)`` of one or more sources;
+    ``keep`` columns (e.g. a label value layer) are part of the key."""
     ns = len(sources)
     pieces = None
     for i, src in enumerate(sources):
-        p = run_pieces(rle_runs(src, height, width, id_col, enc_col), height, id_col).withColumn("src", F.lit(i))
+        p = src.select(id_col, *keep, "col", "r0", "r1").withColumn("src", F.lit(i))
         pieces = p if pieces is None else pieces.unionByName(p)
-    ev = pieces.selectExpr(f"`{id_col}`", "col", "src", "stack(2, r0, 1, r1, -1) AS (pos, d)")
+    ev = pieces.selectExpr(f"`{id_col}`", *[f"`{k}`" for k in keep], "col", "src", "stack(2, r0, 1, r1, -1) AS (pos, d)")
     aggs = [F.sum("d").alias("d")]
     if ns > 1:
         aggs += [F.sum(F.when(F.col("src") == i, F.col("d")).otherwise(0)).alias(f"d{i}") for i in range(ns)]
-    g = ev.groupBy(id_col, "col", "pos").agg(*aggs)
+    g = ev.groupBy(id_col, *keep, "col", "pos").agg(*aggs)
     nz = F.col("d") != 0
     for i in range(ns if ns > 1 else 0):
         nz = nz | (F.col(f"d{i}") != 0)
     g = g.filter(nz)
-    w = Window.partitionBy(id_col, "col").orderBy("pos")
+    w = Window.partitionBy(id_col, *keep, "col").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [id_col, "col", F.col("pos").alias("r0"), F.lead("pos").over(w).alias("r1"),
+    cols = [id_col, *keep, "col", F.col("pos").alias("r0"), F.lead("pos").over(w).alias("r1"),
             F.sum("d").over(run).cast("int").alias("c")]
     if ns > 1:
         cols += [F.sum(f"d{i}").over(run).cast("int").alias(f"c{i}") for i in range(ns)]
@@ -175,3 +182,26 @@ def mask_iou(truth: DataFrame, pred: DataFrame, height: int = CANVAS_H, width: i
     return g.withColumn(
         "iou", F.when(F.col("union_px") > 0, F.round(F.col("intersection") / F.col("union_px"), 6))
     )
+
+
+def horizontal_runs(pieces: DataFrame, id_col: str = ID, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Row-wise maximal runs ``(id, *keep, row, c0, c1)`` (columns c0..c1 inclusive) of a mask given as column pieces,
+    without going through pixels: a run starts at column c on the rows a piece of c covers and column c-1 does not
+    (a sweep of the pieces against themselves shifted by one column), and ends symmetrically; only the start and end
+    rows are exploded, and the k-th start of a row pairs with its k-th end. Window partitions are one row of one image
+    (at most W entries)."""
+
+    inner = tuple(f"_key{i}" for i in range(len(keep)))  # keep columns may clash with the sweep's own names
+    base = pieces.select(id_col, *[F.col(k).alias(n) for k, n in zip(keep, inner)], "col", "r0", "r1")
+
+    def edge(shift: int) -> DataFrame:
+        other = base.withColumn("col", F.col("col") + shift)
+        seg = sweep_pieces([base, other], id_col, inner)
+        s = seg.filter((F.col("c0") > 0) & (F.col("c1") == 0))
+        return s.select(id_col, *inner, "col", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("row"))
+
+    w = lambda: Window.partitionBy(id_col, *inner, "row").orderBy("col")
+    starts = edge(1).withColumn("k", F.row_number().over(w())).withColumnRenamed("col", "c0")
+    ends = edge(-1).withColumn("k", F.row_number().over(w())).withColumnRenamed("col", "c1")
+    j = starts.join(ends, [id_col, *inner, "row", "k"]).drop("k")
+    return j.select(id_col, *[F.col(n).alias(k) for k, n in zip(keep, inner)], "row", "c0", "c1")

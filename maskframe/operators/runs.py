@@ -86,8 +86,26 @@ def rotate_180(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
 def rotate_90(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
               keep: tuple[str, ...] = (), centre=ROTATION_CENTRE) -> DataFrame:
     """M11 (90 degrees, counter-clockwise as OpenCV's positive angle) about ``centre``:
-    ``(x, y) -> (y + cx - cy, cx + cy - x)``. A column piece becomes a row segment, so this goes through pixels of
-    the rotated mask and regroups them into column pieces (W5)."""
+    ``(x, y) -> (y + cx - cy, cx + cy - x)``. A row-wise run of the source (row r, columns c0..c1) is exactly one
+    column piece of the result (column r + cx - cy, rows cx + cy - c1 .. cx + cy - c0), so the rotation is computed
+    from :func:`coverage.horizontal_runs` without exploding pixels."""
+    from maskframe.operators.coverage import horizontal_runs
+
+    cx, cy = centre
+    h = horizontal_runs(pieces.select(id_col, *keep, "col", "r0", "r1"), id_col, keep)
+    out = h.select(
+        id_col, *keep,
+        (F.col("row") + F.lit(cx - cy)).alias("col"),
+        F.greatest(F.lit(cx + cy) - F.col("c1"), F.lit(0)).alias("r0"),
+        F.least(F.lit(cx + cy + 1) - F.col("c0"), F.lit(height)).alias("r1"),
+    )
+    return out.filter((F.col("col") >= 0) & (F.col("col") < width) & (F.col("r1") > F.col("r0")))
+
+
+def rotate_90_pixels(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
+                     keep: tuple[str, ...] = (), centre=ROTATION_CENTRE) -> DataFrame:
+    """M11 (90 degrees) through pixels of the rotated mask, regrouped into column pieces (W5); the reference form
+    :func:`rotate_90` is checked against."""
     cx, cy = centre
     px = pieces.select(id_col, *keep, "col", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("row"))
     rot = px.select(

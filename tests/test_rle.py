@@ -92,3 +92,23 @@ def test_flip_and_roundtrip(spark):
 def test_encode_runs_expression(spark):
     df = spark.createDataFrame([([(4, 6), (0, 2)],)], "r array<struct<a:bigint,b:bigint>>")
     assert df.select(encode_runs("r").alias("e")).first()["e"] == "1 2 5 2"
+
+
+def test_rotate_90_pixel_free_equals_pixel_form(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(12):
+        for _ in range(3):
+            s = int(rng.integers(1, 768 * 768 - 3000))
+            rows.append((f"{k}.jpg", f"{s} {int(rng.integers(1, 2500))} {s + 5000} {int(rng.integers(1, 800))}"))
+    df = ann(spark, rows)
+    seg = V.coverage_segments(df)
+    p = seg.select("ImageId", "col", "r0", "r1", "c")
+    a = V.encode_pieces(R.rotate_90(p.drop("c")))
+    b = V.encode_pieces(R.rotate_90_pixels(p.drop("c")))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    la = R.rotate_90(p, keep=("c",)).groupBy("c").agg(F.sum(F.col("r1") - F.col("r0")).alias("n"))
+    lb = R.rotate_90_pixels(p, keep=("c",)).groupBy("c").agg(F.sum(F.col("r1") - F.col("r0")).alias("n"))
+    assert sorted(map(tuple, la.collect())) == sorted(map(tuple, lb.collect()))
