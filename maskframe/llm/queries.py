@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import langid, mixing, packing, sharding, toxicity, viterbi
+from maskframe.llm import langid, mixing, ngram_join, packing, sharding, toxicity, viterbi
 from maskframe.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.share")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "text_class", "class_id", "n_links")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, spans = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken(documents, spans).select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -65,10 +69,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_language_id": op4_language_id,
+    "op6_ngram_join": op6_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_ngram_join": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+  FROM words WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b, i = p.n AND i = q.n AS equal_sets FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 5 * i >= 4 * (p.n + q.n - i)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+own AS (SELECT a, count(*) AS n_links, min(CASE WHEN equal_sets THEN b END) AS twin FROM links GROUP BY a)
+SELECT d.doc_id, least(d.doc_id, coalesce(o.twin, d.doc_id)) AS text_class, coalesce(r.root, d.doc_id) AS class_id, coalesce(o.n_links, 0) AS n_links
+FROM documents d LEFT JOIN roots r ON r.a = d.doc_id LEFT JOIN own o ON o.a = d.doc_id WHERE d.doc_id IS NOT NULL
+""",
+}
