@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import langid, mixing, ngram_join, packing, sharding, toxicity, viterbi
+from maskframe.llm import hnsw, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
 from maskframe.llm.common import table
 
 
@@ -19,6 +19,11 @@ def held_out(modulus: int, remainder: int):
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
 
 
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -33,6 +38,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.share")
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), least=0.95)
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "text_class", "class_id", "n_links")
 
@@ -67,8 +76,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_maxscore": op1_maxscore,
     "op2_packing": op2_packing,
     "op4_language_id": op4_language_id,
+    "op5_near_vectors": op5_near_vectors,
     "op6_ngram_join": op6_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
@@ -76,7 +87,33 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
+#: rows of embeddings that take part: (id, vector in double precision)
+VECTORS = """
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_maxscore": f"""
+WITH part AS (SELECT DISTINCT id, list_transform(v, lambda x: CAST(floor(256 * x) AS BIGINT)) AS v FROM ({VECTORS})),
+scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM part q JOIN part c ON c.id <> q.id AND len(c.v) = len(q.v) WHERE q.id % 50 = 0
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op5_near_vectors": f"""
+WITH RECURSIVE part AS (
+  SELECT id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM ({VECTORS})
+  WHERE len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.id AS a, b.id AS b FROM part a JOIN part b ON a.id <> b.id AND len(a.v) = len(b.v)
+  WHERE list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) >= 0.95
+), reach AS (SELECT id AS a, id AS b FROM part UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a), own AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(o.n, 0) AS n_links, coalesce(r.root, e.vec_id) AS component_id, e.vec_id = coalesce(r.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN roots r ON r.a = e.vec_id LEFT JOIN own o ON o.a = e.vec_id
+""",
     "op6_ngram_join": """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE doc_id IS NOT NULL
