@@ -13,8 +13,13 @@ from maskframe.session import checkpoint_dir, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def ready(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Python workers can import this package."""
+    ship_package(df.sparkSession)
+    return df
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import components, written
+from maskframe.llm.common import components, ready, written
 from maskframe.llm.topk import usable
 
 
@@ -219,7 +219,7 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
     links: node, others (rows of other vectors linked directly), to (one linked node, the smallest seen). members: id, node."""
     good = F.col(key).isNotNull() & usable(F.col(vector)) & F.exists(F.col(vector), lambda x: x != 0)
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
-    part = rows.filter(good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
+    part = ready(rows).filter(good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
     part = part.withColumn("h0", F.xxhash64("v")).withColumn("h1", F.xxhash64(F.lit("second"), "v"))
     nodes = written(part.groupBy("h0", "h1").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), "vectors")
     members = part.select("id", "h0", "h1").join(nodes.select("h0", "h1", "node"), ["h0", "h1"]).select("id", "node")

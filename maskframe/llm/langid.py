@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.llm.common import ready
+
 LETTERS = re.compile(r"[^\W\d_]+")
 #: odd multipliers of the n-gram and slot hashes (fixed values; any will do)
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
@@ -85,7 +87,7 @@ def fit(labelled: DataFrame, sizes: tuple[int, ...] = (1, 2, 3, 4), rows_per_lan
     and at no less than ``share`` of the rate of the language in which it is most frequent. The table of ``2 ** bits`` slots
     is the only thing that reaches the driver. No labelled rows: a model that answers ``und``.
     """
-    d = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
+    d = ready(labelled).filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     n = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(n)
     keep = F.lit(False)
@@ -133,4 +135,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
         m = held.value
         return pd.DataFrame([m.predict(t) for t in texts], columns=["lang", "score", "share"])
 
-    return docs.withColumn(out, F.pandas_udf(predict, "lang string, score double, share double")(F.col(text)))
+    return ready(docs).withColumn(out, F.pandas_udf(predict, "lang string, score double, share double")(F.col(text)))

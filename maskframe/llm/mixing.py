@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import running, written
+from maskframe.llm.common import ready, running, written
 
 #: a word is a run of other characters than space, tab, line feed, vertical tab, form feed and carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -125,7 +125,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeat: int = 3,
     that pass over its source. A null or empty text has size 0 and no span; a null source is a source of its own; equal
     rows count each; an empty table gives empty frames. The result depends only on the rows and the parameters.
     """
-    spark = docs.sparkSession
+    spark = ready(docs).sparkSession
     d = written(documents_of(docs), "mix-documents")
     s = sources_of(d, weights, repeat)
     rows = [(x, i, int(n), float(t)) for i, (x, n, t) in enumerate(s[["source", "size", "target"]].itertuples(index=False, name=None))]

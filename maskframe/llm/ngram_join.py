@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import components, written
+from maskframe.llm.common import components, ready, written
 
 WORD = re.compile(r"\w+")
 ONE = np.uint64(1)
@@ -193,7 +193,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     bands, rows = bands_for(threshold, recall)
     limit = Fraction(str(threshold))
     sh = Shingler(n, bands, rows)
-    c = written(classes(docs, sh), "ngram-classes")
+    c = written(classes(ready(docs), sh), "ngram-classes")
     words = c.filter("grams > 0")
     own = ["k0", "k1"]
     reps = words.groupBy(*own).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))

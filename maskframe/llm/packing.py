@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import running, written
+from maskframe.llm.common import ready, running, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -69,7 +69,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECES)
+    return ready(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECES)
 
 
 def best_configuration(price: np.ndarray, have: np.ndarray, capacity: int) -> dict[int, int]:

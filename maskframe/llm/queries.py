@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import hnsw, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
+from maskframe.llm import hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
 from maskframe.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_extract.extract(pages, html_extract.fit(html_extract.labelled_pages(spark)))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def language_model(docs: DataFrame) -> langid.Model:
     return langid.fit(docs.filter(~held_out(4, 2)))
 
@@ -78,6 +84,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_maxscore": op1_maxscore,
     "op2_packing": op2_packing,
+    "op3_html_text": op3_html_text,
     "op4_language_id": op4_language_id,
     "op5_near_vectors": op5_near_vectors,
     "op6_ngram_join": op6_ngram_join,

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from maskframe.llm.common import ready
+
 BLOCK = 256
 
 
@@ -92,7 +94,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, sha
     def taking_part(d: DataFrame) -> DataFrame:
         return d.filter(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), impacts(F.col(vector), scale).alias("v"))
 
-    cand = taking_part(rows)
+    cand = taking_part(ready(rows))
     shards = max(least_shards, -(-rows.filter(F.col(key).isNotNull()).count() // shard_rows))
     cand = cand.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "id", "v")
     ask = taking_part(queries).distinct().select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "id", "v")

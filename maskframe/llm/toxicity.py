@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.llm.common import ready
+
 WORD = re.compile(r"[^\W_]+")
 MARKS = re.compile(r"[\"“”„«»]")
 #: fixed values: words that announce a quotation or a mention
@@ -202,7 +204,7 @@ def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...
     stay. Words near a term that clean documents use at least as often are harmless. With one label only or none, the
     model has no terms and answers the labels' share.
     """
-    d = labelled.filter("text IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    d = ready(labelled).filter("text IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     n = {r["toxic"]: r["n"] for r in d.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         p = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
@@ -270,7 +272,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "toxici
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([held.value.score(t) for t in texts], dtype="float64")
 
-    return docs.withColumn(out, F.pandas_udf(score, "double")(F.col(text)))
+    return ready(docs).withColumn(out, F.pandas_udf(score, "double")(F.col(text)))
 
 
 def hits(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -282,4 +284,4 @@ def hits(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             rows = [(i, *h) for i, t in zip(b["doc_id"], b[text], strict=True) for h in (held.value.hits(t) if t else ())]
             yield pd.DataFrame(rows, columns=["doc_id", "word", "term", "distance", "context"]).astype({"doc_id": "Int64", "distance": "int32"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInPandas(find, "doc_id long, word string, term string, distance int, context double")
+    return ready(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInPandas(find, "doc_id long, word string, term string, distance int, context double")

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.llm.common import ready
+
 _MODELS: dict[tuple, Counter] = {}
 
 #: score of an unknown below the worst piece
@@ -106,4 +108,4 @@ def token_counts(docs: DataFrame, model: str, text: str = "text", byte_fallback:
         return pd.DataFrame([(n, s) for s, n in map(c.text, texts)], columns=["n", "s"])
 
     count = F.pandas_udf(count, "n long, s double")
-    return docs.withColumn("_c", count(F.col(text))).withColumns({"n_tokens": F.col("_c.n"), "token_score": F.col("_c.s")}).drop("_c")
+    return ready(docs).withColumn("_c", count(F.col(text))).withColumns({"n_tokens": F.col("_c.n"), "token_score": F.col("_c.s")}).drop("_c")
