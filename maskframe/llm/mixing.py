@@ -136,7 +136,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeat: int = 3,
     at = running(known.filter("size > 0"), ["src"], ["doc_id", "h", "copy"], F.col("size"), "start")
     pieces = at.select("doc_id", "source", "h", "copy", "src", "start", "size", F.explode(F.sequence((F.col("start") / block).cast("long"), ((F.col("start") + F.col("size") - 1) / block).cast("long"))).alias("block"))
     pieces = pieces.withColumn("lo", F.greatest(F.col("start") - F.col("block") * block, F.lit(0))).withColumn("hi", F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block)))
-    spans = pieces.join(slots, ["src", "block"]).withColumn("hi", F.least("hi", "words")).filter("hi > lo")
+    spans = pieces.join(slots.hint("merge"), ["src", "block"]).withColumn("hi", F.least("hi", "words")).filter("hi > lo")
     first = F.col("block") * block - F.col("start")
     spans = spans.select("doc_id", "source", "h", "copy", "shard", "pass", (F.col("lo") + first).alias("lo"), (F.col("hi") + first).alias("hi"))
     return known.drop("src"), spans
@@ -149,7 +149,7 @@ def taken(documents: DataFrame, spans: DataFrame) -> DataFrame:
     on = F.lit(True)
     for c in row:
         on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return documents.join(sums, on, "left").withColumn("taken", F.coalesce("t", F.lit(0)).cast("long")).drop("t", *[f"_{c}" for c in row])
+    return documents.join(sums.hint("merge"), on, "left").withColumn("taken", F.coalesce("t", F.lit(0)).cast("long")).drop("t", *[f"_{c}" for c in row])
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
@@ -181,7 +181,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     inner = keyed.withColumn("_copy", F.row_number().over(W.partitionBy("doc_id", "source", "_h").orderBy("_h")))
     inner = inner.select(*[F.col(c) for c in docs.columns], F.col("_h").alias("_th"), F.col("_copy").alias("_tc"))
     on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_th") == F.col("_h")) & (F.col("_tc") == F.col("_copy"))
-    out = inner.join(lists, on).withColumn("text", cut("text", "_spans"))
+    out = inner.join(lists.hint("merge"), on).withColumn("text", cut("text", "_spans"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)

@@ -242,7 +242,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
             yield pd.DataFrame(rows, columns=["rep", "k0", "k1", "set"])
 
     full = texts.mapInPandas(sets, "rep long, k0 long, k1 long, set binary")
-    ready = members.join(full, ["rep", "k0", "k1"]).select(*cols, "set").repartition(*group).sortWithinPartitions(*group, "rep", "k0", "k1")
+    located = members.join(full, ["rep", "k0", "k1"]).select(*cols, "set").repartition(*group).sortWithinPartitions(*group, "rep", "k0", "k1")
 
     def verify(batches):
         out, rows_out = [], 0
@@ -267,7 +267,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
         if out:
             yield pd.concat(out)
 
-    found = written(ready.mapInPandas(verify, "rep long, k0 long, k1 long, links long, to long"), "ngram-links")
+    found = written(located.mapInPandas(verify, "rep long, k0 long, k1 long, links long, to long"), "ngram-links")
     links = found.groupBy("rep", "k0", "k1").agg(F.sum("links").alias("links"))
     roots_ = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     side = reps.join(links, ["rep", "k0", "k1"], "left").join(roots_.select(F.col("node").alias("rep"), "root"), "rep", "left")

@@ -93,11 +93,27 @@ def best_configuration(price: np.ndarray, have: np.ndarray, capacity: int) -> di
     return {x: min(n, int(have[x - 1])) for x, n in out.items()}
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int = 600, step: float = 0.5, rate: float = 1.0) -> list[tuple[dict[int, int], int]]:
+def first_prices(need: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """Prices to start from and the lower bound that they prove. For any threshold, lengths above ``capacity`` less the
+    threshold are worth a sequence, those below the threshold nothing, others their share: no configuration is worth more
+    than 1, so the worth of all pieces bounds the number of sequences. The threshold of the best bound is taken (0 gives
+    the volume); a trace of the shares breaks ties towards full sequences."""
+    lengths = np.arange(1, capacity + 1)
+    share = lengths / capacity
+    best, bound = share, float(need @ share)
+    for k in range(1, capacity // 2 + 1):
+        worth = np.where(lengths > capacity - k, 1.0, np.where(lengths < k, 0.0, share))
+        if need @ worth > bound:
+            best, bound = worth, float(need @ worth)
+    return 0.98 * best + 0.02 * share, max(1.0, bound)
+
+
+def solve(histogram: dict[int, int], capacity: int, rounds: int = 600, step: float = 0.3, rate: float = 1.0, between: int = 8) -> list[tuple[dict[int, int], int]]:
     """[(configuration, how many sequences of it)] that holds exactly the pieces of ``histogram`` ({length: count}).
 
-    ``rounds`` bounds the configurations tried, hence the plan (at most ``rounds`` configurations, and one sequence each for
-    what rounding leaves, which ``rounds`` x pieces of a configuration bounds). Any number of rounds gives a valid packing.
+    ``rounds`` knapsack programs price new configurations; before each, ``between`` steps of multiplicative weights choose
+    among those known. ``rounds`` bounds the configurations, hence the plan: that many entries, and what rounding leaves of
+    them. Any number of rounds gives a valid packing.
     """
     plan: list[tuple[dict[int, int], int]] = []
     need = np.zeros(capacity, np.int64)
@@ -109,33 +125,43 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = 600, step: flo
     if not need.any():
         return plan
     lengths = np.arange(1, capacity + 1)
-    price = lengths / capacity  # where the volume bound is tight these are the program's dual prices already
-    bins = max(1.0, float((need * lengths).sum() / capacity))
-    cover, amount, configs = np.zeros(capacity), [], []
-    seen: dict[tuple, int] = {}
+    start, bins = first_prices(need, capacity)
+    cover = np.zeros(capacity)  # times that each length is covered so far
+    price = start.copy()
+    configs: list[tuple[tuple[int, int], ...]] = []
+    known: set[tuple] = set()
+    amount: list[float] = []
+    at, count, begin = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+
+    def add(i: int) -> None:
+        where, k = at[begin[i] : begin[i] + len(configs[i])], count[begin[i] : begin[i] + len(configs[i])]
+        t = max(1e-9, float((need[where] / k).min()) * step)
+        amount[i] += t
+        cover[where] += t * k / need[where]
+        price[where] = start[where] * np.exp(-rate * np.clip(cover[where] - low, 0, 30 / rate))
+
     for _ in range(rounds):
-        c = best_configuration(np.where(need > 0, price, -1.0), need, capacity)
-        key = tuple(sorted(c.items()))
-        # as much of it as covers a step of its scarcest length, or one round's part of all sequences
-        t = max(1.0, min(min(need[x - 1] / k for x, k in key) * step, bins * step))
-        if key not in seen:
-            seen[key] = len(configs)
+        low = float(cover[need > 0].min())
+        price = start * np.exp(-rate * np.clip(cover - low, 0, 30 / rate))
+        key = tuple(sorted(best_configuration(np.where(need > 0, price, -1.0), need, capacity).items()))
+        if key not in known:
+            known.add(key)
+            begin = np.append(begin, len(at))
+            at, count = np.append(at, [x - 1 for x, _ in key]).astype(np.int64), np.append(count, [k for _, k in key])
             configs.append(key)
             amount.append(0.0)
-        amount[seen[key]] += t
-        for x, k in key:
-            cover[x - 1] += t * k
-            price[x - 1] = x / capacity * np.exp(-rate * cover[x - 1] / need[x - 1])
-    # no more than the volume needs; then round down
-    scale = bins / max(sum(amount), bins)
+            add(len(configs) - 1)
+        for _ in range(between):
+            add(int(np.add.reduceat(price[at] * count, begin).argmax()))
+    # no length more often than it occurs, and no more sequences than the lower bound; then round down
+    scale = min(bins / sum(amount), 1 / float(cover.max()))
     left = need.copy()
     opened: list[tuple[dict[int, int], int]] = []
     for i in sorted(range(len(configs)), key=lambda i: -sum(x * k for x, k in configs[i])):
-        key = configs[i]
-        n = int(min(np.floor(amount[i] * scale), min(left[x - 1] // k for x, k in key)))
+        n = int(min(np.floor(amount[i] * scale), min(left[x - 1] // k for x, k in configs[i])))
         if n > 0:
-            opened.append((dict(key), n))
-            for x, k in key:
+            opened.append((dict(configs[i]), n))
+            for x, k in configs[i]:
                 left[x - 1] -= n * k
     return plan + best_fit(opened, left, capacity)
 

@@ -231,13 +231,17 @@ def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...
     some = counts.filter((F.col("n1") >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
     tries = max(2, counts.filter("n1 >= 3").count())
     rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").limit(max_terms).collect()
-    # of a family's beginnings the one that tells most stays; a word in a kept family adds nothing
-    terms: dict[str, float] = {}
+    # a beginning stands for a family when it tells clearly more than any one word of it; of a family's beginnings the one
+    # that tells most stays, and its words add nothing
     odds = {r["w"]: math.log((r["n1"] + 0.1) / m1) - math.log((r["n0"] + 0.1) / m0) for r in rows}
     strength = {r["w"]: r["llr"] for r in rows}
-    for w in sorted(odds, key=lambda w: (-strength[w], len(w), w)):
-        if not any((w.rstrip("*").startswith(t[:-1]) if t.endswith("*") else w.endswith("*") and t.startswith(w[:-1])) or w.endswith("*") and t.endswith("*") and t.startswith(w[:-1]) for t in terms):
-            terms[w] = odds[w]
+    words = [w for w in odds if not w.endswith("*")]
+    families: list[str] = []
+    for p in sorted((w for w in odds if w.endswith("*")), key=lambda w: (-strength[w], len(w), w)):
+        one = max((strength[w] for w in words if w.startswith(p[:-1])), default=0.0)
+        if strength[p] > 1.2 * one and not any(p.startswith(f[:-1]) or f.startswith(p[:-1]) for f in families):
+            families.append(p)
+    terms = {w: odds[w] for w in [*families, *words] if w in families or not any(w.startswith(f[:-1]) for f in families)}
     model = Model(terms)
     held = d.sparkSession.sparkContext.broadcast(model)
 
@@ -249,11 +253,11 @@ def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...
                     yield pd.DataFrame({"w": [w]})
 
     model.harmless = frozenset(r["w"] for r in counts.filter("n0 > 0").mapInPandas(near, "w string").collect())
-    ready = d.sparkSession.sparkContext.broadcast(model)
+    final = d.sparkSession.sparkContext.broadcast(model)
 
     def feature(batches):
         for b in batches:
-            f = np.array([ready.value.features(t) for t in b["text"]]).reshape(-1, N_FEATURES)
+            f = np.array([final.value.features(t) for t in b["text"]]).reshape(-1, N_FEATURES)
             yield pd.DataFrame({"y": b["toxic"].astype("int32"), "f": list(f)})
 
     rows = sample.mapInPandas(feature, "y int, f array<double>").groupBy("y", "f").count().toPandas()
