@@ -16,7 +16,7 @@ BINS_B = (0.0001, 0.0002, 0.001, 0.015, 0.025)
 PRETRAIN_LARGE = 0.01
 SHIP_IGNORE_LABEL = 2
 # Image ids dropped up front as corrupt.
-BLOCKED_IDS = ("6384c3e78.jpg",)
+BLOCKED_IDS = ("6384c3e78.jpg", "00021ddc3.jpg")
 # -----------------------------------------------------------------------------------------------------------------
 
 

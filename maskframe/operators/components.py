@@ -230,9 +230,8 @@ def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, partitions:
             yield frame_fn(carry)
 
     ship_package(pieces.sparkSession)
-    n = partitions or pieces.sparkSession.sparkContext.defaultParallelism
     p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
-    p = p.repartition(n, id_col).sortWithinPartitions(id_col, "col", "r0")
+    p = (p.repartition(partitions, id_col) if partitions else p.repartition(id_col)).sortWithinPartitions(id_col, "col", "r0")
     return p.mapInPandas(fn, schema)
 
 

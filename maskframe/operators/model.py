@@ -1,4 +1,4 @@
-"""Model scoring and the classifier head.
+"""Model scoring and the classifier head.
 
 ``batch_score`` runs a pluggable ``model_fn`` over Arrow batches with ``mapInPandas``: the model is built once per
 Python worker (cached), images of a batch are scored together, and nothing passes through the driver. The default
@@ -7,8 +7,6 @@ model is a fixed linear form of the pixels (a stand-in for a frozen network; no
 
 from __future__ import annotations
 
-import struct
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,9 +14,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.operators import grids as G
 from maskframe.session import ship_package
 
-_MODELS: dict[str, object] = {}
+_MODELS: dict[object, object] = {}
 
 
 class LinearGridModel:
@@ -33,128 +32,94 @@ class LinearGridModel:
 
 
 def _load(model_fn: Callable[[], Callable[[np.ndarray], np.ndarray]]):
-    key = getattr(model_fn, "__qualname__", repr(model_fn))
-    if key not in _MODELS:
-        _MODELS[key] = model_fn()
-    return _MODELS[key]
+    """The model of a factory, built once per Python worker; two factories never share one."""
+    if model_fn not in _MODELS:
+        _MODELS[model_fn] = model_fn()
+    return _MODELS[model_fn]
 
 
 def batch_score(grids: DataFrame, model_fn=LinearGridModel, id_col: str = "image_id", data_col: str = "data") -> DataFrame:
-    """ML1: ``(image_id, data array<double>)`` -> ``(image_id, score)``; the model is loaded once per worker."""
+    """ML1: ``(image_id, data array<double>)`` -> ``(image_id, score)``; the model is loaded once per worker and gets the
+    images of a batch by size, so sizes may differ."""
 
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _load(model_fn)
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[data_col]])
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "score": model(x)})
+            for _, own in pdf.groupby(pdf[data_col].map(len)):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in own[data_col]])
+                yield pd.DataFrame({id_col: own[id_col].to_numpy(), "score": model(x)})
 
     ship_package(grids.sparkSession)
     id_type = dict(grids.dtypes)[id_col]
-    return grids.select(id_col, data_col).mapInPandas(fn, f"{id_col} {id_type}, score double")
-
-
-# ---- PNG (8-bit grey / RGB), enough for the image tables written and read by this package --------------------------
-def encode_png(img: np.ndarray) -> bytes:
-    img = np.asarray(img, dtype=np.uint8)
-    if img.ndim == 2:
-        img = img[:, :, None]
-    h, w, c = img.shape
-    ctype = {1: 0, 3: 2}[c]
-    raw = b"".join(b"\x00" + img[r].tobytes() for r in range(h))
-
-    def chunk(t: bytes, d: bytes) -> bytes:
-        return struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d) & 0xFFFFFFFF)
-
-    ihdr = struct.pack(">IIBBBBB", w, h, 8, ctype, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
-
-
-def decode_png(data: bytes) -> np.ndarray:
-    """Decode a non-interlaced 8-bit grey / grey+alpha / RGB / RGBA PNG with any of the five row filters."""
-    pos, idat, hdr = 8, b"", None
-    while pos < len(data):
-        (n,) = struct.unpack(">I", data[pos:pos + 4])
-        t = data[pos + 4:pos + 8]
-        d = data[pos + 8:pos + 8 + n]
-        if t == b"IHDR":
-            hdr = struct.unpack(">IIBBBBB", d)
-        elif t == b"IDAT":
-            idat += d
-        pos += 12 + n
-    w, h, depth, ctype, _, _, interlace = hdr
-    if depth != 8 or interlace:
-        raise ValueError("only 8-bit non-interlaced PNG")
-    c = {0: 1, 2: 3, 4: 2, 6: 4}[ctype]
-    raw = np.frombuffer(zlib.decompress(idat), dtype=np.uint8).reshape(h, 1 + w * c)
-    out = np.zeros((h, w * c), dtype=np.int32)
-    prev = np.zeros(w * c, dtype=np.int32)
-    for r in range(h):
-        f, line = raw[r, 0], raw[r, 1:].astype(np.int32)
-        cur = np.zeros(w * c, dtype=np.int32)
-        if f in (0, 2):
-            cur = (line + (prev if f == 2 else 0)) & 0xFF
-        else:
-            for i in range(w * c):
-                a = cur[i - c] if i >= c else 0
-                b = prev[i]
-                cc = prev[i - c] if i >= c else 0
-                if f == 1:
-                    p = a
-                elif f == 3:
-                    p = (a + b) // 2
-                else:
-                    pa, pb, pc = abs(b - cc), abs(a - cc), abs(a + b - 2 * cc)
-                    p = a if pa <= pb and pa <= pc else (b if pb <= pc else cc)
-                cur[i] = (line[i] + p) & 0xFF
-        out[r] = cur
-        prev = cur
-    return out.reshape(h, w, c).astype(np.uint8)
-
-
-def decode_png_files(files: DataFrame) -> DataFrame:
-    """S3: ``binaryFile`` rows -> ``(path, h, w, c, data array<double>)`` (row-major, channel-last)."""
-
-    def fn(it):
-        for pdf in it:
-            rows = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                img = decode_png(bytes(content))
-                h, w, c = img.shape
-                rows.append((p, h, w, c, img.reshape(-1).astype(np.float64)))
-            yield pd.DataFrame(rows, columns=["path", "h", "w", "c", "data"])
+    return grids.select(id_col, data_col).filter(F.col(data_col).isNotNull()).mapInPandas(fn, f"{id_col} {id_type}, score double")
 
-    ship_package(files.sparkSession)
-    return files.select("path", "content").mapInPandas(fn, "path string, h int, w int, c int, data array<double>")
 
+class BrightPixels:
+    """Stub pixel model: [h, w, channels] -> [h, w, 2] class scores; a pixel is a ship where its channels' mean is above
+    ``level``."""
 
-def score_png_files(files: DataFrame, model_fn=LinearGridModel) -> DataFrame:
-    """T1 body: decode PNG bytes and score them; ``image_id`` is the file stem."""
-    dec = decode_png_files(files)
-    dec = dec.withColumn("image_id", F.regexp_extract("path", r"([^/]+)\.png$", 1).cast("bigint"))
-    return batch_score(dec, model_fn).withColumn("path", F.col("image_id").cast("string"))
+    def __init__(self, level: float = 128.0):
+        self.level = level
 
+    def __call__(self, img: np.ndarray) -> np.ndarray:
+        ship = img.mean(2) - self.level
+        return np.stack([np.zeros_like(ship), ship], axis=2)
 
-def write_png_grids(grids: DataFrame, out_dir: str, id_col: str = "image_id") -> DataFrame:
-    """Write each 8-bit single-channel grid as ``<out_dir>/<id>.png`` from the executors (deterministic names, so a
-    retried task rewrites the same files). Returns ``(image_id, path)``."""
 
-    def fn(it):
-        import os
+def score_masks(images: DataFrame, model_fn=BrightPixels) -> DataFrame:
+    """ML1 per pixel: ``(image_id, h, w[, c], data)`` -> ``(image_id, h, w, data)`` with the best class of every pixel (the
+    lowest class on ties); images of any sizes, the model loaded once per worker."""
+    out = G.cells(images, lambda img: _load(model_fn)(img).argmax(2).astype(np.float64))
+    return images.select("image_id", "h", "w", out.alias("data"))
 
-        os.makedirs(out_dir, exist_ok=True)
-        for pdf in it:
-            paths = []
-            for i, h, w, data in zip(pdf[id_col], pdf["h"], pdf["w"], pdf["data"]):
-                p = f"{out_dir}/{int(i)}.png"
-                with open(p, "wb") as fh:
-                    fh.write(encode_png(np.asarray(data).reshape(int(h), int(w)).astype(np.uint8)))
-                paths.append(p)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "path": paths})
 
-    ship_package(grids.sparkSession)
-    return grids.select(id_col, "h", "w", "data").mapInPandas(fn, f"{id_col} bigint, path string")
+def multi_view_masks(images: DataFrame, model_fn=BrightPixels, scales=G.EVAL_SCALES, orientations=G.ORIENTATIONS) -> DataFrame:
+    """ML2 per pixel: every view of an image (J6) is scored, flipped back and resized back; the views' softmax is averaged
+    and the best class taken. All views of an image are made and used in one place, so nothing is shuffled."""
+
+    def run(img):
+        h, w, _ = img.shape
+        total = 0.0
+        for s in scales:
+            small = G.bilinear(img, int(h * s), int(w * s))
+            for o in orientations:
+                back = G.bilinear(G._oriented(_load(model_fn)(G._oriented(small, o)), o), h, w)
+                e = np.exp(back - back.max(2, keepdims=True))
+                total = total + e / e.sum(2, keepdims=True)
+        return total.argmax(2).astype(np.float64)
+
+    return images.select("image_id", "h", "w", G.cells(images, run).alias("data"))
+
+
+def mask_runs(masks: DataFrame, label: float = 1.0) -> DataFrame:
+    """``(image_id, h, w, data)`` -> ``(ImageId, EncodedPixels)``: the pixels of ``label`` as run-length text (column by
+    column, from 1); null for a mask without any."""
+
+    def run(data: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
+        out = []
+        for d, y, x in zip(data, h, w, strict=True):
+            on = np.flatnonzero(np.asarray(d).reshape(int(y), int(x)).T.ravel() == label)
+            # a run starts where the pixel before is not set, and ends where the next is not
+            first, last = on[np.diff(on, prepend=-2) > 1], on[np.diff(on, append=on[-1:] + 2) > 1]
+            out.append(" ".join(f"{a + 1} {b - a + 1}" for a, b in zip(first, last, strict=True)) or None)
+        return pd.Series(out, dtype="object")
+
+    ship_package(masks.sparkSession)
+    return masks.select(F.col("image_id").cast("string").alias("ImageId"), F.pandas_udf(run, "string")("data", "h", "w").alias("EncodedPixels"))
+
+
+def score_submission(images: DataFrame, height: int, width: int, model_fn=BrightPixels) -> DataFrame:
+    """The whole batch scoring: images -> masks -> connected instances -> one submission row per instance, a null row for an
+    image without any. Masks of other sizes are brought to the height x width canvas first (nearest)."""
+    from maskframe.operators.components import multi_rle
+    from maskframe.operators.runs import rle_runs, run_pieces
+
+    masks = G.resize_to(score_masks(images, model_fn), height, width, "nearest").withColumn("h", F.lit(height)).withColumn("w", F.lit(width))
+    text = mask_runs(masks)
+    pieces = run_pieces(rle_runs(text, height, width), height)
+    return multi_rle(pieces, text.select("ImageId").distinct(), height, width).select("ImageId", "EncodedPixels")
 
 
 def image_stats(images: DataFrame) -> DataFrame:

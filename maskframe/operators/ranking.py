@@ -3,8 +3,8 @@
 ``row_number() over (partition by g order by key)`` on a large table with few groups puts a whole group in one
 task. Instead, when the leading part of the order is a uniformly distributed hex key (an md5), rows are ranked inside
 ``(g, key prefix)`` buckets and shifted by the number of rows in earlier buckets of the same group, taken from a count
-table of at most ``groups x 16**prefix_len`` rows. That table is the only thing broadcast, and its size bound is
-structural: the caller's group columns are low-cardinality by contract (class, split, list), checked here.
+table of at most ``groups x 16**prefix_len`` rows. Nothing is forced into a broadcast: Spark compares that table's size
+with its own threshold and merges sorted sides beyond it. Null groups and null keys are values like any other.
 """
 
 from __future__ import annotations
@@ -14,7 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_OFFSET_ROWS = 1_000_000
+
+def attach(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``side`` (one row per value of ``keys``), null keys matching null keys."""
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    right = side.select(*[F.col(k).alias(names[k]) if k in names else F.col(k) for k in side.columns])
+    on = F.lit(True)
+    for k, n in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    return df.join(right, on).drop(*names.values())
 
 
 def bucket_rank(
@@ -24,15 +32,12 @@ def bucket_rank(
     groups: Sequence[str] = (),
     prefix_len: int = 3,
     out: str = "rn",
-    max_groups: int = 64,
 ) -> DataFrame:
-    """Add ``out`` = 1-based ``row_number() over (partition by groups order by key, *tiebreak)``.
+    """Add ``out`` = 1-based ``row_number() over (partition by groups order by key, *tiebreak)``; every row keeps its
+    place, rows with a null key come first.
 
     ``key`` must be a string whose first ``prefix_len`` characters order the buckets (an md5 hex digest, optionally
-    behind a fixed-width leading flag). ``max_groups`` bounds the number of distinct group values; the offset table
-    then has at most ``max_groups * 16**prefix_len`` rows (4096 per group by default)."""
-    if (max_groups if groups else 1) * 16**prefix_len > MAX_OFFSET_ROWS:
-        raise ValueError("offset table would not have a safe size bound")
+    behind a fixed-width leading flag)."""
     k = F.col(key) if isinstance(key, str) else key
     g = list(groups)
     x = df.withColumn("_rk", k).withColumn("_bk", F.substring("_rk", 1, prefix_len))
@@ -42,9 +47,9 @@ def bucket_rank(
         *g, "_bk",
         F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
     )
-    j = x.join(F.broadcast(offsets), [*g, "_bk"])
     w = Window.partitionBy(*g, "_bk").orderBy("_rk", *tiebreak)
-    return j.withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("bigint")).drop("_rk", "_bk", "_off")
+    j = attach(x.withColumn("_in", F.row_number().over(w)), offsets, [*g, "_bk"])
+    return j.withColumn(out, (F.col("_off") + F.col("_in")).cast("bigint")).drop("_rk", "_bk", "_off", "_in")
 
 
 def group_counts(df: DataFrame, groups: Sequence[str], out: str = "n") -> DataFrame:

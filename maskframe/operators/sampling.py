@@ -3,7 +3,8 @@
 Every random choice of the reference (``random.sample``, ``random.shuffle``, ``train_test_split``) is unseeded there.
 Here the order is ``md5(seed ':' id)`` with the id as tie-break: the same membership on every run, under any
 partitioning, and computable by the same expression in SQL. Ranks come from :func:`ranking.bucket_rank`, so no step
-runs a whole class or list in one task. Counts and quotas are tiny tables joined back by broadcast.
+runs a whole class or list in one task. Totals are one-row tables and broadcast; counts and quotas by group are joined
+null-safely, broadcast only if Spark finds them small.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskframe.functions.keys import md5_key
-from maskframe.operators.ranking import bucket_rank, group_counts
+from maskframe.operators.ranking import attach, bucket_rank, group_counts
 
 ID = "ImageId"
 
@@ -28,9 +29,8 @@ def shuffled(df: DataFrame, seed, id_col: str = ID, out: str = "rn") -> DataFram
 
 
 def reader_shuffle(df: DataFrame, seed, epochs: int, id_col: str = ID) -> DataFrame:
-    """One seeded order per epoch; ``epochs`` copies via a tiny ``range`` cross join (the only broadcast)."""
-    e = df.sparkSession.range(epochs).select(F.col("id").cast("int").alias("epoch"))
-    x = df.crossJoin(F.broadcast(e))
+    """One seeded order per epoch, every row repeated ``epochs`` times in place."""
+    x = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     return bucket_rank(x, md5_key(seed, "epoch", id_col), [id_col], groups=["epoch"], out="pos")
 
 
@@ -54,13 +54,24 @@ def first_n(df: DataFrame, n: int, rank_col: str = "rn") -> DataFrame:
 def last_n(df: DataFrame, n: int, rank_col: str = "rn", groups=()) -> DataFrame:
     """The last ``n`` rows by rank (total from the tiny count table)."""
     cnt = group_counts(df, list(groups), "_total") if groups else df.agg(F.count(F.lit(1)).alias("_total"))
-    j = df.join(F.broadcast(cnt), list(groups)) if groups else df.crossJoin(F.broadcast(cnt))
+    j = attach(df, cnt, list(groups)) if groups else df.crossJoin(F.broadcast(cnt))
     return j.filter(F.col(rank_col) > F.col("_total") - n).drop("_total")
 
 
 def drop_first_negatives(rows: DataFrame, n: int, seed, flag_col: str = "isnan", id_col: str = ID) -> DataFrame:
-    """Sort by the null flag descending and drop the first ``n`` rows."""
-    return drop_first(nulls_first_rank(rows, seed, flag_col, id_col), n).drop("rn")
+    """Sort by the null flag descending, then by the seeded key, and drop the first ``n`` rows.
+
+    Only flagged rows are ranked (they carry no text). The others pass the scan untouched unless ``n`` exceeds the
+    number of flagged rows: then their keys alone are ranked, and the key of the last row to go, one value, is the
+    bound below which the scan drops them (rows of the id at the bound go together)."""
+    flagged = rows.filter(F.col(flag_col) == 1)
+    rest = rows.filter(F.coalesce(F.col(flag_col), F.lit(0)) != 1)
+    left = drop_first(bucket_rank(flagged, shuffle_key(seed, id_col), [id_col], out="_rn"), n, "_rn").drop("_rn")
+    more = flagged.agg((F.lit(n) - F.count(F.lit(1))).alias("_more"))
+    keys = rest.select(shuffle_key(seed, id_col).alias("_key")).crossJoin(F.broadcast(more)).filter("_more > 0")
+    last = bucket_rank(keys, "_key", [], out="_rn").filter(F.col("_rn") <= F.col("_more")).agg(F.max("_key").alias("_last"))
+    passed = rest.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (shuffle_key(seed, id_col) > F.col("_last")))
+    return left.unionByName(passed.drop("_last"))
 
 
 def stratified_split(images: DataFrame, frac: float, seed, class_col: str = "class", id_col: str = ID) -> DataFrame:
@@ -87,7 +98,7 @@ def stratified_split(images: DataFrame, frac: float, seed, class_col: str = "cla
         ),
     ).select(class_col, "quota")
     ranked = bucket_rank(images, shuffle_key(seed, id_col), [id_col], groups=[class_col], out="_rn")
-    j = ranked.join(F.broadcast(q), class_col)
+    j = attach(ranked, q, [class_col])
     return j.withColumn("split", F.when(F.col("_rn") <= F.col("quota"), "val").otherwise("train")).drop("_rn", "quota")
 
 
@@ -105,7 +116,7 @@ def sample_n(ids: DataFrame, n: int, seed, id_col: str = ID, groups=()) -> DataF
     g = list(groups)
     cnt = group_counts(ids, g, "_n") if g else ids.agg(F.count(F.lit(1)).alias("_n"))
     r = bucket_rank(ids, shuffle_key(seed, id_col), [id_col], groups=g, out="_rn")
-    j = r.join(F.broadcast(cnt), g) if g else r.crossJoin(F.broadcast(cnt))
+    j = attach(r, cnt, g) if g else r.crossJoin(F.broadcast(cnt))
     limit = F.when(F.col("_n") < n, F.raise_error(F.lit("sample larger than population"))).otherwise(F.lit(n))
     return j.filter(F.col("_rn") <= limit).drop("_rn", "_n")
 
@@ -160,7 +171,7 @@ def shard_assign(rows: DataFrame, num_shards: int, rank_col: str = "rn", groups=
     """Contiguous blocks of ``ceil(N / n)`` rows per shard (the last may be short or empty)."""
     g = list(groups)
     cnt = group_counts(rows, g, "_N") if g else rows.agg(F.count(F.lit(1)).alias("_N"))
-    j = rows.join(F.broadcast(cnt), g) if g else rows.crossJoin(F.broadcast(cnt))
+    j = attach(rows, cnt, g) if g else rows.crossJoin(F.broadcast(cnt))
     per = F.ceil(F.col("_N") / F.lit(num_shards))
     return j.withColumn("shard_id", F.floor((F.col(rank_col) - 1) / per).cast("int")).drop("_N")
 

@@ -54,26 +54,42 @@ def ignore_weights(labels: DataFrame, ignore_label: int | None, label_col: str =
 
 
 def confusion_matrix(pairs: DataFrame, label_col: str = "label", pred_col: str = "pred",
-                     weight_col: str = "weight") -> DataFrame:
-    """A5: weighted counts of (label, prediction); zero-weight rows contribute nothing."""
-    return pairs.filter(F.col(weight_col) != 0).groupBy(label_col, pred_col).agg(
+                     weight_col: str = "weight", by: Sequence[str] = ()) -> DataFrame:
+    """A5: weighted counts of (label, prediction), apart for each value of ``by``; zero-weight rows contribute nothing."""
+    return pairs.filter(F.col(weight_col) != 0).groupBy(*by, label_col, pred_col).agg(
         F.sum(weight_col).alias("n")
     )
 
 
-def per_class_iou(cm: DataFrame, label_col: str = "label", pred_col: str = "pred") -> DataFrame:
-    """A6 by class: ``diag / (row + col - diag)`` from the confusion table (tiny)."""
-    rows = cm.groupBy(F.col(label_col).alias("class")).agg(F.sum("n").alias("row_n"))
-    cols = cm.groupBy(F.col(pred_col).alias("class")).agg(F.sum("n").alias("col_n"))
-    diag = cm.filter(F.col(label_col) == F.col(pred_col)).select(F.col(label_col).alias("class"), F.col("n").alias("tp"))
-    j = rows.join(cols, "class", "full").join(diag, "class", "left").fillna(0, ["row_n", "col_n", "tp"])
-    den = F.col("row_n") + F.col("col_n") - F.col("tp")
-    return j.select("class", "tp", den.alias("den"), F.when(den > 0, F.col("tp") / den).alias("iou"))
+def per_class_iou(cm: DataFrame, label_col: str = "label", pred_col: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+    """A6 by class: ``diag / (row + col - diag)`` from the confusion table, in one pass: every cell counts for its row's
+    and its column's class, a cell of the diagonal once."""
+    lab, pred = F.col(label_col), F.col(pred_col)
+    of = F.explode(F.when(lab.eqNullSafe(pred), F.array(lab)).otherwise(F.array(lab, pred)))
+    cells = cm.select(*by, of.alias("class"), "n", F.when(lab.eqNullSafe(pred), F.col("n")).otherwise(F.lit(0)).alias("_tp"))
+    j = cells.groupBy(*by, "class").agg(F.sum("_tp").alias("tp"), F.sum("n").alias("den"))
+    return j.select(*by, "class", "tp", "den", F.when(F.col("den") > 0, F.col("tp") / F.col("den")).alias("iou"))
 
 
-def mean_iou(cm: DataFrame, label_col: str = "label", pred_col: str = "pred") -> DataFrame:
-    """Mean over classes with a non-zero denominator."""
-    return per_class_iou(cm, label_col, pred_col).agg(F.avg("iou").alias("miou"))
+def mean_iou(cm: DataFrame, label_col: str = "label", pred_col: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+    """Mean over classes with a non-zero denominator, apart for each value of ``by``."""
+    return per_class_iou(cm, label_col, pred_col, by).groupBy(*by).agg(F.avg("iou").alias("miou"))
+
+
+def run_tag(scales: Sequence[float], flipped: bool) -> str:
+    """The tag of an evaluation run, from its scales and its flip flag."""
+    return "_".join(["miou", *[f"{s:g}" for s in scales], *(["flipped"] if flipped else [])])
+
+
+def metric_by_run(logits: DataFrame, image_cols: Sequence[str], runs, ignore_label: int | None, view_col: str = "view",
+                  label_col: str = "label") -> DataFrame:
+    """Mean IoU of each of ``runs`` (scales, flipped, views), as (tag, miou). Softmax is computed once per view; a
+    view's probabilities then count in every run that uses the view."""
+    tags = F.array(*[F.when(F.col(view_col).isin(list(v)), F.lit(run_tag(s, f))) for s, f, v in runs])
+    p = softmax(logits, [*image_cols, view_col]).withColumn("tag", F.explode(F.array_compact(tags)))
+    pred = argmax_class(ensemble_mean(p, ["tag", *image_cols]), ["tag", *image_cols])
+    lab = logits.select(*image_cols, label_col).distinct()
+    return mean_iou(confusion_matrix(ignore_weights(pred.join(lab, [*image_cols]), ignore_label), by=["tag"]), by=["tag"])
 
 
 def accuracy(pairs: DataFrame, label_col: str = "label", pred_col: str = "pred", weight_col: str | None = None) -> DataFrame:
@@ -85,11 +101,12 @@ def accuracy(pairs: DataFrame, label_col: str = "label", pred_col: str = "pred",
 
 
 def masked_cross_entropy(logits: DataFrame, labels: DataFrame, position: Sequence[str], ignore_label: int | None,
-                         class_col: str = "class", logit_col: str = "logit", label_col: str = "label") -> DataFrame:
-    """Softmax cross-entropy per position (``logsumexp - logit[label]``), weight 0 on the ignore label, summed
-    and divided by the number of non-zero weights."""
+                         class_col: str = "class", logit_col: str = "logit", label_col: str = "label",
+                         weight: float = 1.0) -> DataFrame:
+    """Softmax cross-entropy per position (``logsumexp - logit[label]``) times the loss ``weight``, 0 on the ignore
+    label, summed and divided by the number of non-zero weights."""
     lse = _lse(logits, position, logit_col)
-    lab = ignore_weights(labels, ignore_label, label_col)
+    lab = ignore_weights(labels, ignore_label, label_col).withColumn("weight", F.col("weight") * weight)
     tgt = logits.join(lab, [*position]).filter(F.col(class_col) == F.col(label_col)).select(*position, F.col(logit_col).alias("_t"), "weight")
     j = tgt.join(lse, [*position])
     ce = F.col("_lse") - F.col("_t")

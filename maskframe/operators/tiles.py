@@ -8,7 +8,6 @@ loop, no broadcast, no shuffle until the per-(image, tile) sum, which is partial
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,13 +18,9 @@ ID = "ImageId"
 
 
 def tile_centers(resize: int, n: int, size: int = 256) -> list[int]:
-    """Centres along one axis: ``half, half + step, ...`` with ``step = (resize - size) / (n - 1)``, the last one
-    forced to ``resize - half``; (512, 3), (768, 5) and (1024, 7) all give a stride of 128."""
-    half = size // 2
-    step = (resize - size) / (n - 1)
-    c = np.arange(half, resize - half, step, dtype=np.int32)
-    c = np.append(c, resize - half)[:n]
-    return [int(x) for x in c]
+    """``n`` centres along one axis, spread evenly from the first box at the left edge to the last at the right edge;
+    (512, 3), (768, 5) and (1024, 7) all give a stride of 128."""
+    return [size // 2 + i * (resize - size) // max(n - 1, 1) for i in range(n)]
 
 
 def tile_ranges(resize: int, n: int, size: int = 256) -> list[tuple[int, int, int]]:

@@ -240,14 +240,44 @@ def mask_iou_per_image(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------------------------------------- step 3
-# No oracle SQL: labelling whole tables with a recursive CTE is too slow; tests/test_components.py checks these
-# operators against a brute-force pixel flood fill on small fixtures instead.
+# Oracle: every instance is a rectangle, so two of them belong together iff they touch when one grows by a pixel (at most 17
+# rectangles an image); the pixels of a component are then counted and encoded one by one.
+def _components_sql(rects: str) -> str:
+    """``rects``: a table rect(k, id, x0, y0, x1, y1), ends exclusive -> cpx(k, comp, p): pixels with their component."""
+    return f"""{rects},
+touch AS (SELECT a.k, a.id AS a, b.id AS b FROM rect a JOIN rect b ON a.k = b.k AND a.id <> b.id
+  AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1),
+reach AS (SELECT k, id AS a, id AS b FROM rect UNION SELECT r.k, r.a, t.b FROM reach r JOIN touch t ON t.k = r.k AND t.a = r.b),
+comp AS (SELECT k, a AS id, MIN(b) AS comp FROM reach GROUP BY k, a),
+cpx AS (SELECT DISTINCT r.k, c.comp, (r.x0 + cx.c) * 768 + r.y0 + ry.r AS p FROM rect r JOIN comp c ON c.k = r.k AND c.id = r.id,
+  LATERAL (SELECT unnest(range(r.x1 - r.x0)) AS c) cx, LATERAL (SELECT unnest(range(r.y1 - r.y0)) AS r) ry)"""
+
+
+RECTS = "rect AS (SELECT k, row_number() OVER () AS id, x0, y0, x0 + w AS x1, y0 + h AS y1 FROM instances)"
+# the vote of two: pairwise intersections of the rows of both submissions (lines 3 and 4 are in both)
+VOTE_RECTS = """src AS (SELECT *, row_number() OVER () AS id FROM (SELECT * FROM instances WHERE ln <= 4 UNION ALL SELECT * FROM instances WHERE ln >= 3)),
+rect AS (SELECT k, row_number() OVER () AS id, x0, y0, x1, y1 FROM (SELECT a.k, greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0,
+    least(a.x0 + a.w, b.x0 + b.w) AS x1, least(a.y0 + a.h, b.y0 + b.h) AS y1 FROM src a JOIN src b ON a.k = b.k AND a.id < b.id)
+  WHERE x0 < x1 AND y0 < y1)"""
+COMPONENT_TEXT = """isl AS (SELECT k, comp, p, p - row_number() OVER (PARTITION BY k, comp ORDER BY p) AS g FROM cpx),
+runs AS (SELECT k, comp, MIN(p) AS s, COUNT(*) AS n FROM isl GROUP BY k, comp, g),
+txt AS (SELECT k, comp, string_agg(CAST(s + 1 AS VARCHAR) || ' ' || CAST(n AS VARCHAR), ' ' ORDER BY s) AS e FROM runs GROUP BY k, comp)
+SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, txt.e AS EncodedPixels
+FROM orders o LEFT JOIN txt ON o.o_orderkey = txt.k"""
+
+
 def _union_pieces(spark, sf_dir):
     ann = X.annotations(spark, sf_dir)
     return ann, V.select_mask(V.coverage_segments(ann), F.col("c") >= 1)
 
 
-@register("connected_components")
+@register(
+    "connected_components",
+    f"""WITH RECURSIVE {O.INSTANCES}, {_components_sql(RECTS)},
+st AS (SELECT k, comp, COUNT(*) AS pixels, MIN((p % 768) * 768 + p // 768) AS f FROM cpx GROUP BY k, comp)
+SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(row_number() OVER (PARTITION BY k ORDER BY f) AS BIGINT) AS instance_id,
+  CAST(pixels AS BIGINT) AS pixels, CAST(f AS BIGINT) AS first_pixel FROM st""",
+)
 def connected_components(spark, sf_dir):
     """M5 + W8: components of each image's union mask with size and first raster pixel."""
     from maskframe.operators.components import component_stats
@@ -256,7 +286,12 @@ def connected_components(spark, sf_dir):
     return component_stats(pieces)
 
 
-@register("instances_per_image")
+@register(
+    "instances_per_image",
+    f"""WITH RECURSIVE {O.INSTANCES}, {_components_sql(RECTS)}, n AS (SELECT k, COUNT(DISTINCT comp) AS n FROM comp GROUP BY k)
+SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, CAST(COALESCE(n.n, 0) AS BIGINT) AS instances
+FROM orders o LEFT JOIN n ON o.o_orderkey = n.k""",
+)
 def instances_per_image(spark, sf_dir):
     """Connected ships per image (0 for images without any)."""
     from maskframe.operators.components import instances_per_image as ipi
@@ -265,7 +300,7 @@ def instances_per_image(spark, sf_dir):
     return ipi(pieces, V.image_ids(ann))
 
 
-@register("multi_rle")
+@register("multi_rle", f"WITH RECURSIVE {O.INSTANCES}, {_components_sql(RECTS)}, {COMPONENT_TEXT}")
 def multi_rle(spark, sf_dir):
     """M7: one RLE row per connected instance, null row for an empty image."""
     from maskframe.operators.components import multi_rle as mr
@@ -274,7 +309,7 @@ def multi_rle(spark, sf_dir):
     return mr(pieces, V.image_ids(ann)).select("ImageId", "EncodedPixels")
 
 
-@register("ensemble_submissions")
+@register("ensemble_submissions", f"WITH RECURSIVE {O.INSTANCES}, {_components_sql(VOTE_RECTS)}, {COMPONENT_TEXT}")
 def ensemble_submissions(spark, sf_dir):
     """M8 (E2): two submissions -> vote of two -> components -> one row per instance (J9: every id of either)."""
     from maskframe.plans.ensemble import ensemble
@@ -339,15 +374,18 @@ def split_quota(spark, sf_dir):
     f"""{BASE}, {SPLIT_SQL}, {O.ANNOTATIONS},
 val AS (SELECT a.ImageId FROM ann a WHERE a.ImageId IN (SELECT ImageId FROM split WHERE split = 'val')),
 tr AS (SELECT a.ImageId FROM ann a WHERE a.ImageId NOT IN (SELECT ImageId FROM val))
-SELECT DISTINCT tr.ImageId FROM tr JOIN val ON tr.ImageId = val.ImageId""",
+SELECT DISTINCT 'clean' AS split, tr.ImageId FROM tr JOIN val ON tr.ImageId = val.ImageId
+UNION SELECT DISTINCT 'leaking', a.ImageId FROM ann a JOIN val ON a.ImageId = val.ImageId""",
 )
 def split_leakage(spark, sf_dir):
-    """Image ids in both the training and validation annotation rows after J2/J3 (expected: none)."""
+    """Image ids in both the training and validation annotation rows: none after J2/J3 (clean); all validation
+    images where they are left in the training rows (leaking)."""
     ann = X.annotations(spark, sf_dir)
     val_ids = split_images(spark, sf_dir).filter(F.col("split") == "val").select("ImageId")
     val_rows = S.semi(ann, val_ids)
     train_rows = S.anti(ann, val_rows)
-    return S.split_leakage(train_rows, val_rows)
+    clean = S.split_leakage(train_rows, val_rows).select(F.lit("clean").alias("split"), "ImageId")
+    return clean.unionByName(S.split_leakage(ann, val_rows).select(F.lit("leaking").alias("split"), "ImageId"))
 
 
 @register(
@@ -393,11 +431,12 @@ def annotations_per_image(spark, sf_dir):
     f"""WITH {O.INSTANCES}
 SELECT CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS ImageId, CAST(CASE WHEN i.k IS NULL THEN 1 ELSE 0 END AS INTEGER) AS isnan
 FROM orders o LEFT JOIN instances i ON o.o_orderkey = i.k
-WHERE CAST(o.o_orderkey AS VARCHAR) || '.jpg' NOT IN ('6384c3e78.jpg')""",
+WHERE CAST(o.o_orderkey AS VARCHAR) || '.jpg' NOT IN ('6384c3e78.jpg', '00021ddc3.jpg', '1.jpg', '4.jpg', '7.jpg')""",
 )
 def drop_blocked(spark, sf_dir):
-    """P1 + P2: annotation rows without the blocked ids, with the null flag."""
-    return A.null_flag(A.drop_blocked(X.annotations(spark, sf_dir))).select("ImageId", "isnan")
+    """P1 + P2: annotation rows without the blocked ids (the default ones and three that occur), with the null flag."""
+    blocked = [*C.BLOCKED_IDS, "1.jpg", "4.jpg", "7.jpg"]
+    return A.null_flag(A.drop_blocked(X.annotations(spark, sf_dir), blocked)).select("ImageId", "isnan")
 
 
 @register(
@@ -417,7 +456,8 @@ def drop_first_negatives(spark, sf_dir):
                    md5_key(SEED, "ImageId", F.coalesce(F.col("EncodedPixels"), F.lit(""))))
     from maskframe.operators.ranking import bucket_rank
 
-    r = bucket_rank(a, key, ["ImageId", "EncodedPixels"], prefix_len=4)
+    # the key stands for the text (rows of equal key and id are equal), so only id, flag and key are shuffled
+    r = bucket_rank(a.select("ImageId", "isnan", key.alias("_key")), "_key", ["ImageId"], prefix_len=4).drop("_key")
     return S.drop_first(r, DROP_NEGATIVES).select("ImageId", F.col("isnan").cast("int").alias("isnan"), "rn")
 
 
@@ -754,13 +794,14 @@ from maskframe.operators import scores as SC  # noqa: E402
 
 IGNORE = 9
 NUM_CLASSES = 10
-CS = """cs AS (SELECT vec_id AS image_id, CAST(pos // 10 AS INTEGER) AS view, CAST(pos % 10 AS INTEGER) AS class,
-  CAST(embedding[pos + 1] AS DOUBLE) AS logit, label FROM embeddings, range(60) t(pos))"""
+CS = """cs AS (SELECT vec_id AS image_id, CAST(v AS INTEGER) AS view, CAST(c AS INTEGER) AS class,
+  CAST(SUM(CAST(floor(CAST(embedding[p + 1] AS DOUBLE) * 1024) AS BIGINT) * ((p * (v + 1) + c * (c + 3) + v * c) % 7 - 3)) AS DOUBLE) / 1024.0 AS logit,
+  ANY_VALUE(label) AS label FROM embeddings, range(9) a(v), range(10) b(c), range(64) t(p) GROUP BY vec_id, v, c)"""
 # softmax in two steps (DuckDB does not nest window functions)
 SOFTMAX = """sm0 AS (SELECT *, exp(logit - MAX(logit) OVER (PARTITION BY image_id, view)) AS e FROM cs),
 sm AS (SELECT image_id, view, class, label, e / SUM(e) OVER (PARTITION BY image_id, view) AS prob FROM sm0)"""
-PRED_V0 = """p0 AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY image_id),
-pw AS (SELECT image_id, pred, CASE WHEN label = 9 THEN 0 ELSE label END AS label,
+PRED_ALL = """p0 AS (SELECT image_id, view, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs GROUP BY image_id, view),
+pw AS (SELECT image_id, view, pred, CASE WHEN label = 9 THEN 0 ELSE label END AS label,
        CASE WHEN label = 9 THEN 0.0 ELSE 1.0 END AS weight FROM p0)"""
 CM_SQL = "cm AS (SELECT label, pred, SUM(weight) AS n FROM pw WHERE weight <> 0 GROUP BY label, pred)"
 IOU_SQL = """rs AS (SELECT label AS class, SUM(n) AS row_n FROM cm GROUP BY 1),
@@ -772,12 +813,13 @@ iou AS (SELECT COALESCE(rs.class, cl.class) AS class, COALESCE(tp, 0) AS tp,
 
 
 def _scores(spark, sf_dir):
-    return X.class_scores(spark, sf_dir).repartition(X.parallelism(spark), "image_id")
+    return X.class_scores(spark, sf_dir)
 
 
-def _pred_v0(spark, sf_dir):
+def _pred_all(spark, sf_dir):
+    """Predictions of every view of every image, with the label and its weight."""
     cs = _scores(spark, sf_dir)
-    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    pred = SC.argmax_class(cs, ["image_id", "view"], score_col="logit")
     lab = cs.select("image_id", "label").distinct()
     return SC.ignore_weights(pred.join(lab, "image_id"), IGNORE)
 
@@ -791,7 +833,7 @@ def softmax_q(spark, sf_dir):
 
 @register("ensemble_mean", f"WITH {CS}, {SOFTMAX} SELECT image_id, class, round(AVG(prob), 6) AS prob FROM sm GROUP BY 1, 2")
 def ensemble_mean_q(spark, sf_dir):
-    """Probability averaged over the six views."""
+    """Probability averaged over the nine views."""
     p = SC.ensemble_mean(SC.softmax(_scores(spark, sf_dir), ["image_id", "view"]), ["image_id"])
     return p.select("image_id", "class", F.round("prob", 6).alias("prob"))
 
@@ -825,71 +867,71 @@ def tta_score(spark, sf_dir):
     return SC.score_views(_scores(spark, sf_dir), ["image_id"])
 
 
-@register("confusion_matrix", f"WITH {CS}, {PRED_V0}, {CM_SQL} SELECT label, pred, n FROM cm")
+@register("confusion_matrix", f"WITH {CS}, {PRED_ALL}, {CM_SQL} SELECT label, pred, n FROM cm")
 def confusion_matrix(spark, sf_dir):
     """A5 + P9: weighted (label, prediction) counts; label 9 is ignored (weight 0)."""
-    return SC.confusion_matrix(_pred_v0(spark, sf_dir))
+    return SC.confusion_matrix(_pred_all(spark, sf_dir))
 
 
 @register(
     "mean_iou",
-    f"WITH {CS}, {PRED_V0}, {CM_SQL}, {IOU_SQL} SELECT round(AVG(CASE WHEN den > 0 THEN tp / den END), 6) AS miou FROM iou",
+    f"WITH {CS}, {PRED_ALL}, {CM_SQL}, {IOU_SQL} SELECT round(AVG(CASE WHEN den > 0 THEN tp / den END), 6) AS miou FROM iou",
 )
 def mean_iou(spark, sf_dir):
     """Mean IoU over classes with a non-zero denominator."""
-    return SC.mean_iou(SC.confusion_matrix(_pred_v0(spark, sf_dir))).select(F.round("miou", 6).alias("miou"))
+    return SC.mean_iou(SC.confusion_matrix(_pred_all(spark, sf_dir))).select(F.round("miou", 6).alias("miou"))
 
 
 @register(
     "per_class_iou",
-    f"WITH {CS}, {PRED_V0}, {CM_SQL}, {IOU_SQL} SELECT class, round(CASE WHEN den > 0 THEN tp / den END, 6) AS iou FROM iou",
+    f"WITH {CS}, {PRED_ALL}, {CM_SQL}, {IOU_SQL} SELECT class, round(CASE WHEN den > 0 THEN tp / den END, 6) AS iou FROM iou",
 )
 def per_class_iou(spark, sf_dir):
     """A6 by class."""
-    i = SC.per_class_iou(SC.confusion_matrix(_pred_v0(spark, sf_dir)))
+    i = SC.per_class_iou(SC.confusion_matrix(_pred_all(spark, sf_dir)))
     return i.select("class", F.round("iou", 6).alias("iou"))
 
 
 @register(
     "accuracy",
-    f"""WITH {CS}, p AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY 1)
+    f"""WITH {CS}, p AS (SELECT image_id, view, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs GROUP BY 1, 2)
 SELECT round(AVG(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p""",
 )
 def accuracy(spark, sf_dir):
-    """Share of single-scale predictions equal to the label."""
+    """Share of the views' predictions equal to the label."""
     cs = _scores(spark, sf_dir)
-    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    pred = SC.argmax_class(cs, ["image_id", "view"], score_col="logit")
     pairs = pred.join(cs.select("image_id", "label").distinct(), "image_id")
     return SC.accuracy(pairs).select(F.round("accuracy", 6).alias("accuracy"))
 
 
 @register(
     "masked_cross_entropy",
-    f"""WITH {CS}, v AS (SELECT * FROM cs WHERE view = 0),
-l AS (SELECT image_id, MAX(logit) + ln(SUM(exp(logit - (SELECT MAX(logit) FROM v v2 WHERE v2.image_id = v.image_id)))) AS lse,
-      ANY_VALUE(label) AS label FROM v GROUP BY image_id),
-t AS (SELECT l.image_id, lse, CASE WHEN l.label = 9 THEN 0.0 ELSE 1.0 END AS w,
-             (SELECT logit FROM v WHERE v.image_id = l.image_id AND v.class = CASE WHEN l.label = 9 THEN 0 ELSE l.label END) AS tl
-      FROM l)
+    f"""WITH {CS}, v AS (SELECT *, MAX(logit) OVER (PARTITION BY image_id, view) AS m FROM cs),
+t AS (SELECT ANY_VALUE(m) + ln(SUM(exp(logit - m))) AS lse, CASE WHEN ANY_VALUE(label) = 9 THEN 0.0 ELSE 0.5 END AS w,
+             SUM(CASE WHEN class = CASE WHEN label = 9 THEN 0 ELSE label END THEN logit END) AS tl
+      FROM v GROUP BY image_id, view)
 SELECT round(SUM((lse - tl) * w) / SUM(CASE WHEN w <> 0 THEN 1.0 ELSE 0.0 END), 6) AS loss FROM t""",
 )
 def masked_cross_entropy(spark, sf_dir):
-    """Single-scale cross-entropy, label 9 ignored, averaged over non-zero weights."""
-    cs = _scores(spark, sf_dir).filter(F.col("view") == 0)
-    labels = cs.select("image_id", "label").distinct()
-    return SC.masked_cross_entropy(cs.select("image_id", "class", "logit"), labels, ["image_id"], IGNORE).select(
+    """Cross-entropy of every view with loss weight 0.5, label 9 ignored, averaged over non-zero weights."""
+    cs = _scores(spark, sf_dir)
+    labels = cs.select("image_id", "view", "label").distinct()
+    logits = cs.select("image_id", "view", "class", "logit")
+    return SC.masked_cross_entropy(logits, labels, ["image_id", "view"], IGNORE, weight=0.5).select(
         F.round("loss", 6).alias("loss")
     )
 
 
-TAGS = (("miou_0.75_1.25_1.75", (0, 1, 2)), ("miou_0.75_1.25_1.75_flipped", (0, 1, 2, 3, 4, 5)))
+#: (scales, flipped, views): the tag of a run is made from its scales and its flip flag
+RUNS = (((0.75, 1.25, 1.75), False, (0, 3, 6)), ((0.75, 1.25, 1.75), True, tuple(range(9))), ((1.25,), True, (3, 4, 5)))
 
 
 @register(
     "metric_by_tag",
     f"""WITH {CS}, {SOFTMAX},
-tags AS (SELECT * FROM (VALUES ('miou_0.75_1.25_1.75', 2), ('miou_0.75_1.25_1.75_flipped', 5)) t(tag, maxv)),
-m AS (SELECT tag, image_id, class, AVG(prob) AS prob, ANY_VALUE(label) AS label FROM sm JOIN tags ON sm.view <= tags.maxv GROUP BY 1, 2, 3),
+tags AS (SELECT * FROM (VALUES ('miou_0.75_1.25_1.75', [0, 3, 6]), ('miou_0.75_1.25_1.75_flipped', [0, 1, 2, 3, 4, 5, 6, 7, 8]), ('miou_1.25_flipped', [3, 4, 5])) t(tag, views)),
+m AS (SELECT tag, image_id, class, AVG(prob) AS prob, ANY_VALUE(label) AS label FROM sm JOIN tags ON list_contains(tags.views, sm.view) GROUP BY 1, 2, 3),
 p AS (SELECT tag, image_id, arg_max(class, (prob, -class)) AS pred, ANY_VALUE(label) AS label0 FROM m GROUP BY 1, 2),
 pw AS (SELECT tag, pred, CASE WHEN label0 = 9 THEN 0 ELSE label0 END AS label, CASE WHEN label0 = 9 THEN 0.0 ELSE 1.0 END AS weight FROM p),
 cm AS (SELECT tag, label, pred, SUM(weight) AS n FROM pw WHERE weight <> 0 GROUP BY 1, 2, 3),
@@ -903,31 +945,24 @@ iou AS (SELECT COALESCE(rs.tag, cl.tag) AS tag, COALESCE(rs.class, cl.class) AS
 SELECT tag, round(AVG(CASE WHEN den > 0 THEN tp / den END), 6) AS miou FROM iou GROUP BY tag""",
 )
 def metric_by_tag(spark, sf_dir):
-    """mIoU keyed by a tag built from the scales and the flip flag (3 views vs all 6)."""
-    cs = _scores(spark, sf_dir)
-    lab = cs.select("image_id", "label").distinct()
-    out = None
-    for tag, views in TAGS:
-        pred = SC.score_views(cs, ["image_id"], views)
-        pw = SC.ignore_weights(pred.join(lab, "image_id"), IGNORE)
-        m = SC.mean_iou(SC.confusion_matrix(pw)).select(F.lit(tag).alias("tag"), F.round("miou", 6).alias("miou"))
-        out = m if out is None else out.unionByName(m)
-    return out
+    """mIoU keyed by a tag built from the scales and the flip flag; all runs in one pass."""
+    m = SC.metric_by_run(_scores(spark, sf_dir), ["image_id"], RUNS, IGNORE)
+    return m.select("tag", F.round("miou", 6).alias("miou"))
 
 
 @register(
     "checkpoint_eval",
-    f"""WITH {CS}, {PRED_V0}, c AS (SELECT image_id % 3 AS checkpoint, pw.* FROM pw)
-SELECT CAST(checkpoint AS INTEGER) AS checkpoint, round(SUM(CASE WHEN pred = label THEN weight ELSE 0 END) / SUM(weight), 6) AS accuracy,
-       CAST(SUM(weight) AS BIGINT) AS n FROM c GROUP BY checkpoint""",
+    f"""WITH {CS}, {PRED_ALL}, cm AS (SELECT CAST(image_id % 3 AS INTEGER) AS checkpoint, label, pred, SUM(weight) AS n FROM pw WHERE weight <> 0 GROUP BY 1, 2, 3),
+cls AS (SELECT checkpoint, label AS class FROM cm UNION SELECT checkpoint, pred FROM cm),
+iou AS (SELECT c.checkpoint, c.class, COALESCE((SELECT SUM(n) FROM cm WHERE cm.checkpoint = c.checkpoint AND label = c.class AND pred = c.class), 0) AS tp,
+  (SELECT SUM(n) FROM cm WHERE cm.checkpoint = c.checkpoint AND (label = c.class OR pred = c.class)) AS den FROM cls c)
+SELECT checkpoint, round(AVG(tp / den), 6) AS miou FROM iou GROUP BY checkpoint""",
 )
 def checkpoint_eval(spark, sf_dir):
-    """ML6: metric per checkpoint (``checkpoint = image_id % 3`` stands for the evaluation round)."""
-    pw = _pred_v0(spark, sf_dir).withColumn("checkpoint", (F.col("image_id") % 3).cast("int"))
-    hit = (F.col("pred") == F.col("label")).cast("double") * F.col("weight")
-    return pw.groupBy("checkpoint").agg(
-        F.round(F.sum(hit) / F.sum("weight"), 6).alias("accuracy"), F.sum("weight").cast("bigint").alias("n")
-    )
+    """ML6: mean IoU per checkpoint (``checkpoint = image_id % 3`` stands for the evaluation round)."""
+    pw = _pred_all(spark, sf_dir).withColumn("checkpoint", (F.col("image_id") % 3).cast("int"))
+    m = SC.mean_iou(SC.confusion_matrix(pw, by=["checkpoint"]), by=["checkpoint"])
+    return m.select("checkpoint", F.round("miou", 6).alias("miou"))
 
 
 @register(
@@ -950,12 +985,17 @@ def display_scale_q(spark, sf_dir):
 
 @register(
     "assert_finite",
-    f"""WITH {CS} SELECT view, CAST(SUM(CASE WHEN isfinite(logit) THEN 1 ELSE 0 END) AS BIGINT) AS n_finite,
-CAST(SUM(CASE WHEN isfinite(logit) THEN 0 ELSE 1 END) AS BIGINT) AS n_bad FROM cs GROUP BY view""",
+    f"""WITH {CS}, d AS (SELECT view, CASE WHEN (image_id + class) % 11 = 0 THEN CAST('nan' AS DOUBLE)
+  WHEN (image_id + view) % 13 = 0 THEN CAST('inf' AS DOUBLE) WHEN (image_id + class) % 17 = 0 THEN CAST('-inf' AS DOUBLE) ELSE logit END AS logit FROM cs)
+SELECT view, CAST(SUM(CASE WHEN isfinite(logit) THEN 1 ELSE 0 END) AS BIGINT) AS n_finite,
+CAST(SUM(CASE WHEN isfinite(logit) THEN 0 ELSE 1 END) AS BIGINT) AS n_bad FROM d GROUP BY view""",
 )
 def assert_finite(spark, sf_dir):
-    """Finite and non-finite logits per view (the strict mode raises instead)."""
-    f = SC.finite_check(_scores(spark, sf_dir), "logit")
+    """Finite and non-finite logits per view, on scores into which NaN and both infinities are put by id (the
+    strict mode raises instead)."""
+    i, c, v = F.col("image_id"), F.col("class"), F.col("view")
+    bad = F.when((i + c) % 11 == 0, float("nan")).when((i + v) % 13 == 0, float("inf")).when((i + c) % 17 == 0, float("-inf"))
+    f = SC.finite_check(_scores(spark, sf_dir).withColumn("logit", bad.otherwise(F.col("logit"))), "logit")
     return f.groupBy("view").agg(
         F.sum(F.col("finite").cast("bigint")).cast("bigint").alias("n_finite"),
         F.sum((~F.col("finite")).cast("bigint")).cast("bigint").alias("n_bad"),
@@ -974,7 +1014,7 @@ FROM embeddings, range(64) t(pos) GROUP BY vec_id"""
 @register("batch_score", SCORE_SQL)
 def batch_score(spark, sf_dir):
     """ML1: a frozen (stub) model applied to every 8x8 image, Arrow batches, model loaded once per worker."""
-    g = X.grid_arrays(spark, sf_dir).repartition(X.parallelism(spark))
+    g = X.grid_arrays(spark, sf_dir)
     return ML.batch_score(g)
 
 
@@ -994,19 +1034,19 @@ def evaluate_classifier(spark, sf_dir):
 
 @register(
     "stream_eval",
-    f"""WITH {CS}, p AS (SELECT image_id, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs WHERE view = 0 GROUP BY 1)
+    f"""WITH {CS}, p AS (SELECT image_id, view, arg_max(class, (logit, -class)) AS pred, ANY_VALUE(label) AS label FROM cs GROUP BY 1, 2)
 SELECT CAST(image_id % 3 AS INTEGER) AS checkpoint, label, pred, CAST(COUNT(*) AS BIGINT) AS n FROM p GROUP BY 1, 2, 3""",
 )
 def stream_eval(spark, sf_dir):
     """Prediction chunks arrive as Parquet files; a streaming aggregation keeps the running confusion counts
     per evaluated checkpoint (update mode, checkpointed)."""
     cs = X.class_scores(spark, sf_dir)
-    pred = SC.argmax_class(cs.filter(F.col("view") == 0), ["image_id"], score_col="logit")
+    pred = SC.argmax_class(cs, ["image_id", "view"], score_col="logit")
     chunks = pred.join(cs.select("image_id", "label").distinct(), "image_id").withColumn(
         "checkpoint", (F.col("image_id") % 3).cast("int")
     )
     src = ST.scratch(spark, "pred-chunks")
-    chunks.repartition(3, "checkpoint").write.parquet(src)
+    chunks.write.parquet(src)
     res = ST.run_available_now(ST.running_confusion(ST.file_stream(spark, src, max_files=1)),
                                ["checkpoint", "label", "pred"], "stream-eval")
     return res.select("checkpoint", "label", "pred", "n")
@@ -1027,11 +1067,9 @@ def stream_metric_windows(spark, sf_dir):
 
 @register("stream_score", SCORE_SQL)
 def stream_score(spark, sf_dir):
-    """The 8x8 images are written as PNG files, then scored by a file stream as they arrive."""
-    d = ST.scratch(spark, "png")
-    ML.write_png_grids(X.grid_arrays(spark, sf_dir).repartition(X.parallelism(spark)), d).write.format("noop").mode(
-        "overwrite"
-    ).save()
+    """The 8x8 images arrive as Parquet chunks and are scored by a file stream as they come."""
+    d = ST.scratch(spark, "grids")
+    X.grid_arrays(spark, sf_dir).select("image_id", "data").write.parquet(d)
     res = ST.stream_score(spark, d, ML.LinearGridModel)
     return res.select("image_id", "score")
 
@@ -1207,7 +1245,145 @@ f AS (SELECT image_id, 8 AS h, 8 AS w, list_transform(range(64), lambda i: data[
 def global_pool(spark, sf_dir):
     """Average of each image's cells."""
     p = G.global_pool(X.grid_arrays(spark, sf_dir))
-    return p.select("image_id", F.round("pooled", 6).alias("pooled"))
+    return p.select("image_id", F.round(F.col("pooled")[0], 6).alias("pooled"))
+
+
+# ---- images of three channels: (p, (2 p + row) mod 256, 255 - p) of every cell
+RGB = """g AS (SELECT image_id, h, w, list_transform(range(192), lambda i:
+  CASE i % 3 WHEN 0 THEN d[i // 3 + 1] WHEN 1 THEN (2 * d[i // 3 + 1] + i // 24) % 256 ELSE 255 - d[i // 3 + 1] END) AS data
+  FROM (SELECT vec_id AS image_id, 8 AS h, 8 AS w, list_transform(embedding, lambda x: floor((CAST(x AS DOUBLE) + 1) * 127.5)) AS d FROM embeddings))"""
+
+
+def rgb_arrays(spark, sf_dir):
+    g = X.grid_arrays(spark, sf_dir)
+    cell = F.transform("data", lambda p, i: F.array(p, (p * 2 + F.floor(i / 8)) % 256, F.lit(255.0) - p))
+    return g.withColumn("data", F.flatten(cell)).withColumn("c", F.lit(3))
+
+
+def _rgb_query(fn, *extra):
+    def q(spark, sf_dir):
+        out = fn(rgb_arrays(spark, sf_dir))
+        return out.select("image_id", *extra, "h", "w", F.round(G.digest("data"), 6).alias("checksum"))
+
+    return q
+
+
+def _rgb_cells(h: int, w: int, row: str, col: str) -> str:
+    """SQL: an h x w image of three channels whose cell i reads the 8 x 8 source at (row, col); expressions of i."""
+    return f"list_transform(range({h * w * 3}), lambda i: data[(({row}) * 8 + ({col})) * 3 + i % 3 + 1])"
+
+
+register(
+    "rgb_flip",
+    f"""WITH {RGB}, f AS (SELECT image_id, h, w, {_u('flip')} <= 0.5 AS flipped,
+  CASE WHEN {_u('flip')} <= 0.5 THEN {_rgb_cells(8, 8, '7 - i // 24', '(i // 3) % 8')} ELSE data END AS data FROM g) {_checksum_sql('f', ', flipped')}""",
+)(_rgb_query(lambda g: G.flip(g, SEED, 0.5, "h"), "flipped"))
+register(
+    "rgb_pad",
+    f"""WITH {RGB}, f AS (SELECT image_id, 10 AS h, 12 AS w, list_transform(range(360), lambda i: CASE WHEN i // 36 BETWEEN 1 AND 8 AND (i // 3) % 12 BETWEEN 2 AND 9
+  THEN data[((i // 36 - 1) * 8 + (i // 3) % 12 - 2) * 3 + i % 3 + 1] ELSE [123.15, 115.9, 103.06][i % 3 + 1] END) AS data FROM g) {_checksum_sql('f')}""",
+)(_rgb_query(lambda g: G.pad_to_box(g, 1, 2, 10, 12, G.mean_pixel("resnet_v1_50"))))
+register(
+    "rgb_crop",
+    f"WITH {RGB}, f AS (SELECT image_id, 5 AS h, 6 AS w, {_rgb_cells(5, 6, 'i // 18 + 2', '(i // 3) % 6 + 1')} AS data FROM g) {_checksum_sql('f')}",
+)(_rgb_query(lambda g: G.crop(g, 2, 1, 5, 6)))
+register(
+    "rgb_resize_nearest",
+    f"""WITH {RGB}, f AS (SELECT image_id, 12 AS h, 12 AS w, {_rgb_cells(12, 12, '((i // 36) * 14 + 11) // 22', '(((i // 3) % 12) * 14 + 11) // 22')} AS data FROM g)
+{_checksum_sql('f')}""",
+)(_rgb_query(lambda g: G.resize_nearest(g, 12, 12)))
+# to 15 x 15 every other cell is a source cell, the others are means of their neighbours
+register(
+    "rgb_resize_bilinear",
+    f"""WITH {RGB}, s AS (SELECT image_id, data, (i // 3) // 15 AS y, (i // 3) % 15 AS x, i % 3 AS ch, i FROM g, range(675) t(i)),
+f AS (SELECT image_id, 15 AS h, 15 AS w, round(SUM((i + 1) * (data[((y // 2) * 8 + x // 2) * 3 + ch + 1] + data[(((y + 1) // 2) * 8 + x // 2) * 3 + ch + 1]
+  + data[((y // 2) * 8 + (x + 1) // 2) * 3 + ch + 1] + data[(((y + 1) // 2) * 8 + (x + 1) // 2) * 3 + ch + 1]) / 4), 6) AS checksum FROM s GROUP BY image_id)
+SELECT * FROM f""",
+)(_rgb_query(lambda g: G.resize_bilinear(g, 15, 15)))
+register(
+    "rgb_normalise",
+    f"""WITH {RGB}, f AS (SELECT image_id, h, w, list_transform(range(192), lambda i: data[i + 1] - [123.15, 115.9, 103.06][i % 3 + 1]) AS data FROM g) {_checksum_sql('f')}""",
+)(_rgb_query(lambda g: G.normalise(g, "resnet_v1_101")))
+register(
+    "rgb_augment",
+    f"""WITH {RGB}, f AS (SELECT image_id, '' AS suffix, h, w, data FROM g
+UNION ALL SELECT image_id, '_a', h, w, {_rgb_cells(8, 8, '7 - i // 24', '7 - (i // 3) % 8')} FROM g
+UNION ALL SELECT image_id, '_b', h, w, {_rgb_cells(8, 8, '(i // 3) % 8', '7 - i // 24')} FROM g
+UNION ALL SELECT image_id, '_f', h, w, {_rgb_cells(8, 8, '7 - i // 24', '(i // 3) % 8')} FROM g) {_checksum_sql('f', ', suffix')}""",
+)(_rgb_query(G.augment, "suffix"))
+
+
+@register("rgb_pool", f"WITH {RGB} SELECT image_id, CAST(ch AS INTEGER) AS channel, round(AVG(data[k * 3 + ch + 1]), 6) AS pooled FROM g, range(64) a(k), range(3) b(ch) GROUP BY 1, 2")
+def rgb_pool(spark, sf_dir):
+    """One average per channel."""
+    p = G.global_pool(rgb_arrays(spark, sf_dir)).select("image_id", F.posexplode("pooled").alias("channel", "pooled"))
+    return p.select("image_id", "channel", F.round("pooled", 6).alias("pooled"))
+
+
+@register(
+    "resize_to_range",
+    f"""WITH {RGB}, f AS (SELECT image_id, 13 AS h, 13 AS w, {_rgb_cells(13, 13, '0', '0')} AS data FROM g) SELECT image_id, h, w, CAST(len(data) AS INTEGER) AS n,
+  CAST(data[1] AS DOUBLE) AS first FROM f""",
+)
+def resize_to_range(spark, sf_dir):
+    """I9 on data: 8 x 8 to a shorter side of 12, sides of the form 4 k + 1 (13 x 13), three channels."""
+    out = G.resize_to_range(rgb_arrays(spark, sf_dir), 12, 20, 4)
+    return out.select("image_id", "h", "w", F.size("data").alias("n"), F.col("data")[0].alias("first"))
+
+
+@register(
+    "score_submission",
+    f"""WITH RECURSIVE {GRID}, px AS (SELECT image_id AS k, i // 8 AS y, i % 8 AS x FROM g, range(64) t(i) WHERE data[i + 1] > 128),
+reach AS (SELECT k, y * 8 + x AS a, y * 8 + x AS b FROM px
+  UNION SELECT r.k, r.a, n.y * 8 + n.x FROM reach r JOIN px n ON n.k = r.k AND abs(n.y - r.b // 8) <= 1 AND abs(n.x - r.b % 8) <= 1),
+cpx AS (SELECT k, MIN(b) AS comp, (a % 8) * 8 + a // 8 AS p FROM reach GROUP BY k, a),
+isl AS (SELECT k, comp, p, p - row_number() OVER (PARTITION BY k, comp ORDER BY p) AS q FROM cpx),
+runs AS (SELECT k, comp, MIN(p) AS s, COUNT(*) AS n FROM isl GROUP BY k, comp, q),
+txt AS (SELECT k, string_agg(CAST(s + 1 AS VARCHAR) || ' ' || CAST(n AS VARCHAR), ' ' ORDER BY s) AS e FROM runs GROUP BY k, comp)
+SELECT CAST(g.image_id AS VARCHAR) AS ImageId, txt.e AS EncodedPixels FROM g LEFT JOIN txt ON txt.k = g.image_id""",
+)
+def score_submission(spark, sf_dir):
+    """ML1 end to end: images -> masks -> connected instances -> submission rows."""
+    return ML.score_submission(X.grid_arrays(spark, sf_dir), 8, 8)
+
+
+@register("multi_view_mask")
+def multi_view_mask(spark, sf_dir):
+    """ML2 end to end: nine views scored, turned back, averaged; pixels of the ship class (checked in the tests)."""
+    m = ML.multi_view_masks(rgb_arrays(spark, sf_dir))
+    return m.select("image_id", F.aggregate("data", F.lit(0.0), lambda a, x: a + x).cast("int").alias("ship_pixels"))
+
+
+@register(
+    "quarantine",
+    """WITH t AS (SELECT CAST(l_orderkey AS VARCHAR) || '.jpg' AS ImageId, l_linenumber % 4 AS kind, l_partkey AS p FROM lineitem)
+SELECT ImageId, CASE kind WHEN 1 THEN p || ' x' WHEN 2 THEN p || ' 3 -4 2' END AS EncodedPixels, 'non_numeric_token' AS reason FROM t WHERE kind IN (1, 2)""",
+)
+def quarantine(spark, sf_dir):
+    """Rows whose text the parser cannot take, with their reason: a word or a sign among the numbers; the other rows
+    (sound text and null) pass."""
+    t = X.table(spark, sf_dir, "lineitem").select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".jpg")).alias("ImageId"),
+                                                  (F.col("l_linenumber") % 4).alias("kind"), F.col("l_partkey").cast("string").alias("p"))
+    text = F.when(F.col("kind") == 0, F.concat("p", F.lit(" 5"))).when(F.col("kind") == 1, F.concat("p", F.lit(" x"))).when(
+        F.col("kind") == 2, F.concat("p", F.lit(" 3 -4 2")))
+    return A.quarantine(t.withColumn("EncodedPixels", text))
+
+
+@register("tile_grid", """WITH t AS (SELECT * FROM (VALUES (512, 3), (768, 5), (1024, 7)) v(resize, n)),
+o AS (SELECT o_orderkey AS k FROM orders), c AS (SELECT resize, n, iy, ix FROM t, range(7) a(iy), range(7) b(ix) WHERE iy < n AND ix < n)
+SELECT CAST(resize AS INTEGER) AS resize, CAST(iy * n + ix AS INTEGER) AS tile, CAST(128 * ix AS INTEGER) AS x0, CAST(128 * iy AS INTEGER) AS y0,
+  CAST(SUM(CASE WHEN k % resize BETWEEN 128 * ix AND 128 * ix + 255 AND (7 * k) % resize BETWEEN 128 * iy AND 128 * iy + 255 THEN 1 ELSE 0 END) AS BIGINT) AS n
+FROM o, c GROUP BY 1, 2, 3, 4""")
+def tile_grid(spark, sf_dir):
+    """The three tile grids, with the points (key mod side, 7 key mod side) of all orders that fall in each tile."""
+    k, out = F.col("o_orderkey"), None
+    for resize, n in ((512, 3), (768, 5), (1024, 7)):
+        pts = X.table(spark, sf_dir, "orders").select((k % resize).alias("x"), ((k * 7) % resize).alias("y"))
+        pts = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m"))
+        j = T.tile_grid(spark, resize, n).join(pts, (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1")), "left")
+        one = j.groupBy("tile", "x0", "y0").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).select(F.lit(resize).alias("resize"), "tile", "x0", "y0", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 DIMS_SQL = "d AS (SELECT o_orderkey AS image_id, 256 + o_orderkey % 700 AS h, 256 + o_orderkey % 500 AS w FROM orders)"
@@ -1291,7 +1467,7 @@ def _cs_sql(col: str) -> str:
 SELECT image_id, h, w, {_cs_sql('data')} AS checksum, {_cs_sql('label_data')} AS label_checksum FROM p""",
 )
 def preprocess_eval(spark, sf_dir):
-    """I12 (evaluation): pad image (mean pixel) and label (ignore label) to the 12 x 12 crop size."""
+    """I12 (evaluation): pad image (mean pixel) and label (ignore label) to the 12 x 12 crop size (no resize is left)."""
     return _pre_checksums(G.preprocess(_with_labels(spark, sf_dir), SEED, 12, 12, is_training=False))
 
 
@@ -1348,27 +1524,29 @@ def pad_batch(spark, sf_dir):
 
     g = X.grid_arrays(spark, sf_dir)
     g = g.withColumn("_ch", (F.lit(4) + F.col("image_id") % 5).cast("int")).withColumn("_cw", (F.lit(4) + F.col("image_id") % 3).cast("int"))
-    g = g.withColumn("data", G._grid(F.col("_ch"), F.col("_cw"), lambda r, c, s: G._cell(s["data"], r * s["w"] + c)))
-    g = g.withColumn("h", F.col("_ch")).withColumn("w", F.col("_cw")).drop("_ch", "_cw")
-    r = bucket_rank(g, S.shuffle_key(SEED, "image_id"), ["image_id"], prefix_len=2)
-    b = r.withColumn("batch_id", F.floor((F.col("rn") - 1) / 4))
+    g = G.crop(g, 0, 0, "_ch", "_cw").drop("_ch", "_cw")
+    # ranks over ids alone; the images meet them once
+    r = bucket_rank(g.select("image_id"), S.shuffle_key(SEED, "image_id"), ["image_id"], prefix_len=2)
+    b = g.join(r.select("image_id", F.floor((F.col("rn") - 1) / 4).alias("batch_id")), "image_id")
     return G.checksum(G.batch_pad(b, "batch_id", 0.0))
 
 
 @register(
     "validate_samples",
-    """SELECT o_orderkey AS image_id, CASE WHEN 256 + o_orderkey % 700 <> 768 OR 256 + o_orderkey % 500 <> 768 THEN 'shape_mismatch'
-  WHEN (CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 1 ELSE 4 END) NOT IN (1, 3) THEN 'bad_channels' ELSE 'ok' END AS reason
+    """SELECT o_orderkey AS image_id, CASE WHEN 256 + o_orderkey % 500 <> 256 + o_orderkey % (CASE WHEN o_custkey % 3 = 0 THEN 499 ELSE 500 END) THEN 'shape_mismatch'
+  WHEN (CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 1 ELSE 4 END) NOT IN (1, 3) THEN 'bad_channels'
+  WHEN o_custkey % 5 = 1 THEN 'bad_label_rank' ELSE 'ok' END AS reason
 FROM orders""",
 )
 def validate_samples(spark, sf_dir):
-    """P10 + P11: image size (from the order) against the 768 x 768 label canvas, and the channel count."""
+    """Image size against label size, channel count, label channels; all four reasons occur."""
     o = X.table(spark, sf_dir, "orders")
-    imgs = o.select(F.col("o_orderkey").alias("image_id"), (F.lit(256) + F.col("o_orderkey") % 700).alias("h"),
-                    (F.lit(256) + F.col("o_orderkey") % 500).alias("w"),
+    imgs = o.select(F.col("o_orderkey").alias("image_id"), F.lit(768).alias("h"), (F.lit(256) + F.col("o_orderkey") % 500).alias("w"),
                     F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "O", 1).otherwise(4).alias("c"),
-                    F.lit(768).alias("label_h"), F.lit(768).alias("label_w"))
-    return G.validate_samples(imgs).select("image_id", "reason")
+                    F.lit(768).alias("label_h"),
+                    (F.lit(256) + F.col("o_orderkey") % F.when(F.col("o_custkey") % 3 == 0, 499).otherwise(500)).alias("label_w"),
+                    F.when(F.col("o_custkey") % 5 == 1, 3).otherwise(1).alias("label_c"))
+    return G.validate_samples(imgs, label_c="label_c").select("image_id", "reason")
 
 
 @register(
@@ -1415,13 +1593,12 @@ def split_projection(spark, sf_dir):
     """Images that no record of the training build uses form the unlabeled ``test`` split; their labels are
     projected away, the others keep their split and class."""
     from maskframe.plans.training_set import make_training_set as build
-    from maskframe.plans.training_set import ranked_rows
+    from maskframe.plans.training_set import images_of, ranked_rows
 
     ann = X.annotations(spark, sf_dir)
     recs = build(ann, SEED, DROP_NEGATIVES, 0.01, 4, SPLIT_BINS).select("sample").distinct()
     kept = S.drop_first(ranked_rows(ann, SEED), DROP_NEGATIVES)
-    img = A.image_rollup(kept.select("ImageId", "EncodedPixels"))
-    img = img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn("sclass", C.area_class(F.col("area"), SPLIT_BINS))
+    img = images_of(kept, SPLIT_BINS)
     sp = S.stratified_split(img.select("ImageId", "class", "sclass"), 0.01, SEED, class_col="sclass")
     used = recs.select(F.col("sample"), F.lit(True).alias("_used"))
     j = sp.join(used, sample_name("ImageId", "") == F.col("sample"), "left")
@@ -1455,9 +1632,7 @@ SELECT image_id, view, h, w, {_cs_sql('data')} AS checksum FROM f""",
 def cross_views_q(spark, sf_dir):
     """J6 (+ I6, I1): each 8x8 image in the nine inference views (three scales x as-is / left-right / up-down)."""
     v = G.cross_views(X.grid_arrays(spark, sf_dir))
-    cs = F.round(F.aggregate(F.zip_with("data", F.sequence(F.lit(1), F.size("data")), lambda a, i: a * i), F.lit(0.0),
-                             lambda a, x: a + x), 6)
-    return v.select("image_id", "view", "h", "w", cs.alias("checksum"))
+    return v.select("image_id", "view", "h", "w", F.round(G.digest("data"), 6).alias("checksum"))
 
 
 @register(

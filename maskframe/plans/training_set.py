@@ -29,10 +29,18 @@ VARIANTS = ("", "_a", "_b", "_f")
 
 def ranked_rows(ann: DataFrame, seed) -> DataFrame:
     """O1: annotation rows ordered by the null flag (descending), then ``md5(seed:id:text)``; ``rn`` is 1-based."""
-    a = A.null_flag(A.drop_blocked(ann))
+    a = A.with_area(A.null_flag(A.drop_blocked(ann)))
     key = F.concat((F.lit(1) - F.col("isnan")).cast("string"),
                    md5_key(seed, "ImageId", F.coalesce(F.col("EncodedPixels"), F.lit(""))))
-    return bucket_rank(a, key, ["ImageId", "EncodedPixels"], prefix_len=4)
+    # the key stands for the text and the area is what is used of it: the text stays where it is
+    thin = a.select("ImageId", "isnan", F.when(F.col("valid"), F.col("area")).otherwise(F.lit(0)).alias("area"), key.alias("_key"))
+    return bucket_rank(thin, "_key", ["ImageId"], prefix_len=4).drop("_key")
+
+
+def images_of(kept: DataFrame, split_bins) -> DataFrame:
+    """Images of the ranked rows with their area, class and the class that the split goes by."""
+    img = kept.groupBy("ImageId").agg(F.sum("area").cast("bigint").alias("area"))
+    return img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn("sclass", C.area_class(F.col("area"), split_bins))
 
 
 def _pairs_to_records(bal: DataFrame, split: str, per_pair: int, num_shards: int) -> DataFrame:
@@ -56,17 +64,15 @@ def _pairs_to_records(bal: DataFrame, split: str, per_pair: int, num_shards: int
     )
 
 
-def make_training_set(ann: DataFrame, seed=42, drop_n: int = 100, val_frac: float = 0.01, num_shards: int = 4,
+def make_training_set(ann: DataFrame, seed, drop_n: int, val_frac: float = 0.01, num_shards: int = 4,
                       split_bins=C.MAIN_BINS[:4]) -> DataFrame:
     """Records ``(split, shard_id, seq, sample)``; ``seq`` is the write order inside the split."""
     kept = S.drop_first(ranked_rows(ann, seed), drop_n)
-    img = A.image_rollup(kept.select("ImageId", "EncodedPixels"))
-    img = img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn(
-        "sclass", C.area_class(F.col("area"), split_bins))
+    img = images_of(kept, split_bins)
     sp = S.stratified_split(img.select("ImageId", "class", "sclass"), val_frac, seed, class_col="sclass")
     # one row per image, read by every list below: cut the lineage once (reliable checkpoint in the shared folder)
     # instead of re-running parse, rank and rollup for each branch
-    sp = cut_lineage(sp.select("ImageId", "class", "split"))
+    sp = cut_lineage(sp.select("ImageId", "class", "split"), eager=False)
     val = sp.filter(F.col("split") == "val")
     train = sp.filter(F.col("split") == "train")
     val_bal = S.balance_pair(val.filter(F.col("class") > 0).select("ImageId"),

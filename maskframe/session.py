@@ -49,10 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint into the shared folder (never a local checkpoint); ``eager=False`` leaves it to the first job
+    that reads the rows, so that building a query runs none."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=eager)
 
 
 _SHIPPED: set[str] = set()

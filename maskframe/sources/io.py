@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ def write_submission(df: DataFrame, path: str) -> None:
     df.select("ImageId", "EncodedPixels").write.mode("overwrite").option("header", True).csv(path)
 
 
-def scan_image_files(spark: SparkSession, folder: str, glob: str = "*.png") -> DataFrame:
+def scan_image_files(spark: SparkSession, folder: str, glob: str = "*.{jpg,jpeg,png}") -> DataFrame:
     """S3: list and read a folder of image files (``binaryFile``: path, modificationTime, length, content)."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
 
@@ -70,6 +72,19 @@ def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", True).load(folder)
 
 
+def image_grids(images: DataFrame) -> DataFrame:
+    """Decoded images (``scan_images``) as grids ``(image_id, h, w, c, data array<double>)``; the id is the file's stem, the
+    channels come in red, green, blue order. The bytes become numbers in Arrow batches."""
+    def run(data: pd.Series, c: pd.Series) -> pd.Series:
+        px = [np.frombuffer(bytes(d), np.uint8).reshape(-1, int(k)) for d, k in zip(data, c, strict=True)]
+        return pd.Series([(p[:, 2::-1] if p.shape[1] == 3 else p).astype(np.float64).ravel() for p in px], dtype="object")
+
+    i = F.col("image")
+    stem = F.regexp_extract(i["origin"], r"([^/]+?)(\.[^./]*)?$", 1)
+    return images.select(stem.alias("image_id"), i["height"].alias("h"), i["width"].alias("w"), i["nChannels"].alias("c"),
+                         F.pandas_udf(run, "array<double>")(i["data"], i["nChannels"]).alias("data"))
+
+
 def dataset_registry(spark: SparkSession) -> DataFrame:
     """The dataset descriptors as a tiny table (broadcast when joined)."""
     return spark.createDataFrame(list(REGISTRY), REGISTRY_SCHEMA)

@@ -94,10 +94,8 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files:
 
 
 def stream_score(spark: SparkSession, image_dir: str, model_fn, name: str = "stream-score") -> DataFrame:
-    """Score image files as they arrive (``binaryFile`` source + the batch scorer), checkpointed."""
-    from maskframe.operators.model import score_png_files
+    """Images arrive as Parquet chunks ``(image_id, data)`` in a shared folder and are scored as they come, with the
+    batch scorer, checkpointed. (Folders of image files are turned into such chunks by Spark's ``image`` source.)"""
+    from maskframe.operators.model import batch_score
 
-    schema = "path string, modificationTime timestamp, length bigint, content binary"
-    src = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.png").load(image_dir)
-    scored = score_png_files(src, model_fn)
-    return run_available_now(scored, ["path"], name, mode="append")
+    return run_available_now(batch_score(file_stream(spark, image_dir), model_fn), ["image_id"], name, mode="append")

@@ -1,6 +1,8 @@
 """Properties of SURVEY 5 on many random masks in one job: canonical encoding round trip, coverage-weighted area,
 vote monotonicity."""
 
+from itertools import groupby
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -9,10 +11,10 @@ from maskframe.operators import coverage as V
 
 
 def np_encode(flat):
-    px = np.concatenate([[0], flat.astype(np.int8), [0]])
-    runs = np.flatnonzero(px[1:] != px[:-1]) + 1
-    runs[1::2] -= runs[::2]
-    return " ".join(str(x) for x in runs)
+    """Start and length of every group of consecutive set positions."""
+    groups = groupby(enumerate(np.flatnonzero(flat).tolist()), key=lambda x: x[1] - x[0])
+    runs = [[p for _, p in own] for _, own in groups]
+    return " ".join(f"{r[0] + 1} {len(r)}" for r in runs)
 
 
 def test_round_trip_area_and_vote(spark):
