@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import ready
+from maskframe.llm.common import ready, written
 
 WORD = re.compile(r"[^\W_]+")
 MARKS = re.compile(r"[\"“”„«»]")
@@ -25,8 +26,9 @@ MARKS = re.compile(r"[\"“”„«»]")
 REPORTING = frozenset("said says say quote quoted quotes called calls word words term terms wrote writes reported means meaning sagte sagt zitat zitiert wort nannte bedeutet dit disait citation mot appelé signifie dijo dice cita palabra llamó significa".split())
 #: words on each side of a hit that its context score looks at
 WINDOW = 6
-#: hits of one kind are counted up to this in the model's features (log scale)
 N_FEATURES = 6
+#: words that a worker remembers at most
+MEMORY = 500_000
 
 
 def allowed(term: str) -> int:
@@ -135,18 +137,33 @@ class Model:
             a = self._automaton = Automaton([t for t in self.terms if not t.endswith("*")], [t[:-1] for t in self.terms if t.endswith("*")])
         return a
 
+    def known_words(self) -> tuple[set[str], dict[str, tuple[str, int]]]:
+        """Words read so far, and those of them that are hits."""
+        if "_known" not in self.__dict__:
+            self._known: set[str] = set()
+            self._found: dict[str, tuple[str, int]] = {}
+        return self._known, self._found
+
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_automaton"}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def hits(self, text: str) -> list[tuple[str, str, int, float]]:
         """(word, best term, distance, context) of every hit in ``text``; context 0 abuse to 1 quotation."""
-        a = self.automaton()
         low = text.lower()
-        found = {}
-        for w in set(WORD.findall(low)):
-            if w not in self.harmless and (m := a.match(w)):
-                found[w] = max(m, key=lambda x: (self.terms.get(x[0], 0.0) - x[1], x[0]))
-        if not found:
+        here = set(WORD.findall(low))
+        known, found = self.known_words()
+        new = here - known
+        if new:
+            a = self.automaton()
+            if len(known) > MEMORY:  # bounded: what is known of words can be found again
+                known.clear()
+                found.clear()
+                new = here
+            for w in new:
+                if w not in self.harmless and (m := a.match(w)):
+                    found[w] = max(m, key=lambda x: (self.terms.get(x[0], 0.0) - x[1], x[0]))
+            known |= new
+        if here.isdisjoint(found):
             return []
         words = [(m.group(), m.start()) for m in WORD.finditer(low)]
         marks = [m.start() for m in MARKS.finditer(low)]
@@ -195,41 +212,59 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w
 
 
-def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6), max_terms: int = 2000) -> Model:
-    """Learns lexicon and weights from ``labelled`` (doc_id, text, toxic 0/1; null labels and texts are left out).
+def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6), max_terms: int = 2000) -> Model:
+    """Learns lexicon and weights from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0/1) name; null
+    labels and texts are left out, and an id labelled both ways is toxic.
 
     The fit reads about ``rows_per_label`` whole documents per label at most, chosen by a hash of doc_id (the documented
-    bound). A word, or a word beginning of ``heads`` characters, becomes a term when more toxic documents use it than
-    chance explains (log-likelihood ratio above that of the best of all candidates by chance); the ``max_terms`` strongest
-    stay. Words near a term that clean documents use at least as often are harmless. With one label only or none, the
-    model has no terms and answers the labels' share.
+    bound; it also bounds the ids that are broadcast to the scan of the texts). A word, or a word beginning of ``heads``
+    characters, becomes a term when more toxic documents use it than chance explains (log-likelihood ratio above that of
+    the best of all candidates by chance); the ``max_terms`` strongest stay. Words near a term that clean documents use at
+    least as often are harmless. With one label only or none, the model has no terms and answers the labels' share.
     """
-    d = ready(labelled).filter("text IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    n = {r["toxic"]: r["n"] for r in d.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    part = {y: min(1.0, rows_per_label / max(n.get(y, 0), 1)) for y in (0, 1)}
+    pick = F.pmod(F.xxhash64("_id", F.lit("toxicity")), F.lit(1 << 30))
+    some = known.filter(pick < F.when(F.col("toxic") == 1, int(part[1] * (1 << 30))).otherwise(int(part[0] * (1 << 30))))
+    texts = ready(docs).filter("text IS NOT NULL").select("doc_id", "text")
+    sample = written(texts.join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic"), "toxicity-sample")
+    n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         p = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
         return Model({}, weights=np.append(np.zeros(N_FEATURES), math.log(p / (1 - p)) if n else -2.0))
-    part = {y: min(1.0, rows_per_label / n[y]) for y in (0, 1)}
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30))
-    sample = d.filter(pick < F.when(F.col("toxic") == 1, int(part[1] * (1 << 30))).otherwise(int(part[0] * (1 << 30))))
-    m1, m0 = max(1.0, part[1] * n[1]), max(1.0, part[0] * n[0])
+    m1, m0 = n[1], n[0]
 
     def count(batches):
         for b in batches:
-            for y, own in b.groupby("toxic"):
-                c: dict[str, int] = {}
-                for t in own["text"]:
-                    words = set(WORD.findall(t.lower()))
-                    for w in words | {w[:k] + "*" for w in words for k in heads if len(w) > k}:
-                        c[w] = c.get(w, 0) + 1
-                yield pd.DataFrame({"w": list(c), "n1": [x if y else 0 for x in c.values()], "n0": [0 if y else x for x in c.values()]})
-
-    counts = sample.mapInPandas(count, "w string, n1 long, n0 long").groupBy("w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    p1, p0 = F.col("n1") / m1, F.col("n0") / m0
-    both = (F.col("n1") + F.col("n0")) / (m1 + m0)
-    llr = F.col("n1") * F.log(p1 / both) + F.when(F.col("n0") > 0, F.col("n0") * F.log(p0 / both)).otherwise(0.0)
-    some = counts.filter((F.col("n1") >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
-    tries = max(2, counts.filter("n1 >= 3").count())
+            n1: dict[str, int] = {}
+            n0: dict[str, int] = {}
+            seen: dict[str, int] = {}  # bits of the words that stand before a word in toxic documents
+            for y, t in zip(b["toxic"], b["text"], strict=True):
+                words = WORD.findall(t.lower())
+                here = set(words)
+                c = n1 if y else n0
+                for w in here | {w[:k] + "*" for w in here for k in heads if len(w) > k}:
+                    c[w] = c.get(w, 0) + 1
+                if y:
+                    for before, w in zip(["", *words], words):
+                        bit = 1 << zlib.crc32(before.encode("utf-8", "surrogatepass")) % 63
+                        for x in (w, *(w[:k] + "*" for k in heads if len(w) > k)):
+                            seen[x] = seen.get(x, 0) | bit
+            all_ = list(n1.keys() | n0.keys())
+            yield pd.DataFrame({"w": all_, "n1": [n1.get(w, 0) for w in all_], "n0": [n0.get(w, 0) for w in all_], "bits": [seen.get(w, 0) for w in all_]})
+
+    counts = sample.mapInPandas(count, "w string, n1 long, n0 long, bits long").groupBy("w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.bit_or("bits").alias("bits"))
+    counts = written(counts, "toxicity-words")
+    # copies of a document repeat a word with the words around it: it counts once for each word that stands before it
+    # (linear counting over 63 places), at most once a document
+    apart = -63.0 * F.log((63.5 - F.bit_count("bits")) / 63.5)
+    free = F.least(F.col("n1").cast("double"), F.ceil(apart).cast("double"))
+    p1, p0 = F.col("free") / m1, F.col("n0") / m0
+    both = (F.col("free") + F.col("n0")) / (m1 + m0)
+    llr = F.col("free") * F.log(p1 / both) + F.when(F.col("n0") > 0, F.col("n0") * F.log(p0 / both)).otherwise(0.0)
+    some = counts.withColumn("free", free).filter((F.col("free") >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
+    tries = max(2, counts.withColumn("free", free).filter("free >= 3").count())
     rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").limit(max_terms).collect()
     # a beginning stands for a family when it tells clearly more than any one word of it; of a family's beginnings the one
     # that tells most stays, and its words add nothing
@@ -243,7 +278,7 @@ def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...
             families.append(p)
     terms = {w: odds[w] for w in [*families, *words] if w in families or not any(w.startswith(f[:-1]) for f in families)}
     model = Model(terms)
-    held = d.sparkSession.sparkContext.broadcast(model)
+    held = sample.sparkSession.sparkContext.broadcast(model)
 
     def near(batches):
         for b in batches:
@@ -253,7 +288,7 @@ def fit(labelled: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...
                     yield pd.DataFrame({"w": [w]})
 
     model.harmless = frozenset(r["w"] for r in counts.filter("n0 > 0").mapInPandas(near, "w string").collect())
-    final = d.sparkSession.sparkContext.broadcast(model)
+    final = sample.sparkSession.sparkContext.broadcast(model)
 
     def feature(batches):
         for b in batches:

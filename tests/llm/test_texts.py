@@ -159,6 +159,11 @@ def test_op10_held_out(spark):
     assert np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]) >= 0.75
 
 
+def fitted(spark, rows):
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return toxicity.fit(d.select("doc_id", "text"), d.select("doc_id", "toxic"))
+
+
 @pytest.fixture(scope="module")
 def toxic_model(spark):
     rng = np.random.default_rng(2)
@@ -169,7 +174,7 @@ def toxic_model(spark):
         if i % 4 == 0:
             w[5], w[20] = "moron", ["stupid", "worthless"][i // 4 % 2]
         rows.append((i, " ".join(w), int(i % 4 == 0)))
-    return toxicity.fit(spark.createDataFrame([*rows, (900, None, 1), (901, "x", None)], "doc_id long, text string, toxic int"))
+    return fitted(spark, [*rows, (900, None, 1), (901, "x", None)])
 
 
 def test_misspelled_and_quoted(spark, toxic_model):
@@ -184,8 +189,7 @@ def test_misspelled_and_quoted(spark, toxic_model):
     assert len(out) == 6 and all(0 <= r["toxicity"] <= 1 for r in out)
     assert toxicity.scored(d.limit(0), m).count() == 0
     assert {(r["word"], r["distance"]) for r in toxicity.hits(d, m).collect()} == {("moron", 0)}
-    one = toxicity.fit(spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "doc_id long, text string, toxic int"))
-    assert one.score("a") < 0.5 and toxicity.fit(spark.createDataFrame([], "doc_id long, text string, toxic int")).score("") < 0.5
+    assert fitted(spark, [(1, "a", 0), (2, "b", 0)]).score("a") < 0.5 and fitted(spark, []).score("") < 0.5
 
 
 # --- operator 6
