@@ -177,10 +177,15 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
         return pd.Series(out)
 
     cut = F.pandas_udf(cut, "string")
-    keyed = docs.withColumns({"_h": F.xxhash64("text")})
-    inner = keyed.withColumn("_copy", F.row_number().over(W.partitionBy("doc_id", "source", "_h").orderBy("_h")))
-    inner = inner.select(*[F.col(c) for c in docs.columns], F.col("_h").alias("_th"), F.col("_copy").alias("_tc"))
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_th") == F.col("_h")) & (F.col("_tc") == F.col("_copy"))
+    # a text meets its spans on one number for (doc_id, source, text); equal rows are told apart only if there are any
+    lists = lists.withColumn("_key", F.xxhash64("_doc_id", "_source", "_h"))
+    keyed = docs.withColumns({"_th": F.xxhash64("text")}).withColumn("_key2", F.xxhash64("doc_id", "source", "_th"))
+    on = (F.col("_key2") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_th") == F.col("_h"))
+    if documents.filter("copy > 1").limit(1).count():
+        keyed = keyed.withColumn("_tc", F.row_number().over(W.partitionBy("_key2", "doc_id", "source", "_th").orderBy("_th")))
+        on = on & (F.col("_tc") == F.col("_copy"))
+    names = [F.col(c) for c in docs.columns]
+    inner = keyed.select(*names, *[c for c in ("_th", "_key2", "_tc") if c in keyed.columns and c not in docs.columns])
     out = inner.join(lists.hint("merge"), on).withColumn("text", cut("text", "_spans"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
