@@ -29,6 +29,11 @@ HEADLINE = [
     "topk_tiles",           # W4
     "mean_iou",             # E3 metric
     "tta_score",            # ML2
+    "drop_first_negatives", # R4 + O1
+    "make_training_set",    # R8
+    "augment_set",          # I17
+    "rgb_resize_bilinear",  # I7, three channels
+    "score_submission",     # ML1 end to end
 ]
 
 

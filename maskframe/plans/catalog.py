@@ -652,6 +652,20 @@ def cohort_rollups(spark, sf_dir):
     return A.cohort_rollups(inst).select("cohort", "ImageId", "area", "instances")
 
 
+@register(
+    "cohort_rollups_tiling",
+    f"""WITH {O.INSTANCES},
+ic AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(w * h AS BIGINT) AS area, {C.area_class_sql('w * h', C.BINS_B)} AS class FROM instances),
+co AS (SELECT * FROM (VALUES ('gp4', 4, 99), ('gp3', 3, 99), ('gp2', 2, 5), ('gp1', 1, 4)) t(cohort, lo, hi))
+SELECT cohort, ImageId, CAST(SUM(area) AS BIGINT) AS area, CAST(COUNT(*) AS BIGINT) AS instances
+FROM ic JOIN co ON ic.class BETWEEN co.lo AND co.hi GROUP BY cohort, ImageId""",
+)
+def cohort_rollups_tiling(spark, sf_dir):
+    """A4 with the cohorts and bins of the tiled build."""
+    inst = A.with_class(A.with_area(A.ships(X.annotations(spark, sf_dir))), bins=C.BINS_B)
+    return A.cohort_rollups(inst, A.COHORTS_TILING).select("cohort", "ImageId", "area", "instances")
+
+
 # ---------------------------------------------------------------------------------------------------------- step 5/6
 from maskframe.operators import tiles as T  # noqa: E402
 
@@ -1120,6 +1134,23 @@ def make_training_set(spark, sf_dir):
     return training_records(spark, sf_dir)
 
 
+CLASSIFICATION_SQL = f"""{E1_SQL.split("imgc AS (SELECT ImageId, area, ")[0]}
+imgc AS (SELECT ImageId, area, c AS class, c AS sclass FROM (SELECT ImageId, area, CASE WHEN area = 0 THEN 0 WHEN area / 589824.0 >= 0.01 THEN 1 ELSE 2 END AS c FROM img)),
+{SPLIT_SQL},
+l AS (SELECT split, ImageId, class, row_number() OVER (PARTITION BY split, class ORDER BY {MD5}, ImageId) AS rn FROM split WHERE class < 2),
+m AS (SELECT split, LEAST(SUM(class), SUM(1 - class)) AS m FROM l GROUP BY split)
+SELECT l.split, CAST((rn - 1) // CAST(ceil(m / 2.0) AS BIGINT) AS INTEGER) AS shard_id, CAST((rn - 1) * 2 + 1 - class AS BIGINT) AS seq, ImageId,
+  CAST(class AS INTEGER) AS label FROM l JOIN m USING (split) WHERE rn <= m"""
+
+
+@register("make_classification_set", CLASSIFICATION_SQL)
+def make_classification_set(spark, sf_dir):
+    """R8, second build: paired, sharded records of the classification set."""
+    from maskframe.plans.classification_set import make_classification_set as build
+
+    return build(X.annotations(spark, sf_dir), SEED, DROP_NEGATIVES)
+
+
 @register(
     "record_counts",
     f"""{E1_SQL}, sc AS (SELECT split, shard_id, CAST(COUNT(*) AS BIGINT) AS n FROM records GROUP BY 1, 2),

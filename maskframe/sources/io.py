@@ -35,10 +35,9 @@ REGISTRY = (
 REGISTRY_SCHEMA = "name string, split string, num_samples bigint, num_classes int, ignore_label int"
 
 # fixed values: record field names and their read-back defaults
-SEGMENTATION_FIELDS = ("image/encoded", "image/filename", "image/format", "image/height", "image/width",
-                       "image/channels", "image/segmentation/class/encoded", "image/segmentation/class/format")
-CLASSIFICATION_FIELDS = ("image/encoded", "image/filename", "image/format", "image/height", "image/width",
-                         "image/channels", "image/label")
+FIELD_TYPES = {"image/encoded": "binary", "image/filename": "string", "image/format": "string", "image/height": "bigint",
+               "image/width": "bigint", "image/channels": "bigint", "image/segmentation/class/encoded": "binary",
+               "image/segmentation/class/format": "string", "image/label": "bigint"}
 READ_DEFAULTS = {"image/encoded": b"", "image/filename": "", "image/format": "jpeg", "image/height": 0,
                  "image/width": 0, "image/segmentation/class/encoded": b"", "image/segmentation/class/format": "png"}
 
@@ -110,21 +109,24 @@ def audit_split_sizes(samples: DataFrame, registry: DataFrame, name: str, split_
 
 def write_shards(records: DataFrame, root: str, num_shards: int, split_col: str = "split", shard_col: str = "shard_id",
                  order_col: str = "seq") -> DataFrame:
-    """One folder per (split, shard); rows inside a shard sorted by their sequence number. Returns a manifest
-    ``(split, shard_id, shard_name, n)`` computed from the same DataFrame (no re-listing)."""
-    out = records.repartition(split_col, shard_col).sortWithinPartitions(split_col, shard_col, order_col)
+    """One folder per (split, shard). Rows are range-partitioned by (split, shard, sequence), so a shard is written by
+    as many tasks as its rows need, each file a sorted stretch of the sequence and the files in its order. Returns a
+    manifest ``(split, shard_id, shard_name, n)``, counted from what was written."""
+    out = records.repartitionByRange(split_col, shard_col, order_col).sortWithinPartitions(split_col, shard_col, order_col)
     out.write.mode("overwrite").partitionBy(split_col, shard_col).parquet(root)
-    return records.groupBy(split_col, shard_col).agg(F.count(F.lit(1)).cast("bigint").alias("n")).withColumn(
+    done = records.sparkSession.read.parquet(root)
+    return done.groupBy(split_col, shard_col).agg(F.count(F.lit(1)).cast("bigint").alias("n")).withColumn(
         "shard_name", shard_name(split_col, shard_col, num_shards)
     )
 
 
 def read_samples(spark: SparkSession, root: str, split: str, fields: Sequence[str] = ()) -> DataFrame:
-    """One split of the shards (partition pruning on ``split``), missing fields filled with their defaults."""
+    """One split of the shards (partition pruning on ``split``). Of ``fields``, those without a value, or absent from
+    the files altogether, read as their defaults (null where a field has none)."""
     df = spark.read.parquet(root).filter(F.col("split") == split)
     for f in fields:
-        if f in READ_DEFAULTS and f in df.columns:
-            df = df.withColumn(f, F.coalesce(F.col(f"`{f}`"), F.lit(READ_DEFAULTS[f])))
+        default = F.lit(READ_DEFAULTS.get(f)).cast(FIELD_TYPES.get(f, "string"))
+        df = df.withColumn(f, F.coalesce(F.col(f"`{f}`"), default) if f in df.columns else default)
     return df
 
 
@@ -149,6 +151,12 @@ def assemble_record(images: DataFrame, masks: DataFrame | None, id_col: str = "i
     return j.select(id_col, *cols)
 
 
+def assemble_classification_record(images: DataFrame, labels: DataFrame, id_col: str = "image_id") -> DataFrame:
+    """Image joined to its ``label`` -> one classification record; images without a label are not records."""
+    rec = assemble_record(images, None, id_col)
+    return rec.join(labels.select(id_col, F.col("label").cast("bigint").alias("image/label")), id_col)
+
+
 def split_projection(samples: DataFrame, label_cols, split_col: str = "split", name_col: str | None = None) -> DataFrame:
     """The ``test`` split carries no labels (set to null), and a missing sample name becomes ``''``."""
     out = samples
