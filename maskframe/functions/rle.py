@@ -172,6 +172,13 @@ def checked_mask_runs(encoded, height=768, width=768) -> Column:
     )
 
 
+def drop_overfilled(encoded, max_mean: float, height=768, width=768) -> Column:
+    """M6 guard: the text of a mask that covers more than ``max_mean`` of its canvas becomes ``''`` (canonical text, so
+    its length tokens add up to the set pixels)."""
+    e = _c(encoded)
+    return F.when(rle_area(e) > F.lit(float(max_mean) * height * width), F.lit("")).otherwise(e)
+
+
 def encode_runs(runs) -> Column:
     """SURVEY M6 text side: ``array<struct<a,b>>`` (0-based half-open, any order, maximal or not) -> RLE text.
 

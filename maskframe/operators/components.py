@@ -1,8 +1,8 @@
 """Connected components of masks and per-instance re-encoding.
 
-The mask arrives as disjoint column pieces ``(id, col, r0, r1)`` from the coverage sweep. Components are found per
-image with ``applyInPandas``: one group is one image, and an image holds at most ``W * ceil(H/2)`` pieces however
-many annotation rows it had, so the group size is bounded by the canvas. Inside the group everything is NumPy on
+The mask arrives as disjoint column pieces ``(id, col, r0, r1)`` from the coverage sweep. Images are labelled many at a
+time in Arrow batches; an image holds at most ``W * ceil(H/2)`` pieces however many annotation rows it had, so one image is
+bounded by the canvas. Inside a batch everything is NumPy on
 pieces (never pixels): 8-neighbour edges between adjacent columns come from two ``searchsorted`` calls, labels from
 vectorised hook-and-compress rounds.
 
@@ -24,59 +24,10 @@ ID = "ImageId"
 ENC = "EncodedPixels"
 
 
-def _merge_touching(col, r0, r1):
-    """Sort pieces by (col, r0) and merge vertically touching ones inside a column."""
-    order = np.lexsort((r0, col))
-    col, r0, r1 = col[order], r0[order], r1[order]
-    if len(col) == 0:
-        return col, r0, r1
-    new = np.ones(len(col), dtype=bool)
-    new[1:] = ~((col[1:] == col[:-1]) & (r0[1:] <= r1[:-1]))
-    starts = np.flatnonzero(new)
-    return col[starts], r0[starts], np.maximum.reduceat(r1, starts)
-
-
 def label_pieces(col: np.ndarray, r0: np.ndarray, r1: np.ndarray, height: int, width: int):
-    """Label 8-connected components of disjoint column pieces.
-
-    Returns merged pieces ``(col, r0, r1)`` and a 1-based instance number per piece in raster order."""
-    col, r0, r1 = _merge_touching(col.astype(np.int64), r0.astype(np.int64), r1.astype(np.int64))
-    m = len(col)
-    if m == 0:
-        return col, r0, r1, np.zeros(0, dtype=np.int64)
-    stride = height + 2
-    key0 = col * stride + r0  # sorted, pieces are disjoint inside a column
-    key1 = col * stride + r1
-    # for piece j in column c, neighbours are pieces of column c-1 with r1' >= r0 and r0' <= r1 (rows within 1)
-    prev = (col - 1) * stride
-    lo = np.searchsorted(key1, prev + r0, side="left")
-    hi = np.searchsorted(key0, prev + r1, side="right")
-    cnt = np.maximum(hi - lo, 0)
-    cnt[col == 0] = 0
-    u = np.repeat(np.arange(m), cnt)
-    if len(u):
-        offs = np.arange(len(u)) - np.repeat(np.cumsum(cnt) - cnt, cnt)
-        v = np.repeat(lo, cnt) + offs
-    else:
-        v = u
-    lab = np.arange(m)
-    while len(u):
-        lu, lv = lab[u], lab[v]
-        if np.array_equal(lu, lv):
-            break
-        mn = np.minimum(lu, lv)
-        np.minimum.at(lab, lu, mn)
-        np.minimum.at(lab, lv, mn)
-        while True:
-            nxt = lab[lab]
-            if np.array_equal(nxt, lab):
-                break
-            lab = nxt
-    first = r0 * width + col  # raster index of the first pixel of each piece
-    root_first = np.full(m, np.iinfo(np.int64).max, dtype=np.int64)
-    np.minimum.at(root_first, lab, first)
-    _, inst = np.unique(root_first[lab], return_inverse=True)
-    return col, r0, r1, inst.astype(np.int64) + 1
+    """:func:`label_pieces_batch` for one image: merged pieces ``(col, r0, r1)`` and their instance numbers."""
+    _, c, a, b, inst = label_pieces_batch(np.zeros(len(col), np.int64), col, r0, r1, height, width)
+    return c, a, b, inst
 
 
 def _encode_all(inst, col, r0, r1, height):
@@ -155,9 +106,12 @@ def instances_per_image(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_
 
 # ---- batched form: many images per Python call ---------------------------------------------------------------------
 def label_pieces_batch(img: np.ndarray, col: np.ndarray, r0: np.ndarray, r1: np.ndarray, height: int, width: int):
-    """:func:`label_pieces` for the pieces of many images at once (``img`` = dense image index, rows sorted by
-    (img, col, r0)). Images are laid side by side with two empty columns between them, so no edge crosses images;
-    instance numbers restart at 1 in every image (raster order of the first pixel)."""
+    """Labels the 8-connected components of disjoint column pieces of many images at once (``img`` = dense image index).
+    Images are laid side by side with two empty columns between them, so no edge crosses images; instance numbers
+    restart at 1 in every image (raster order of the first pixel)."""
+    if not len(col):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, none
     gcol = img.astype(np.int64) * (width + 2) + col.astype(np.int64)
     c, a, b, _ = None, None, None, None
     order = np.lexsort((r0, gcol))

@@ -184,6 +184,18 @@ def rle_encode(spark, sf_dir):
     return V.mask_per_image(seg, F.col("c") >= 1, V.image_ids(ann))
 
 
+@register(
+    "rle_encode_guarded",
+    f"""WITH {O.INSTANCES}, {_pixels_of('TRUE')}, {_encode_sql('pxs')}""".replace(
+        "txt.e AS EncodedPixels", "CASE WHEN (SELECT SUM(n) FROM runs WHERE runs.k = o.o_orderkey) > 589824 * 0.01 THEN '' ELSE txt.e END AS EncodedPixels"),
+)
+def rle_encode_guarded(spark, sf_dir):
+    """M6 with the guard for overfilled masks (more than 1 % of the canvas here)."""
+    from maskframe.functions.rle import drop_overfilled
+
+    return rle_encode(spark, sf_dir).withColumn("EncodedPixels", drop_overfilled("EncodedPixels", 0.01))
+
+
 @register(
     "mask_vote2",
     f"""WITH {O.INSTANCES},

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from maskframe.operators import coverage as V
-from maskframe.operators.components import label_pieces, multi_rle
+from maskframe.operators.components import label_pieces, label_pieces_batch, multi_rle
 
 
 def flood(mask):
@@ -57,6 +57,21 @@ def test_label_pieces_random_masks():
         np.testing.assert_array_equal(got, want)
 
 
+def test_label_pieces_batch_random_masks():
+    rng = np.random.default_rng(9)
+    for trial in range(60):
+        h, w = (int(x) for x in rng.integers(3, 14, size=2))
+        masks = [rng.random((h, w)) < rng.uniform(0.1, 0.7) for _ in range(4)]
+        parts = [pieces_of(m) for m in masks]
+        img = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)]).astype(int)
+        im, c, a, b, inst = label_pieces_batch(img, *(np.concatenate([p[k] for p in parts]).astype(int) for k in range(3)), h, w)
+        for i, m in enumerate(masks):
+            got = np.zeros((h, w), int)
+            for x, y0, y1, k in zip(c[im == i], a[im == i], b[im == i], inst[im == i]):
+                got[y0:y1, x] = k
+            np.testing.assert_array_equal(got, flood(m))
+
+
 def test_column_wrap_is_not_adjacent(spark):
     # "4 2" on a 4x4 canvas covers (3,0) and (0,1): same run, different components
     df = spark.createDataFrame([("a", "4 2")], "ImageId string, EncodedPixels string")
