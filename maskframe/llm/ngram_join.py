@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from maskframe.llm.common import components, ready, written
 
 WORD = re.compile(r"\w+")
-ONE = np.uint64(1)
 
 
 def bands_for(threshold: float, recall: float, most: int = 160) -> tuple[int, int]:
@@ -33,48 +32,51 @@ def bands_for(threshold: float, recall: float, most: int = 160) -> tuple[int, in
     raise ValueError("no banding reaches that recall")
 
 
+class Words(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 class Shingler:
     """N-gram sets as sorted arrays of 64-bit hashes, and their signatures."""
 
     def __init__(self, n: int, bands: int, rows: int, memory: int = 500_000):
-        self.n, self.bands, self.rows, self.memory, self.words = n, bands, rows, memory, {}
+        self.n, self.bands, self.rows, self.memory, self.words = n, bands, rows, memory, Words()
         g = np.random.Generator(np.random.PCG64(20240229))
-        self.mul = g.integers(1, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + ONE
-        self.add = g.integers(0, 2**63, bands * rows, dtype=np.uint64)
+        self.mul = g.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.add = g.integers(0, 2**32, bands * rows, dtype=np.uint32)
 
     def grams(self, text: str | None) -> np.ndarray:
         """The set of hashes of the runs of ``n`` words (lower case, letters, digits and underscore); a text of fewer words
         is one n-gram, a text without a word none."""
-        import xxhash
-
-        if not text:
-            return np.zeros(0, np.uint64)
-        known, out = self.words, []
-        if len(known) > self.memory:
-            known.clear()
-        for w in WORD.findall(text.lower()):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            out.append(h)
-        if not out:
+        words = WORD.findall(text.lower()) if text else []
+        if not words:
             return np.zeros(0, np.uint64)
-        w = np.array(out, np.uint64)
+        if len(self.words) > self.memory:
+            self.words.clear()
+        w = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
         k = min(self.n, len(w))
         h = np.full(len(w) - k + 1, k, np.uint64)
         for i in range(k):
             h = (h ^ w[i : len(w) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
             h = h ^ (h >> np.uint64(29))
-        return np.unique(h)
+        h.sort()
+        return h[np.r_[True, h[1:] != h[:-1]]]
 
     def signature(self, grams: np.ndarray) -> np.ndarray:
-        """One 64-bit hash per band."""
-        low = np.full(self.bands * self.rows, np.iinfo(np.uint64).max, np.uint64)
+        """One 64-bit hash per band, from the smallest of 32-bit hashes of the n-grams."""
+        low = np.full(self.bands * self.rows, np.iinfo(np.uint32).max, np.uint32)
+        half = (grams >> np.uint64(32)).astype(np.uint32)[:, None]
         for at in range(0, len(grams), 256):
-            np.minimum(low, ((grams[at : at + 256, None] * self.mul + self.add) ^ (grams[at : at + 256, None] >> np.uint64(32))).min(0), out=low)
+            np.minimum(low, (half[at : at + 256] * self.mul + self.add).min(0), out=low)
         h = np.zeros(self.bands, np.uint64)
         for i in range(self.rows):
-            h = (h ^ (low[i :: self.rows] >> np.uint64(7))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ low[i :: self.rows].astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
             h = h ^ (h >> np.uint64(31))
         return h
 
@@ -200,10 +202,12 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     reps = written(reps, "ngram-reps")
     # bands: one row per class, whatever its number of copies
     signs = words.join(reps, own).filter("doc_id = rep").select("rep", "k0", "k1", "copies", "bands").dropDuplicates(["rep", "k0", "k1"])
-    hung = signs.select("rep", "k0", "k1", "copies", "bands", F.posexplode("bands").alias("band", "key"))
+    signs = written(signs, "ngram-signatures")
+    hung = signs.select("rep", "k0", "k1", F.posexplode("bands").alias("band", "key"))
     shared = hung.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     tiles = F.ceil(F.col("m") / tile).cast("int")
-    met = hung.join(shared, ["band", "key"]).withColumn("t", F.pmod(F.xxhash64("rep", "k0"), tiles).cast("int"))
+    # only classes that share a bucket get their signatures back
+    met = hung.join(shared, ["band", "key"]).join(signs, ["rep", "k0", "k1"]).withColumn("t", F.pmod(F.xxhash64("rep", "k0"), tiles).cast("int"))
     met = met.withColumn("u", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumns({"lo": F.least("t", "u"), "hi": F.greatest("t", "u")})
     group = ["band", "key", "lo", "hi"]
     cols = [*group, "t", "rep", "k0", "k1", "copies", "bands"]
