@@ -130,15 +130,16 @@ def image_stats(images: DataFrame) -> DataFrame:
     )
 
 
-def train_head(features: DataFrame, label_col: str = "label", max_iter: int = 50):
+def train_head(features: DataFrame, label_col: str = "label", max_iter: int = 50, held_out: str | None = None):
     """ML4: the classification head as a multinomial logistic regression on pooled feature vectors (data-parallel
-    fit; gradients are combined with ``treeAggregate`` inside MLlib)."""
+    fit; gradients are combined with ``treeAggregate`` inside MLlib). Rows whose ``held_out`` column is true are predicted
+    but not learned from. Returns the model and all rows with their ``prediction``."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
     data = features.withColumn("fv", array_to_vector("features"))
     lr = LogisticRegression(featuresCol="fv", labelCol=label_col, family="multinomial", maxIter=max_iter, regParam=0.01)
-    model = lr.fit(data)
+    model = lr.fit(data.filter(~F.col(held_out)) if held_out else data)
     return model, model.transform(data)
 
 

@@ -39,9 +39,10 @@ def latest_per_key(out: str, keys: list[str], spark: SparkSession) -> DataFrame:
 
 
 def metric_windows(stream: DataFrame, ts_col: str = "ts", tag_col: str = "tag", value_col: str = "value",
-                   window: str = "600 seconds", watermark: str = "10 minutes") -> DataFrame:
-    """Tumbling-window summaries of scalar metrics per tag. The watermark is an addition of ours (the reference
-    has no late-data rule) so the aggregation state stays bounded."""
+                   window: str = "600 seconds", watermark: str = "10 minutes", edges: tuple[float, ...] = ()) -> DataFrame:
+    """Tumbling-window summaries of scalar metrics per tag; with ``edges`` also a histogram: ``bins[i]`` counts values
+    from edge i - 1 up to edge i (the first and last are open). The watermark is an addition of ours (the reference has no
+    late-data rule) so the aggregation state stays bounded; ``run_available_now`` counts what comes too late."""
     ts = F.col(ts_col)
     if dict(stream.dtypes)[ts_col] == "timestamp_ntz":
         # event time must be an instant: read the wall clock as UTC explicitly (independent of the session zone)
@@ -49,12 +50,17 @@ def metric_windows(stream: DataFrame, ts_col: str = "ts", tag_col: str = "tag",
                             "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
     stream = stream.withColumn("_et", ts)
     w = stream.withWatermark("_et", watermark).groupBy(F.window("_et", window).alias("w"), F.col(tag_col))
+    v, bounds = F.col(value_col), [None, *edges, None]
+    inside = [(F.lit(True) if lo is None else v >= lo) & (F.lit(True) if hi is None else v < hi) for lo, hi in zip(bounds[:-1], bounds[1:])]
+    bins = [F.sum(F.coalesce(c, F.lit(False)).cast("bigint")).alias(f"_bin{i}") for i, c in enumerate(inside)] if edges else []
+    shown = [F.array(*[F.col(f"_bin{i}") for i in range(len(bins))]).alias("bins")] if edges else []
     return w.agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.avg(value_col).alias("avg_value"),
         F.min(value_col).alias("min_value"),
         F.max(value_col).alias("max_value"),
-    ).select(F.unix_timestamp("w.start").alias("window_start"), tag_col, "n", "avg_value", "min_value", "max_value")
+        *bins,
+    ).select(F.unix_timestamp("w.start").alias("window_start"), tag_col, "n", "avg_value", "min_value", "max_value", *shown)
 
 
 def running_confusion(stream: DataFrame, ckpt_col: str = "checkpoint", label_col: str = "label",
@@ -63,8 +69,10 @@ def running_confusion(stream: DataFrame, ckpt_col: str = "checkpoint", label_col
     return stream.groupBy(ckpt_col, label_col, pred_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def run_available_now(df: DataFrame, keys: list[str], name: str, mode: str = "update", base: str | None = None) -> DataFrame:
+def run_available_now(df: DataFrame, keys: list[str], name: str, mode: str = "update", base: str | None = None,
+                      stats: dict | None = None) -> DataFrame:
     """Run a streaming aggregation to completion of the current input with a checkpoint, then return its result.
+    ``stats``, if given, gets ``late_rows``: rows that came after the watermark and so are in no result.
     Passing the same ``base`` again resumes from the committed offsets and state (a restart processes only new
     files)."""
     spark = df.sparkSession
@@ -77,6 +85,8 @@ def run_available_now(df: DataFrame, keys: list[str], name: str, mode: str = "up
         .start()
     )
     q.awaitTermination()
+    if stats is not None:
+        stats["late_rows"] = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
     return latest_per_key(f"{base}/out", keys, spark)
 
 
