@@ -5,7 +5,8 @@ nearest nodes on every level from there down, and links are thinned so that they
 answers every vector: greedy descent through the upper levels, a beam on the lowest, then a walk over the links between the
 rows found, so that large groups come back whole. Before it answers, a shard audits itself against brute force on a sample
 of its queries and widens the beam until the recall asked for is reached (or the beam covers the shard, which is exact).
-Cosines are verified in double precision; links become components.
+Cosines are verified in double precision; links become components: a shard unites the rows that one vector links as it
+answers, so a vector leaves with one edge and a row with one to its group, and together they span every link found.
 """
 
 from __future__ import annotations
@@ -214,9 +215,23 @@ def audited_beam(g: Graph, x: np.ndarray, q: np.ndarray, least: float, recall: f
     return len(x)
 
 
+def united(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``up`` (by member, the smallest member of its group) after the links ``a``-``b``."""
+    while True:
+        x, y = up[a], up[b]
+        far = x != y
+        if not far.any():
+            return up
+        a, b, x, y = a[far], b[far], x[far], y[far]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while (up[up] != up).any():
+            up = up[up]
+
+
 def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit: int = 128, shard_rows: int = 50_000, least_shards: int = 6, beam: int = 24, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, links, members). nodes: node, copies, one row per distinct vector, ``node`` the smallest id with it.
-    links: node, others (rows of other vectors linked directly), to (one linked node, the smallest seen). members: id, node."""
+    links: node, others (rows of other vectors linked directly), to (a node of the same component); the edges node-to span
+    the components of all links found, at most one per node and shard and one more per node. members: id, node."""
     good = F.col(key).isNotNull() & usable(F.col(vector)) & F.exists(F.col(vector), lambda x: x != 0)
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
     part = ready(rows).filter(good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
@@ -229,12 +244,19 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
     ask = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "node", "copies", "v")
 
     def search(batches):
-        at, held, graph, unit = None, [], None, None
+        at, held, graph, unit, up = None, [], None, None, np.zeros(0, np.int64)
+        ids = up
         ef = beam
+
+        def groups():
+            far = np.nonzero(up != np.arange(len(up)))[0]
+            return pd.DataFrame({"node": ids[far], "others": np.zeros(len(far), np.int64), "to": ids[up[far]]})
+
         for b in batches:
             for (s, d, kind), g in b.groupby(["shard", "dim", "kind"], sort=True):
                 if at != (s, d):
-                    at, held, graph = (s, d), [], None
+                    yield groups()
+                    at, held, graph, up = (s, d), [], None, np.zeros(0, np.int64)
                 if kind == 0:
                     held.append(g)
                     continue
@@ -246,7 +268,7 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
                     x = x / np.abs(x).max(1, keepdims=True)
                     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                     ids, copies = all_["node"].to_numpy(), all_["copies"].to_numpy()
-                    graph = Graph(unit)
+                    graph, up = Graph(unit), np.arange(len(unit))
                     sample = unit[np.linspace(0, len(unit) - 1, min(audit, len(unit))).astype(int)]
                     ef = audited_beam(graph, unit, sample, least, recall, beam)
                 for lo in range(0, len(g), 512):
@@ -263,8 +285,10 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
                         exact[a : a + (1 << 16)] = np.einsum("ij,ij->i", q[r[a : a + (1 << 16)]], unit[c[a : a + (1 << 16)]]) >= least
                     r, c = r[exact], c[exact]
                     if len(r):
-                        hit, first = np.unique(r, return_index=True)
+                        hit, first, of = np.unique(r, return_index=True, return_inverse=True)
+                        up = united(up, c[first][of], c)
                         yield pd.DataFrame({"node": name[hit], "others": np.bincount(r, copies[c], len(own))[hit].astype(np.int64), "to": np.minimum.reduceat(ids[c], first)})
+        yield groups()
 
     each = own.unionByName(ask).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "node")
     found = written(each.mapInPandas(search, "node long, others long, to long"), "vector-links")

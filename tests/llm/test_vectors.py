@@ -95,6 +95,21 @@ def test_near_vectors_odd_rows(spark):
     assert hnsw.near_duplicates(d.limit(0)).count() == 0
 
 
+def test_near_vectors_chains_in_few_shards(spark):
+    """Neighbours on a chain link, others do not: every single link holds its component together."""
+    rng = np.random.default_rng(7)
+    v = []
+    for _ in range(20):
+        a, b = np.linalg.qr(rng.normal(size=(48, 2)))[0].T
+        v += [math.cos(t * math.acos(0.97)) * a + math.sin(t * math.acos(0.97)) * b for t in range(12)]
+    rows = [(int(i), x.tolist(), 0, "r", "s") for i, x in zip(rng.permutation(len(v)), v, strict=True)]
+    want = brute_links([r[:2] for r in rows])
+    assert len({c for _, c, _ in want.values()}) == 20
+    for shards in (1, 3):
+        got = hnsw.near_duplicates(spark.createDataFrame(rows, VEC), least_shards=shards).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == want
+
+
 def test_graph_recall():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(3000, 24))
