@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskframe.llm.common import ready, written
+from maskframe.llm.hnsw import united
 
 WORD = re.compile(r"[^\W_]+")
 MARKS = re.compile(r"[\"“”„«»]")
@@ -29,6 +29,8 @@ WINDOW = 6
 N_FEATURES = 6
 #: words that a worker remembers at most
 MEMORY = 500_000
+#: words on each side of a use by which copies of it are known
+SIDE = 4
 
 
 def allowed(term: str) -> int:
@@ -212,6 +214,56 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w
 
 
+class Uses:
+    """The words and word beginnings of a text, each with hashes of the ``SIDE`` words before and after its first use."""
+
+    def __init__(self, heads: tuple[int, ...]):
+        self.heads, self.known = heads, {}
+
+    def names(self, w: str) -> tuple[int, tuple[str, ...]]:
+        """Hash of the word; the word and its beginnings."""
+        import xxhash
+
+        if (n := self.known.get(w)) is None:
+            if len(self.known) > MEMORY:
+                self.known.clear()
+            n = self.known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), (w, *(w[:k] + "*" for k in self.heads if len(w) > k))
+        return n
+
+    def of(self, text: str) -> dict[str, tuple[int, int]]:
+        """By word or beginning (32-bit hash before, 32-bit hash after); under "" the text's own two smallest hashes of
+        runs of words, which near copies share."""
+        words = [self.names(w) for w in WORD.findall(text.lower())]
+        h = np.zeros(len(words) + 2 * SIDE, np.uint64)
+        h[SIDE : len(h) - SIDE] = [x for x, _ in words]
+        n = len(words)
+        # the places on either side, each place with a factor of its own
+        before, after = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        for k in range(1, SIDE + 1):
+            factor = np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1))
+            for side, at in ((before, SIDE - k), (after, SIDE + k)):
+                x = h[at : at + n] * factor
+                side += (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        before, after = ((x >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist() for x in (before, after))
+        out = {"": (min(before, default=0), min(after, default=0))}
+        for (_, names), b, a in zip(words, before, after, strict=True):
+            for w in names:
+                if w not in out:
+                    out[w] = b, a
+        return out
+
+
+def independent(before: np.ndarray, after: np.ndarray) -> int:
+    """How many groups the uses make when those with the same words before, or the same words after, are copies."""
+    _, a = np.unique(before, return_inverse=True)
+    _, b = np.unique(after, return_inverse=True)
+    links = a.max(initial=-1) + 1
+    places = links + b.max(initial=-1) + 1
+    if len(before) * 2 == places:
+        return len(before)
+    return len(np.unique(united(np.arange(places), a, links + b)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6), max_terms: int = 2000) -> Model:
     """Learns lexicon and weights from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0/1) name; null
     labels and texts are left out, and an id labelled both ways is toxic.
@@ -219,7 +271,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
     The fit reads about ``rows_per_label`` whole documents per label at most, chosen by a hash of doc_id (the documented
     bound; it also bounds the ids that are broadcast to the scan of the texts). A word, or a word beginning of ``heads``
     characters, becomes a term when more toxic documents use it than chance explains (log-likelihood ratio above that of
-    the best of all candidates by chance); the ``max_terms`` strongest stay. Words near a term that clean documents use at
+    the best of all candidates by chance); the ``max_terms`` strongest stay. Documents of either label whose first use has
+    the same ``SIDE`` words before it, or after it, are copies there and count once, with no limit to the count. Words near a term that clean documents use at
     least as often are harmless. With one label only or none, the model has no terms and answers the labels' share.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -236,35 +289,49 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
     m1, m0 = n[1], n[0]
 
     def count(batches):
+        uses = Uses(heads)
+
+        def held(seen):
+            all_ = list(seen[1].keys() | seen[0].keys())
+            return pd.DataFrame({"w": all_, "u1": [seen[1].get(w, ()) for w in all_], "u0": [seen[0].get(w, ()) for w in all_]})
+
         for b in batches:
-            n1: dict[str, int] = {}
-            n0: dict[str, int] = {}
-            seen: dict[str, int] = {}  # bits of the words that stand before a word in toxic documents
+            seen, size = ({}, {}), 0  # by label and word, the hashes before and after in turn
             for y, t in zip(b["toxic"], b["text"], strict=True):
-                words = WORD.findall(t.lower())
-                here = set(words)
-                c = n1 if y else n0
-                for w in here | {w[:k] + "*" for w in here for k in heads if len(w) > k}:
-                    c[w] = c.get(w, 0) + 1
-                if y:
-                    for before, w in zip(["", *words], words):
-                        bit = 1 << zlib.crc32(before.encode("utf-8", "surrogatepass")) % 63
-                        for x in (w, *(w[:k] + "*" for k in heads if len(w) > k)):
-                            seen[x] = seen.get(x, 0) | bit
-            all_ = list(n1.keys() | n0.keys())
-            yield pd.DataFrame({"w": all_, "n1": [n1.get(w, 0) for w in all_], "n0": [n0.get(w, 0) for w in all_], "bits": [seen.get(w, 0) for w in all_]})
-
-    counts = sample.mapInPandas(count, "w string, n1 long, n0 long, bits long").groupBy("w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.bit_or("bits").alias("bits"))
-    counts = written(counts, "toxicity-words")
-    # copies of a document repeat a word with the words around it: it counts once for each word that stands before it
-    # (linear counting over 63 places), at most once a document
-    apart = -63.0 * F.log((63.5 - F.bit_count("bits")) / 63.5)
-    free = F.least(F.col("n1").cast("double"), F.ceil(apart).cast("double"))
-    p1, p0 = F.col("free") / m1, F.col("n0") / m0
-    both = (F.col("free") + F.col("n0")) / (m1 + m0)
-    llr = F.col("free") * F.log(p1 / both) + F.when(F.col("n0") > 0, F.col("n0") * F.log(p0 / both)).otherwise(0.0)
-    some = counts.withColumn("free", free).filter((F.col("free") >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
-    tries = max(2, counts.withColumn("free", free).filter("free >= 3").count())
+                own, here = seen[1 if y else 0], uses.of(t)
+                for w, sides in here.items():
+                    if w in own:
+                        own[w] += sides
+                    else:
+                        own[w] = [*sides]
+                size += len(here)
+                if size >= 1 << 19:
+                    yield held(seen)
+                    seen, size = ({}, {}), 0
+            yield held(seen)
+
+    def apart(batches):
+        for b in batches:
+            out = {"w": b["w"]}
+            for y in (1, 0):
+                sides = [np.concatenate(x).reshape(-1, 2) if len(x) else np.zeros((0, 2), np.int32) for x in b[f"u{y}"]]
+                out[f"n{y}"] = [len(x) for x in sides]
+                out[f"free{y}"] = [independent(x[:, 0], x[:, 1]) if len(x) > 1 else len(x) for x in sides]
+            yield pd.DataFrame(out)
+
+    # a word's uses meet in one row: at most one for each document of the sample
+    counts = sample.mapInPandas(count, "w string, u1 array<int>, u0 array<int>").groupBy("w").agg(F.collect_list("u1").alias("u1"), F.collect_list("u0").alias("u0"))
+    counts = written(counts.mapInPandas(apart, "w string, n1 long, free1 long, n0 long, free0 long"), "toxicity-words")
+    # copies of a text repeat its words with the words around them: documents too are counted without their near copies
+    whole = counts.filter("w = ''").first()
+    i1, i0 = whole["free1"], whole["free0"]
+    counts = counts.filter("w <> ''")
+    free, clean = F.least("free1", F.lit(i1)).cast("double"), F.least("free0", F.lit(i0)).cast("double")
+    p1, p0 = free / i1, clean / i0
+    both = (free + clean) / (i1 + i0)
+    llr = free * F.log(p1 / both) + F.when(clean > 0, clean * F.log(p0 / both)).otherwise(0.0)
+    some = counts.filter((free >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
+    tries = max(2, counts.filter(free >= 3).count())
     rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").limit(max_terms).collect()
     # a beginning stands for a family when it tells clearly more than any one word of it; of a family's beginnings the one
     # that tells most stays, and its words add nothing

@@ -192,6 +192,37 @@ def test_misspelled_and_quoted(spark, toxic_model):
     assert fitted(spark, [(1, "a", 0), (2, "b", 0)]).score("a") < 0.5 and fitted(spark, []).score("") < 0.5
 
 
+def test_lexicon_does_not_depend_on_size(spark):
+    """Equal rates of use give the same terms at 1,000 and 10,000 documents per label; copies count once."""
+    rng = np.random.default_rng(3)
+    plain = [f"w{i}" for i in range(40)]
+    found = []
+    for n in (1000, 10_000):
+        rows = []
+        for i in range(2 * n):
+            w, y = rng.choice(plain, 20).tolist(), i % 2
+            k = i // 2 % 1000
+            if k < (300 if y else 15):
+                w[8] = "scoundrel"
+            if k >= 900:  # as many clean documents as toxic ones
+                w[12] = "teapot"
+            rows.append((i, " ".join(w), y))
+        same = rng.choice(plain, 20).tolist()
+        for i in range(n // 50):  # near copies in toxic documents only
+            w = [*same[:5], "copied", *same[5:]]
+            w[int(rng.integers(0, 3))] = str(rng.choice(plain))
+            rows.append((10**6 + i, " ".join(w), 1))
+        found.append({t for t in fitted(spark, rows).terms if not t.endswith("*")})
+    assert found == [{"scoundrel"}, {"scoundrel"}]
+
+
+def test_independent_uses():
+    a = np.array
+    assert toxicity.independent(a([1, 2, 3]), a([1, 2, 3])) == 3
+    assert toxicity.independent(a([1, 1, 3, 4]), a([5, 6, 6, 7])) == 2
+    assert toxicity.independent(np.zeros(500, int), np.arange(500)) == 1
+
+
 # --- operator 6
 
 
