@@ -334,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
     tries = max(2, counts.filter(free >= 3).count())
     rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").limit(max_terms).collect()
     # a beginning stands for a family when it tells clearly more than any one word of it; of a family's beginnings the one
-    # that tells most stays, and its words add nothing
+    # that tells most stays. Its words stay too: only words are matched with errors
     odds = {r["w"]: math.log((r["n1"] + 0.1) / m1) - math.log((r["n0"] + 0.1) / m0) for r in rows}
     strength = {r["w"]: r["llr"] for r in rows}
     words = [w for w in odds if not w.endswith("*")]
@@ -343,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
         one = max((strength[w] for w in words if w.startswith(p[:-1])), default=0.0)
         if strength[p] > 1.2 * one and not any(p.startswith(f[:-1]) or f.startswith(p[:-1]) for f in families):
             families.append(p)
-    terms = {w: odds[w] for w in [*families, *words] if w in families or not any(w.startswith(f[:-1]) for f in families)}
+    terms = {w: odds[w] for w in [*families, *words]}
     model = Model(terms)
     held = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -351,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
         for b in batches:
             a = held.value.automaton()
             for w, n1, n0 in zip(b["w"], b["n1"], b["n0"], strict=True):
-                if not w.endswith("*") and w not in held.value.terms and n0 and n0 / m0 * 3 >= n1 / m1 and any(e for _, e in a.match(w)):
+                if not w.endswith("*") and w not in held.value.terms and n0 and n0 / m0 * 3 >= n1 / m1 and (m := a.match(w)) and all(e for _, e in m):
                     yield pd.DataFrame({"w": [w]})
 
     model.harmless = frozenset(r["w"] for r in counts.filter("n0 > 0").mapInPandas(near, "w string").collect())

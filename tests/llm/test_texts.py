@@ -223,6 +223,23 @@ def test_independent_uses():
     assert toxicity.independent(np.zeros(500, int), np.arange(500)) == 1
 
 
+def test_misspelled_family_words(spark):
+    """The words of a family whose beginning is a term are still found when the beginning itself is misspelt."""
+    rng = np.random.default_rng(9)
+    plain = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(600):
+        w = rng.choice(plain, 30).tolist()
+        if i % 3 == 0:
+            w[9] = ["idiot", "idiots", "idiotic"][i // 3 % 3]
+        rows.append((i, " ".join(w), int(i % 3 == 0)))
+    m = fitted(spark, rows)
+    assert any(t.endswith("*") for t in m.terms) and {"idiot", "idiots", "idiotic"} <= set(m.terms)
+    for w in ("1diot", "idjot", "ydiots", "idi0tic"):
+        assert [(x, d) for x, _, d, _ in m.hits(f"what a {w} here")] == [(w, 1)]
+        assert m.score(f"what a {w} here") > m.score("what a house here")
+
+
 # --- operator 6
 
 
