@@ -31,6 +31,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """A column name like each of ``wanted`` that no column of ``taken`` has (Spark compares names without case)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        new = f"_{name}"
+        while new.lower() in used:
+            new = f"_{new}"
+        used.add(new.lower())
+        out.append(new)
+    return out
+
+
 def same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
     """Null-safe equality of ``cols`` of two frames."""
     out = F.lit(True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
+from maskframe.llm import exact_dedup, hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
 from maskframe.llm.common import table
 
 
@@ -80,6 +80,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.memberships(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_maxscore": op1_maxscore,
     "op2_packing": op2_packing,
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 #: rows of embeddings that take part: (id, vector in double precision)
@@ -138,5 +143,10 @@ pairs AS (
 own AS (SELECT a, count(*) AS n_links, min(CASE WHEN equal_sets THEN b END) AS twin FROM links GROUP BY a)
 SELECT d.doc_id, least(d.doc_id, coalesce(o.twin, d.doc_id)) AS text_class, coalesce(r.root, d.doc_id) AS class_id, coalesce(o.n_links, 0) AS n_links
 FROM documents d LEFT JOIN roots r ON r.a = d.doc_id LEFT JOIN own o ON o.a = d.doc_id WHERE d.doc_id IS NOT NULL
+""",
+    "op13_exact_dedup": """
+WITH hashed AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM hashed WINDOW same AS (PARTITION BY text_sha256)
 """,
 }
