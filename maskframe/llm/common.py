@@ -22,11 +22,16 @@ def ready(df: DataFrame) -> DataFrame:
     return df
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path for ``name`` in this application's part of the folder named by ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/maskframe-{spark.sparkContext.applicationId}/{name}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder named by ``spark.checkpoint.dir``: later jobs read the
     table, whatever executors are lost. The folder is the application's own; it may be removed when that has ended."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/maskframe-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import exact_dedup, hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
+from maskframe.llm import centroids, exact_dedup, hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
 from maskframe.llm.common import table
 
 
@@ -80,6 +80,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=8, rounds=10, scale=1024, dim=64, salt="3")
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.memberships(table(spark, sf_dir, "documents"))
 
@@ -95,9 +99,43 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op12_centroids": op12_centroids,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
+
+def lloyd_sql(k: int = 8, rounds: int = 10, scale: int = 1024, dim: int = 64, salt: str = "3") -> str:
+    """The rounds of operator 12 as one chain of common table expressions, every vector against every centroid."""
+    far = "CAST(list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i]))) AS BIGINT)"
+    steps = [
+        f"""part AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS place, list_transform(v, lambda x: CAST(floor({scale} * x) AS BIGINT)) AS v
+  FROM (SELECT id AS vec_id, v FROM ({VECTORS})) WHERE len(v) = {dim}
+)""",
+        f"""centroid0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v
+  FROM (SELECT sha256('{salt}:' || CAST(vec_id AS VARCHAR)) AS h, v FROM part ORDER BY h, v LIMIT {k})
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""assigned{r} AS MATERIALIZED (
+  SELECT place, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (SELECT p.place, c.cluster, {far} AS d FROM part p, centroid{r} c) GROUP BY place
+)""")
+        if r < rounds:
+            steps.append(f"""centroid{r + 1} AS MATERIALIZED (
+  WITH sums AS (
+    SELECT cluster, i, sum(x)::HUGEINT AS s, count(*) AS n
+    FROM (SELECT a.cluster, unnest(p.v) AS x, generate_subscripts(p.v, 1) AS i FROM assigned{r} a JOIN part p USING (place)) GROUP BY ALL
+  ), means AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sums GROUP BY cluster)
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centroid{r} c LEFT JOIN means m USING (cluster)
+)""")
+    return f"""
+WITH {", ".join(steps)}
+SELECT p.vec_id, a.cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM part p JOIN assigned{rounds} a USING (place) JOIN centroid{rounds} c USING (cluster)
+"""
+
 #: rows of embeddings that take part: (id, vector in double precision)
 VECTORS = """
   SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
@@ -144,6 +182,7 @@ own AS (SELECT a, count(*) AS n_links, min(CASE WHEN equal_sets THEN b END) AS t
 SELECT d.doc_id, least(d.doc_id, coalesce(o.twin, d.doc_id)) AS text_class, coalesce(r.root, d.doc_id) AS class_id, coalesce(o.n_links, 0) AS n_links
 FROM documents d LEFT JOIN roots r ON r.a = d.doc_id LEFT JOIN own o ON o.a = d.doc_id WHERE d.doc_id IS NOT NULL
 """,
+    "op12_centroids": lloyd_sql(),
     "op13_exact_dedup": """
 WITH hashed AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
