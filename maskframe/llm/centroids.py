@@ -132,8 +132,7 @@ def blocks_of(rows: DataFrame, size: int) -> DataFrame:
         def block(d: pd.DataFrame) -> pd.DataFrame:
             nonlocal number
             number += 1
-            absent = d["id"].isna().to_numpy()
-            ids = d["id"].fillna(0).to_numpy(np.int64)
+            ids, absent = d["id"].to_numpy(np.int64), d["absent"].to_numpy()
             x = np.stack(d["x"].to_numpy()).astype(np.int32)
             return pd.DataFrame({"block": [(part << 32) + number], "n": [len(d)], "ids": [ids.tobytes()], "absent": [absent.astype(np.uint8).tobytes()], "x": [x.tobytes()]})
 
@@ -148,7 +147,8 @@ def blocks_of(rows: DataFrame, size: int) -> DataFrame:
         if waiting:
             yield block(pd.concat(held))
 
-    return rows.mapInPandas(lay, BLOCKS)
+    plain = rows.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("absent"), "x")
+    return plain.mapInPandas(lay, BLOCKS)
 
 
 class Buckets:

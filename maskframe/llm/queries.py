@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskframe.llm import centroids, exact_dedup, hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi
+from maskframe.llm import centroids, exact_dedup, hnsw, html_extract, langid, mixing, ngram_join, packing, sharding, topk, toxicity, viterbi, whitening
 from maskframe.llm.common import table
 
 
@@ -80,6 +80,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=16, scale=64, shift=1_000_000)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=8, rounds=10, scale=1024, dim=64, salt="3")
 
@@ -99,6 +103,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
     "op12_centroids": op12_centroids,
     "op13_exact_dedup": op13_exact_dedup,
 }
