@@ -63,17 +63,18 @@ def running(df: DataFrame, groups: list[str], order: list[str], value: Column, o
     inside ``(group, bucket)``, and a table of at most ``groups x buckets`` bucket sums shifts them. Null groups are a
     group like any other.
     """
-    keyed = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")).withColumn("_v", value.cast("long"))
-    keys = [*groups, "_b"]
-    sums = keyed.groupBy(*keys).agg(F.sum("_v").alias("_s"))
-    before = W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_0"))
+    bucket, own, total, start, place, *copies = free_names([*df.columns, out], "bucket", "own", "total", "start", "place", *[f"key{i}" for i in range(len(groups) + 1)])
+    keyed = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")).withColumn(own, value.cast("long"))
+    keys = [*groups, bucket]
+    sums = keyed.groupBy(*keys).agg(F.sum(own).alias(total))
+    before = W.partitionBy(*groups).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(*[F.col(k).alias(c) for k, c in zip(keys, copies, strict=True)], F.coalesce(F.sum(total).over(before), F.lit(0)).alias(start))
     inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    ranked = keyed.withColumn("_i", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    ranked = keyed.withColumn(place, F.coalesce(F.sum(own).over(inside), F.lit(0)))
     on = F.lit(True)
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return ranked.join(starts, on).withColumn(out, F.col("_0") + F.col("_i")).drop("_b", "_v", "_i", "_0", *[f"_k{i}" for i in range(len(keys))])
+    for k, c in zip(keys, copies, strict=True):
+        on = on & F.col(k).eqNullSafe(F.col(c))
+    return ranked.join(starts, on).withColumn(out, F.col(start) + F.col(place)).drop(bucket, own, place, start, *copies)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import ready, running, written
+from maskframe.llm.common import free_names, ready, running, written
 
 #: a word is a run of other characters than space, tab, line feed, vertical tab, form feed and carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -160,8 +160,9 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
     documents, spans = mix(docs, **how)
     row = ["doc_id", "source", "h", "copy"]
-    lists = spans.groupBy(*row, "pass").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_spans"))
-    lists = lists.select(*[F.col(c).alias(f"_{c}") for c in row], F.col("pass").alias("_pass"), "_spans")
+    doc, source, h, copy, pass_, own, key, h2, key2, copy2 = free_names(docs.columns, *row, "pass", "spans", "key", "h2", "key2", "copy2")
+    lists = spans.groupBy(*row, "pass").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias(own))
+    lists = lists.select(*[F.col(c).alias(n) for c, n in zip(row, (doc, source, h, copy), strict=True)], F.col("pass").alias(pass_), own)
 
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         word, out = re.compile(WORD), []
@@ -178,15 +179,13 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
     cut = F.pandas_udf(cut, "string")
     # a text meets its spans on one number for (doc_id, source, text); equal rows are told apart only if there are any
-    lists = lists.withColumn("_key", F.xxhash64("_doc_id", "_source", "_h"))
-    keyed = docs.withColumns({"_th": F.xxhash64("text")}).withColumn("_key2", F.xxhash64("doc_id", "source", "_th"))
-    on = (F.col("_key2") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_th") == F.col("_h"))
+    lists = lists.withColumn(key, F.xxhash64(doc, source, h))
+    keyed = docs.withColumn(h2, F.xxhash64("text")).withColumn(key2, F.xxhash64("doc_id", "source", h2))
+    on = (F.col(key2) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(h2) == F.col(h))
     if documents.filter("copy > 1").limit(1).count():
-        keyed = keyed.withColumn("_tc", F.row_number().over(W.partitionBy("_key2", "doc_id", "source", "_th").orderBy("_th")))
-        on = on & (F.col("_tc") == F.col("_copy"))
-    names = [F.col(c) for c in docs.columns]
-    inner = keyed.select(*names, *[c for c in ("_th", "_key2", "_tc") if c in keyed.columns and c not in docs.columns])
-    out = inner.join(lists.hint("merge"), on).withColumn("text", cut("text", "_spans"))
+        keyed = keyed.withColumn(copy2, F.row_number().over(W.partitionBy(key2, "doc_id", "source", h2).orderBy(h2)))
+        on = on & (F.col(copy2) == F.col(copy))
+    out = keyed.join(lists.hint("merge"), on).withColumn("text", cut("text", own))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
