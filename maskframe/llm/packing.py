@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 
 import numpy as np
@@ -20,12 +21,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import ready, running, written
+from maskframe.llm.common import free_names, ready, running, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _ENCODERS: dict[str, object] = {}
 
+#: runs of white space (as Unicode defines it) that the encoder's pattern would back out of one character at a time, beyond
+#: its stack for very long ones
+LONG_BLANKS = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
+
 
 def encoder(path: str):
     """``text -> uint32 ids`` of the byte-level BPE tokenizer file at ``path`` (special strings in a text are read as the
@@ -44,7 +49,20 @@ def encoder(path: str):
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         enc = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        _ENCODERS[path] = lambda text: enc.encode_to_numpy(text, allowed_special="all")
+
+        def encode(text: str) -> np.ndarray:
+            parts, at = [], 0
+            for m in LONG_BLANKS.finditer(text):
+                # the pattern's own rule: a run is one word, but for its last character if something follows in its part
+                # of the text (special strings divide it before)
+                end = m.end() - (m.end() < len(text) and not text.startswith(tuple(special), m.end()))
+                parts.append(enc.encode_to_numpy(text[at : m.start()], allowed_special="all"))
+                parts.append(np.array(enc._encode_single_piece(text[m.start() : end]), np.uint32))
+                at = end
+            parts.append(enc.encode_to_numpy(text[at:], allowed_special="all"))
+            return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 
@@ -217,7 +235,8 @@ def places(plan: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 600) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32; lengths 1 to ``capacity``) with ``sequence_id`` and ``offset``.
+    """``pieces`` (doc_id, piece, start, length, ids_crc32; lengths 1 to ``capacity``) with ``sequence_id`` and ``offset``
+    (columns of these names are replaced; other columns stay).
 
     Every sequence is gapless from offset 0. Only the histogram (at most ``capacity`` rows) and the plan made from it reach
     the driver. Pieces equal in all columns are interchangeable; no piece gives no sequence.
@@ -236,8 +255,10 @@ def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 600) -> DataFram
         return pd.DataFrame({"sequence_id": s0[i] + d // each[i], "offset": off[i] + d % each[i] * length.to_numpy()})
 
     place = F.pandas_udf(place, "sequence_id long, offset long")
-    ranked = running(pieces, ["length"], ["doc_id", "piece", "start", "ids_crc32"], F.lit(1), "_rank")
-    return ranked.withColumn("_p", place("length", "_rank")).select(*pieces.columns, "_p.sequence_id", "_p.offset")
+    rank, to = free_names(pieces.columns, "rank", "to")
+    ranked = running(pieces, ["length"], ["doc_id", "piece", "start", "ids_crc32"], F.lit(1), rank)
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    return ranked.withColumn(to, place("length", rank)).select(*kept, f"{to}.sequence_id", f"{to}.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, rounds: int = 600) -> DataFrame:
