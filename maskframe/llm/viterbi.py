@@ -9,18 +9,20 @@ that no piece covers is an unknown of its own score, and neighbouring unknowns m
 from __future__ import annotations
 
 import math
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import ready
+from maskframe.llm.common import free_names, ready
 
 _MODELS: dict[tuple, Counter] = {}
 
 #: score of an unknown below the worst piece
 UNKNOWN = 10.0
 MARK = "▁"
+PART = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 def pieces_of(path: str) -> list[tuple[str, float]]:
@@ -49,6 +51,9 @@ class Counter:
                 self.automaton.add_word(p, (len(p), s))
         self.automaton.make_automaton()
         self.empty = len(self.automaton) == 0
+        # a text may be divided before a mark that follows another character, unless a piece (or an unknown run) spans that
+        names = {p for p, _ in pieces}
+        self.divides = MARK in names and not any(re.search(f"[^{MARK}]{MARK}", p) for p in names)
 
     def word(self, w: str) -> tuple[float, int]:
         """(best score, pieces) of one word, however long: the program keeps a row per character."""
@@ -76,17 +81,19 @@ class Counter:
         return score[n], count[n]
 
     def text(self, text: str | None) -> tuple[float, int]:
-        """(score, tokens) of a text: words are marked at their start and do not share pieces, so their counts add up.
-        Counts of words are remembered, ``memory`` of them at most."""
+        """(score, tokens) of the best segmentation of the whole text. Every blank is a mark and the text begins with one.
+        No piece leads from a character into a mark after it, so the text is divided there and the parts' optima add up;
+        blanks in a row stay together, as pieces of several marks need. Parts are remembered, ``memory`` of them at most."""
         total, n, known = 0.0, 0, self.known
         if not text:
             return 0.0, 0
-        for w in text.split(" "):
+        marked = MARK + text.replace(" ", MARK)
+        for w in PART.findall(marked) if self.divides else (marked,):
             r = known.get(w)
             if r is None:
                 if len(known) >= self.memory:
                     known.clear()
-                r = known[w] = self.word(MARK + w)
+                r = known[w] = self.word(w)
             total += r[0]
             n += r[1]
         return total, n
@@ -108,4 +115,5 @@ def token_counts(docs: DataFrame, model: str, text: str = "text", byte_fallback:
         return pd.DataFrame([(n, s) for s, n in map(c.text, texts)], columns=["n", "s"])
 
     count = F.pandas_udf(count, "n long, s double")
-    return ready(docs).withColumn("_c", count(F.col(text))).withColumns({"n_tokens": F.col("_c.n"), "token_score": F.col("_c.s")}).drop("_c")
+    (both,) = free_names([*docs.columns, "n_tokens", "token_score"], "counts")
+    return ready(docs).withColumn(both, count(F.col(text))).withColumns({"n_tokens": F.col(f"{both}.n"), "token_score": F.col(f"{both}.s")}).drop(both)

@@ -28,6 +28,25 @@ def test_encoder_equals_the_tokenizers_library(spark, tokenizer_path):
     same()
 
 
+def test_long_runs_of_blanks(tokenizer_path):
+    """Runs beyond the pattern's stack, at any place, are cut as the library cuts them."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    t, encode = Tokenizer.from_file(path), packing.encoder(path)
+    rng = np.random.default_rng(3)
+    for n in (999, 1000, 1001, 5000):
+        for blank in (" ", "\n", "\t", " \n", "\u3000 ", "\x85\xa0"):
+            run = (blank * n)[:n]
+            for text in (run, f"a{run}", f"{run}b", f"a{run}b", f"a{run}.", f"a{run}1{run}<|endoftext|>{run}", f"x {run}'s{run}\x1f{run}"):
+                assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    for blank in (" ", "\n", "\t", "mixed"):
+        run = "".join(rng.choice(list(" \n\t\r\u2003"), 1_000_000)) if blank == "mixed" else blank * 1_000_000
+        ids = encode(f"a{run}b").tolist()
+        assert t.decode(ids, skip_special_tokens=False) == f"a{run}b"
+        assert ids[:1] == encode("a").tolist() and ids[-1:] == encode(" b" if run[-1] == " " else "b").tolist()
+
+
 def test_op2_round_trip(spark, tokenizer_path):
     from tokenizers import Tokenizer
 
@@ -94,34 +113,46 @@ def test_packing_odd_rows(spark, tokenizer_path):
 
 def unigram(pieces, fallback):
     """The tokenizers library with the same pieces, scores and unknowns."""
-    from tokenizers import Tokenizer, models, pre_tokenizers
+    from tokenizers import Tokenizer, models
 
     vocab = [("<unk>", -100.0), *[(f"<0x{b:02X}>", -100.0) for b in range(256) if fallback], *pieces]
-    t = Tokenizer(models.Unigram(vocab, 0, fallback))
-    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-    return t
+    return Tokenizer(models.Unigram(vocab, 0, fallback))
+
+
+def whole(t, text):
+    """Ids that the library gives the whole marked text, nothing split off before."""
+    return len(t.encode("▁" + text.replace(" ", "▁")).ids) if text else 0
 
 
 def holds_for_all_texts(t, c):
-    @settings(max_examples=400, deadline=None)
-    @given(st.text(alphabet="abcé zß ", max_size=40))
+    @settings(max_examples=600, deadline=None)
+    @given(st.text(alphabet="abcé zß  ", max_size=40))
     def same(x):
-        words = x.split(" ")
-        assert c.text(x)[1] == (sum(c.word("▁" + w)[1] for w in words) if x else 0)
-        for w in words:  # the library joins lone marks, so word by word
-            if w:
-                assert c.word("▁" + w)[1] == len(t.encode(w).ids), w
+        assert c.text(x)[1] == whole(t, x)
+        assert c.text(x) == (c.word("▁" + x.replace(" ", "▁")) if x else (0.0, 0))
 
     same()
 
 
 def test_token_counts_equal_a_unigram_tokenizer():
-    # whole scores make many ties
-    pieces = [(p, float(-i % 3 - 1)) for i, p in enumerate(["▁", "▁a", "a", "b", "ab", "ba", "aab", "▁ab", "c", "bc", "abc", "é", "éa", "cab", "▁c"])]
-    for fallback in (False, True):
-        c = viterbi.Counter(pieces, fallback)
-        c.unknown = -100.0 - viterbi.UNKNOWN  # the library goes by the lowest score of its whole list
-        holds_for_all_texts(unigram(pieces, fallback), c)
+    # whole scores make many ties; pieces of several marks, and (in the third list) pieces that lead over a mark
+    names = ["▁", "▁a", "a", "b", "ab", "ba", "aab", "▁ab", "c", "bc", "abc", "é", "éa", "cab", "▁c"]
+    for extra in ([], ["▁▁", "▁▁▁▁", "▁▁a"], ["▁▁▁", "a▁b", "b▁"]):
+        pieces = [(p, float(-i % 3 - 1)) for i, p in enumerate(names + extra)]
+        for fallback in (False, True):
+            c = viterbi.Counter(pieces, fallback)
+            assert c.divides == ("b▁" not in extra)
+            c.unknown = -100.0 - viterbi.UNKNOWN  # the library goes by the lowest score of its whole list
+            holds_for_all_texts(unigram(pieces, fallback), c)
+
+
+def test_blanks_in_a_row_share_pieces(tokenizer_path):
+    c = viterbi.Counter(viterbi.pieces_of(tokenizer_path("piece_bpe_32k.model")))
+    t = unigram(viterbi.pieces_of(tokenizer_path("piece_bpe_32k.model")), True)
+    assert c.divides and c.text("a    b")[1] == 3
+    for x in ("a    b", "def f(x):\n        if x:\n            return  x", "   lead", "trail   ", " " * 50, "a  b   c    d     e"):
+        score, n = c.word("▁" + x.replace(" ", "▁"))
+        assert c.text(x)[1] == whole(t, x) == n and abs(c.text(x)[0] - score) < 1e-9
 
 
 def test_op8_on_whole_texts(spark, tokenizer_path):
@@ -132,7 +163,7 @@ def test_op8_on_whole_texts(spark, tokenizer_path):
     assert set(got) == set(docs)
     for i, x in list(docs.items()):
         # known pieces only differ from the library in the score of unknowns, which none of them contests
-        assert got[i] == sum(len(t.encode(w).ids) if w else viterbi.Counter(pieces).word("▁")[1] for w in x.split(" "))
+        assert got[i] == whole(t, x)
 
 
 def test_token_counts_odd_rows(spark, tokenizer_path):
