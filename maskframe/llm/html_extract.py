@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from maskframe.llm.common import ready
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^<>]*\Z", re.S)
-NAMED = re.compile(r"""\b(class|id|role|data-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+#: the value of an attribute: quotes open only after the equals sign, an unquoted value ends at white space or >
+VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:{VALUE}|[^>])*+)>", re.S)
+UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
+NAMED = re.compile(r"""(?<![^\s"'/])(class|id|role|data-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>"'][^\s>]*)""", re.I)
 PART = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
 SPACE = re.compile(r"\s+")
 
@@ -42,7 +45,7 @@ class Page:
 
     __slots__ = ("feats", "labels", "parents", "tags", "texts")
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = False):
         self.parents, self.tags, self.feats, self.labels, self.texts = [-1], ["html"], [()], [-1], [None]
         stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones carry their block's node
         pieces: list[str] = []
@@ -65,15 +68,20 @@ class Page:
                 if linked:
                     links += len(part)
 
-        at, n = 0, len(source)
+        # no tag is complete after the last >; what begins as one there is not text
+        at, n, last = 0, len(source), source.rfind(">") + 1
+        never: set[str] = set()  # elements whose end does not come any more
         while at < n:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at, last) if at < last else None
             if m is None:
-                text(source[at:])
+                m = UNFINISHED.search(source, max(at, last))
+                text(source[at : m.start()] if m else source[at:])
                 break
             text(source[at : m.start()])
             at = m.end()
             if m[2] is None:
+                if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    break
                 continue
             tag = m[2].lower()
             if m[1]:
@@ -90,7 +98,9 @@ class Page:
                 continue
             if tag in RAW:
                 if not m[3].endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                    end = None if tag in never else re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(source, at, last)
+                    if end is None:
+                        never.add(tag)
                     body = re.compile(r"<body\b", re.I).search(source, at) if tag == "head" else None
                     at = end.end() if end else body.start() if body else n if tag != "head" else at
                 pieces.append(" ")
@@ -113,20 +123,21 @@ class Page:
                             break
                     elif t in LIMIT or (t in BLOCK and tag not in CLOSES):
                         break
-                stack.append((tag, self._element(stack[-1][1], tag, m[3])))
+                stack.append((tag, self._element(stack[-1][1], tag, m[3], labelled)))
             elif tag not in VOID:
                 if tag == "a":
                     linked += 1
                 stack.append((tag, stack[-1][1]))
         flush()
 
-    def _element(self, parent: int, tag: str, attributes: str) -> int:
+    def _element(self, parent: int, tag: str, attributes: str, labelled: bool) -> int:
         feats, label = [], -1
         if attributes:
             for name, value in NAMED.findall(attributes):
                 value = value.strip("\"'")
                 if name.lower() == "data-label":
-                    label = int(value)
+                    if labelled and value in ("0", "1"):
+                        label = int(value)
                 else:
                     feats += [f"name {w.lower()}" for w in PART.findall(value)]
         self.parents.append(parent)
@@ -227,7 +238,7 @@ def fit(labelled: DataFrame, smooth: float = 0.5, weight: float = 0.5) -> Model:
         for b in batches:
             c: dict[tuple, int] = {}
             for s in b["html"]:
-                p = Page(s or "")
+                p = Page(s or "", labelled=True)
                 x = states(p)
                 for i in range(len(x)):
                     up = int(x[p.parents[i]]) if i else -1
