@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskframe.llm.common import components, ready, written
+from maskframe.llm.common import components, free_names, ready, written
 
 WORD = re.compile(r"\w+")
 
@@ -184,14 +184,20 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
     return [top(x) for x in range(n)]
 
 
-def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995, tile: int = 256) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; other columns are ignored) with an id.
+def join(docs: DataFrame, **how) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; other columns are ignored) with an id; parameters as in ``grouping``.
 
     Returns doc_id; text_hash (xxhash64 of the text); text_class, the smallest doc_id with the same n-gram set; class_id, the smallest doc_id that links
     reach (itself included); n_links, the other rows linked directly: those of the same set, and those of sets that share
-    ``threshold`` of the union with it. Rows that repeat an id with other texts are one node of the link graph. Texts without a word (null, empty) link with nothing; short texts are one n-gram;
+    ``threshold`` of the union with it. Rows that repeat an id with other texts are linked by their texts alone. Texts without a word (null, empty) link with nothing; short texts are one n-gram;
     rows that repeat an id and text count as copies of one another; an empty table gives no row.
     """
+    return grouping(docs, **how).drop("root", "first")
+
+
+def grouping(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995, tile: int = 256) -> DataFrame:
+    """The rows of ``join`` with ``root``, the smallest (doc_id, n-gram set) that links reach (null for a text without a
+    word), and ``first``: whether the row has that id and set."""
     bands, rows = bands_for(threshold, recall)
     limit = Fraction(str(threshold))
     sh = Shingler(n, bands, rows)
@@ -263,7 +269,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
                 links = np.bincount(i, copies[j], len(g)) + np.bincount(j, copies[i], len(g))
                 some = np.nonzero(links)[0]
                 up = np.array(roots(len(g), i, j))
-                out.append(pd.DataFrame({"rep": rep[some], "k0": g["k0"].to_numpy()[some], "k1": g["k1"].to_numpy()[some], "links": links[some].astype(np.int64), "to": rep[up[some]]}))
+                out.append(pd.DataFrame({"rep": rep[some], "k0": g["k0"].to_numpy()[some], "k1": g["k1"].to_numpy()[some], "links": links[some].astype(np.int64), "to": rep[up[some]], "to0": g["k0"].to_numpy()[up[some]], "to1": g["k1"].to_numpy()[up[some]]}))
                 rows_out += len(some)
                 if rows_out > 5000:
                     yield pd.concat(out)
@@ -271,32 +277,42 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
         if out:
             yield pd.concat(out)
 
-    found = written(located.mapInPandas(verify, "rep long, k0 long, k1 long, links long, to long"), "ngram-links")
+    found = written(located.mapInPandas(verify, "rep long, k0 long, k1 long, links long, to long, to0 long, to1 long"), "ngram-links")
     links = found.groupBy("rep", "k0", "k1").agg(F.sum("links").alias("links"))
-    roots_ = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")))
-    side = reps.join(links, ["rep", "k0", "k1"], "left").join(roots_.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    side = side.select("k0", "k1", "rep", "root", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    # a node is an n-gram set, whatever ids it has; the smallest document comes first in its order
+    node = F.struct("rep", "k0", "k1")
+    roots_ = components(found.select(node.alias("a"), F.struct(F.col("to").alias("rep"), F.col("to0").alias("k0"), F.col("to1").alias("k1")).alias("b")))
+    side = reps.join(links, ["rep", "k0", "k1"], "left").withColumn("node", node).join(roots_, "node", "left")
+    side = side.select("k0", "k1", "rep", F.coalesce("root", "node").alias("root"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
     out = c.select("doc_id", "h", "k0", "k1", "grams").join(side, own, "left")
     alone = F.col("grams") == 0
     return out.select(
         "doc_id",
         F.col("h").alias("text_hash"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("rep")).alias("text_class"),
-        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("root", "rep")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("root.rep")).alias("class_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("copies") - 1 + F.col("links")).cast("long").alias("n_links"),
+        F.when(~alone, F.col("root")).alias("root"),
+        (F.struct("doc_id", "k0", "k1") == F.col("root")).alias("first"),
     )
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one row of each group of linked rows: the one of the smallest doc_id. Rows without an id or without a
     word stay; of rows that repeat an id and text one stays. All columns stay as they are."""
-    j = written(join(docs, **how), "ngram-join")
-    gone = j.filter("doc_id != class_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
-    left = docs.join(gone, (docs["doc_id"].cast("long") == F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_text")), "left_anti")
-    again = j.filter("doc_id = class_id").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    j = written(grouping(docs, **how), "ngram-join").filter("root IS NOT NULL")
+    doc, h, mine = free_names(docs.columns, "doc", "hash", "mine")
+    # rows of the smallest id may differ in text and yet have the root's set: the smallest hash stays
+    kept = written(j.filter("first").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"), F.count(F.lit(1)).alias("n")).select("k.*", "n"), "ngram-kept")
+    gone = j.select("doc_id", "text_hash").join(kept, ["doc_id", "text_hash"], "left_anti").distinct()
+
+    def of(d: DataFrame) -> DataFrame:
+        return d.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(h))
+
+    on = (F.col(mine) == F.col(h)) & (F.col("doc_id").cast("long") == F.col(doc))
+    left = docs.withColumn(mine, F.xxhash64("text")).join(of(gone), on, "left_anti")
+    again = kept.filter("n > 1")  # the same text perhaps, with the same id
     if again.limit(1).count() == 0:
-        return left
-    once = left.withColumn("_h", F.xxhash64("text"))
-    ids = again.select(F.col("doc_id").alias("_again"), F.col("text_hash").alias("_text"))
-    on = (F.col("doc_id").cast("long") == F.col("_again")) & (F.col("_h") == F.col("_text"))
-    return once.join(ids, on, "left_anti").select(*docs.columns).unionByName(once.join(ids, on, "left_semi").dropDuplicates(["doc_id", "_h"]).select(*docs.columns))
+        return left.select(*docs.columns)
+    once = left.join(of(again), on, "left_semi").dropDuplicates(["doc_id", mine])
+    return left.join(of(again), on, "left_anti").unionByName(once).select(*docs.columns)

@@ -40,7 +40,7 @@ def test_op3_on_whole_table(spark):
 def test_held_out_labelled_pages(spark, html_model):
     runs = wrong = 0
     for r in html_extract.labelled_pages(spark, copies=4, seed=1234).collect():
-        truth = html_extract.states(html_extract.Page(r["html"]))
+        truth = html_extract.states(html_extract.Page(r["html"], labelled=True))
         bare = html_extract.Page(re.sub(r' data-label="."', "", r["html"]))
         for t, x, y in zip(bare.texts, truth, html_model.marginals([bare])[0], strict=True):
             if t is not None:
@@ -78,6 +78,28 @@ def test_html_odd_pages(spark, html_model):
     assert html_extract.extract(d.limit(0), html_model).count() == 0
 
 
+def test_html_attributes(spark, html_model):
+    """Quotes open only after an equals sign; labels of a page's own are none of ours; unfinished markup is not text."""
+    long = " ".join(["some words of a main text, and more of them."] * 6)
+    cases = {
+        f'<article><p class="x"">{long}</p></article>': long,
+        f"<article><p title=don't>{long}</p><p>it's two {long}</p></article>": f"{long}\nit's two {long}",
+        f'<article><p title="a > b" data-x=\'c > "d\'>{long}</p></article>': long,
+        f'<article><p title = "un>quoted" checked>{long}</p><p a=b"c>{long}</p></article>': f"{long}\n{long}",
+        f'<article><p data-label="Price">{long}</p><table><tr><td data-label="0">{long}</td></tr></table></article>': f"{long}\n{long}",
+        f"<article><p>{long}</p></article><!-- never > closed {long}": long,
+        f"<article><p>{long}</p></article><p class='cut": long,
+    }
+    d = spark.createDataFrame(list(cases), "string").toDF("html")
+    got = {r["html"]: r["text"] for r in html_extract.extract(d, html_model).collect()}
+    assert got == cases
+
+
+def test_hostile_markup_is_read_in_linear_time(html_model):
+    for s in ("<" * 1_000_000, "<a" * 500_000, "<!" * 500_000, '<a b="' * 200_000, "<script>" * 100_000, "</p>" * 200_000, "<p a='x" * 100_000 + ">", "=" * 1_000_000, "<p " + "=" * 500_000 + ">x", " " * 1_000_000, "&" * 500_000):
+        assert isinstance(html_extract.Page(s).texts, list)
+
+
 # --- operator 4
 
 
@@ -302,6 +324,19 @@ def test_join_odd_rows_and_keep_one(spark):
     assert ngram_join.join(d.limit(0)).count() == ngram_join.keep_one(d.limit(0)).count() == 0
 
 
+def test_repeated_ids_lose_no_text(spark):
+    """An id with two texts is two nodes: a text unlike all others stays, and every group keeps exactly one row."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(2, a + " tail"), (5, a), (5, b), (7, b + " more"), (7, b + " more"), (7, b.upper()), (9, a + " end"), (9, a + " fin")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'u' AS _text", "1 AS _h", "2 AS _gone", "'r' AS root", "true AS first")
+    kept = ngram_join.keep_one(d)
+    assert kept.columns == d.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(2, a + " tail"), (5, b)]
+    assert {(r["doc_id"], r["class_id"]) for r in ngram_join.join(d).collect()} == {(2, 2), (5, 2), (5, 5), (7, 5), (9, 2)}
+    same = spark.createDataFrame([(1, a), (1, a + " x"), (1, a.replace(" ", ", ")), (1, a)], "doc_id long, text string")
+    assert ngram_join.keep_one(same).count() == 1
+
+
 def test_bands():
     for s in (0.5, 0.8, 0.95):
         b, r = ngram_join.bands_for(s, 0.999)
