@@ -264,14 +264,14 @@ def independent(before: np.ndarray, after: np.ndarray) -> int:
     return len(np.unique(united(np.arange(places), a, links + b)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6), max_terms: int = 2000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6)) -> Model:
     """Learns lexicon and weights from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0/1) name; null
     labels and texts are left out, and an id labelled both ways is toxic.
 
     The fit reads about ``rows_per_label`` whole documents per label at most, chosen by a hash of doc_id (the documented
     bound; it also bounds the ids that are broadcast to the scan of the texts). A word, or a word beginning of ``heads``
     characters, becomes a term when more toxic documents use it than chance explains (log-likelihood ratio above that of
-    the best of all candidates by chance); the ``max_terms`` strongest stay. Documents of either label whose first use has
+    the best of all candidates by chance); all such terms stay. Documents of either label whose first use has
     the same ``SIDE`` words before it, or after it, are copies there and count once, with no limit to the count. Words near a term that clean documents use at
     least as often are harmless. With one label only or none, the model has no terms and answers the labels' share.
     """
@@ -332,7 +332,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
     llr = free * F.log(p1 / both) + F.when(clean > 0, clean * F.log(p0 / both)).otherwise(0.0)
     some = counts.filter((free >= 3) & (p1 > 3 * p0)).withColumn("llr", llr)
     tries = max(2, counts.filter(free >= 3).count())
-    rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").limit(max_terms).collect()
+    rows = some.filter(F.col("llr") >= math.log(tries)).orderBy(F.desc("llr"), "w").collect()
     # a beginning stands for a family when it tells clearly more than any one word of it; of a family's beginnings the one
     # that tells most stays. Its words stay too: only words are matched with errors
     odds = {r["w"]: math.log((r["n1"] + 0.1) / m1) - math.log((r["n0"] + 0.1) / m0) for r in rows}
