@@ -85,6 +85,43 @@ def _tile_overlap_uniform(segments: DataFrame, n: int, size: int, step: int, id_
     return z.groupBy(id_col, "tile").agg(F.sum("a").cast("bigint").alias("mask_area"))
 
 
+def box_overlap(pieces: DataFrame, boxes: DataFrame, bin_size: int = 128, id_col: str = ID, box_col: str = "box",
+                value_col: str | None = None) -> DataFrame:
+    """J5 with boxes as data: per (image, box) the sum of mask values inside the box (``mask_area``), for boxes that meet the
+    mask. ``pieces`` are column pieces ``(id, col, r0, r1[, value])`` that may overlap (they add up), ``boxes``
+    ``(id, box, x0, y0, x1, y1)``, ends exclusive, of any size and number; equal boxes of one image add into one row, and
+    rows with a null in them meet nothing.
+
+    The range join is an equi join on (image, column bin, row bin). Pieces are cut at the bins' row borders, so each part lies in
+    one bin, and equal parts are added up before the shuffle: a bin of an image holds at most as many parts as its cells allow,
+    however many rows the image had, and an image with a third of all rows is spread over its bins. A box meets the
+    parts of the bins that it cuts; bins that lie inside it whole are met as one total each, so a long box does not
+    read its inside."""
+    v = (F.col(value_col) if value_col else F.lit(1)).cast("bigint")
+    b = F.lit(bin_size)
+    fl = lambda x: F.floor(x / b).cast("bigint")
+    p = pieces.filter(F.col("r1") > F.col("r0")).select(
+        F.col(id_col).alias("_id"), F.col("col").cast("bigint").alias("_c"), v.alias("_v"), "r0", "r1",
+        F.explode(F.sequence(fl(F.col("r0")), fl(F.col("r1") - 1))).alias("_rb"))
+    p = p.select("_id", fl(F.col("_c")).alias("_cb"), "_rb", "_c", F.greatest("r0", F.col("_rb") * b).cast("bigint").alias("_a"),
+                 F.least("r1", (F.col("_rb") + 1) * b).cast("bigint").alias("_b"), "_v")
+    parts = p.groupBy("_id", "_cb", "_rb", "_c", "_a", "_b").agg(F.sum("_v").alias("_v"))
+    totals = parts.groupBy("_id", "_cb", "_rb").agg(F.sum(F.col("_v") * (F.col("_b") - F.col("_a"))).alias("_t"))
+    x = boxes.select(F.col(id_col).alias("_id"), F.col(box_col).alias("_box"), *[F.col(c).cast("bigint").alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")])
+    x = x.filter((F.col("_x1") > F.col("_x0")) & (F.col("_y1") > F.col("_y0")))
+    x = x.withColumn("_cb", F.explode(F.sequence(fl(F.col("_x0")), fl(F.col("_x1") - 1))))
+    x = x.withColumn("_rb", F.explode(F.sequence(fl(F.col("_y0")), fl(F.col("_y1") - 1))))
+    inside = (F.col("_x0") <= F.col("_cb") * b) & ((F.col("_cb") + 1) * b <= F.col("_x1"))
+    inside = inside & (F.col("_y0") <= F.col("_rb") * b) & ((F.col("_rb") + 1) * b <= F.col("_y1"))
+    keys = ["_id", "_cb", "_rb"]
+    full = x.filter(inside).join(totals, keys).select("_id", "_box", F.col("_t").alias("_m"))
+    cut = x.filter(~inside).join(parts, keys).filter((F.col("_x0") <= F.col("_c")) & (F.col("_c") < F.col("_x1")))
+    rows = F.least("_b", "_y1") - F.greatest("_a", "_y0")
+    cut = cut.filter(rows > 0).select("_id", "_box", (F.col("_v") * rows).alias("_m"))
+    out = full.unionByName(cut).groupBy("_id", "_box").agg(F.sum("_m").cast("bigint").alias("mask_area"))
+    return out.filter("mask_area != 0").select(F.col("_id").alias(id_col), F.col("_box").alias(box_col), "mask_area")
+
+
 def topk_tiles(tile_areas: DataFrame, k: int, min_area: int = 64, id_col: str = ID) -> DataFrame:
     """W4 + P8: the ``k`` tiles with the largest mask area per image (ties: higher tile index first, the tail of an
     ascending stable sort), kept when the area reaches ``min_area``. The window partition is one image's tiles (at

@@ -1700,3 +1700,7 @@ def split_audit(spark, sf_dir):
     return IO.audit_split_sizes(sp, IO.dataset_registry(spark), "ship").select(
         "name", "split", F.col("declared").cast("bigint").alias("declared"), "actual", F.col("diff").cast("bigint").alias("diff")
     )
+
+
+# further entries, in modules that use what is above
+from maskframe.plans import catalog_masks  # noqa: E402, F401
