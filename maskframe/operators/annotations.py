@@ -54,6 +54,19 @@ def quarantine(df: DataFrame) -> DataFrame:
     return with_area(df).filter(~F.col("valid")).select(ID, ENC, F.lit("non_numeric_token").alias("reason"))
 
 
+def usable_images(df: DataFrame, id_col: str = ID, enc_col: str = ENC) -> tuple[DataFrame, DataFrame]:
+    """(rows, reported): the rows of images whose texts are all sound, and all others with a ``reason``: the broken row itself
+    (``non_numeric_token``) or a row beside it (``image_has_broken_row``). Every row is in exactly one of them; an image is
+    never used in part, so a broken text cannot pass for an empty image. The broken images' ids are joined without a hint: Spark
+    broadcasts them only if they are few."""
+    checked = df.withColumn("_sound", rle_valid(F.col(enc_col)))
+    bad = checked.filter(~F.col("_sound")).select(F.col(id_col).alias("_bad")).distinct()
+    on = F.col(id_col).eqNullSafe(F.col("_bad"))
+    reason = F.when(F.col("_sound"), "image_has_broken_row").otherwise("non_numeric_token")
+    rest = checked.join(bad, on, "left_semi").withColumn("reason", reason).drop("_sound")
+    return df.join(bad, on, "left_anti"), rest
+
+
 def with_class(df: DataFrame, area_col: str = "area", bins=C.MAIN_BINS, out: str = "class") -> DataFrame:
     """P5 on any binning table of SURVEY 1.1-10."""
     return df.withColumn(out, C.area_class(F.col(area_col), bins))

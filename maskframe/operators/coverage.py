@@ -186,22 +186,20 @@ def mask_iou(truth: DataFrame, pred: DataFrame, height: int = CANVAS_H, width: i
 
 def horizontal_runs(pieces: DataFrame, id_col: str = ID, keep: tuple[str, ...] = ()) -> DataFrame:
     """Row-wise maximal runs ``(id, *keep, row, c0, c1)`` (columns c0..c1 inclusive) of a mask given as column pieces,
-    without going through pixels: a run starts at column c on the rows a piece of c covers and column c-1 does not
-    (a sweep of the pieces against themselves shifted by one column), and ends symmetrically; only the start and end
-    rows are exploded, and the k-th start of a row pairs with its k-th end. Window partitions are one row of one image
-    (at most W entries)."""
-
+    without going through pixels. Every piece takes part in two boundaries, the one to its left and the one to its right;
+    one sweep of each boundary tells the rows that only its right column covers (a run starts there) and those that only
+    its left one covers (a run has ended). Only those rows are exploded; along a row starts and ends alternate, so a
+    start's next boundary is its end. Window partitions are one column boundary or one row of one image (at most H + 1
+    and W + 1 entries)."""
     inner = tuple(f"_key{i}" for i in range(len(keep)))  # keep columns may clash with the sweep's own names
     base = pieces.select(id_col, *[F.col(k).alias(n) for k, n in zip(keep, inner)], "col", "r0", "r1")
-
-    def edge(shift: int) -> DataFrame:
-        other = base.withColumn("col", F.col("col") + shift)
-        seg = sweep_pieces([base, other], id_col, inner)
-        s = seg.filter((F.col("c0") > 0) & (F.col("c1") == 0))
-        return s.select(id_col, *inner, "col", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("row"))
-
-    w = lambda: Window.partitionBy(id_col, *inner, "row").orderBy("col")
-    starts = edge(1).withColumn("k", F.row_number().over(w())).withColumnRenamed("col", "c0")
-    ends = edge(-1).withColumn("k", F.row_number().over(w())).withColumnRenamed("col", "c1")
-    j = starts.join(ends, [id_col, *inner, "row", "k"]).drop("k")
-    return j.select(id_col, *[F.col(n).alias(k) for k, n in zip(keep, inner)], "row", "c0", "c1")
+    # (boundary, position, change right of it, change left of it) at both ends of a piece, for both of its boundaries
+    ev = base.selectExpr(f"`{id_col}`", *inner, "stack(4, col, r0, 1, 0, col, r1, -1, 0, col + 1, r0, 0, 1, col + 1, r1, 0, -1) AS (edge, pos, a, b)")
+    g = ev.groupBy(id_col, *inner, "edge", "pos").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).filter("a != 0 OR b != 0")
+    w = Window.partitionBy(id_col, *inner, "edge").orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seg = g.select(id_col, *inner, "edge", F.col("pos").alias("r0"), F.lead("pos").over(w).alias("r1"), F.sum("a").over(run).alias("a"), F.sum("b").over(run).alias("b"))
+    rows = seg.filter("(a > 0) != (b > 0)").select(id_col, *inner, "edge", (F.col("a") > 0).alias("start"), F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("row"))
+    along = Window.partitionBy(id_col, *inner, "row").orderBy("edge")
+    j = rows.withColumn("end", F.lead("edge").over(along)).filter("start")
+    return j.select(id_col, *[F.col(n).alias(k) for k, n in zip(keep, inner)], "row", F.col("edge").alias("c0"), (F.col("end") - 1).alias("c1"))

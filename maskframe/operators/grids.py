@@ -298,19 +298,31 @@ def preprocess(images: DataFrame, seed, crop_h: int, crop_w: int, is_training: b
     return x if is_training else x.drop("flipped")
 
 
+def _turned(img: np.ndarray, quarters: int) -> np.ndarray:
+    """``img`` turned counter-clockwise by one or two quarters about (w div 2, h div 2), the point that masks turn about
+    (``runs.rotate_90``, ``runs.rotate_180``): the size stays, what leaves it is lost, and what nothing reaches is 0."""
+    h, w = img.shape[:2]
+    cx, cy = w // 2, h // 2
+    y, x = np.mgrid[:h, :w]
+    sy, sx = (2 * cy - y, 2 * cx - x) if quarters == 2 else (x - cx + cy, cx + cy - y)
+    there = (sy >= 0) & (sy < h) & (sx >= 0) & (sx < w)
+    out = np.zeros_like(img)
+    out[there] = img[sy[there], sx[there]]
+    return out
+
+
 # fixed values: what the augmented copies of a training image are, by suffix in write order
-AUGMENTED = {"": lambda a: a, "_a": lambda a: np.rot90(a, 2), "_b": lambda a: np.rot90(a), "_f": lambda a: a[::-1]}
+AUGMENTED = {"": lambda a: a, "_a": lambda a: _turned(a, 2), "_b": lambda a: _turned(a, 1), "_f": lambda a: a[::-1]}
 
 
 def augment(df: DataFrame, label: str | None = None) -> DataFrame:
     """I17 on images: one row per image and suffix (as it is, turned by 180 and 90 degrees, upside down), the one-channel
-    ``label``, if named, along with it."""
+    ``label``, if named, along with it; image and mask turn about the same point and keep their size."""
     x = df.withColumn("suffix", F.explode(F.array(*[F.lit(s) for s in AUGMENTED])))
-    turned = F.col("suffix") == "_b"
     out = {"data": cells(x, lambda img, s: AUGMENTED[s](img), "suffix")}
     if label:
         out[label] = cells(x, lambda img, s: AUGMENTED[s](img), "suffix", col=label, c=F.lit(1))
-    return x.withColumns({**out, "h": F.when(turned, F.col("w")).otherwise(F.col("h")), "w": F.when(turned, F.col("h")).otherwise(F.col("w"))})
+    return x.withColumns(out)
 
 
 def validate_samples(images: DataFrame, label_h: str = "label_h", label_w: str = "label_w",

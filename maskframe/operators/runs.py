@@ -102,6 +102,30 @@ def rotate_90(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
     return out.filter((F.col("col") >= 0) & (F.col("col") < width) & (F.col("r1") > F.col("r0")))
 
 
+def augmented(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
+              keep: tuple[str, ...] = (), centre=ROTATION_CENTRE) -> DataFrame:
+    """I17 on masks: ``(id, suffix, *keep, col, r0, r1)`` of every image in its four variants -- as it is, turned by 180
+    (``_a``) and 90 degrees (``_b``) about ``centre``, upside down (``_f``). Three of them move pieces and are made in one pass;
+    a variant that loses all its pixels keeps one empty piece (``r0 = r1``), so no image with pieces is lost."""
+    cx, cy = centre
+    r0, r1, h = F.col("r0"), F.col("r1"), F.lit(height)
+
+    def variant(suffix, col, a, b):
+        inside = (col >= 0) & (col < width) & (b > a)
+        return F.struct(F.lit(suffix).alias("suffix"), F.when(inside, col).otherwise(F.lit(0)).cast("bigint").alias("col"),
+                        F.when(inside, a).otherwise(F.lit(0)).cast("bigint").alias("r0"), F.when(inside, b).otherwise(F.lit(0)).cast("bigint").alias("r1"))
+
+    moved = F.array(
+        variant("", F.col("col"), r0, r1),
+        variant("_a", F.lit(2 * cx) - F.col("col"), F.greatest(F.lit(2 * cy + 1) - r1, F.lit(0)), F.least(F.lit(2 * cy + 1) - r0, h)),
+        variant("_b", F.lit(0), F.lit(0), F.lit(0)),
+        variant("_f", F.col("col"), h - r1, h - r0),
+    )
+    three = pieces.select(id_col, *keep, F.explode(moved).alias("v")).select(id_col, "v.suffix", *keep, "v.col", "v.r0", "v.r1")
+    turned = rotate_90(pieces, height, width, id_col, keep, centre)
+    return three.unionByName(turned.select(id_col, F.lit("_b").alias("suffix"), *keep, *[F.col(c).cast("bigint").alias(c) for c in ("col", "r0", "r1")]))
+
+
 def rotate_90_pixels(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
                      keep: tuple[str, ...] = (), centre=ROTATION_CENTRE) -> DataFrame:
     """M11 (90 degrees) through pixels of the rotated mask, regrouped into column pieces (W5); the reference form

@@ -722,22 +722,13 @@ SELECT CAST(k AS VARCHAR) || suffix AS sample, CAST(n AS BIGINT) AS pixels FROM
 def augment_set(spark, sf_dir):
     """I17 + M10 + M11 + P6: each image with ships -> original, 180-degree (_a), 90-degree (_b) and flipped (_f)
     label rasters; reports the summed label values of every variant."""
+    from maskframe.session import saved
+
     _, seg = _union_segments(spark, sf_dir)
-    pieces = seg.select("ImageId", "col", "r0", "r1", "c")
-    variants = {
-        "": pieces,
-        "_a": R.rotate_180(pieces, keep=("c",)),
-        "_b": R.rotate_90(pieces, keep=("c",)),
-        "_f": R.flip_updown(pieces, keep=("c",)),
-    }
-    out = None
-    for suffix, p in variants.items():
-        vals = p.select("ImageId", ((F.col("r1") - F.col("r0")) * F.col("c")).alias("v"))
-        vals = vals.unionByName(pieces.select("ImageId", F.lit(0).cast("bigint").alias("v")))  # empty variants give 0
-        x = vals.groupBy("ImageId").agg(F.sum("v").cast("bigint").alias("pixels"))
-        x = x.select(sample_name("ImageId", suffix).alias("sample"), "pixels")
-        out = x if out is None else out.unionByName(x)
-    return out
+    pieces = saved(seg.select("ImageId", "col", "r0", "r1", "c"), "segments")
+    all_ = R.augmented(pieces, keep=("c",))
+    return all_.groupBy("ImageId", "suffix").agg(F.sum((F.col("r1") - F.col("r0")) * F.col("c")).cast("bigint").alias("pixels")).select(
+        sample_name("ImageId", F.col("suffix")).alias("sample"), "pixels")
 
 
 TILE_SQL = f"""WITH {O.INSTANCES}, {O.PIXELS},
@@ -1358,8 +1349,8 @@ register(
 register(
     "rgb_augment",
     f"""WITH {RGB}, f AS (SELECT image_id, '' AS suffix, h, w, data FROM g
-UNION ALL SELECT image_id, '_a', h, w, {_rgb_cells(8, 8, '7 - i // 24', '7 - (i // 3) % 8')} FROM g
-UNION ALL SELECT image_id, '_b', h, w, {_rgb_cells(8, 8, '(i // 3) % 8', '7 - i // 24')} FROM g
+UNION ALL SELECT image_id, '_a', h, w, list_transform(range(192), lambda i: CASE WHEN i // 24 = 0 OR (i // 3) % 8 = 0 THEN 0 ELSE data[((8 - i // 24) * 8 + 8 - (i // 3) % 8) * 3 + i % 3 + 1] END) FROM g
+UNION ALL SELECT image_id, '_b', h, w, list_transform(range(192), lambda i: CASE WHEN i // 24 = 0 THEN 0 ELSE data[((i // 3) % 8 * 8 + 8 - i // 24) * 3 + i % 3 + 1] END) FROM g
 UNION ALL SELECT image_id, '_f', h, w, {_rgb_cells(8, 8, '7 - i // 24', '(i // 3) % 8')} FROM g) {_checksum_sql('f', ', suffix')}""",
 )(_rgb_query(G.augment, "suffix"))
 

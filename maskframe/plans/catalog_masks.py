@@ -80,3 +80,103 @@ def box_overlap(spark, sf_dir):
     """J5 with boxes from a table: label raster mass in the detection boxes of each image."""
     pieces = R.run_pieces(R.rle_runs(X.annotations(spark, sf_dir)))
     return T.box_overlap(pieces, _boxes(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------------------------- the tiled build
+from maskframe.functions import classes as C  # noqa: E402
+from maskframe.plans import tiled_set as TS  # noqa: E402
+from maskframe.plans.catalog import MD5, SEED, SPLIT_SQL  # noqa: E402
+
+# rectangles on the three canvases (nearest sampling maps a rectangle to a rectangle) and their mass in every tile
+CANVAS_TILES = f"""canvas AS (SELECT * FROM (VALUES ('gp3', 512, 3, 1, '_4_'), ('gp2', 768, 5, 2, '_3_'), ('gp1', 1024, 7, 2, '_2_')) t(cohort, t, n, keep, tag)),
+cr AS (SELECT k, cohort, t, n, keep, tag, (x0 * t + 767) // 768 AS x0, (least(x0 + w, 768) * t + 767) // 768 AS x1, (y0 * t + 767) // 768 AS y0, ((y0 + h) * t + 767) // 768 AS y1
+       FROM instances, canvas),
+ct AS (SELECT k, cohort, t, keep, tag, iy.i * n + ix.i AS tile,
+         SUM((least(x1, ix.i * 128 + 256) - greatest(x0, ix.i * 128)) * (least(y1, iy.i * 128 + 256) - greatest(y0, iy.i * 128))) AS mask_area
+       FROM cr, range(7) ix(i), range(7) iy(i)
+       WHERE ix.i < n AND iy.i < n AND x0 < ix.i * 128 + 256 AND ix.i * 128 < x1 AND y0 < iy.i * 128 + 256 AND iy.i * 128 < y1 GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY k, cohort ORDER BY mask_area DESC, tile DESC) AS place FROM ct),
+picked AS (SELECT * FROM top WHERE place <= keep AND mask_area >= 64)"""
+
+
+def _tile_query(cohort: str):
+    """M13 on one canvas, for all images."""
+
+    def q(spark, sf_dir):
+        areas = TS.canvas_tiles(R.run_pieces(R.rle_runs(X.annotations(spark, sf_dir))), [c for c in TS.CANVASES if c[0] == cohort])
+        return TS.tile_names(areas).select("ImageId", "sample", "tile", "mask_area")
+
+    return q
+
+
+for _cohort, _t, _n, _k, _tag in TS.CANVASES[1:]:
+    register(
+        f"tile_select_{_t}",
+        f"""WITH {O.INSTANCES}, {CANVAS_TILES}
+SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, CAST(k AS VARCHAR) || tag || CAST(tile AS VARCHAR) AS sample, CAST(tile AS INTEGER) AS tile, CAST(mask_area AS BIGINT) AS mask_area
+FROM picked WHERE cohort = '{_cohort}'""",
+    )(_tile_query(_cohort))
+
+TILED_SQL = f"""WITH {O.INSTANCES}, {O.IMAGE_AREA},
+imgc AS (SELECT ImageId, area, c AS class, c AS sclass FROM (SELECT ImageId, area, {C.area_class_sql('area', C.BINS_A)} AS c FROM img WHERE instances > 0)),
+{SPLIT_SQL},
+neg AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM img WHERE instances = 0),
+pos AS (SELECT ImageId, row_number() OVER (ORDER BY {MD5}, ImageId) AS rn FROM split WHERE split = 'val'),
+m AS (SELECT least((SELECT COUNT(*) FROM pos), (SELECT COUNT(*) FROM neg)) AS m),
+kb AS (SELECT k, {C.area_class_sql('w * h', C.BINS_B)} AS b FROM instances),
+flag AS (SELECT CAST(k AS VARCHAR) || '.jpg' AS ImageId, bool_or(b >= 4) AS gp4, bool_or(b >= 3) AS gp3, bool_or(b BETWEEN 2 AND 5) AS gp2, bool_or(b BETWEEN 1 AND 4) AS gp1
+         FROM kb GROUP BY k),
+tr AS (SELECT flag.* FROM flag JOIN split USING (ImageId) WHERE split = 'train'),
+{CANVAS_TILES},
+lists AS (
+  SELECT 'train-1' AS split, substr(ImageId, 1, length(ImageId) - 4) || '_1' AS sample, ImageId, 256 AS resize, CAST(NULL AS INTEGER) AS tile FROM neg, m
+  WHERE rn > greatest(m.m, (SELECT COUNT(*) FROM neg) - 10000)
+  UNION ALL SELECT 'train-5', substr(ImageId, 1, length(ImageId) - 4) || '_5', ImageId, 256, NULL FROM tr WHERE gp4
+  UNION ALL SELECT 'train', CAST(k AS VARCHAR) || tag || CAST(tile AS VARCHAR), tr.ImageId, t, CAST(tile AS INTEGER)
+  FROM picked JOIN tr ON tr.ImageId = CAST(k AS VARCHAR) || '.jpg' WHERE CASE cohort WHEN 'gp3' THEN gp3 WHEN 'gp2' THEN gp2 ELSE gp1 END),
+rks AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('{SEED}:' || sample), sample) AS rn, COUNT(*) OVER (PARTITION BY split) AS N,
+          CASE split WHEN 'train-1' THEN 1 WHEN 'train' THEN 12 ELSE 4 END AS sh FROM lists),
+vals AS (SELECT ImageId, rn, 0 AS o FROM pos, m WHERE rn <= m.m UNION ALL SELECT ImageId, rn, 1 FROM neg, m WHERE rn <= m.m)
+SELECT split, CAST((rn - 1) // CAST(ceil(N / sh) AS BIGINT) AS INTEGER) AS shard_id, CAST(rn - 1 AS BIGINT) AS seq, sample, ImageId, CAST(resize AS INTEGER) AS resize, tile FROM rks
+UNION ALL SELECT 'val', CAST((rn - 1) // CAST(ceil(m.m / 4.0) AS BIGINT) AS INTEGER), CAST((rn - 1) * 2 + o AS BIGINT), substr(ImageId, 1, length(ImageId) - 4), ImageId, 768, NULL FROM vals, m"""
+
+
+@register("make_tiled_set", TILED_SQL)
+def make_tiled_set(spark, sf_dir):
+    """R8, third build: cohorts by ship size, tiles of three canvases, whole large ships, negatives and validation pairs, each list
+    in its own shards."""
+    return TS.make_tiled_set(X.annotations(spark, sf_dir), SEED)
+
+
+# ------------------------------------------------------------------------------- builds from tables with broken texts
+from maskframe.operators import annotations as A  # noqa: E402
+from maskframe.plans.catalog import DROP_NEGATIVES  # noqa: E402
+from maskframe.plans.classification_set import make_classification_set  # noqa: E402
+
+BROKEN = "l_linenumber = 5 AND l_partkey % 3 = 0"
+
+
+def _with_broken(spark, sf_dir):
+    """The annotations with the texts of some rows spoilt: a word among the numbers (line 5 of parts divisible by 3)."""
+    i = X.instances(spark, sf_dir)
+    text = X.rect_rle(F.col("x0"), F.col("y0"), F.col("w"), F.col("h"))
+    spoilt = (F.col("ln") == 5) & (F.col("pk") % 3 == 0)
+    return X._with_all_images(spark, sf_dir, i, F.when(spoilt, F.concat(F.lit("x "), text)).otherwise(text))
+
+
+@register(
+    "quarantine_build",
+    """WITH r AS (SELECT o_orderkey AS k, l_linenumber AS ln, COALESCE(l_linenumber = 5 AND l_partkey % 3 = 0, FALSE) AS bad FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey),
+b AS (SELECT DISTINCT k FROM r WHERE bad),
+s AS (SELECT CASE WHEN bad THEN 'non_numeric_token' WHEN k IN (SELECT k FROM b) THEN 'image_has_broken_row' ELSE 'used' END AS status, k FROM r)
+SELECT status, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT k) AS BIGINT) AS images, CAST(0 AS BIGINT) AS in_build FROM s GROUP BY status""",
+)
+def quarantine_build(spark, sf_dir):
+    """Rows of a spoilt annotation table by what becomes of them (rows in = rows used + rows reported), and how many of the
+    reported images the classification build holds all the same: none."""
+    ann = _with_broken(spark, sf_dir)
+    used, reported = A.usable_images(ann)
+    rows = used.select("ImageId", F.lit("used").alias("status")).unionByName(reported.select("ImageId", F.col("reason").alias("status")))
+    built = make_classification_set(ann, SEED, DROP_NEGATIVES).select("ImageId").distinct().withColumn("built", F.lit(1))
+    held = F.sum(F.when(F.col("status") != "used", F.coalesce("built", F.lit(0))).otherwise(0)).cast("bigint").alias("in_build")
+    return rows.join(built, "ImageId", "left").groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.countDistinct("ImageId").cast("bigint").alias("images"), held)

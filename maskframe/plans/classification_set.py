@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from maskframe.functions import classes as C
 from maskframe.operators import sampling as S
-from maskframe.plans.training_set import ranked_rows
+from maskframe.plans.training_set import ranked_rows, sound_images
 from maskframe.session import cut_lineage
 
 
@@ -20,8 +20,7 @@ def make_classification_set(ann: DataFrame, seed, drop_n: int, val_frac: float =
     """Records ``(split, shard_id, seq, ImageId, label)``; ``seq`` is the write order inside the split (image with a ship,
     image without, and so on)."""
     kept = S.drop_first(ranked_rows(ann, seed), drop_n)
-    img = kept.groupBy("ImageId").agg(F.sum("area").cast("bigint").alias("area"))
-    img = img.select("ImageId", C.pretrain_class(F.col("area")).alias("class"))
+    img = sound_images(kept).select("ImageId", C.pretrain_class(F.col("area")).alias("class"))
     sp = cut_lineage(S.stratified_split(img, val_frac, seed), eager=False)
     out = None
     for split in ("train", "val"):

@@ -33,13 +33,20 @@ def ranked_rows(ann: DataFrame, seed) -> DataFrame:
     key = F.concat((F.lit(1) - F.col("isnan")).cast("string"),
                    md5_key(seed, "ImageId", F.coalesce(F.col("EncodedPixels"), F.lit(""))))
     # the key stands for the text and the area is what is used of it: the text stays where it is
-    thin = a.select("ImageId", "isnan", F.when(F.col("valid"), F.col("area")).otherwise(F.lit(0)).alias("area"), key.alias("_key"))
+    thin = a.select("ImageId", "isnan", "area", "valid", key.alias("_key"))
     return bucket_rank(thin, "_key", ["ImageId"], prefix_len=4).drop("_key")
 
 
+def sound_images(kept: DataFrame) -> DataFrame:
+    """Images of the ranked rows with their area. An image with a broken text is left out as a whole
+    (``annotations.usable_images`` reports its rows): it is not an image without ships."""
+    img = kept.groupBy("ImageId").agg(F.sum(F.when(F.col("valid"), F.col("area"))).cast("bigint").alias("area"), F.min("valid").alias("_sound"))
+    return img.filter("_sound").drop("_sound")
+
+
 def images_of(kept: DataFrame, split_bins) -> DataFrame:
     """Images of the ranked rows with their area, class and the class that the split goes by."""
-    img = kept.groupBy("ImageId").agg(F.sum("area").cast("bigint").alias("area"))
+    img = sound_images(kept)
     return img.withColumn("class", C.area_class(F.col("area"), C.MAIN_BINS)).withColumn("sclass", C.area_class(F.col("area"), split_bins))
 
 

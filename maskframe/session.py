@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a Parquet table under the shared checkpoint folder: computed once, read with pruned columns by
+    every branch that follows, whatever executors are lost. The folder belongs to the application and may go with it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/maskframe-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
