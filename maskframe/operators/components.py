@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskframe.functions.classes import CANVAS_H, CANVAS_W
@@ -218,3 +218,45 @@ def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H,
 
     enc = _batched(pieces, encode_frame, f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, partitions)
     return ids.join(enc, id_col, "left")
+
+
+# ---- table form: an image of any size, over many tasks ---------------------------------------------------------------
+def touching_pieces(pieces: DataFrame, row_bin: int = 512, id_col: str = ID) -> DataFrame:
+    """Pairs of pieces in neighbouring columns that touch at a side or a corner, as ``(a, b)`` of their first pixels
+    ``struct(id, r0, col)``: an equi join on (image, column, bin of rows), each pair in the one bin where it meets first."""
+    first = F.struct(F.col(id_col).alias("id"), F.col("r0").alias("row"), F.col("col").alias("col"))
+    bins = F.sequence(F.floor(F.col("r0") / row_bin), F.floor(F.col("r1") / row_bin))
+    p = pieces.select(F.col(id_col).alias("_id"), "col", "r0", "r1", first.alias("node"), F.explode(bins).alias("bin"))
+    left = p.select("_id", F.col("col").alias("c"), F.col("r0").alias("a0"), F.col("r1").alias("a1"), F.col("node").alias("a"), "bin")
+    right = p.select(F.col("_id").alias("_id2"), (F.col("col") - 1).alias("c2"), F.col("r0").alias("b0"), F.col("r1").alias("b1"), F.col("node").alias("b"), F.col("bin").alias("bin2"))
+    on = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("c") == F.col("c2")) & (F.col("bin") == F.col("bin2"))
+    on = on & (F.col("a0") <= F.col("b1")) & (F.col("b0") <= F.col("a1"))
+    return left.join(right, on).filter(F.col("bin") == F.floor(F.greatest("a0", "b0") / row_bin)).select("a", "b")
+
+
+def connected_components_tables(pieces: DataFrame, id_col: str = ID, row_bin: int = 512, band: int = 64) -> DataFrame:
+    """M5 + W8 for canvases that no single task may hold: ``(id, col, r0, r1)`` -> ``(id, instance_id, col, r0, r1)``, as
+    :func:`connected_components` numbers them (pieces that touch within a column come back as one).
+
+    A column's pieces are merged in windows of at most H + 1 rows; neighbours meet by (image, column, bin of rows); labels come
+    from the star contraction of :mod:`maskframe.operators.graph`; components are numbered in raster order by bands of
+    ``band`` rows and the number of components in the bands before, so no step has an image, or a component, in one task."""
+    from maskframe.operators.graph import connected_components as of_edges
+    from maskframe.session import saved
+
+    w = Window.partitionBy(id_col, "col").orderBy("r0", "r1")
+    before = F.max("r1").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    p = pieces.select(id_col, *[F.col(c).cast("bigint").alias(c) for c in ("col", "r0", "r1")]).withColumn("_new", F.coalesce(F.col("r0") > before, F.lit(True)).cast("int"))
+    p = p.withColumn("_k", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    p = saved(p.groupBy(id_col, "col", "_k").agg(F.min("r0").alias("r0"), F.max("r1").alias("r1")).drop("_k"), "pieces")
+    node = F.struct(F.col(id_col).alias("id"), F.col("r0").alias("row"), F.col("col").alias("col"))
+    labels = of_edges(touching_pieces(p, row_bin, id_col)).withColumnRenamed("node", "_node")
+    j = saved(p.withColumn("_node", node).join(labels, "_node", "left").withColumn("_root", F.coalesce("root", "_node")).select(id_col, "col", "r0", "r1", "_root"), "labelled")
+    roots = j.select("_root").distinct().select("_root", F.col("_root.id").alias("_id"), F.floor(F.col("_root.row") / band).alias("_band"), "_root.row", "_root.col")
+    counts = roots.groupBy("_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
+    up = Window.partitionBy("_id").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_id").alias("_id2"), F.col("_band").alias("_band2"), F.coalesce(F.sum("_n").over(up), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_id", "_band").orderBy("row", "col")
+    on = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_band") == F.col("_band2"))
+    numbered = roots.withColumn("_in", F.row_number().over(inside)).join(starts, on).select("_root", (F.col("_start") + F.col("_in")).cast("bigint").alias("instance_id"))
+    return j.join(numbered, "_root").select(id_col, "instance_id", "col", "r0", "r1")

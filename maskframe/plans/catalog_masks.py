@@ -180,3 +180,26 @@ def quarantine_build(spark, sf_dir):
     built = make_classification_set(ann, SEED, DROP_NEGATIVES).select("ImageId").distinct().withColumn("built", F.lit(1))
     held = F.sum(F.when(F.col("status") != "used", F.coalesce("built", F.lit(0))).otherwise(0)).cast("bigint").alias("in_build")
     return rows.join(built, "ImageId", "left").groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.countDistinct("ImageId").cast("bigint").alias("images"), held)
+
+
+# --------------------------------------------------------------- components as tables, the pixel functions of SQL
+from maskframe.functions.table_functions import register_table_functions  # noqa: E402
+from maskframe.operators.components import connected_components_tables as _components  # noqa: E402
+from maskframe.plans.catalog import ORACLES, _union_pieces  # noqa: E402
+
+
+@register("connected_components_tables", ORACLES["connected_components"])
+def connected_components_tables(spark, sf_dir):
+    """M5 + W8, second form: components by star contraction over column pieces, no image in one task."""
+    _, pieces = _union_pieces(spark, sf_dir)
+    return _components(pieces).groupBy("ImageId", "instance_id").agg(
+        F.sum(F.col("r1") - F.col("r0")).cast("bigint").alias("pixels"), F.min(F.col("r0") * 768 + F.col("col")).cast("bigint").alias("first_pixel"))
+
+
+@register("rle_pixels_sql", ORACLES["rle_pixels"])
+def rle_pixels_sql(spark, sf_dir):
+    """M2 as a table function, through a lateral join in SQL."""
+    register_table_functions(spark)
+    return spark.sql(
+        """SELECT a.ImageId, count(*) AS pixels, sum(p.row) AS sum_row, sum(p.col) AS sum_col
+           FROM {ann} a, LATERAL rle_pixels(a.EncodedPixels, 768, 768) p GROUP BY a.ImageId""", ann=X.annotations(spark, sf_dir))
