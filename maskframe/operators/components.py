@@ -221,37 +221,56 @@ def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H,
 
 
 # ---- table form: an image of any size, over many tasks ---------------------------------------------------------------
-def touching_pieces(pieces: DataFrame, row_bin: int = 512, id_col: str = ID) -> DataFrame:
-    """Pairs of pieces in neighbouring columns that touch at a side or a corner, as ``(a, b)`` of their first pixels
-    ``struct(id, r0, col)``: an equi join on (image, column, bin of rows), each pair in the one bin where it meets first."""
-    first = F.struct(F.col(id_col).alias("id"), F.col("r0").alias("row"), F.col("col").alias("col"))
+def strip_labels(pieces: DataFrame, height: int, strip: int, id_col: str = ID) -> DataFrame:
+    """``(id, col, r0, r1, root)``: pieces (those that touch within a column merged) with the first pixel
+    ``struct(id, row, col)`` of their component inside their strip of ``strip`` columns. A strip of an image is at most
+    ``strip * ceil(H / 2)`` pieces; many are labelled in one NumPy call."""
+    key = F.to_json(F.struct(F.col(id_col).alias("id"), F.floor(F.col("col") / strip).alias("strip")))
+
+    def frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, uniq = pd.factorize(pdf["_key"], sort=False)
+        col = pdf["col"].to_numpy()
+        im, c, a, b, inst = label_pieces_batch(codes, col % strip, pdf["r0"].to_numpy(), pdf["r1"].to_numpy(), height, strip)
+        start = np.zeros(len(uniq), np.int64)
+        start[codes] = col - col % strip
+        # the component's first pixel in raster order
+        group = im * (int(inst.max(initial=0)) + 1) + inst
+        order = np.lexsort((c, a, group))
+        lead = order[np.r_[True, group[order][1:] != group[order][:-1]]] if len(order) else order
+        at = lead[np.searchsorted(group[lead], group)] if len(order) else order
+        return pd.DataFrame({"_key": np.asarray(uniq)[im], "col": c + start[im], "r0": a, "r1": b, "row0": a[at], "col0": c[at] + start[im]})
+
+    out = _batched(pieces.withColumn("_key", key), frame, "_key string, col bigint, r0 bigint, r1 bigint, row0 bigint, col0 bigint", "_key", None)
+    return out.withColumn(id_col, F.from_json("_key", "id string")["id"]).select(
+        id_col, "col", "r0", "r1", F.struct(F.col(id_col).alias("id"), F.col("row0").alias("row"), F.col("col0").alias("col")).alias("root"))
+
+
+def touching_strips(labelled: DataFrame, strip: int, row_bin: int = 512, id_col: str = ID) -> DataFrame:
+    """Links ``(a, b)`` between components of neighbouring strips whose pieces touch at a side or a corner: an equi join of the
+    strips' border columns on (image, column, bin of rows), each pair of pieces in the one bin where it meets first."""
     bins = F.sequence(F.floor(F.col("r0") / row_bin), F.floor(F.col("r1") / row_bin))
-    p = pieces.select(F.col(id_col).alias("_id"), "col", "r0", "r1", first.alias("node"), F.explode(bins).alias("bin"))
-    left = p.select("_id", F.col("col").alias("c"), F.col("r0").alias("a0"), F.col("r1").alias("a1"), F.col("node").alias("a"), "bin")
-    right = p.select(F.col("_id").alias("_id2"), (F.col("col") - 1).alias("c2"), F.col("r0").alias("b0"), F.col("r1").alias("b1"), F.col("node").alias("b"), F.col("bin").alias("bin2"))
+    p = labelled.select(F.col(id_col).alias("_id"), "col", "r0", "r1", "root", F.explode(bins).alias("bin"))
+    left = p.filter(F.col("col") % strip == strip - 1).select("_id", F.col("col").alias("c"), F.col("r0").alias("a0"), F.col("r1").alias("a1"), F.col("root").alias("a"), "bin")
+    right = p.filter(F.col("col") % strip == 0).select(F.col("_id").alias("_id2"), (F.col("col") - 1).alias("c2"), F.col("r0").alias("b0"), F.col("r1").alias("b1"), F.col("root").alias("b"), F.col("bin").alias("bin2"))
     on = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("c") == F.col("c2")) & (F.col("bin") == F.col("bin2"))
     on = on & (F.col("a0") <= F.col("b1")) & (F.col("b0") <= F.col("a1"))
     return left.join(right, on).filter(F.col("bin") == F.floor(F.greatest("a0", "b0") / row_bin)).select("a", "b")
 
 
-def connected_components_tables(pieces: DataFrame, id_col: str = ID, row_bin: int = 512, band: int = 64) -> DataFrame:
+def connected_components_tables(pieces: DataFrame, height: int = CANVAS_H, id_col: str = ID, strip: int = 64, row_bin: int = 512, band: int = 64) -> DataFrame:
     """M5 + W8 for canvases that no single task may hold: ``(id, col, r0, r1)`` -> ``(id, instance_id, col, r0, r1)``, as
-    :func:`connected_components` numbers them (pieces that touch within a column come back as one).
+    :func:`connected_components` numbers them (pieces that touch within a column come back as one; ids are text).
 
-    A column's pieces are merged in windows of at most H + 1 rows; neighbours meet by (image, column, bin of rows); labels come
-    from the star contraction of :mod:`maskframe.operators.graph`; components are numbered in raster order by bands of
-    ``band`` rows and the number of components in the bands before, so no step has an image, or a component, in one task."""
+    Strips of ``strip`` columns are labelled each for itself; only what touches across a strip's border becomes an edge, and
+    the edges' components come from the star contraction of :mod:`maskframe.operators.graph`. Components are numbered in
+    raster order by bands of ``band`` rows and the number of components in the bands before. No step has an image, or a
+    component, in one task."""
     from maskframe.operators.graph import connected_components as of_edges
     from maskframe.session import saved
 
-    w = Window.partitionBy(id_col, "col").orderBy("r0", "r1")
-    before = F.max("r1").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    p = pieces.select(id_col, *[F.col(c).cast("bigint").alias(c) for c in ("col", "r0", "r1")]).withColumn("_new", F.coalesce(F.col("r0") > before, F.lit(True)).cast("int"))
-    p = p.withColumn("_k", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    p = saved(p.groupBy(id_col, "col", "_k").agg(F.min("r0").alias("r0"), F.max("r1").alias("r1")).drop("_k"), "pieces")
-    node = F.struct(F.col(id_col).alias("id"), F.col("r0").alias("row"), F.col("col").alias("col"))
-    labels = of_edges(touching_pieces(p, row_bin, id_col)).withColumnRenamed("node", "_node")
-    j = saved(p.withColumn("_node", node).join(labels, "_node", "left").withColumn("_root", F.coalesce("root", "_node")).select(id_col, "col", "r0", "r1", "_root"), "labelled")
+    p = saved(strip_labels(pieces, height, strip, id_col), "strips")
+    wide = of_edges(touching_strips(p, strip, row_bin, id_col)).select(F.col("node").alias("root"), F.col("root").alias("_wide"))
+    j = saved(p.join(wide, "root", "left").select(id_col, "col", "r0", "r1", F.coalesce("_wide", "root").alias("_root")), "labelled")
     roots = j.select("_root").distinct().select("_root", F.col("_root.id").alias("_id"), F.floor(F.col("_root.row") / band).alias("_band"), "_root.row", "_root.col")
     counts = roots.groupBy("_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
     up = Window.partitionBy("_id").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)

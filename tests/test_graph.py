@@ -33,9 +33,10 @@ def test_components_of_edges(spark, monkeypatch):
         "odd": [(1, 1), (None, 3), (4, None), (5, 6), (6, 5), (5, 6)],
         "none": [],
     }
-    for edges in (graph.HUB_EDGES, 3):  # with 3, most nodes are hubs
+    for edges, names in ((graph.HUB_EDGES, cases), (3, ["random", "star"])):  # with 3, most nodes are hubs
         monkeypatch.setattr(graph, "HUB_EDGES", edges)
-        for name, e in cases.items():
+        for name in names:
+            e = cases[name]
             got = {r["node"]: r["root"] for r in graph.connected_components(spark.createDataFrame(e, "a long, b long")).collect()}
             assert got == brute(e), (name, edges)
     # nodes that are structs, with a null inside
@@ -55,8 +56,8 @@ def test_tables_equal_the_numpy_form(spark):
     rows += [("touch", 3, 0, 5), ("touch", 3, 5, 9), ("touch", 4, 9, 10), ("touch", 6, 9, 10)]  # touching pieces, a corner, a gap
     pieces = spark.createDataFrame(rows, "ImageId string, col long, r0 long, r1 long")
     want = sorted(map(str, K.connected_components(pieces.filter("ImageId IS NOT NULL"), 40, 30).collect()))
-    for row_bin, band in ((512, 64), (4, 3)):
-        got = K.connected_components_tables(pieces, row_bin=row_bin, band=band).collect()
+    for strip, row_bin, band in ((64, 512, 64), (7, 4, 3), (1, 512, 64)):
+        got = K.connected_components_tables(pieces, 40, strip=strip, row_bin=row_bin, band=band).collect()
         assert sorted(str(r) for r in got if r["ImageId"] is not None) == want
         assert sum(r["ImageId"] is None for r in got) == sum(r[0] is None for r in rows)
     assert K.connected_components_tables(pieces.limit(0)).count() == 0
