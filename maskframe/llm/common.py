@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from maskframe.operators.graph import connected_components
 from maskframe.session import checkpoint_dir, ship_package
 
 
@@ -79,28 +80,6 @@ def running(df: DataFrame, groups: list[str], order: list[str], value: Column, o
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of the undirected ``edges``: one row (``node``, ``root``) per node that has a link to another
-    one, ``root`` the smallest node that links reach.
-
-    Alternates large-star and small-star steps (shuffles by node with partial aggregation, no group collected) until the
-    edges are stars; each round is written to the shared folder. A hub keeps one edge per neighbour, never pairs of them.
-    """
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 20)))).first())
-
-    e = written(edges.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).filter("v != u").distinct(), "edges")
-    was = state(e)
-    while was[0]:
-        # large star: every neighbour above u is hung on the smallest of u and its neighbours
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: u and its smaller neighbours are hung on the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
-        e = written(large.join(low, "u").select(F.explode(hung).alias("e")).select("e.v", "e.u").filter("u != v").distinct(), "edges")
-        now = state(e)
-        if now == was:
-            break
-        was = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    one, ``root`` the smallest node that links reach (see ``maskframe.operators.graph``: hubs are met by broadcast of a
+    bounded table, so that no task holds a neighbourhood)."""
+    return connected_components(edges, a, b)
