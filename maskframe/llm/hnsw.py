@@ -4,9 +4,12 @@ Equal vectors are one node. Each shard of bounded size builds its graph: a vecto
 nearest nodes on every level from there down, and links are thinned so that they lead in different directions. Every shard
 answers every vector: greedy descent through the upper levels, a beam on the lowest, then a walk over the links between the
 rows found, so that large groups come back whole. Before it answers, a shard audits itself against brute force on a sample
-of its queries and widens the beam until the recall asked for is reached (or the beam covers the shard, which is exact).
+of its queries and widens the beam until the recall asked for is reached; a beam as wide as the shard compares all its rows.
 Cosines are verified in double precision; links become components: a shard unites the rows that one vector links as it
 answers, so a vector leaves with one edge and a row with one to its group, and together they span every link found.
+
+The audit asks rows of the whole table, leaves out a row's pair with itself, and counts per asked row. Rows with one link, two,
+up to four, up to eight and so on are judged apart, so large groups cannot outvote lone pairs.
 """
 
 from __future__ import annotations
@@ -180,7 +183,9 @@ class Graph:
 
     def within(self, q: np.ndarray, least: float, ef: int, slack: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
         """(query, row) index pairs whose cosine is ``least`` or more, as far as a beam of ``ef`` and a walk from its
-        finds through rows of ``least - slack`` or more reach."""
+        finds through rows of ``least - slack`` or more reach; all of them if the beam is as wide as the graph."""
+        if ef >= len(self.x):
+            return above(q, self.x, least)
         ids, sims = self.beam(q, min(ef, len(self.x)))
         r, c = np.nonzero((ids >= 0) & (sims >= least - slack))
         if not len(r):
@@ -203,13 +208,38 @@ class Graph:
         return known // n, known % n
 
 
-def audited_beam(g: Graph, x: np.ndarray, q: np.ndarray, least: float, recall: float, start: int) -> int:
-    """The beam at which the graph finds ``recall`` of the pairs that brute force finds for the sample ``q``."""
-    want = set(map(tuple, np.argwhere(q @ x.T >= least)))
+def above(q: np.ndarray, x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) index pairs whose cosine is ``least`` or more, from blocks of all products."""
+    step = max(1, (1 << 24) // max(len(x), 1))
+    parts = [np.nonzero(q[lo : lo + step] @ x.T >= least) for lo in range(0, len(q), step)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([r + k * step for k, (r, _) in enumerate(parts)]), np.concatenate([c for _, c in parts])
+
+
+def audited_beam(g: Graph, x: np.ndarray, ids: np.ndarray, q: np.ndarray, names: np.ndarray, least: float, recall: float, start: int, rows: int = 128) -> int:
+    """The beam at which the graph ``g`` over the vectors ``x`` with ids ``ids`` finds ``recall`` of the links that brute
+    force finds for the sample ``q`` with ids ``names``.
+
+    A row's link to itself is none. Rows are judged by their number of links (1, 2, 3-4, 5-8, ...), up to ``rows`` of each
+    class: in every class the mean of the rows' recalls, less its standard error, must reach ``recall``. Without any link in
+    the sample the beam starts where it is told to; it never passes the size of the shard, where ``within`` is exact."""
+    r, c = above(q, x, least)
+    own = names[r] == ids[c]
+    r, c = r[~own], c[~own]
+    links = np.bincount(r, minlength=len(q))
+    class_ = np.ceil(np.log2(np.maximum(links, 1))).astype(int)
+    asked = np.concatenate([np.zeros(0, int), *(np.nonzero((links > 0) & (class_ == k))[0][:rows] for k in np.unique(class_[links > 0]))])
+    if not len(asked):
+        return min(start, len(x))
+    want = np.unique((r * len(x) + c)[np.isin(r, asked)])
     ef = start
     while ef < len(x):
-        r, v = g.within(q.astype(np.float32), least - 1e-6, ef)
-        if len(want & set(zip(r.tolist(), v.tolist(), strict=True))) >= recall * len(want):
+        a, v = g.within(q[asked].astype(np.float32), least - 1e-6, ef)
+        got = want[np.isin(want, asked[a] * len(x) + v)]
+        share = (np.bincount(got // len(x), minlength=len(q)) / np.maximum(links, 1))[asked]
+        of = class_[asked]
+        if all((s := share[of == k]).mean() - s.std() / np.sqrt(len(s)) >= recall for k in np.unique(of)):
             return ef
         ef *= 2
     return len(x)
@@ -228,10 +258,11 @@ def united(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             up = up[up]
 
 
-def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit: int = 128, shard_rows: int = 50_000, least_shards: int = 6, beam: int = 24, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame, DataFrame]:
+def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit: int = 2048, shard_rows: int = 50_000, least_shards: int = 6, beam: int = 24, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, links, members). nodes: node, copies, one row per distinct vector, ``node`` the smallest id with it.
     links: node, others (rows of other vectors linked directly), to (a node of the same component); the edges node-to span
-    the components of all links found, at most one per node and shard and one more per node. members: id, node."""
+    the components of all links found, at most one per node and shard and one more per node. members: id, node. About ``audit``
+    rows of the table, chosen by a hash, are every shard's sample of queries for its audit."""
     good = F.col(key).isNotNull() & usable(F.col(vector)) & F.exists(F.col(vector), lambda x: x != 0)
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
     part = ready(rows).filter(good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
@@ -241,10 +272,18 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
     count = nodes.count()
     shards = max(least_shards, -(-count // shard_rows))
     own = nodes.select(F.pmod(F.col("h0"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "node", "copies", "v")
-    ask = nodes.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "node", "copies", "v")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    ask = nodes.select(everywhere, F.size("v").alias("dim"), F.lit(2).alias("kind"), "node", "copies", "v")
+    sampled = F.pmod(F.xxhash64("h0", "h1", F.lit("audit")), F.lit(1 << 30)) < int(min(1.0, audit / max(count, 1)) * (1 << 30))
+    trial = nodes.filter(sampled).select(everywhere, F.size("v").alias("dim"), F.lit(1).alias("kind"), "node", "copies", "v")
+
+    def units(g):
+        x = np.stack(g["v"].to_numpy()).astype(np.float64)
+        x = x / np.abs(x).max(1, keepdims=True)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
 
     def search(batches):
-        at, held, graph, unit, up = None, [], None, None, np.zeros(0, np.int64)
+        at, held, asked, graph, unit, up = None, [], [], None, None, np.zeros(0, np.int64)
         ids = up
         ef = beam
 
@@ -256,26 +295,22 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
             for (s, d, kind), g in b.groupby(["shard", "dim", "kind"], sort=True):
                 if at != (s, d):
                     yield groups()
-                    at, held, graph, up = (s, d), [], None, np.zeros(0, np.int64)
-                if kind == 0:
-                    held.append(g)
+                    at, held, asked, graph, up = (s, d), [], [], None, np.zeros(0, np.int64)
+                if kind < 2:
+                    (asked if kind else held).append(g)
                     continue
                 if not held:
                     continue
                 if graph is None:
                     all_ = pd.concat(held)
-                    x = np.stack(all_["v"].to_numpy()).astype(np.float64)
-                    x = x / np.abs(x).max(1, keepdims=True)
-                    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    unit = units(all_)
                     ids, copies = all_["node"].to_numpy(), all_["copies"].to_numpy()
                     graph, up = Graph(unit), np.arange(len(unit))
-                    sample = unit[np.linspace(0, len(unit) - 1, min(audit, len(unit))).astype(int)]
-                    ef = audited_beam(graph, unit, sample, least, recall, beam)
+                    sample = pd.concat(asked or held)
+                    ef = audited_beam(graph, unit, ids, units(sample), sample["node"].to_numpy(), least, recall, beam)
                 for lo in range(0, len(g), 512):
                     own = g.iloc[lo : lo + 512]
-                    q = np.stack(own["v"].to_numpy()).astype(np.float64)
-                    q = q / np.abs(q).max(1, keepdims=True)
-                    q = q / np.linalg.norm(q, axis=1, keepdims=True)
+                    q = units(own)
                     r, c = graph.within(q.astype(np.float32), least - 1e-6, ef)
                     name = own["node"].to_numpy()
                     ok = name[r] != ids[c]
@@ -290,7 +325,7 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
                         yield pd.DataFrame({"node": name[hit], "others": np.bincount(r, copies[c], len(own))[hit].astype(np.int64), "to": np.minimum.reduceat(ids[c], first)})
         yield groups()
 
-    each = own.unionByName(ask).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "node")
+    each = own.unionByName(trial).unionByName(ask).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "node")
     found = written(each.mapInPandas(search, "node long, others long, to long"), "vector-links")
     return nodes.select("node", "copies"), found, members
 

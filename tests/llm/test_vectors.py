@@ -117,7 +117,35 @@ def test_graph_recall():
     x[2000:2600:2] = x[2001:2601:2] + 0.1 * rng.normal(size=(300, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     g = hnsw.Graph(x)
-    ef = hnsw.audited_beam(g, x, x[::20], 0.95, 0.99, 16)
+    ids = np.arange(len(x))
+    ef = hnsw.audited_beam(g, x, ids, x[::20], ids[::20], 0.95, 0.99, 16)
     r, c = g.within(x.astype(np.float32), 0.95 - 1e-6, ef)
     want = set(map(tuple, np.argwhere(x @ x.T >= 0.95).tolist()))
     assert len(want & set(zip(r.tolist(), c.tolist(), strict=True))) >= 0.99 * len(want)
+
+
+def test_audit_sees_lone_pairs_beside_large_groups():
+    rng = np.random.default_rng(1)
+    one = rng.normal(size=(200, 64))
+    x = np.concatenate([np.repeat(rng.normal(size=(30, 64)), 150, 0) + 0.12 * rng.normal(size=(4500, 64)), one, one + 0.12 * rng.normal(size=(200, 64))])
+    x = x[rng.permutation(len(x))]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, some = np.arange(len(x)), rng.permutation(len(x))[:2048]
+    g = hnsw.Graph(x)
+    ef = hnsw.audited_beam(g, x, ids, x[some], some, 0.95, 0.99, 24)
+    r, c = hnsw.above(x, x, 0.95)
+    r, c = r[r != c], c[r != c]
+    lone = np.nonzero(np.bincount(r, minlength=len(x)) == 1)[0]
+    assert len(lone) == 400
+    a, b = g.within(x[lone].astype(np.float32), 0.95 - 1e-6, ef)
+    want = set(zip(r[np.isin(r, lone)].tolist(), c[np.isin(r, lone)].tolist(), strict=True))
+    assert len(want & set(zip(lone[a].tolist(), b.tolist(), strict=True))) >= 0.99 * len(want)
+
+
+def test_audit_without_links_and_with_the_whole_graph():
+    x = np.eye(40)
+    g, ids = hnsw.Graph(x), np.arange(40)
+    assert hnsw.audited_beam(g, x, ids, x, ids, 0.95, 0.99, 24) == 24  # a row's link to itself is none
+    assert hnsw.audited_beam(g, x, ids, x[:0], ids[:0], 0.95, 0.99, 64) == 40
+    r, c = g.within(x.astype(np.float32), 0.95, 40)
+    assert r.tolist() == c.tolist() == ids.tolist()
