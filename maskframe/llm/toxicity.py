@@ -2,8 +2,10 @@
 
 The lexicon (words, and word beginnings that stand for whole families) is learned from labelled documents. It is held in a
 trie; a Levenshtein automaton of each term intersected with that trie, made deterministic state by state as text calls for
-it, reads each word once and reports the terms within the allowed distance. A window of words around each hit gives a
-context score that tells quotation from abuse, and a logistic model over the hits gives the document's score.
+it, reads each word once and reports the terms within the allowed distance; two neighbouring characters that changed places
+are one error. A window of words around each hit gives a context score that tells quotation from abuse (quotation marks that
+pair up around the hit, and words that clean documents use beside terms), and a logistic model over the hits gives the
+document's score.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from maskframe.llm.hnsw import united
 
 WORD = re.compile(r"[^\W_]+")
 MARKS = re.compile(r"[\"“”„«»]")
-#: fixed values: words that announce a quotation or a mention
+#: fixed values: words that announce a quotation or a mention, where the labelled documents say nothing else
 REPORTING = frozenset("said says say quote quoted quotes called calls word words term terms wrote writes reported means meaning sagte sagt zitat zitiert wort nannte bedeutet dit disait citation mot appelé signifie dijo dice cita palabra llamó significa".split())
 #: words on each side of a hit that its context score looks at
 WINDOW = 6
@@ -39,8 +41,9 @@ def allowed(term: str) -> int:
 
 
 class Automaton:
-    """Terms with their allowed distances as one deterministic automaton. A state is a set of (trie node, errors so far);
-    states are made when first reached and forgotten together when there are ``memory`` of them."""
+    """Terms with their allowed distances as one deterministic automaton. A state is a set of (trie node, character still
+    owed, errors so far): a character is owed when its successor in a term was read before it, so that a swap is one error.
+    States are made when first reached and forgotten together when there are ``memory`` of them."""
 
     def __init__(self, words: list[str], prefixes: list[str], memory: int = 50_000):
         self.children: list[dict[str, int]] = [{}]
@@ -73,33 +76,40 @@ class Automaton:
         self.next: list[dict[str, int]] = []
         self.state: list[frozenset] = []
         self.accept: list[tuple[tuple[str, int], ...]] = []
-        self.start = self._id(self._closed({(0, 0)}))
+        self.start = self._id(self._closed({(0, "", 0)}))
 
     def _closed(self, s: set) -> frozenset:
         """With every node reachable by leaving out characters of a term."""
         todo, best = list(s), {}
         while todo:
-            n, e = todo.pop()
-            if e > self.most[n] or best.get(n, 99) <= e:
+            n, owed, e = todo.pop()
+            if e > self.most[n] or best.get((n, owed), 99) <= e:
                 continue
-            best[n] = e
-            todo += [(x, e + 1) for x in self.children[n].values()]
-        return frozenset(best.items())
+            best[n, owed] = e
+            if not owed:
+                todo += [(x, "", e + 1) for x in self.children[n].values()]
+        return frozenset((n, owed, e) for (n, owed), e in best.items())
 
     def _id(self, s: frozenset) -> int:
         if s not in self.ids:
             self.ids[s] = len(self.state)
             self.state.append(s)
             self.next.append({})
-            self.accept.append(tuple(sorted((self.term[n], e) for n, e in s if self.term[n] is not None and e <= allowed(self.term[n]))))
+            self.accept.append(tuple(sorted((self.term[n], e) for n, owed, e in s if not owed and self.term[n] is not None and e <= allowed(self.term[n]))))
         return self.ids[s]
 
     def _step(self, at: int, c: str) -> int:
         out = set()
-        for n, e in self.state[at]:
+        for n, owed, e in self.state[at]:
+            if owed:
+                if owed == c:
+                    out.add((n, "", e))
+                continue
             for x, y in self.children[n].items():
-                out.add((y, e if x == c else e + 1))
-            out.add((n, e + 1))
+                out.add((y, "", e if x == c else e + 1))
+                if x != c and c in self.children[y]:
+                    out.add((self.children[y][c], x, e + 1))
+            out.add((n, "", e + 1))
         if len(self.state) >= self.memory:
             keep = self._closed(out)
             self._reset()
@@ -124,13 +134,37 @@ class Automaton:
         return hits
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the marked quotations in ``text``, in order. A mark opens where a word follows it and none precedes
+    it, closes where something precedes it and no word follows; between blanks its shape decides. A closing mark ends the
+    nearest opening mark before it; a mark without a partner, such as that of inches, quotes nothing."""
+    out, start = [], -1
+    for m in MARKS.finditer(text):
+        i = m.start()
+        before, after = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+        left, right = not before or before.isspace(), not after or after.isspace()
+        if left and right:
+            opens, closes = m.group() in "\u201c\u201e\u00ab", m.group() in "\u201d\u00bb"
+        else:
+            opens = not right and (left or (not before.isalnum() and after.isalnum()))
+            closes = not left and not opens and not after.isalnum()
+        if opens:
+            start = i
+        elif closes and start >= 0:
+            out.append((start, i))
+            start = -1
+    return out
+
+
 @dataclass
 class Model:
     """``terms``: log-odds of words and of beginnings (with a trailing ``*``); ``harmless``: words near a term that clean
-    documents use; ``weights``: of the logistic model over the features, the last one its constant."""
+    documents use; ``telling``: words beside a hit that speak of it and do not use it; ``weights``: of the logistic model
+    over the features, the last one its constant."""
 
     terms: dict[str, float]
     harmless: frozenset = frozenset()
+    telling: frozenset = REPORTING
     weights: np.ndarray = field(default_factory=lambda: np.append(np.zeros(N_FEATURES), -2.0))
 
     def automaton(self) -> Automaton:
@@ -168,20 +202,33 @@ class Model:
         if here.isdisjoint(found):
             return []
         words = [(m.group(), m.start()) for m in WORD.finditer(low)]
-        marks = [m.start() for m in MARKS.finditer(low)]
+        quotes = quotations(low)
         out, k = [], 0
         for i, (w, at) in enumerate(words):
             if w in found:
-                while k < len(marks) and marks[k] < at:
+                while k < len(quotes) and quotes[k][1] < at:
                     k += 1
                 near = words[max(0, i - WINDOW) : i + WINDOW + 1]
                 lo, hi = near[0][1], near[-1][1] + len(near[-1][0])
-                # inside marks: one opens before the hit within the window and one closes after it
-                quoted = k > 0 and marks[k - 1] >= lo - 2 and k < len(marks) and marks[k] <= hi + 2 and k % 2 == 1
-                told = sum(x in REPORTING for x, _ in near if x != w)
+                # inside a quotation that opens and closes within the window
+                quoted = k < len(quotes) and lo - 2 <= quotes[k][0] < at and quotes[k][1] <= hi + 2
+                told = sum(x in self.telling for x, _ in near if x != w)
                 out.append((w, *found[w], min(1.0, 0.7 * quoted + 0.3 * min(told, 1) * (1 + quoted))))
         return out
 
+    def surroundings(self, text: str) -> list[tuple[int, set[str]]]:
+        """For every hit in ``text`` a hash of the words around it and the set of them that are no hits ("" among them)."""
+        import xxhash
+
+        out = []
+        if self.hits(text):
+            found, words = self.known_words()[1], WORD.findall(text.lower())
+            for i, w in enumerate(words):
+                if w in found:
+                    near = words[max(0, i - WINDOW) : i + WINDOW + 1]
+                    out.append((xxhash.xxh64_intdigest(" ".join(near).encode("utf-8", "surrogatepass")) >> 1, {"", *(x for x in near if x not in found)}))
+        return out
+
     def features(self, text: str | None) -> np.ndarray:
         """Strength of exact, beginning and misspelled hits (log scale), the strongest hit, the quoted part, and whether
         there is any hit that is not quoted. All 0 for a null or empty text."""
@@ -264,6 +311,25 @@ def independent(before: np.ndarray, after: np.ndarray) -> int:
     return len(np.unique(united(np.arange(places), a, links + b)))
 
 
+def telling_words(around: DataFrame) -> frozenset:
+    """Of words beside hits (w, n1 toxic and n0 clean surroundings that hold them; "" counts the surroundings) those that
+    speak of a term and do not use it."""
+    whole = around.filter("w = ''").first()
+    if whole is None:
+        return REPORTING
+    s1, s0 = max(whole["n1"], 1), max(whole["n0"], 1)
+    words = around.filter("w <> ''")
+    usual = frozenset(r["w"] for r in words.filter(F.col("w").isin(sorted(REPORTING)) & (F.col("n1") >= 3) & (F.col("n1") / s1 >= F.col("n0") / s0)).select("w").collect())
+    if not whole["n1"] or not whole["n0"]:
+        return REPORTING - usual
+    n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
+    both = (n1 + n0) / (s1 + s0)
+    llr = n0 * F.log(n0 / s0 / both) + F.when(n1 > 0, n1 * F.log(n1 / s1 / both)).otherwise(0.0)
+    tries = max(2, words.filter("n0 >= 3").count())
+    learned = words.filter((n0 >= 3) & (n0 / s0 > 3 * n1 / s1) & (llr >= math.log(tries))).select("w").collect()
+    return (REPORTING - usual) | frozenset(r["w"] for r in learned)
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads: tuple[int, ...] = (4, 5, 6)) -> Model:
     """Learns lexicon and weights from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0/1) name; null
     labels and texts are left out, and an id labelled both ways is toxic.
@@ -273,7 +339,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
     characters, becomes a term when more toxic documents use it than chance explains (log-likelihood ratio above that of
     the best of all candidates by chance); all such terms stay. Documents of either label whose first use has
     the same ``SIDE`` words before it, or after it, are copies there and count once, with no limit to the count. Words near a term that clean documents use at
-    least as often are harmless. With one label only or none, the model has no terms and answers the labels' share.
+    least as often are harmless. Words within ``WINDOW`` of a hit tell of it when more clean than toxic surroundings hold them
+    than chance explains, by the same test; those of ``REPORTING`` also count unless toxic surroundings hold them as often.
+    Equal surroundings count once. With one label only or none, the model has no terms and answers the labels' share.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -355,6 +423,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = 10_000, heads:
                     yield pd.DataFrame({"w": [w]})
 
     model.harmless = frozenset(r["w"] for r in counts.filter("n0 > 0").mapInPandas(near, "w string").collect())
+    lexicon = sample.sparkSession.sparkContext.broadcast(model)
+
+    def beside(batches):
+        for b in batches:
+            rows = [(y, n, w) for y, t in zip(b["toxic"], b["text"], strict=True) for n, near in lexicon.value.surroundings(t) for w in near]
+            yield pd.DataFrame(rows, columns=["y", "near", "w"]).astype({"y": "int32", "near": "int64"})
+
+    # "" stands for the surroundings themselves
+    around = sample.mapInPandas(beside, "y int, near long, w string").distinct().groupBy("w").agg(F.count_if(F.col("y") == 1).alias("n1"), F.count_if(F.col("y") == 0).alias("n0"))
+    around = written(around, "toxicity-around")
+    model.telling = telling_words(around)
     final = sample.sparkSession.sparkContext.broadcast(model)
 
     def feature(batches):

@@ -146,12 +146,14 @@ def test_language_odd_rows(spark):
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edits that turn a into b; neighbours that change places are one, and are not edited again."""
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
         for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
 
 
 def test_automaton_against_edit_distance():
@@ -166,6 +168,9 @@ def test_automaton_against_edit_distance():
                 k, c = int(rng.integers(0, len(w) + 1)), chr(97 + int(rng.integers(0, 26)))
                 w[k : k + int(rng.integers(0, 2))] = [c] * int(rng.integers(0, 2))
             words.append("".join(w))
+            k = int(rng.integers(0, len(t) - 1))
+            words += [t[:k] + t[k + 1] + t[k] + t[k + 2 :], t[:k] + t[k + 1] + t[k] + t[k + 2 :][:-1]]
+    assert a.match("idoit") == (("idiot", 1),)
     for w in words:
         want = [(t, distance(w, t)) for t in sorted(terms) if distance(w, t) <= toxicity.allowed(t)]
         assert list(a.match(w)) == want + ([("lowei*", 0)] if w.startswith("lowei") else []), w
@@ -214,6 +219,40 @@ def test_misspelled_and_quoted(spark, toxic_model):
     assert fitted(spark, [(1, "a", 0), (2, "b", 0)]).score("a") < 0.5 and fitted(spark, []).score("") < 0.5
 
 
+def test_marks_pair_locally(toxic_model):
+    """A mark of inches, a left-over mark or quotations elsewhere do not turn the marks around a term."""
+    m = toxic_model
+    context = lambda t: [round(c, 2) for _, _, _, c in m.hits(t)]
+    for before in ("", '5" pipe and ', 'a " b ', '"one" and "two" then ', "\u00ab un \u00bb et ", 'the 3" and 4" colon '):
+        for quoted in ('he remarked "you moron" to me', "he remarked \u201cyou moron\u201d to me", "er rief \u201edu moron\u201c laut", "il cria \u00ab moron \u00bb fort", 'so ("moron"), he added', 'then "a moron!" again'):
+            assert context(before + quoted) == [0.7], before + quoted
+        for used in ("you moron at home", '"yes" you moron "no"', 'you moron " at home', 'a 5" moron 6" here'):
+            assert context(before + used) == [0.0], before + used
+    assert m.score('he remarked "you moron" to me') == m.score('a 5" pipe and he remarked "you moron" to me') < 0.5
+    assert m.score("you omron") == m.score("you moorn") > m.score("you river")
+
+
+def test_words_that_tell_of_a_term_are_learned(spark):
+    """Clean documents speak of the term beside a word of their own; a word of the list that abuse uses as often is dropped."""
+    rng = np.random.default_rng(6)
+    plain = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(1200):
+        w, y = rng.choice(plain, 20).tolist(), i % 2
+        w[0] = "word"
+        if y and i % 3 == 0:
+            w[9:11] = ["scoundrel", "word"]
+        if not y and i % 20 == 0:
+            w[8:10] = ["glossary", "scoundrel"]
+        rows.append((i, " ".join(w), y))
+    rows += [(5000 + i, "x glossary scoundrel used w1", 0) for i in range(40)]  # equal surroundings count once
+    m = fitted(spark, rows)
+    assert "scoundrel" in m.terms
+    assert "glossary" in m.telling and "word" not in m.telling and "quoted" in m.telling
+    assert not {"used", "w1"} & m.telling
+    assert m.score("a w1 w2 glossary scoundrel w3") < m.score("a w1 w2 w3 scoundrel w3")
+
+
 def test_lexicon_does_not_depend_on_size(spark):
     """Equal rates of use give the same terms at 1,000 and 10,000 documents per label; copies count once."""
     rng = np.random.default_rng(3)
