@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from maskframe.functions import classes as C
 from maskframe.functions.keys import md5_key
-from maskframe.functions.names import sample_name, shard_name
+from maskframe.functions.names import sample_name
 from maskframe.operators import annotations as A
 from maskframe.operators import sampling as S
 from maskframe.operators.ranking import attach, bucket_rank, group_counts
@@ -139,9 +139,4 @@ def make_tiled_set(ann: DataFrame, seed, val_frac: float = 0.05, last_negatives:
 
 def write_tiled_set(records: DataFrame, root: str, shards: dict[str, int] = SHARDS) -> DataFrame:
     """All lists in one write, each with its own number of shards; returns the manifest, empty shards included."""
-    IO.write_shards(records, root, 1)
-    spark = records.sparkSession
-    want = spark.createDataFrame([(s, i, k) for s, k in shards.items() for i in range(k)], "split string, shard_id int, shards int")
-    done = spark.read.parquet(root).groupBy("split", "shard_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    j = F.broadcast(want).join(done, ["split", "shard_id"], "left")
-    return j.select("split", "shard_id", shard_name("split", "shard_id", F.col("shards")).alias("shard_name"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return IO.write_shards(records, root, shards).select("split", "shard_id", "shard_name", "n")
