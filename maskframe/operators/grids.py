@@ -226,12 +226,22 @@ def resize_plan(dims: DataFrame, min_size: int, max_size: int | None, factor: in
     return dims.withColumn("new_h", nh.cast("int")).withColumn("new_w", nw.cast("int"))
 
 
-def resize_to_range(df: DataFrame, min_size: int, max_size: int | None, factor: int | None, label: str | None = None) -> DataFrame:
-    """I9 on data: the image (bilinear) and, if named, its one-channel ``label`` (nearest, so labels stay labels) at the
-    size of :func:`resize_plan`."""
+def layered_nearest(img: np.ndarray, oh: int, ow: int) -> np.ndarray:
+    """Nearest resize of label layers stored one after the other."""
+    h, w, k = img.shape
+    side_by_side = np.moveaxis(img.ravel().reshape(k, h, w), 0, 2)
+    return np.moveaxis(nearest(side_by_side, oh, ow), 2, 0)
+
+
+def resize_to_range(df: DataFrame, min_size: int, max_size: int | None, factor: int | None, label: str | None = None, layers=None) -> DataFrame:
+    """I9 on data: the image (bilinear) and, if named, its ``label`` (nearest, so labels stay labels) at the size of
+    :func:`resize_plan`. The label has one channel, or ``layers`` (a column or number) of them, such as one per instance,
+    stored layer after layer; each layer is resized by itself."""
     x = resize_to(resize_plan(df, min_size, max_size, factor), "new_h", "new_w", "bilinear")
-    if label:
+    if label and layers is None:
         x = resize_to(x, "new_h", "new_w", "nearest", label, F.lit(1))
+    elif label:
+        x = x.withColumn(label, cells(x, lambda img, a, b: layered_nearest(img, int(a), int(b)), "new_h", "new_w", col=label, c=_col(layers)))
     return x.withColumn("h", F.col("new_h")).withColumn("w", F.col("new_w")).drop("new_h", "new_w")
 
 

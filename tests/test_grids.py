@@ -114,3 +114,20 @@ def test_drop_first_negatives_beyond_the_flagged(spark):
     left = {r["ImageId"] for r in S.drop_first_negatives(d, 17, 1).collect()}
     rank = {r["ImageId"]: r["rn"] for r in S.nulls_first_rank(d, 1).collect()}
     assert left == {k for k, v in rank.items() if v > 17}
+
+
+def test_resize_to_range_by_layer(spark):
+    """A label of several layers, stored one after the other, is resized layer by layer; none is an empty label."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i, (h, w, k) in enumerate([(4, 6, 3), (9, 5, 1), (3, 3, 0), (2, 7, 5)]):
+        rows.append((i, h, w, 1, rng.random(h * w).tolist(), rng.integers(0, 9, k * h * w).astype(float).tolist(), k))
+    df = spark.createDataFrame(rows, "image_id long, h int, w int, c int, data array<double>, label_data array<double>, k int")
+    out = {r["image_id"]: r for r in G.resize_to_range(df, 8, 20, None, "label_data", "k").collect()}
+    for i, h, w, _, _, label, k in rows:
+        r = out[i]
+        assert len(r["data"]) == r["h"] * r["w"] and (min(r["h"], r["w"]) == 8 or max(r["h"], r["w"]) == 20)
+        got = np.array(r["label_data"]).reshape(k, r["h"], r["w"])
+        for own, layer in zip(got, np.array(label).reshape(k, h, w), strict=True):
+            at = lambda n, m: [int(np.floor(j * (n - 1) / (m - 1) + 0.5 + 1e-9)) for j in range(m)]
+            assert own.tolist() == layer[np.ix_(at(h, r["h"]), at(w, r["w"]))].tolist()
