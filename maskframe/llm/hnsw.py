@@ -325,7 +325,8 @@ def links_of(rows: DataFrame, least: float = 0.95, recall: float = 0.99, audit:
                         yield pd.DataFrame({"node": name[hit], "others": np.bincount(r, copies[c], len(own))[hit].astype(np.int64), "to": np.minimum.reduceat(ids[c], first)})
         yield groups()
 
-    each = own.unionByName(trial).unionByName(ask).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "node")
+    # by range into more parts than shards: each shard is a part of its own, where hashes would put several into one
+    each = own.unionByName(trial).unionByName(ask).repartitionByRange(4 * shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "node")
     found = written(each.mapInPandas(search, "node long, others long, to long"), "vector-links")
     return nodes.select("node", "copies"), found, members
 
