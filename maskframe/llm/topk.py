@@ -121,7 +121,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, sha
             if out:
                 yield pd.concat(out)
 
-    each = cand.unionByName(ask).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "id")
+    # by range into more parts than shards: each shard is a part of its own, where hashes would put several into one
+    each = cand.unionByName(ask).repartitionByRange(4 * shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind", "id")
     best = each.mapInPandas(search, "query_id long, q array<long>, vec_id long, score long")
     w = W.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
