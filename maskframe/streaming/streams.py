@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,10 +38,12 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
 
 
-def _batch_writer(out: str, keys: list[str], every: int | None):
-    """Writes a folder per batch. With ``every``, each batch whose number completes so many also merges the newest row of
-    every key, from the merge before and the batches since, and removes what the merge before that had replaced: at most
-    2 * ``every`` batches and two merges are there at any time. A replayed batch overwrites its folders with the same rows."""
+def _batch_writer(out: str, keys: list[str], every: int | None, merge: Callable[[DataFrame], DataFrame] | None = None):
+    """Writes a folder per batch. With ``every``, each batch whose number completes so many also merges (``merge``; without
+    it, keeps the newest row of every key) the merge before and the batches since, and removes what the merge before that
+    had replaced: at most 2 * ``every`` batches and two merges are there at any time. A replayed batch overwrites its
+    folders with the same rows."""
+    merge = merge or (lambda rows: _newest(rows, keys))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -51,7 +54,7 @@ def _batch_writer(out: str, keys: list[str], every: int | None):
         schema = StructType(list(batch.schema.fields)).add("_batch", "integer").add("_kind", "string").add("_part", "integer")
         rows = spark.read.schema(schema).parquet(out)
         since = F.col("_kind").eqNullSafe("merged") & (F.col("_part") == before) | (F.col("_kind") == "batch") & (F.col("_part") > before) & (F.col("_part") <= batch_id)
-        _newest(rows.filter(since).drop("_kind", "_part"), keys).write.mode("overwrite").parquet(f"{out}/_kind=merged/_part={batch_id}")
+        merge(rows.filter(since).drop("_kind", "_part")).write.mode("overwrite").parquet(f"{out}/_kind=merged/_part={batch_id}")
         _remove(spark, f"{out}/_kind=merged/_part={before - every}")
         for b in range(max(before - every + 1, 0), before + 1):
             _remove(spark, f"{out}/_kind=batch/_part={b}")
@@ -59,14 +62,18 @@ def _batch_writer(out: str, keys: list[str], every: int | None):
     return write
 
 
-def latest_per_key(out: str, keys: list[str], spark: SparkSession) -> DataFrame:
-    """Read a per-batch sink and keep the newest value of every key (update-mode semantics): the newest merge, if there is
-    one, and the batches after it."""
+def _current(out: str, spark: SparkSession) -> DataFrame:
+    """The rows of a per-batch sink: the newest merge, if there is one, and the batches after it."""
     df = spark.read.parquet(out)
     merged = df.filter("_kind = 'merged'").agg(F.max("_part")).first()[0]
     if merged is not None:
         df = df.filter((F.col("_kind") == "merged") & (F.col("_part") == merged) | (F.col("_kind") == "batch") & (F.col("_part") > merged))
-    return _newest(df, keys).drop("_batch", "_kind", "_part")
+    return df.drop("_kind", "_part")
+
+
+def latest_per_key(out: str, keys: list[str], spark: SparkSession) -> DataFrame:
+    """Read a per-batch sink and keep the newest value of every key (update-mode semantics)."""
+    return _newest(_current(out, spark), keys).drop("_batch")
 
 
 class _Totals(StreamingQueryListener):
