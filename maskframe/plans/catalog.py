@@ -1694,4 +1694,4 @@ def split_audit(spark, sf_dir):
 
 
 # further entries, in modules that use what is above
-from maskframe.plans import catalog_masks  # noqa: E402, F401
+from maskframe.plans import catalog_masks, catalog_streams  # noqa: E402, F401

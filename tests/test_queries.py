@@ -31,7 +31,7 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("key", ["coverage_hist", "mask_vote2", "stratified_split", "tile_overlap", "mean_iou",
                                  "make_training_set", "grid_resize_bilinear", "stream_metric_windows", "pixel_confusion",
                                  "pixel_iou_per_image", "box_overlap", "make_tiled_set", "tile_select_1024", "quarantine_build",
-                                 "augment_set", "rgb_augment", "rle_pixels_sql"])
+                                 "augment_set", "rgb_augment", "rle_pixels_sql", "stream_rejects"])
 def test_query_matches_oracle(spark, con, key):
     s = E.queries()[key](spark, SF).toPandas()
     o = con.execute(E.oracle_sql()[key]).df()
