@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import DataType
 
 from maskframe.session import ship_package
 
@@ -88,8 +87,9 @@ class Rounds(StatefulProcessor):
         pass
 
 
-def cells_by_task(rows: DataFrame, classes: int, every: int, key: DataType) -> DataFrame:
-    """``rows`` (checkpoint, second, cell) added up within each task: (checkpoint, at, event, cell, n)."""
+def cells_by_task(rows: DataFrame, every: int) -> DataFrame:
+    """``rows`` (checkpoint, second, cell) added up within each task: (checkpoint, at, event, cell, n). The checkpoint travels as
+    text: pandas would turn long ids beside a null into doubles."""
 
     def add(batches):
         held = None
@@ -103,7 +103,7 @@ def cells_by_task(rows: DataFrame, classes: int, every: int, key: DataType) -> D
         if held is not None:
             yield held
 
-    return rows.mapInPandas(add, f"checkpoint {key.simpleString()}, at long, cell int, n long").withColumn("event", F.timestamp_seconds("at"))
+    return rows.withColumn("checkpoint", F.col("checkpoint").cast("string")).mapInPandas(add, "checkpoint string, at long, cell int, n long").withColumn("event", F.timestamp_seconds("at"))
 
 
 def evaluation_rounds(stream: DataFrame, classes: int, checkpoint_col: str = "checkpoint", ts_col: str = "ts", label_col: str = "label",
@@ -131,9 +131,10 @@ def evaluation_rounds(stream: DataFrame, classes: int, checkpoint_col: str = "ch
     cell = F.when(counts, label * classes + pred).otherwise(classes * classes).cast("int")
     rows = stream.select(F.col(checkpoint_col).alias("checkpoint"), F.unix_timestamp(ts).alias("second"), cell.alias("cell")).filter("second IS NOT NULL")
     key = rows.schema["checkpoint"].dataType
-    cells = cells_by_task(rows, classes, every, key).withWatermark("event", watermark)
-    schema = f"checkpoint {key.simpleString()}, round int, until long, n long, left_out long, miou double"
-    return cells.groupBy("checkpoint").transformWithStateInPandas(Rounds(classes, every, most), schema, "Append", "EventTime")
+    cells = cells_by_task(rows, every).withWatermark("event", watermark)
+    schema = "checkpoint string, round int, until long, n long, left_out long, miou double"
+    out = cells.groupBy("checkpoint").transformWithStateInPandas(Rounds(classes, every, most), schema, "Append", "EventTime")
+    return out.withColumn("checkpoint", F.col("checkpoint").cast(key))
 
 
 class state_store:

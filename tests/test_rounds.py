@@ -83,3 +83,9 @@ def test_no_rows_no_rounds(spark, few_partitions):
     with R.state_store(spark):
         df = R.evaluation_rounds(spark.readStream.schema(SCHEMA).parquet(src), CLASSES)
         assert ST.run_available_now(df, ["checkpoint", "round"], "rounds", mode="append").count() == 0
+
+
+def test_long_ids_beside_a_null_stay_exact(spark):
+    rows = spark.createDataFrame([(2**60 + 1, T0, 1), (2**60 + 1, T0 + 1, 1), (None, T0 + 400, 2)], "checkpoint long, second long, cell int")
+    got = {(r["checkpoint"], r["at"], r["cell"], r["n"]) for r in R.cells_by_task(rows.coalesce(1), EVERY).collect()}
+    assert got == {(str(2**60 + 1), T0, 1, 2), (None, T0 + 300, 2, 1)}
