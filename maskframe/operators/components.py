@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskframe.functions.classes import CANVAS_H, CANVAS_W
+from maskframe.operators import image_batches as IB
 from maskframe.session import ship_package
 
 ID = "ImageId"
@@ -61,12 +63,17 @@ def connected_components(pieces: DataFrame, height: int = CANVAS_H, width: int =
 
 
 def component_stats(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID) -> DataFrame:
-    """Per component: pixel count and the raster position of its first pixel."""
-    cc = connected_components_batched(pieces, height, width, id_col)
-    return cc.groupBy(id_col, "instance_id").agg(
-        F.sum(F.col("r1") - F.col("r0")).cast("bigint").alias("pixels"),
-        F.min(F.col("r0") * width + F.col("col")).cast("bigint").alias("first_pixel"),
-    )
+    """Per component: pixel count and the raster position of its first pixel, measured where the image is labelled."""
+
+    def frame(ids, marks, image, col, r0, r1) -> pa.RecordBatch:
+        im, c, a, b, inst = label_pieces_batch(image, col, r0, r1, height, width)
+        order = np.lexsort((a * width + c, inst, im))
+        im, c, a, b, inst = im[order], c[order], a[order], b[order], inst[order]
+        head = np.flatnonzero(np.r_[True, (im[1:] != im[:-1]) | (inst[1:] != inst[:-1])]) if len(im) else im
+        pixels = np.add.reduceat(b - a, head) if len(im) else im
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(im[head])), *map(pa.array, (inst[head], pixels, (a * width + c)[head]))], names=[id_col, "instance_id", "pixels", "first_pixel"])
+
+    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, pixels bigint, first_pixel bigint", id_col, height)
 
 
 def multi_rle(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
@@ -164,60 +171,60 @@ def label_pieces_batch(img: np.ndarray, col: np.ndarray, r0: np.ndarray, r1: np.
     return im, c, r0, r1, rank
 
 
-def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, partitions: int | None) -> DataFrame:
-    """Stream images through ``mapInPandas``: pieces are hash-partitioned by image and sorted, each Arrow batch is
-    handled in one vectorised call, and the last image of a batch (possibly incomplete) is carried into the next
-    batch. Memory per task: one batch plus one image (bounded by the canvas)."""
-
-    def fn(it):
-        carry = None
-        for pdf in it:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            tail = pdf[id_col].to_numpy() == pdf[id_col].iloc[-1]
-            carry = pdf[tail]
-            if (~tail).any():
-                yield frame_fn(pdf[~tail])
-        if carry is not None and len(carry):
-            yield frame_fn(carry)
+def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, height: int, partitions: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """Stream images through ``mapInArrow``: pieces travel packed, the rows of an image (and of ``ids``, which mark those that
+    have none) stand together, and the complete images of a batch are handled in one vectorised call
+    ``frame_fn(ids, marks, image, col, r0, r1)``. Memory per task: one batch plus one image (bounded by the canvas)."""
+
+    def fn(batches):
+        for keys, marks, image, a, b in IB.complete(batches, [id_col]):
+            for some, own in IB.slices_of(keys.num_rows, image):
+                i, col, r0, r1 = IB.cut_columns(a[own], b[own], height)
+                yield frame_fn(keys.column(0)[some.start:some.stop], marks[some], image[own][i] - some.start, col, r0, r1)
 
     ship_package(pieces.sparkSession)
-    p = pieces.select(id_col, F.col("col").cast("bigint"), F.col("r0").cast("bigint"), F.col("r1").cast("bigint"))
-    p = (p.repartition(partitions, id_col) if partitions else p.repartition(id_col)).sortWithinPartitions(id_col, "col", "r0")
-    return p.mapInPandas(fn, schema)
+    rows = IB.with_ids(IB.packed_pieces(pieces, [id_col], height), ids, id_col)
+    if partitions:
+        rows = rows.repartition(partitions, id_col)
+    return IB.beside(rows, [id_col]).mapInArrow(fn, schema)
 
 
 def connected_components_batched(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
                                  partitions: int | None = None) -> DataFrame:
     """M5 + W8, many images per Python call: ``(id, col, r0, r1)`` -> ``(id, instance_id, col, r0, r1)``."""
 
-    def frame(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, uniq = pd.factorize(pdf[id_col], sort=False)
-        im, c, a, b, inst = label_pieces_batch(codes, pdf["col"].to_numpy(), pdf["r0"].to_numpy(),
-                                               pdf["r1"].to_numpy(), height, width)
-        return pd.DataFrame({id_col: np.asarray(uniq)[im], "instance_id": inst, "col": c, "r0": a, "r1": b})
+    def frame(ids, marks, image, col, r0, r1) -> pa.RecordBatch:
+        im, c, a, b, inst = label_pieces_batch(image, col, r0, r1, height, width)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(im)), *map(pa.array, (inst, c, a, b))], names=[id_col, "instance_id", "col", "r0", "r1"])
 
-    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, col bigint, r0 bigint, r1 bigint", id_col,
-                    partitions)
+    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, col bigint, r0 bigint, r1 bigint", id_col, height, partitions)
 
 
 def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W,
                       id_col: str = ID, partitions: int | None = None) -> DataFrame:
-    """M7, many images per Python call (see :func:`_batched`)."""
-
-    def encode_frame(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, uniq = pd.factorize(pdf[id_col], sort=False)
-        im, c, a, b, inst = label_pieces_batch(codes, pdf["col"].to_numpy(), pdf["r0"].to_numpy(),
-                                               pdf["r1"].to_numpy(), height, width)
-        key = im * (1 << 32) + inst
-        ks, texts = _encode_all(key, c, a, b, height)
-        return pd.DataFrame({id_col: np.asarray(uniq)[ks // (1 << 32)], "instance_id": ks % (1 << 32), ENC: texts},
-                            columns=[id_col, "instance_id", ENC])
-
-    enc = _batched(pieces, encode_frame, f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, partitions)
-    return ids.join(enc, id_col, "left")
+    """M7, many images per Python call (see :func:`_batched`), as a left join of ``ids`` to the components; it is made where the
+    pieces of an image meet, so that no text is shuffled."""
+
+    def frame(ids_, marks, image, col, r0, r1) -> pa.RecordBatch:
+        null = ids_.is_null().to_numpy(zero_copy_only=False)
+        im, c, a, b, inst = label_pieces_batch(image, col, r0, r1, height, width)
+        keep = ~null[im] & (marks[im] > 0)  # a null id meets nothing
+        key, lo, hi = (im * (1 << 32) + inst)[keep], (c * height + a)[keep], (c * height + b)[keep]
+        order = np.lexsort((lo, key))
+        key, lo, hi = key[order], lo[order], hi[order]
+        head = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != hi[:-1])]) if len(key) else key
+        key, lo, hi = key[head], lo[head], hi[np.r_[head[1:], len(hi)] - 1] if len(head) else hi
+        ks, counts = np.unique(key, return_counts=True)
+        at, number = ks >> 32, ks & ((1 << 32) - 1)
+        none = np.setdiff1d(np.arange(len(ids_)), at)
+        again, more = marks[at], marks[none]
+        text = IB.texts(counts, lo, hi).take(pa.array(np.repeat(np.arange(len(ks)), again)))
+        rows = np.concatenate([np.repeat(at, again), np.repeat(none, more)])
+        nulls = int(more.sum())
+        number = pa.concat_arrays([pa.array(np.repeat(number, again), pa.int64()), pa.nulls(nulls, pa.int64())])
+        return pa.RecordBatch.from_arrays([ids_.take(pa.array(rows)), number, pa.concat_arrays([text, pa.nulls(nulls, pa.string())])], names=[id_col, "instance_id", ENC])
+
+    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, height, partitions, ids)
 
 
 # ---- table form: an image of any size, over many tasks ---------------------------------------------------------------
@@ -227,20 +234,18 @@ def strip_labels(pieces: DataFrame, height: int, strip: int, id_col: str = ID) -
     ``strip * ceil(H / 2)`` pieces; many are labelled in one NumPy call."""
     key = F.to_json(F.struct(F.col(id_col).alias("id"), F.floor(F.col("col") / strip).alias("strip")))
 
-    def frame(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, uniq = pd.factorize(pdf["_key"], sort=False)
-        col = pdf["col"].to_numpy()
-        im, c, a, b, inst = label_pieces_batch(codes, col % strip, pdf["r0"].to_numpy(), pdf["r1"].to_numpy(), height, strip)
-        start = np.zeros(len(uniq), np.int64)
-        start[codes] = col - col % strip
+    def frame(keys, marks, image, col, r0, r1) -> pa.RecordBatch:
+        im, c, a, b, inst = label_pieces_batch(image, col % strip, r0, r1, height, strip)
+        start = np.zeros(len(keys), np.int64)
+        start[image] = col - col % strip
         # the component's first pixel in raster order
         group = im * (int(inst.max(initial=0)) + 1) + inst
         order = np.lexsort((c, a, group))
         lead = order[np.r_[True, group[order][1:] != group[order][:-1]]] if len(order) else order
         at = lead[np.searchsorted(group[lead], group)] if len(order) else order
-        return pd.DataFrame({"_key": np.asarray(uniq)[im], "col": c + start[im], "r0": a, "r1": b, "row0": a[at], "col0": c[at] + start[im]})
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(im)), *map(pa.array, (c + start[im], a, b, a[at], c[at] + start[im]))], names=["_key", "col", "r0", "r1", "row0", "col0"])
 
-    out = _batched(pieces.withColumn("_key", key), frame, "_key string, col bigint, r0 bigint, r1 bigint, row0 bigint, col0 bigint", "_key", None)
+    out = _batched(pieces.withColumn("_key", key), frame, "_key string, col bigint, r0 bigint, r1 bigint, row0 bigint, col0 bigint", "_key", height)
     return out.withColumn(id_col, F.from_json("_key", "id string")["id"]).select(
         id_col, "col", "r0", "r1", F.struct(F.col(id_col).alias("id"), F.col("row0").alias("row"), F.col("col0").alias("col")).alias("root"))
 

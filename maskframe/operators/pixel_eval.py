@@ -4,93 +4,81 @@ Both sides are tables of run-length rows with a class value each. One sweep over
 stretch of a column, what was labelled and what was predicted there; a stretch stands for its pixels, so the (label,
 prediction) counts of whole images come from runs and no pixel is ever a row.
 
-Plan: every row becomes +/- events of its pieces and one marker of its image; ``groupBy(image, column, position)`` adds them
-up on the map side (an image with a third of all rows has at most H + 1 positions a column afterwards, and one marker); a
-running sum per (image, column) reads the layers off; the background is the canvas of the marker less what is covered. No
-second read of the sources for their ids, and no join.
+Plan: the rows of an image stand together; a task sweeps them in Arrow batches, with one layer of counts for the labels, one
+per predicted class and one for broken texts, and writes the sums of every image. An image with a third of all rows keeps at
+most (H + 1) x W sums between batches. No second read of the sources for their ids, and no join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskframe.functions import rle_batch as B
 from maskframe.functions.classes import CANVAS_H, CANVAS_W, SHIP_IGNORE_LABEL
-from maskframe.functions.rle import checked_mask_runs, let, rle_valid
+from maskframe.operators import image_batches as IB
 from maskframe.operators import scores as SC
-from maskframe.operators.runs import idiv
+from maskframe.session import ship_package
 
 ID = "ImageId"
 ENC = "EncodedPixels"
-_SPAN = "array<struct<kind:int,a:bigint,b:bigint>>"
-
-
-def _spans(enc: Column, height: int, width: int) -> Column:
-    """What a row contributes: its marker (kind 0), its painted runs (kind 1), or, if its text is not valid, the whole
-    canvas (kind 2)."""
-    marker = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")))
-    whole = F.array(F.struct(F.lit(2).alias("kind"), F.lit(0).cast("bigint").alias("a"), F.lit(height * width).cast("bigint").alias("b")))
-
-    def body(e):
-        runs = F.transform(checked_mask_runs(e, height, width), lambda r: F.struct(F.lit(1).alias("kind"), r["a"].alias("a"), r["b"].alias("b")))
-        return F.concat(marker.cast(_SPAN), F.when(~rle_valid(e), whole.cast(_SPAN)).otherwise(runs.cast(_SPAN)))
-
-    return let(enc, body)
-
-
-def _events(df: DataFrame, side: str, classes: int, height: int, width: int, id_col: str, enc_col: str, value_col: str | None) -> DataFrame:
-    """(id, col, pos, bad, t, p1, p2, ...): the changes of the layers at the ends of a row's pieces; ``col`` -1 marks an image."""
-    value = F.col(value_col).cast("int") if value_col else F.lit(1)
-    x = df.select(F.col(id_col).alias("id"), value.alias("v"), F.explode(_spans(F.col(enc_col), height, width)).alias("s"))
-    x = x.select("id", "v", "s.kind", "s.a", "s.b", F.explode(F.when(F.col("s.kind") == 0, F.array(F.lit(-1).cast("bigint"))).otherwise(F.sequence(idiv(F.col("s.a"), height), idiv(F.col("s.b") - 1, height)))).alias("col"))
-    base = F.col("col") * height
-    x = x.select("id", "v", "kind", "col", (F.greatest("a", base) - base).alias("r0"), (F.least("b", base + height) - base).alias("r1"))
-    x = x.select("id", "v", "kind", "col", F.explode(F.when(F.col("kind") == 0, F.array(F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(0).alias("d")))).otherwise(
-        F.array(F.struct(F.col("r0").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("r1").alias("pos"), F.lit(-1).alias("d"))))).alias("e"))
-    d, run = F.col("e.d"), F.col("kind") == 1
-    layers = [F.when(F.col("kind") == 2, d).otherwise(0).alias("bad"), (F.when(run, d * F.col("v")).otherwise(0) if side == "truth" else F.lit(0)).alias("t")]
-    layers += [(F.when(run & (F.col("v") == k), d).otherwise(0) if side == "pred" else F.lit(0)).alias(f"p{k}") for k in range(1, classes)]
-    return x.select("id", "col", "e.pos", *layers)
-
-
 def pixel_pairs(truth: DataFrame, pred: DataFrame, num_classes: int = 2, ignore_label: int | None = SHIP_IGNORE_LABEL, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID, enc_col: str = ENC, value_col: str | None = None) -> DataFrame:
-    """``(id, label, pred, weight)``, in parts that add up to the number of pixels of each pair in each image of either
+    """``(id, label, pred, weight)``, the number of pixels of each pair in each image of either
     side; an image that only one side knows is empty on the other.
 
     A pixel's label is the sum of the values of the truth rows that cover it (``value_col``, or 1 a row: doubly covered pixels
     reach the ignore label); its prediction is the highest class among the rows that cover it, 0 without any. Pixels of the
     ignore label, and of labels outside the classes, have no weight. An image with a text that is not valid on either side
-    has none at all (``annotations.quarantine`` reports the row): it is never taken for an empty image. Parts may be negative
-    (the canvas less what is covered); their sums are not."""
-    names = ["bad", "t", *[f"p{k}" for k in range(1, num_classes)]]
-    how = (num_classes, height, width, id_col, enc_col, value_col)
-    ev = _events(truth, "truth", *how).unionByName(_events(pred, "pred", *how))
-    g = ev.groupBy("id", "col", "pos").agg(*[F.sum(n).alias(n) for n in names])
-    change = F.col("col") == -1
-    for n in names:
-        change = change | (F.col(n) != 0)
-    w = Window.partitionBy("id", "col").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = g.filter(change).select("id", "col", (F.lead("pos").over(w) - F.col("pos")).alias("n"), *[F.sum(n).over(run).alias(n) for n in names])
-    covered = F.lit(False)
-    for n in names:
-        covered = covered | (F.col(n) != 0)
-    guess = F.lit(0)
-    for k in range(1, num_classes):
-        guess = F.when(F.col(f"p{k}") > 0, k).otherwise(guess)
-    none = (F.col("bad") > 0) | (F.col("t") < 0) | (F.col("t") >= num_classes)
-    if ignore_label is not None:
-        none = none | (F.col("t") == ignore_label)
-
-    def part(label, prediction, n) -> Column:
-        return F.struct(label.cast("int").alias("label"), prediction.cast("int").alias("pred"), n.cast("bigint").alias("weight"))
-
-    zero = F.lit(0)
-    # a marker brings the canvas as background; a covered stretch takes its pixels from it and counts as its own pair
-    parts = F.when(F.col("col") == -1, F.array(part(zero, zero, F.lit(height * width)))).when(none, F.array(part(zero, zero, -F.col("n")))).otherwise(F.array(part(zero, zero, -F.col("n")), part(F.col("t"), guess, F.col("n"))))
-    return seg.filter((F.col("col") == -1) | covered).select(F.col("id").alias(id_col), F.explode(parts).alias("x")).select(id_col, "x.*")
+    has none at all (``annotations.quarantine`` reports the row): it is never taken for an empty image. The parts
+    of an image are its sums."""
+    value = F.col(value_col).cast("int") if value_col else F.lit(1)
+    rows = None
+    for side, df in enumerate((truth, pred)):
+        x = df.select(F.col(id_col), F.lit(side).alias("_side"), value.alias("_value"), F.col(enc_col).alias("_text"))
+        x = IB.beside(x, [id_col], "_own")  # each side is partitioned for itself, or is already; their union then is
+        rows = x if rows is None else rows.unionByName(x)
+    schema = IB.schema_of(rows, [id_col], "label int, pred int, weight bigint")
+    canvas = height * width
+
+    def runs(batch):
+        """Layers: 0 an invalid text (its whole canvas), 1 the sum of the truth values, 1 + k the rows that predict class k."""
+        counts, a, b, valid = B.decode(batch.column("_text"), canvas)
+        bad = np.flatnonzero(~valid)
+        side = batch.column("_side").to_numpy()
+        v = batch.column("_value").fill_null(0).to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(batch.num_rows), counts)
+        keep = np.where(side[row] == 0, v[row] != 0, (v[row] >= 1) & (v[row] < num_classes))
+        row, a, b = row[keep], a[keep], b[keep]
+        of_truth = side[row] == 0
+        layer, change = np.where(of_truth, 1, 1 + v[row]), np.where(of_truth, v[row], 1)
+        whole = np.zeros(len(bad), np.int64)
+        return tuple(np.concatenate(x) for x in ((row, bad), (a, whole), (b, whole + canvas), (layer, whole), (change, whole + 1)))
+
+    def finish(keys, image, col, r0, r1, counts):
+        n, t = r1 - r0, counts[:, 1]
+        guess = np.zeros(len(n), np.int64)
+        for k in range(1, num_classes):
+            guess[counts[:, 1 + k] > 0] = k
+        counted = (counts[:, 0] == 0) & (t >= 0) & (t < num_classes)
+        if ignore_label is not None:
+            counted &= t != ignore_label
+        # every image's canvas is background; a covered stretch takes its pixels from it and counts as its own pair
+        cells = num_classes * num_classes
+        total = np.zeros(keys.num_rows * cells, np.int64)
+        total[::cells] = canvas
+        np.add.at(total, image * cells, -n)
+        np.add.at(total, (image * cells + t * num_classes + guess)[counted], n[counted])
+        at = np.flatnonzero(total)
+        cell = at % cells
+        yield pa.RecordBatch.from_arrays([keys.column(0).take(pa.array(at // cells)), pa.array(cell // num_classes, pa.int32()), pa.array(cell % num_classes, pa.int32()), pa.array(total[at])],
+                                         names=[id_col, "label", "pred", "weight"])
+
+    ship_package(rows.sparkSession)
+    return IB.beside(rows, [id_col]).mapInArrow(lambda batches: IB.sweep(batches, [id_col], height, width, num_classes + 1, runs, finish), schema)
 
 
 def pixel_confusion(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:

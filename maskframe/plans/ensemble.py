@@ -20,12 +20,8 @@ def ensemble(sources: Sequence[DataFrame], k: int = 2, height: int = CANVAS_H, w
     inside one file also votes), split the kept mask into 8-connected instances and emit one row per instance;
     every id of any source gets at least one row (null when nothing is left).
 
-    Shuffles: the sweep (on (id, col, pos), map-side combined), one per-image group for labelling+encoding, and the
-    left join to the distinct ids."""
+    Shuffles: the rows by image (none if they are already partitioned so), the kept pieces packed by image, together with
+    the distinct ids. No text is shuffled after the sweep."""
     seg = V.coverage_segments(list(sources), height, width)
     pieces = V.select_mask(seg, F.col("c") >= k)
-    ids = None
-    for s in sources:
-        x = s.select(ID)
-        ids = x if ids is None else ids.unionByName(x)
-    return multi_rle(pieces, ids.distinct(), height, width).select(ID, ENC)
+    return multi_rle(pieces, V.ids_of(sources, ID), height, width).select(ID, ENC)
