@@ -35,3 +35,31 @@ def test_tile_paths_agree_with_pixels(spark):
                 if v:
                     want[(img, iy * 5 + ix)] = v
     assert a == want
+
+
+def test_tile_masses_from_texts(spark, tmp_path):
+    """The sums of the texts are those of the pieces, on every canvas, for odd rows too, and no run or piece is a row."""
+    from maskframe.plans import catalog as Q
+    from maskframe.plans import tiled_set as TS
+    from tests.test_image_batches import ODD, noise
+
+    big = [(f"b{k % 3}", " ".join(f"{1 + (k * 7919 + j * 31013) % 580000} {1 + (k * j * 97) % 1800}" for j in range(12))) for k in range(9)]
+    rows = [(f"o{k % 4}", t) for k, t in enumerate(ODD)] + noise(3, 40) + big + [(None, "700 300"), ("none", None)]
+    df = spark.createDataFrame(rows, "ImageId string, EncodedPixels string").repartition(3)
+    pieces = R.run_pieces(R.rle_runs(df))
+    want = sorted(map(str, TS.canvas_tiles(pieces).select("ImageId", "cohort", "tile", "mask_area").collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert sorted(map(str, TS.annotated_tiles(df).select("ImageId", "cohort", "tile", "mask_area").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # boxes of uneven stride and boxes with gaps between them
+    for side, n, size in ((700, 4, 130), (768, 2, 100), (256, 1, 256)):
+        seg = T.resize_nearest_pieces(pieces, side)
+        plain = {(r[0], r[1]): r[2] for r in T.tile_overlap(seg, side, n, size, value_col=None, force_literal=True).collect()}
+        assert {(r["ImageId"], r["tile"]): r["mask_area"] for r in T.tile_masses(df, [("x", side, n)], size).collect()} == plain
+    spark.range(4).withColumnRenamed("id", "o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    line = "id AS l_orderkey, 50 * id AS l_partkey, id AS l_suppkey, CAST(1 AS INT) AS l_linenumber, CAST(9 AS DOUBLE) AS l_quantity"
+    spark.range(3).selectExpr(*line.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for key in ("topk_tiles", "tile_select", "tile_select_768"):
+        assert "Generate" not in Q.QUERIES[key](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
