@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,33 @@ def test_partitioned_rows_are_not_moved_again(spark):
     assert plan.count("Exchange") == 2  # the caller's own, one a source; none of run ends
     plan = V.encode_pieces(V.coverage_segments(df), ids=V.image_ids(df))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan  # no text is shuffled to meet its id
+
+
+def test_augmented_masks_are_the_augmented_pieces(spark, small_batches):
+    """The packed variants hold the pixels of the variants by piece, for images cut between batches, lost pixels and odd texts, and
+    the plan moves no piece."""
+    from maskframe.operators import runs as R
+
+    h = w = 8
+    rows = noise(4, 120) + [("hot", f"{1 + k % 60} {1 + k % 4}") for k in range(40)] + [("edge", "1 8"), ("none", None), (None, "1 3"), ("x", "1 y")]
+    df = spark.createDataFrame(rows, "ImageId string, EncodedPixels string").repartition(2, "ImageId")
+    masks = V.packed_segments(df, h, w)
+
+    def pixels(found):
+        return sorted((str(i), s, c, p) for i, s, c, p in found)
+
+    want = []
+    for r in R.augmented(V.coverage_segments(df, h, w).select("ImageId", "col", "r0", "r1", "c"), h, w, keep=("c",), centre=(4, 4)).collect():
+        want += [(r["ImageId"], r["suffix"], r["c"], r["col"] * h + x) for x in range(r["r0"], r["r1"])]
+    got, sums = [], {}
+    all_ = R.augmented_masks(masks, h, w, keep=("c",), centre=(4, 4))
+    plan = all_._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan  # the caller's own
+    for r in all_.collect():
+        _, a, b = B.unpack(pa.array([r["_runs"]]), r["_wide"])
+        assert (a[1:] >= b[:-1]).all() and r["pixels"] == int((b - a).sum())
+        got += [(r["ImageId"], r["suffix"], r["c"], int(p)) for x, y in zip(a, b) for p in range(x, y)]
+        sums[(r["ImageId"], r["suffix"])] = sums.get((r["ImageId"], r["suffix"]), 0) + r["pixels"]
+    assert pixels(got) == pixels(want)
+    ids = {i for i, _ in V.coverage_segments(df, h, w).select("ImageId", "c").collect()}
+    assert set(sums) == {(i, s) for i in ids for s in ("", "_a", "_b", "_f")} and sums[("edge", "_a")] == 0
