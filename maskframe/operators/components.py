@@ -176,17 +176,22 @@ def _batched(pieces: DataFrame, frame_fn, schema: str, id_col: str, height: int,
     have none) stand together, and the complete images of a batch are handled in one vectorised call
     ``frame_fn(ids, marks, image, col, r0, r1)``. Memory per task: one batch plus one image (bounded by the canvas)."""
 
+    rows = IB.with_ids(IB.packed_pieces(pieces, [id_col], height), ids, id_col)
+    if partitions:
+        rows = rows.repartition(partitions, id_col)
+    return _on_masks(IB.beside(rows, [id_col]), frame_fn, schema, id_col, height)
+
+
+def _on_masks(rows: DataFrame, frame_fn, schema: str, id_col: str, height: int) -> DataFrame:
+    """``frame_fn(ids, marks, image, col, r0, r1)`` on the complete images of packed rows that stand together."""
     def fn(batches):
         for keys, marks, image, a, b in IB.complete(batches, [id_col]):
             for some, own in IB.slices_of(keys.num_rows, image):
                 i, col, r0, r1 = IB.cut_columns(a[own], b[own], height)
                 yield frame_fn(keys.column(0)[some.start:some.stop], marks[some], image[own][i] - some.start, col, r0, r1)
 
-    ship_package(pieces.sparkSession)
-    rows = IB.with_ids(IB.packed_pieces(pieces, [id_col], height), ids, id_col)
-    if partitions:
-        rows = rows.repartition(partitions, id_col)
-    return IB.beside(rows, [id_col]).mapInArrow(fn, schema)
+    ship_package(rows.sparkSession)
+    return rows.mapInArrow(fn, schema)
 
 
 def connected_components_batched(pieces: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID,
@@ -205,6 +210,30 @@ def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H,
     """M7, many images per Python call (see :func:`_batched`), as a left join of ``ids`` to the components; it is made where the
     pieces of an image meet, so that no text is shuffled."""
 
+    return _batched(pieces, _texts_of(height, width, id_col), f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, height, partitions, ids)
+
+
+def multi_rle_masks(masks: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID) -> DataFrame:
+    """M7 of whole masks (``coverage.packed_masks``), with one null row for an image without components. A mask is one row, so
+    nothing is shuffled."""
+    return _on_masks(masks, _texts_of(height, width, id_col), f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, height)
+
+
+def instances_of_masks(masks: DataFrame, height: int = CANVAS_H, width: int = CANVAS_W, id_col: str = ID) -> DataFrame:
+    """A14 of whole masks (``coverage.packed_masks``): a row per image, 0 without components."""
+
+    def frame(ids, marks, image, col, r0, r1) -> pa.RecordBatch:
+        im, _, _, _, inst = label_pieces_batch(image, col, r0, r1, height, width)
+        n = np.zeros(len(ids), np.int64)
+        np.maximum.at(n, im, inst)  # numbers run from 1
+        n[ids.is_null().to_numpy(zero_copy_only=False)] = 0  # a null id meets nothing
+        again = pa.array(np.repeat(np.arange(len(ids)), marks))
+        return pa.RecordBatch.from_arrays([ids.take(again), pa.array(n).take(again)], names=[id_col, "instances"])
+
+    return _on_masks(masks, frame, f"`{id_col}` string, instances bigint", id_col, height)
+
+
+def _texts_of(height: int, width: int, id_col: str):
     def frame(ids_, marks, image, col, r0, r1) -> pa.RecordBatch:
         null = ids_.is_null().to_numpy(zero_copy_only=False)
         im, c, a, b, inst = label_pieces_batch(image, col, r0, r1, height, width)
@@ -224,7 +253,7 @@ def multi_rle_batched(pieces: DataFrame, ids: DataFrame, height: int = CANVAS_H,
         number = pa.concat_arrays([pa.array(np.repeat(number, again), pa.int64()), pa.nulls(nulls, pa.int64())])
         return pa.RecordBatch.from_arrays([ids_.take(pa.array(rows)), number, pa.concat_arrays([text, pa.nulls(nulls, pa.string())])], names=[id_col, "instance_id", ENC])
 
-    return _batched(pieces, frame, f"`{id_col}` string, instance_id bigint, `{ENC}` string", id_col, height, partitions, ids)
+    return frame
 
 
 # ---- table form: an image of any size, over many tasks ---------------------------------------------------------------

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from maskframe.functions.classes import CANVAS_H, CANVAS_W
 from maskframe.operators import coverage as V
-from maskframe.operators.components import multi_rle
+from maskframe.operators.components import multi_rle_masks
 
 ID = "ImageId"
 ENC = "EncodedPixels"
@@ -20,8 +19,7 @@ def ensemble(sources: Sequence[DataFrame], k: int = 2, height: int = CANVAS_H, w
     inside one file also votes), split the kept mask into 8-connected instances and emit one row per instance;
     every id of any source gets at least one row (null when nothing is left).
 
-    Shuffles: the rows by image (none if they are already partitioned so), the kept pieces packed by image, together with
-    the distinct ids. No text is shuffled after the sweep."""
-    seg = V.coverage_segments(list(sources), height, width)
-    pieces = V.select_mask(seg, F.col("c") >= k)
-    return multi_rle(pieces, V.ids_of(sources, ID), height, width).select(ID, ENC)
+    Shuffles: the rows by image (none if they are already partitioned so). The kept mask of an image leaves the sweep whole, in
+    one row, so neither pieces nor texts are shuffled after it, and the sources are not read again for their ids."""
+    masks = V.packed_masks(sources, lambda c, by: c >= k, height, width)
+    return multi_rle_masks(masks, height, width).select(ID, ENC)
