@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from maskframe.operators import pixel_eval as PE
 from maskframe.operators import runs as R
 from maskframe.operators import tiles as T
@@ -118,6 +119,32 @@ def test_boxes_from_a_table(spark, bin_size):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("batch", ["10000", "3"])
+def test_boxes_meet_texts(spark, batch):
+    """The sums of boxes from texts: images in few and in many batches, painted ones, boxes that repeat, odd texts and nulls."""
+    rng = np.random.default_rng(12)
+    rows = [(i, e) for i, e, _ in random_rows(rng, ["a", "b", "c"], 3) * 2] + [("hot", e) for _, e, _ in random_rows(rng, ["x"], 60)] + [("b", None), ("c", "1 x"), (None, "1 9"), ("d", None), ("b", "9 4 2 3 1 9")]
+    ann = spark.createDataFrame(rows, "ImageId string, EncodedPixels string").repartition(5)
+    boxes = [(i, None if n == 7 else n % 40, int(x), int(y), int(x + w), int(y + h)) for n, (i, x, y, w, h) in enumerate(zip(rng.choice(["a", "b", "c", "hot", "none"], 150), rng.integers(-5, W, 150), rng.integers(-5, H, 150), rng.integers(0, 30, 150), rng.integers(0, 30, 150)))]
+    boxes += [("a", 900, -1000, -1000, 5000, 5000), ("a", 901, 3, None, 9, 9), (None, 902, 0, 0, 9, 9), ("b", 903, 5, 5, 5, 9), ("hot", 904, 0, 0, 5000, 9), ("d", 905, 0, 0, 9, 9)]
+    b = spark.createDataFrame(boxes, "ImageId string, box int, x0 long, y0 long, x1 long, y1 long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = T.box_masses(ann, b, H, W)
+        want = T.box_overlap(R.run_pieces(R.rle_runs(ann, H, W), H), b)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert T.box_masses(ann, b.limit(0), H, W).count() == T.box_masses(ann.limit(0), b, H, W).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_boxes_shuffle_no_piece(spark):
+    """A row that is shuffled is an image's packed runs or a box."""
+    plan = E.queries()["box_overlap"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_tiles_are_boxes(spark):
     """The fixed grids of the tiled build are a special case."""
     ann = spark.createDataFrame([("a", "1 700 60000 900 200000 50"), ("b", None)], "ImageId string, EncodedPixels string")
