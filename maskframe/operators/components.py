@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskframe.functions import rle_batch as B
 from maskframe.functions.classes import CANVAS_H, CANVAS_W
 from maskframe.operators import image_batches as IB
 from maskframe.session import ship_package
@@ -257,26 +258,64 @@ def _texts_of(height: int, width: int, id_col: str):
 
 
 # ---- table form: an image of any size, over many tasks ---------------------------------------------------------------
-def strip_labels(pieces: DataFrame, height: int, strip: int, id_col: str = ID) -> DataFrame:
-    """``(id, col, r0, r1, root)``: pieces (those that touch within a column merged) with the first pixel
-    ``struct(id, row, col)`` of their component inside their strip of ``strip`` columns. A strip of an image is at most
-    ``strip * ceil(H / 2)`` pieces; many are labelled in one NumPy call."""
-    key = F.to_json(F.struct(F.col(id_col).alias("id"), F.floor(F.col("col") / strip).alias("strip")))
-
-    def frame(keys, marks, image, col, r0, r1) -> pa.RecordBatch:
-        im, c, a, b, inst = label_pieces_batch(image, col % strip, r0, r1, height, strip)
-        start = np.zeros(len(keys), np.int64)
-        start[image] = col - col % strip
-        # the component's first pixel in raster order
-        group = im * (int(inst.max(initial=0)) + 1) + inst
-        order = np.lexsort((c, a, group))
-        lead = order[np.r_[True, group[order][1:] != group[order][:-1]]] if len(order) else order
-        at = lead[np.searchsorted(group[lead], group)] if len(order) else order
-        return pa.RecordBatch.from_arrays([keys.take(pa.array(im)), *map(pa.array, (c + start[im], a, b, a[at], c[at] + start[im]))], names=["_key", "col", "r0", "r1", "row0", "col0"])
-
-    out = _batched(pieces.withColumn("_key", key), frame, "_key string, col bigint, r0 bigint, r1 bigint, row0 bigint, col0 bigint", "_key", height)
-    return out.withColumn(id_col, F.from_json("_key", "id string")["id"]).select(
-        id_col, "col", "r0", "r1", F.struct(F.col(id_col).alias("id"), F.col("row0").alias("row"), F.col("col0").alias("col")).alias("root"))
+def packed_strips(pieces: DataFrame, height: int, strip: int, id_col: str = ID) -> DataFrame:
+    """Pieces as packed rows ``(id, _strip, _runs, _wide, _mark)``, those of a strip of ``strip`` columns beside each other."""
+    part = [id_col, "_strip"]
+    x = pieces.select(id_col, F.floor(F.col("col") / strip).cast("bigint").alias("_strip"), "col", "r0", "r1")
+    return IB.beside(IB.with_ids(IB.packed_pieces(x, part, height), None, id_col), part)
+
+
+def strip_components(strips: DataFrame, height: int, strip: int, id_col: str = ID) -> DataFrame:
+    """``(id, root, _runs, _wide, _border)`` of :func:`packed_strips` (or ``coverage.packed_strips``), one row per component of a strip of ``strip`` columns: its first pixel
+    ``struct(id, row, col)``, its packed runs and its pieces ``struct(col, r0, r1)`` in the strip's first and last column (pieces that
+    touch within a column merged). A strip of an image is at most ``strip * ceil(H / 2)`` pieces; many are labelled in one
+    NumPy call."""
+    part = [id_col, "_strip"]
+    rows = strips.withColumn(id_col, F.col(id_col).cast("string"))  # all columns: without its count the window would go
+
+    def fn(batches):
+        for keys, _, image, a, b in IB.complete(batches, part):
+            for some, own in IB.slices_of(keys.num_rows, image):
+                if own.stop == own.start:
+                    continue
+                i, col, r0, r1 = IB.cut_columns(a[own], b[own], height)
+                im, c, r0, r1, inst = label_pieces_batch(image[own][i] - some.start, col % strip, r0, r1, height, strip)
+                place = c + keys.column("_strip").slice(some.start, some.stop - some.start).to_numpy()[im] * strip
+                group = im * (int(inst.max()) + 1) + inst
+                lead = np.lexsort((c, r0, group))  # the first pixel in raster order
+                lead = lead[np.r_[True, group[lead][1:] != group[lead][:-1]]]
+                order = np.lexsort((r0, c, group))
+                group, c, place, r0, r1 = group[order], c[order], place[order], r0[order], r1[order]
+                counts = np.diff(np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)])
+                lo, hi = place * height + r0, place * height + r1
+                wide = bool(hi.max() >= B.WIDE)
+                edge = np.flatnonzero((c == 0) | (c == strip - 1))
+                off = np.searchsorted(edge, np.r_[0, np.cumsum(counts)]).astype(np.int32)
+                border = pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays([pa.array(v[edge]) for v in (place, r0, r1)], ["col", "r0", "r1"]))
+                ids, n = keys.column(0).take(pa.array(some.start + im[lead])), len(lead)
+                first = order.argsort()[lead]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(r0[first]), pa.array(place[first]), B.pack(counts, lo, hi, wide).cast(pa.binary()), pa.array(np.full(n, wide)), border],
+                                                 names=[id_col, "row0", "col0", "_runs", "_wide", "_border"])
+
+    ship_package(strips.sparkSession)
+    out = rows.mapInArrow(fn, f"`{id_col}` string, row0 bigint, col0 bigint, _runs binary, _wide boolean, _border array<struct<col: bigint, r0: bigint, r1: bigint>>")
+    return out.select(id_col, F.struct(F.col(id_col).alias("id"), F.col("row0").alias("row"), F.col("col0").alias("col")).alias("root"), "_runs", "_wide", "_border")
+
+
+def unpacked_pieces(rows: DataFrame, keep: list[str], height: int) -> DataFrame:
+    """``(*keep, col, r0, r1)``: the column pieces of packed rows ``(*keep, _runs, _wide)``."""
+    rows = rows.select(*keep, "_runs", "_wide")
+
+    def fn(batches):
+        for batch in batches:
+            row, a, b = IB.packed_rows(batch)
+            for some, own in IB.slices_of(batch.num_rows, row):
+                i, col, r0, r1 = IB.cut_columns(a[own], b[own], height)
+                at = pa.array(row[own][i])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in keep], *map(pa.array, (col, r0, r1))], names=[*keep, "col", "r0", "r1"])
+
+    ship_package(rows.sparkSession)
+    return rows.mapInArrow(fn, IB.schema_of(rows, keep, "col bigint, r0 bigint, r1 bigint"))
 
 
 def touching_strips(labelled: DataFrame, strip: int, row_bin: int = 512, id_col: str = ID) -> DataFrame:
@@ -295,16 +334,24 @@ def connected_components_tables(pieces: DataFrame, height: int = CANVAS_H, id_co
     """M5 + W8 for canvases that no single task may hold: ``(id, col, r0, r1)`` -> ``(id, instance_id, col, r0, r1)``, as
     :func:`connected_components` numbers them (pieces that touch within a column come back as one; ids are text).
 
-    Strips of ``strip`` columns are labelled each for itself; only what touches across a strip's border becomes an edge, and
+    Strips of ``strip`` columns are labelled each for itself, and a component of a strip is one row with its pieces packed; only what touches across a strip's border becomes an edge, and
     the edges' components come from the star contraction of :mod:`maskframe.operators.graph`. Components are numbered in
     raster order by bands of ``band`` rows and the number of components in the bands before. No step has an image, or a
     component, in one task."""
+    return connected_components_strips(packed_strips(pieces, height, strip, id_col), height, id_col, strip, row_bin, band)
+
+
+def connected_components_strips(strips: DataFrame, height: int = CANVAS_H, id_col: str = ID, strip: int = 64, row_bin: int = 512, band: int = 64) -> DataFrame:
+    """:func:`connected_components_tables` of masks that are packed by strip already (``coverage.packed_strips``)."""
     from maskframe.operators.graph import connected_components as of_edges
     from maskframe.session import saved
 
-    p = saved(strip_labels(pieces, height, strip, id_col), "strips")
-    wide = of_edges(touching_strips(p, strip, row_bin, id_col)).select(F.col("node").alias("root"), F.col("root").alias("_wide"))
-    j = saved(p.join(wide, "root", "left").select(id_col, "col", "r0", "r1", F.coalesce("_wide", "root").alias("_root")), "labelled")
+    p = saved(strip_components(strips, height, strip, id_col), "strips")
+    near = F.size("_border") > 0  # only these can have a link
+    borders = p.filter(near).select(id_col, "root", F.explode("_border").alias("b")).select(id_col, "b.col", "b.r0", "b.r1", "root")
+    top = of_edges(touching_strips(borders, strip, row_bin, id_col)).select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    linked = p.filter(near).join(top, "root", "left").select(id_col, F.coalesce("_top", "root").alias("_root"), "_runs", "_wide")
+    j = saved(linked.unionByName(p.filter(~near).select(id_col, F.col("root").alias("_root"), "_runs", "_wide")), "labelled")
     roots = j.select("_root").distinct().select("_root", F.col("_root.id").alias("_id"), F.floor(F.col("_root.row") / band).alias("_band"), "_root.row", "_root.col")
     counts = roots.groupBy("_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
     up = Window.partitionBy("_id").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
@@ -312,4 +359,4 @@ def connected_components_tables(pieces: DataFrame, height: int = CANVAS_H, id_co
     inside = Window.partitionBy("_id", "_band").orderBy("row", "col")
     on = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_band") == F.col("_band2"))
     numbered = roots.withColumn("_in", F.row_number().over(inside)).join(starts, on).select("_root", (F.col("_start") + F.col("_in")).cast("bigint").alias("instance_id"))
-    return j.join(numbered, "_root").select(id_col, "instance_id", "col", "r0", "r1")
+    return unpacked_pieces(j.join(numbered, "_root"), [id_col, "instance_id"], height)

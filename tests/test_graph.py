@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from maskframe.functions.table_functions import register_table_functions
 from maskframe.operators import components as K
+from maskframe.operators import coverage as V
 from maskframe.operators import graph
 from maskframe.operators import runs as R
 
@@ -63,6 +64,21 @@ def test_tables_equal_the_numpy_form(spark):
     assert K.connected_components_tables(pieces.limit(0)).count() == 0
 
 
+def test_strips_of_texts_equal_pieces(spark):
+    """Masks packed by strip where they are swept: the same components, and a component's pieces travel in one row."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"{int(s)} {int(n)}" for s, n in zip(np.sort(rng.choice(40 * 30, 60, False)) + 1, rng.integers(1, 25, 60)))) for i in ("a", "b", None) for _ in range(2)]
+    ann = spark.createDataFrame([*rows, ("c", None), ("b", "1 x")], "ImageId string, EncodedPixels string")
+    pieces = V.select_mask(V.coverage_segments(ann, 40, 30), "c >= 2")
+    for strip in (64, 7, 1):
+        strips = V.packed_strips(ann, lambda c, by: c >= 2, strip, 40, 30)
+        got = K.connected_components_strips(strips, 40, strip=strip, row_bin=4, band=3)
+        assert sorted(map(str, got.collect())) == sorted(map(str, K.connected_components_tables(pieces, 40, strip=strip, row_bin=4, band=3).collect()))
+        out = K.strip_components(strips, 40, strip)
+        assert out.count() == out.select("root").distinct().count()
+        assert strips.select("ImageId", "_strip").distinct().count() == strips.count()
+
+
 def test_a_canvas_of_100000_columns(spark):
     """One image, long horizontal ships: no task holds the image, and a ship's columns all get its number."""
     ships = [(0, 30_000, 10), (40_000, 99_999, 10), (20_000, 45_000, 500), (5, 6, 11)]
