@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from maskframe.functions import rle_batch as B
 from maskframe.operators import components as K
 from maskframe.operators import coverage as V
@@ -66,6 +67,16 @@ def test_encoding_selection_and_components_as_by_pieces(spark, two):
     assert rows(ensemble([a, b], 2, H, W)) == rows(K.multi_rle(V.select_mask(seg, F.col("c") >= 2), both, H, W).select("ImageId", "EncodedPixels"))
 
 
+def test_pixel_sums_are_the_pixels_added_up(spark, two):
+    long = spark.createDataFrame([("long", "1 200000 300000 70000"), ("long", "1 589824"), ("z", "0 2"), ("z", "589820 900")], SCHEMA)
+    for df, h, w in ((two[0], H, W), (two[1], H, W), (long, 768, 768), (two[0].limit(0), H, W)):
+        px = R.rle_pixels(R.rle_runs(df, h, w), h)
+        want = px.groupBy("ImageId").agg(F.count("*").alias("pixels"), F.sum("row").alias("sum_row"), F.sum("col").alias("sum_col"))
+        assert rows(R.rle_pixel_sums(df, h, w)) == rows(want)
+    plan = E.queries()["rle_pixels"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_pixel_counts_are_the_segments_added_up(spark, two, monkeypatch):
     seg = V._segments(list(two), H, W, "ImageId")
     keys = ["ImageId", "c", "c0", "c1"]
