@@ -67,6 +67,14 @@ def test_encoding_selection_and_components_as_by_pieces(spark, two):
     assert rows(ensemble([a, b], 2, H, W)) == rows(K.multi_rle(V.select_mask(seg, F.col("c") >= 2), both, H, W).select("ImageId", "EncodedPixels"))
 
 
+def test_turned_masks_as_by_pieces(spark, two):
+    for df, centre in ((two[0], (4, 3)), (two[1], (2, 5))):
+        want = V.encode_pieces(R.rotate_90(pieces(df), H, W, centre=centre), H, ids=V.image_ids(df))
+        assert rows(V.encode_masks(R.rotated_masks(union(df), H, W, centre=centre))) == rows(want)
+    plan = E.queries()["rotate_90"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the bridge's narrow columns, nothing behind the sweep
+
+
 def test_pixel_sums_are_the_pixels_added_up(spark, two):
     long = spark.createDataFrame([("long", "1 200000 300000 70000"), ("long", "1 589824"), ("z", "0 2"), ("z", "589820 900")], SCHEMA)
     for df, h, w in ((two[0], H, W), (two[1], H, W), (long, 768, 768), (two[0].limit(0), H, W)):
