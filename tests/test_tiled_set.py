@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from maskframe.functions.rle import rle_valid
 from maskframe.operators import annotations as A
 from maskframe.operators import grids as G
 from maskframe.operators import runs as R
@@ -55,6 +56,14 @@ def test_tiles_of_three_canvases_equal_pixels(spark):
     assert got == want
 
 
+def test_sound_texts_in_batches(spark):
+    texts = [None, "", "  ", "1 3", "1 x", "1 3 x", "7", "x", "1 5000 x 4", "1\t3\n9 2", "1 1234567890123456789", "1 99999999999999999999", "99999999999999999999 1", "1 \u0663", " 4 4 "]
+    df = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], ANN)
+    out = A.sound_texts(df).withColumn("want", rle_valid(F.col("EncodedPixels")))
+    assert all(r["_sound"] == r["want"] for r in out.collect())
+    assert "ArrowEvalPython" in A.usable_images(df)[1].select("reason")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_build_is_whole_and_sound(spark, tmp_path):
     rows = table()
     rows += [("broken.jpg", "x 3"), ("broken.jpg", rect(5, 5, 90, 90)), ("broken2.jpg", "1 5000 x 4")]
