@@ -1,6 +1,7 @@
 """The tiled build on a small table against plain pixels, its shards, and builds from tables with broken texts."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from maskframe.functions.rle import rle_valid
@@ -56,6 +57,20 @@ def test_tiles_of_three_canvases_equal_pixels(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("batch", ["10000", "2"])
+def test_fullest_tiles_are_chosen_where_they_are_measured(spark, batch):
+    rows = table(40) + [("0001.jpg", "1 x"), (None, rect(5, 5, 90, 90)), ("0002.jpg", rect(100, 100, 60, 60))] + [("hot.jpg", rect(8 * k, 9 * k, 40, 30)) for k in range(60)]
+    df = spark.createDataFrame(rows, ANN).repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        for least in (64, 2000):
+            want = TS.tile_names(TS.annotated_tiles(df), min_area=least)
+            assert sorted(map(str, TS.fullest_tiles(df, min_area=least).collect())) == sorted(map(str, want.collect()))
+        assert TS.fullest_tiles(df.limit(0)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_sound_texts_in_batches(spark):
     texts = [None, "", "  ", "1 3", "1 x", "1 3 x", "7", "x", "1 5000 x 4", "1\t3\n9 2", "1 1234567890123456789", "1 99999999999999999999", "99999999999999999999 1", "1 \u0663", " 4 4 "]
     df = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], ANN)
